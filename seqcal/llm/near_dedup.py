@@ -5,8 +5,8 @@ bins (Li et al., 2012), empty ones filled by universally hashed probes (Shrivast
 bucket of a band each class is a candidate with the bucket's smallest class only (a star), so a bucket of m classes
 has m - 1 pairs. Candidates are confirmed on full shingle sets; confirmed links give components. A star alone could
 miss a link between two classes that are both unlike the smallest, so buckets whose classes are still in different
-components have a second turn: each class outside the bucket's first component meets the classes of other components
-there. With 48 bands of 6 bins a pair at a similarity of 0.8 shares no bucket with a probability of 5e-7.
+components have a second turn: each class outside the bucket's first component is compared there with the classes of
+other components, in blocks of bounded size that give links, not pairs. With 48 bands of 6 bins a pair at a similarity of 0.8 shares no bucket with a probability of 5e-7.
 """
 
 from __future__ import annotations
@@ -15,7 +15,6 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
@@ -26,7 +25,8 @@ from .words import U64, Slice, mix, slices
 BANDS, BAND_BINS = 48, 6
 PERCENT = 80
 HUB_MEMBERS = 64  # members of one hub that one group confirms
-BUCKET_CLASSES = 512  # classes of a mixed bucket in one group of the second turn
+BUCKET_CLASSES = 256  # classes of a mixed bucket in one side of a block
+BIT_TABLE = 1 << 28  # bits in a block's table of shared shingles
 PROBES = 64
 
 SIGNATURE = "doc_id long, key long, n_shingles long, set_hash long, bands array<long>"
@@ -108,19 +108,23 @@ def _signatures(size: int, bands: int, band_bins: int):
 
 
 def _confirm(size: int, percent: int):
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.drop_duplicates("node")
-        sets: dict[int, np.ndarray] = {}
-        nodes = rows["node"].tolist()
-        for part in slices(pa.array(rows["text"], pa.string()), lower=True):
-            sets.update(zip(nodes[part.first_row :], shingle_sets(part, size), strict=False))
-        hub = int(rows["a"].iloc[0])
-        mine, linked = sets.pop(hub), []
-        for node, other in sets.items():
-            common = len(np.intersect1d(mine, other, assume_unique=True))
-            if 100 * common >= percent * (len(mine) + len(other) - common):
-                linked.append(node)
-        return pd.DataFrame({"a": np.full(len(linked), hub, np.int64), "b": np.array(linked, np.int64)})
+    """Rows come sorted by (a, part), the hub itself first in each group, so one hub's set is held at a time."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hub, mine = None, np.empty(0, dtype=np.uint64)
+        for batch in batches:
+            hubs, nodes = batch["a"].to_pylist(), batch["node"].to_pylist()
+            a, b = [], []
+            for part in slices(batch["text"], lower=True):
+                for row, other in enumerate(shingle_sets(part, size), part.first_row):
+                    if nodes[row] == hubs[row]:
+                        hub, mine = hubs[row], other
+                        continue
+                    common = len(np.intersect1d(mine, other, assume_unique=True)) if hub == hubs[row] else 0
+                    if 100 * common >= percent * (len(mine) + len(other) - common):
+                        a.append(hub)
+                        b.append(nodes[row])
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
     return run
 
@@ -132,10 +136,110 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> Da
     dealt = written(dealt, "candidates")
     asked = dealt.select("a", "part", F.col("b").alias("node")).union(dealt.select("a", "part", "a").distinct())
     texts = docs.groupBy("key").agg(F.first("text").alias("text"))
-    return asked.join(texts, asked.node == texts.key).select("a", "part", "node", "text").groupBy("a", "part").applyInPandas(_confirm(size, percent), "a long, b long")
+    rows = asked.join(texts, asked.node == texts.key).select("a", "part", "node", "text").repartition("a", "part")
+    return rows.sortWithinPartitions("a", "part", F.col("node") != F.col("a")).mapInArrow(_confirm(size, percent), "a long, b long")
+
+
+class Sets:
+    """Shingle sets of one group, for exact intersections of one with many."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        self.sets, self.sizes = sets, np.array([len(x) for x in sets], dtype=np.int64)
+        # shingles of one set alone meet nothing
+        shared, counts = np.unique(np.concatenate(sets), return_counts=True)
+        shared = shared[counts > 1]
+        self.bits = None
+        if len(shared) * len(sets) <= BIT_TABLE:
+            self.bits = np.zeros((len(sets), -(-max(len(shared), 1) // 64) * 8), dtype=np.uint8)
+            for i, own in enumerate(sets):
+                at = np.searchsorted(shared, own)
+                known = at[shared[np.minimum(at, len(shared) - 1)] == own] if len(shared) else at[:0]
+                row = np.zeros(self.bits.shape[1] * 8, dtype=np.uint8)
+                row[known] = 1
+                self.bits[i] = np.packbits(row)
+            self.bits = self.bits.view(np.uint64)
+
+    def similar(self, one: int, many: np.ndarray, percent: int) -> np.ndarray:
+        """Those of many whose similarity with one is at least percent hundredths."""
+        if self.bits is not None:
+            common = np.bitwise_count(self.bits[many] & self.bits[one]).sum(axis=1, dtype=np.int64)
+        else:
+            common = np.array([len(np.intersect1d(self.sets[one], self.sets[i], assume_unique=True)) for i in many], dtype=np.int64)
+        return many[100 * common >= percent * (self.sizes[many] + self.sizes[one] - common)]
+
+
+def _compare(rows: pa.Table, size: int, percent: int) -> list[tuple[int, int]]:
+    """Links between the own classes of a block and its odd ones. Each pair is taken in the first band that it shares
+    only, not with the bucket's hub, which the first turn has compared with all, and two odd classes once."""
+    sets: list[np.ndarray] = []
+    for part in slices(rows["text"], lower=True):
+        sets += shingle_sets(part, size)
+    table = Sets(sets)
+    own = rows["own"].to_numpy()
+    node, component, odd = (rows[c].to_numpy() for c in ("node", "component", "odd"))
+    bands = rows["bands"].combine_chunks().flatten().to_numpy().reshape(len(own), -1)
+    hub, band = rows["a"][0].as_py(), rows["band"][0].as_py()
+    mine = np.flatnonzero(own & (node != hub))
+    out = []
+    for x in np.flatnonzero(~own & (node != hub)).tolist():
+        fits = (component[mine] != component[x]) & (~odd[mine] | (node[mine] > node[x]))
+        small, large = np.minimum(table.sizes[mine], table.sizes[x]), np.maximum(table.sizes[mine], table.sizes[x])
+        some = mine[fits & (100 * small >= percent * large)]
+        if len(some):
+            some = some[(bands[some] == bands[x]).argmax(axis=1) == band]
+        if len(some):
+            out += [(int(node[x]), int(node[i])) for i in table.similar(x, some, percent)]
+    return out
+
+
+def _blocks(size: int, percent: int):
+    """Rows come sorted by (bucket, i, j); one block is held at a time."""
+    key = ["bucket", "i", "j"]
+
+    def links(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
+        found = _compare(pa.Table.from_batches(rows), size, percent)
+        return pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], pa.int64()) for i in (0, 1)], names=["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        now = None
+        for batch in batches:
+            keys = np.stack([batch[c].to_numpy() for c in key], axis=1)
+            cuts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1).tolist(), len(keys)]
+            for at, to in zip(cuts, cuts[1:], strict=False):
+                if to > at:
+                    if held and tuple(keys[at]) != now:
+                        yield links(held)
+                        held = []
+                    now = tuple(keys[at])
+                    held.append(batch.slice(at, to - at))
+        if held:
+            yield links(held)
+
+    return run
+
+
+def _across(rest: DataFrame, classes: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """Links between classes of different components that share a bucket.
+
+    The classes of a bucket are dealt to parts of bounded size, those outside its first component to parts of their own,
+    and each part of the ones meets each part of the others in a block, where full sets are compared.
+    """
+    parts = lambda n: f"cast(({n} + {BUCKET_CLASSES - 1}) / {BUCKET_CLASSES} as int)"
+    odd = rest.withColumn("odd", F.expr("component <> first"))
+    counts = odd.groupBy("bucket").agg(F.count_if("odd").alias("odds"))
+    odd = odd.join(counts, "bucket").withColumn("rows", F.expr(parts("size"))).withColumn("columns", F.expr(parts("odds")))
+    own = odd.select("bucket", "band", "a", "node", "component", "odd", F.lit(True).alias("own"), F.expr("cast(pmod(xxhash64(node), rows) as int)").alias("i"), F.explode(F.expr("sequence(0, columns - 1)")).alias("j"))
+    other = odd.filter("odd").select("bucket", "band", "a", "node", "component", "odd", F.lit(False).alias("own"), F.explode(F.expr("sequence(0, rows - 1)")).alias("i"), F.expr("cast(pmod(xxhash64(node), columns) as int)").alias("j"))
+    placed = written(own.union(other), "blocks")
+    needed = placed.select("node").distinct().join(classes.select("node", "bands"), "node")
+    texts = docs.groupBy("key").agg(F.first("text").alias("text"))
+    needed = written(needed.join(texts, needed.node == texts.key).select("node", "bands", "text"), "needed")
+    rows = placed.join(needed, "node").select("bucket", "i", "j", "band", "a", "node", "component", "odd", "own", "bands", "text")
+    return rows.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j").mapInArrow(_blocks(size, percent), "a long, b long").distinct()
 
 
-def near_duplicates(docs: DataFrame, size: int = 5, percent: int = PERCENT, bands: int = BANDS, band_bins: int = BAND_BINS) -> DataFrame:
+def near_duplicates(docs: DataFrame, size: int = 5, percent: int = PERCENT, bands: int = BANDS, band_bins: int = BAND_BINS, with_key: bool = False) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of docs(doc_id, text).
 
     A document's set holds its distinct runs of size words, A-Z in lower case; a text with fewer words is one shingle,
@@ -150,7 +254,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = PERCENT, band
     signed = written(docs.mapInArrow(_signatures(size, bands, band_bins), SIGNATURE), "signatures")
     real = signed.filter("n_shingles > 0 and doc_id is not null")
     classes = written(real.groupBy("set_hash").agg(F.min(F.struct("doc_id", "key")).alias("first"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")).select("set_hash", F.col("first.doc_id").alias("doc_id"), F.col("first.key").alias("node"), "n", "bands"), "classes")
-    buckets = classes.select("node", "n", F.explode("bands").alias("bucket"))
+    buckets = classes.select("node", "n", F.posexplode("bands").alias("band", "bucket"))
     hubs = buckets.groupBy("bucket").agg(F.min(F.struct("node", "n")).alias("hub"), F.count("*").alias("size")).filter("size > 1")
     hubs = written(hubs.select("bucket", "size", F.col("hub.node").alias("a"), F.col("hub.n").alias("hub_n")), "hubs")
     full = written(buckets.join(hubs, "bucket"), "buckets")
@@ -161,17 +265,10 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = PERCENT, band
     found = written(connected_components(links, "a", "b"), "components")
 
     member = full.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    member = written(member.select("bucket", "size", "node", "n", "component"), "members")
+    member = written(member.select("bucket", "band", "size", "a", "node", "component"), "members")
     mixed = member.groupBy("bucket").agg(F.min("component").alias("first"), F.max("component").alias("last")).filter("first < last").select("bucket", "first")
     mixed = written(mixed, "mixed")
-    rest = member.join(mixed, "bucket").withColumn("odd", F.expr("component <> first")).withColumn("parts", F.expr(f"cast((size + {BUCKET_CLASSES - 1}) / {BUCKET_CLASSES} as int)")).withColumn("home", F.expr("cast(pmod(xxhash64(node), parts) as int)"))
-    own = rest.select("bucket", F.col("home").alias("part"), "node", "n", "component")
-    odd = rest.filter("odd").select("bucket", F.explode(F.expr("sequence(0, parts - 1)")).alias("part"), F.col("node").alias("node2"), F.col("n").alias("n2"), F.col("component").alias("component2"))
-    across = own.join(odd, ["bucket", "part"]).filter(f"component <> component2 and 100 * least(n, n2) >= {percent} * greatest(n, n2)")
-    across = across.select(F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b")).distinct()
-    tested = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    across = written(across.join(tested, ["a", "b"], "left_anti"), "across")
-    more = written(_confirmed(across, sources, size, percent), "links")
+    more = written(_across(member.join(mixed, "bucket"), classes, sources, size, percent), "links")
     if not more.isEmpty():
         found = written(connected_components(links.union(more), "a", "b"), "components")
 
@@ -179,6 +276,29 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = PERCENT, band
     first = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     named = written(named.join(first, "component").select("set_hash", "component_id"), "named")
     alone = F.col("n_shingles") == 0
-    out = signed.select("doc_id", "n_shingles", F.when(~alone & F.col("doc_id").isNotNull(), F.col("set_hash")).alias("set_hash")).join(named, "set_hash", "left")
-    out = out.select("doc_id", "n_shingles", F.when(alone, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+    key = ["key"] if with_key else []
+    out = signed.select("doc_id", *key, "n_shingles", F.when(~alone & F.col("doc_id").isNotNull(), F.col("set_hash")).alias("set_hash")).join(named, "set_hash", "left")
+    out = out.select("doc_id", *key, "n_shingles", F.when(alone, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+
+
+def representatives(docs: DataFrame, size: int = 5, percent: int = PERCENT) -> DataFrame:
+    """docs without near duplicates, with their own columns: of each group only the document of the smallest doc_id.
+
+    Of rows that repeat that doc_id within the group one stays; a row without doc_id and one without words stay.
+    """
+    found = near_duplicates(docs, size, percent, with_key=True)
+    gone = written(found.filter(~F.col("kept")).select("key").distinct(), "duplicates")
+    # rows that share key have one doc_id and one text; different texts under one doc_id may be one group, too
+    twins = found.filter("kept and n_shingles > 0 and doc_id is not null").groupBy("component_id").agg(F.count("*").alias("n"), F.min("key").alias("key")).filter("n > 1").select("component_id", "key")
+    twins = written(twins, "twins")
+    own = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
+    keyed = docs.select(own, F.xxhash64("doc_id", F.coalesce("text", F.lit(""))).alias("key"))
+    left = keyed.join(gone, "key", "left_anti")
+    if twins.isEmpty():
+        return left.select("row.*")
+    names = twins.select("component_id", F.col("key").alias("first"))
+    marked = left.join(names, F.col("row.doc_id") == F.col("component_id"), "left")
+    alone = marked.filter("component_id is null").select("row")
+    several = marked.filter("component_id is not null and key = first").groupBy("key").agg(F.first("row").alias("row")).select("row")
+    return alone.union(several).select("row.*")

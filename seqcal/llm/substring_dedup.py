@@ -24,8 +24,9 @@ from .words import U64, covered, slices
 WINDOW = 35
 CHARS_PER_RANGE = 24_000_000
 
-PACKED = "range int, keys binary, counts binary, sent binary, twice binary, hashes binary"
-MARKS = "key long, range int, marks binary"
+PACKED = "range int, batch long, keys binary, counts binary, sent binary, twice binary, hashes binary"
+MARKS = "batch long, range int, keys binary, counts binary, marks binary"
+FOUND = "key long, found array<struct<range: int, marks: binary>>"
 
 
 def _width(ranges: int) -> np.uint64:
@@ -62,13 +63,14 @@ def _pack(size: int, ranges: int):
             twice[order[head & np.concatenate([~head[1:], [False]])]] = True
             at = (hashes // _width(ranges)).astype(np.int64)
             index = np.argsort(at, kind="stable")  # by range, then document and place
+            name = int.from_bytes(hashlib.blake2b(keys.tobytes(), digest_size=8).digest(), "little", signed=True)
             rows: list[tuple] = []
             for group in np.split(index, np.flatnonzero(np.diff(at[index])) + 1):
                 documents, counts = np.unique(owner[group], return_counts=True)
                 bits = sent[group]
-                rows.append((int(at[group[0]]), keys[documents].tobytes(), counts.astype(np.uint32).tobytes(), np.packbits(bits).tobytes(), np.packbits(twice[group]).tobytes(), hashes[group[bits]].tobytes()))
+                rows.append((int(at[group[0]]), name, keys[documents].tobytes(), counts.astype(np.uint32).tobytes(), np.packbits(bits).tobytes(), np.packbits(twice[group]).tobytes(), hashes[group[bits]].tobytes()))
             columns = list(zip(*rows, strict=True))
-            yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), *(pa.array(x, pa.binary()) for x in columns[1:])], names=["range", "keys", "counts", "sent", "twice", "hashes"])
+            yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), pa.array(columns[1], pa.int64()), *(pa.array(x, pa.binary()) for x in columns[2:])], names=["range", "batch", "keys", "counts", "sent", "twice", "hashes"])
 
     return run
 
@@ -88,11 +90,28 @@ def _mark(rows: pd.DataFrame) -> pd.DataFrame:
     several[order] = often[run]
     marked = ~sent
     marked[sent] = several
-    keys, counts = np.concatenate([np.frombuffer(x, np.int64) for x in rows["keys"]]), np.concatenate(counts)
-    ends = np.cumsum(counts.astype(np.int64))
-    some = np.flatnonzero(np.diff(np.concatenate([[0], np.cumsum(marked)[ends - 1]])))
-    at = int(rows["range"].iloc[0])
-    return pd.DataFrame({"key": keys[some], "range": np.full(len(some), at, np.int32), "marks": [np.packbits(marked[ends[i] - counts[i] : ends[i]]).tobytes() for i in some]})
+    out: dict[str, list] = {"batch": [], "range": [], "keys": [], "counts": [], "marks": []}
+    place = 0
+    for batch, keys, n in zip(rows["batch"], rows["keys"], counts, strict=True):
+        bits, place = marked[place : place + int(n.sum())], place + int(n.sum())
+        owner = np.repeat(np.arange(len(n)), n)
+        some = np.bincount(owner, weights=bits, minlength=len(n)) > 0
+        if some.any():
+            for k, v in zip(out, (batch, int(rows["range"].iloc[0]), np.frombuffer(keys, np.int64)[some].tobytes(), n[some].tobytes(), np.packbits(bits[some[owner]]).tobytes()), strict=True):
+                out[k].append(v)
+    return pd.DataFrame(out)
+
+
+def _by_document(rows: pd.DataFrame) -> pd.DataFrame:
+    """The marks of one batch, dealt out to its documents. Rows that repeat have one key and equal marks."""
+    found: dict[int, dict[int, bytes]] = {}
+    for at, keys, counts, marks in zip(rows["range"].tolist(), rows["keys"], rows["counts"], rows["marks"], strict=True):
+        counts = np.frombuffer(counts, np.uint32)
+        bits = _unpack(marks, int(counts.sum()))
+        ends = np.cumsum(counts.astype(np.int64))
+        for key, n, end in zip(np.frombuffer(keys, np.int64).tolist(), counts.tolist(), ends.tolist(), strict=True):
+            found.setdefault(key, {})[at] = np.packbits(bits[end - n : end]).tobytes()
+    return pd.DataFrame({"key": list(found), "found": [[{"range": a, "marks": m} for a, m in x.items()] for x in found.values()]})
 
 
 def _remove(size: int, ranges: int, with_text: bool):
@@ -110,9 +129,9 @@ def _remove(size: int, ranges: int, with_text: bool):
                         first, hashes = one.window_hashes(one.word_hashes(), size)
                         at = (hashes // _width(ranges)).astype(np.int64)
                         hit = np.zeros(len(first), dtype=bool)
-                        for mark in marks:  # a repeated row has its marks twice
+                        for mark in marks:
                             where = np.flatnonzero(at == mark["range"])
-                            hit[where] |= _unpack(mark["marks"], len(where))
+                            hit[where] = _unpack(mark["marks"], len(where))
                         kept = ~covered(first[hit], size, len(words))
                         words = [w for w, k in zip(words, kept.tolist(), strict=True) if k]
                     text = b" ".join(words)
@@ -136,12 +155,12 @@ def remove_repeated_windows(docs: DataFrame, size: int = WINDOW, with_text: bool
     both lose their windows. A null doc_id is kept as such. Columns besides doc_id and text are not read.
     """
     spark = docs.sparkSession
-    arrow_batch_rows(spark, 4096)
+    arrow_batch_rows(spark, 2048)
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("key", F.xxhash64("doc_id", "text"))
     chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
     ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), chars // CHARS_PER_RANGE + 1)
     packed = docs.select("key", "text").mapInArrow(_pack(size, ranges), PACKED)
     marks = packed.repartition(ranges, "range").groupBy("range").applyInPandas(_mark, MARKS)
-    found = marks.groupBy("key").agg(F.collect_list(F.struct("range", "marks")).alias("found"))
+    found = marks.groupBy("batch").applyInPandas(_by_document, FOUND).dropDuplicates(["key"])
     schema = "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", kept_text string" * with_text
     return docs.join(found, "key", "left").select("doc_id", "text", "found").mapInArrow(_remove(size, ranges, with_text), schema)

@@ -18,6 +18,8 @@ SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A") : ord("Z") + 1] += 32
+NORMAL = LOWER.copy()  # lower case, ASCII punctuation as white space
+NORMAL[[b for b in range(0x21, 0x7F) if not chr(b).isalnum()]] = 0x20
 BYTE_VALUES = np.random.Generator(np.random.PCG64(20240229)).integers(1, 2**63, 256, dtype=np.uint64) * U64(2) + U64(1)
 BYTE_BASE, BYTE_INVERSE = U64(0x9E3779B97F4A7C15), U64(pow(0x9E3779B97F4A7C15, -1, 2**64))
 WORD_BASE, WORD_INVERSE = U64(0xD1342543DE82EF95), U64(pow(0xD1342543DE82EF95, -1, 2**64))
@@ -91,8 +93,10 @@ class Slice:
         return np.searchsorted(self.first_word, word_indexes, side="right") - 1
 
 
-def slices(texts: pa.Array | pa.ChunkedArray, lower: bool = False, limit: int = SLICE_BYTES) -> Iterator[Slice]:
-    """Whole texts (null: empty) in slices of about limit bytes, one document at least."""
+def slices(texts: pa.Array | pa.ChunkedArray, lower: bool = False, limit: int = SLICE_BYTES, table: np.ndarray | None = None) -> Iterator[Slice]:
+    """Whole texts (null: empty) in slices of about limit bytes, one document at least; table replaces bytes."""
+    if lower:
+        table = LOWER
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
     array = texts.cast(pa.large_string()).fill_null("")
@@ -105,7 +109,7 @@ def slices(texts: pa.Array | pa.ChunkedArray, lower: bool = False, limit: int =
     while at < len(array):
         to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + limit, side="right")) - 1)
         part = data[offsets[at] : offsets[to]]
-        yield split_words(at, LOWER[part] if lower else part, offsets[at : to + 1] - offsets[at])
+        yield split_words(at, part if table is None else table[part], offsets[at : to + 1] - offsets[at])
         at = to
 
 
