@@ -14,7 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from .storage import arrow_batch_rows, written
 from .words import U64, mix, slices
@@ -202,7 +202,7 @@ def sanitised_text(text: str, terms: list[dict]) -> str:
     return "".join(out) + text[at:]
 
 
-@F.arrow_udf("string")
+@F.arrow_udf(T.StringType())
 def _sanitise(texts: pa.Array, terms: pa.Array) -> pa.Array:
     return pa.array([x if x is None else sanitised_text(x, t or []) for x, t in zip(texts.to_pylist(), terms.to_pylist(), strict=True)], pa.string())
 

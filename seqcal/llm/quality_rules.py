@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from .storage import arrow_batch_rows, written
 from .words import Slice, covered, mix, repeated, slices
@@ -22,7 +22,7 @@ MIN_WORDS, REPEAT_WINDOW, REPEAT_PERCENT = 20, 8, 30
 MAX_RULES, MAX_CONDITIONS, MIN_PRECISION, CUTS = 16, 3, 0.9, 64
 
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_letters", "n_marks", "n_distinct"]
-STATISTICS = "struct<" + ", ".join(f"{c}: bigint" for c in COUNTS) + ">"
+STATISTICS = T.StructType([T.StructField(c, T.LongType()) for c in COUNTS])
 SYMBOLS, UPPER, LETTERS, MARKS, CONTINUES, BLANK = (np.zeros(256, dtype=bool) for _ in range(6))
 SYMBOLS[list(b"#*$%&|<>")] = True
 UPPER[65:91] = True
