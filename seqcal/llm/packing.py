@@ -139,10 +139,10 @@ def _pack(path: str, end_id: int, size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder.of(path)
         packer = Packer(sentence_ends(encoder), TaskContext.get().partitionId() << 36, size)
-        end = np.array([end_id], dtype="<u4").tobytes()
         for batch in batches:
-            for doc_id, ids in zip(batch["doc_id"].to_pylist(), encoder.encode(batch["text"].to_pylist()), strict=True):
-                packer.add(doc_id, np.frombuffer(ids + end, dtype="<u4"))
+            ids, bounds = encoder.encode_with_end(batch["text"], end_id)
+            for doc_id, a, b in zip(batch["doc_id"].to_pylist(), bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+                packer.add(doc_id, ids[a:b])
                 if packer.held >= BLOCK and (rows := packer.packed(False)):
                     yield batch_of(rows)
         if rows := packer.packed(True):

@@ -23,9 +23,11 @@ from .storage import arrow_batch_rows, table_path
 
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 2
-CHUNK = re.compile(r" ?[^ \n\r\t]+|[ \n\r\t]+(?![^ \n\r\t])|[ \n\r\t]+")
 OTHER_SPACE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028\u2029\u202f\u205f\u2060\u3000\ufeff]")
-CACHED_CHUNKS, CACHED_CHARS = 400_000, 200
+DOUBTFUL, BLANK = np.zeros(256, dtype=bool), np.zeros(256, dtype=bool)  # bytes that may belong to other white space
+DOUBTFUL[[0x0B, 0x0C, *range(0x1C, 0x20), 0xC2, 0xE1, 0xE2, 0xE3, 0xEF]] = True
+BLANK[list(b" \n\r\t")] = True
+CACHED_CHUNKS, CACHED_CHARS, JOINED = 1_000_000, 200, 4096
 OPTIONS = {
     "compression": "zstd", "parquet.writer.version": "v2", "parquet.block.size": str(16 << 20), "parquet.page.size": str(256 << 10), "parquet.page.row.count.limit": "1000",
     "parquet.enable.dictionary": "true", "parquet.enable.dictionary#doc_id": "false", "parquet.enable.dictionary#n_tokens": "false",
@@ -39,7 +41,7 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
 
 
 class Encoder:
-    """Ids of whole texts, as little-endian unsigned 32-bit bytes; strings of special tokens are ordinary text."""
+    """Ids of whole texts; strings of special tokens are ordinary text."""
 
     loaded: dict[str, Encoder] = {}
 
@@ -51,7 +53,10 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.known: dict[str, bytes] = {}
+        self.known: dict[str, np.ndarray] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.id_bytes = np.zeros(max(vocabulary.values()) + 1, dtype=np.int64)  # a letter of a token's string is a byte
+        self.id_bytes[list(vocabulary.values())] = [len(x) for x in vocabulary]
 
     @classmethod
     def of(cls, path: str) -> Encoder:
@@ -59,40 +64,86 @@ class Encoder:
             cls.loaded[path] = cls(path)
         return cls.loaded[path]
 
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        return [np.array(x.ids, dtype="<u4").tobytes() for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        whole = [i for i, x in enumerate(texts) if OTHER_SPACE.search(x)]
-        chunks = [CHUNK.findall(x) for x in texts]
-        for i in whole:
-            chunks[i] = []
-        if len(self.known) > CACHED_CHUNKS:
-            self.known.clear()
-        unknown = list(set().union(*chunks) - self.known.keys())
-        fresh = dict(zip(unknown, self._ids(unknown), strict=True))
-        self.known.update(fresh)
-        get = self.known.__getitem__
-        out = [b"".join(map(get, x)) for x in chunks]
-        for x in fresh:
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(x.ids, dtype=np.uint32) for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, chunks: list[str]) -> None:
+        """Ids of new chunks. Those that begin with a space are encoded end to end, as the tokenizer cuts before each."""
+        words = [x for x in chunks if len(x) > 1 and x[0] == " " and x[1] not in " \t\n\r"]
+        for at in range(0, len(words), JOINED):
+            part = words[at : at + JOINED]
+            text = "".join(part)
+            ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
+            letters = np.cumsum(list(map(len, part)))
+            ends = letters if len(text.encode()) == len(text) else np.cumsum([len(x.encode()) for x in part])
+            ends = (np.searchsorted(np.cumsum(self.id_bytes[ids]), ends) + 1).tolist()
+            self.known.update((x, ids[a:b]) for x, a, b in zip(part, [0, *ends], ends, strict=False))
+        others = [x for x in chunks if len(x) < 2 or x[0] != " " or x[1] in " \t\n\r"]
+        self.known.update(zip(others, self._ids(others), strict=True))
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(all ids, bounds): text i (null: empty) has the ids bounds[i]:bounds[i + 1]."""
+        array = texts.cast(pa.large_string()).fill_null("")
+        offsets = np.frombuffer(array.buffers()[1], dtype=np.int64)[array.offset : array.offset + len(array) + 1]
+        data = np.frombuffer(array.buffers()[2] or b"", dtype=np.uint8)[offsets[0] : offsets[-1]]
+        offsets = offsets - offsets[0]
+        starts = chunk_starts(data, offsets)
+        first = np.searchsorted(starts, offsets)
+        doubtful = np.unique(np.searchsorted(offsets, np.flatnonzero(DOUBTFUL[data]), side="right") - 1)
+        whole = [i for i in doubtful.tolist() if OTHER_SPACE.search(array[i].as_py())]
+        pieces = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(np.append(starts, len(data))), pa.py_buffer(data)).dictionary_encode()
+        names, codes = pieces.dictionary.to_pylist(), pieces.indices.to_numpy(zero_copy_only=False)
+        known = self.known
+        if len(known) > CACHED_CHUNKS:
+            known.clear()
+        self._learn([x for x in names if x not in known])
+        ids = [known[x] for x in names]
+        for x in names:
             if len(x) > CACHED_CHARS:
-                del self.known[x]
-        for i in whole:
-            out[i] = self._ids([texts[i]])[0]
-        return out
+                del known[x]
+        lengths = np.array([len(x) for x in ids], dtype=np.int64)
+        flat = np.concatenate(ids) if ids else np.empty(0, dtype=np.uint32)
+        # each place's id is that of its chunk's name, so many places on
+        n = lengths[codes] if len(codes) else np.empty(0, dtype=np.int64)
+        ends = np.cumsum(n)
+        shift = (np.cumsum(lengths) - lengths)[codes] - (ends - n) if len(codes) else n
+        out = flat[np.arange(ends[-1] if len(ends) else 0) + np.repeat(shift, n)]
+        bounds = np.concatenate([[0], ends])[first]
+        if whole:
+            parts = np.split(out, bounds[1:-1])
+            for i in whole:
+                parts[i] = self._ids([array[i].as_py()])[0]
+            out, bounds = np.concatenate(parts), np.concatenate([[0], np.cumsum([len(x) for x in parts])])
+        return out, bounds
+
+    def encode_with_end(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """The same with end_id behind each text."""
+        ids, bounds = self.encode(texts)
+        return np.insert(ids, bounds[1:], end_id), bounds + np.arange(len(bounds))
+
+
+def chunk_starts(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Where the chunks of texts begin: at a run of white space, at its last character if a word follows, and at a word
+    unless a space stands before it. The tokenizer cuts at all of these places."""
+    blank = BLANK[data]
+    fresh = np.zeros(len(data) + 1, dtype=bool)
+    fresh[bounds] = True
+    before = np.concatenate([[False], blank[:-1]]) & ~fresh[:-1] if len(data) else blank
+    begins = fresh[:-1] | (before != blank)
+    word = begins & ~blank
+    starts = begins & blank
+    starts[np.flatnonzero(word & before) - 1] = True
+    starts |= word & ~(before & (np.concatenate([[0], data[:-1]]) == 0x20)) if len(data) else word
+    return np.flatnonzero(starts)
 
 
 def _encoded(path: str, end_id: int):
-    end = np.array([end_id], dtype="<u4").tobytes()
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder.of(path)
         for batch in batches:
-            ids = [x + end for x in encoder.encode(batch["text"].to_pylist())]
-            n = np.array([len(x) // 4 for x in ids], dtype=np.int64)
-            flat = np.frombuffer(b"".join(ids), dtype="<i4")
-            lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32)), pa.array(flat))
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(n), lists], names=["doc_id", "n_tokens", "ids"])
+            ids, bounds = encoder.encode_with_end(batch["text"], end_id)
+            lists = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(ids.view(np.int32)))
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(np.diff(bounds)), lists], names=["doc_id", "n_tokens", "ids"])
 
     return run
 

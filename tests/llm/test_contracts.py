@@ -6,6 +6,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 
@@ -135,7 +136,10 @@ def test_token_files_have_dictionaries_deltas_and_page_indexes(spark, small, tmp
 @given(st.text(alphabet="ab1'.,-é漢 \n\t\r\x0b\x1c  ", max_size=60))
 def test_chunked_encoding_is_the_tokenizers_own(text):
     encoder = tokens.Encoder.of(tokens.tokenizer_path())
-    assert np.frombuffer(encoder.encode([text])[0], "<u4").tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
+    texts = [text, None, text + " x", ""]
+    ids, bounds = encoder.encode(pa.array(texts, pa.string()))
+    for t, a, b in zip(texts, bounds, bounds[1:]):
+        assert ids[a:b].tolist() == encoder.tokenizer.encode(t or "", add_special_tokens=False).ids
 
 
 def test_packing(spark, small):
