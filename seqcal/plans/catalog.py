@@ -349,7 +349,7 @@ def reservoir_sample(spark, sf_dir):
 @query()
 def labelled_sample(spark, sf_dir):
     sizes = dict.fromkeys(R.CLASSES, 100)
-    return sampling.shuffled(V.labelled(spark, sf_dir), "class_label", ["sequence_sha256"], sizes, {c: f"{R.SEED}:labelled:GH13:{c}" for c in sizes}).select("class_label", "slot", "accession", "sequence_sha256")
+    return sampling.shuffled(V.labelled(spark, sf_dir).drop("slot"), "class_label", ["sequence_sha256"], sizes, {c: f"{R.SEED}:labelled:GH13:{c}" for c in sizes}).select("class_label", "slot", "accession", "sequence_sha256")
 
 
 def _audit_sql() -> str:
