@@ -27,7 +27,7 @@ OTHER_SPACE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2
 DOUBTFUL, BLANK = np.zeros(256, dtype=bool), np.zeros(256, dtype=bool)  # bytes that may belong to other white space
 DOUBTFUL[[0x0B, 0x0C, *range(0x1C, 0x20), 0xC2, 0xE1, 0xE2, 0xE3, 0xEF]] = True
 BLANK[list(b" \n\r\t")] = True
-CACHED_CHUNKS, CACHED_CHARS, JOINED = 1_000_000, 200, 4096
+CACHED_CHUNKS, CACHED_CHARS, JOINED = 1_000_000, 200, 16384
 OPTIONS = {
     "compression": "zstd", "parquet.writer.version": "v2", "parquet.block.size": str(16 << 20), "parquet.page.size": str(256 << 10), "parquet.page.row.count.limit": "1000",
     "parquet.enable.dictionary": "true", "parquet.enable.dictionary#doc_id": "false", "parquet.enable.dictionary#n_tokens": "false",
@@ -53,7 +53,7 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.known: dict[str, np.ndarray] = {}
+        self.known: dict[str, bytes] = {}
         vocabulary = self.tokenizer.get_vocab()
         self.id_bytes = np.zeros(max(vocabulary.values()) + 1, dtype=np.int64)  # a letter of a token's string is a byte
         self.id_bytes[list(vocabulary.values())] = [len(x) for x in vocabulary]
@@ -64,8 +64,8 @@ class Encoder:
             cls.loaded[path] = cls(path)
         return cls.loaded[path]
 
-    def _ids(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(x.ids, dtype=np.uint32) for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def _ids(self, texts: list[str]) -> list[bytes]:
+        return [np.array(x.ids, dtype=np.uint32).tobytes() for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, chunks: list[str]) -> None:
         """Ids of new chunks. Those that begin with a space are encoded end to end, as the tokenizer cuts before each."""
@@ -73,11 +73,11 @@ class Encoder:
         for at in range(0, len(words), JOINED):
             part = words[at : at + JOINED]
             text = "".join(part)
-            ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
-            letters = np.cumsum(list(map(len, part)))
-            ends = letters if len(text.encode()) == len(text) else np.cumsum([len(x.encode()) for x in part])
-            ends = (np.searchsorted(np.cumsum(self.id_bytes[ids]), ends) + 1).tolist()
-            self.known.update((x, ids[a:b]) for x, a, b in zip(part, [0, *ends], ends, strict=False))
+            ids = np.frombuffer(self._ids([text])[0], dtype=np.uint32)
+            letters = map(len, part) if text.isascii() else [len(x.encode()) for x in part]
+            ends = (4 * np.searchsorted(np.cumsum(self.id_bytes[ids]), np.cumsum(list(letters))) + 4).tolist()
+            packed = ids.tobytes()
+            self.known.update((x, packed[a:b]) for x, a, b in zip(part, [0, *ends], ends, strict=False))
         others = [x for x in chunks if len(x) < 2 or x[0] != " " or x[1] in " \t\n\r"]
         self.known.update(zip(others, self._ids(others), strict=True))
 
@@ -92,17 +92,16 @@ class Encoder:
         doubtful = np.unique(np.searchsorted(offsets, np.flatnonzero(DOUBTFUL[data]), side="right") - 1)
         whole = [i for i in doubtful.tolist() if OTHER_SPACE.search(array[i].as_py())]
         pieces = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(np.append(starts, len(data))), pa.py_buffer(data)).dictionary_encode()
-        names, codes = pieces.dictionary.to_pylist(), pieces.indices.to_numpy(zero_copy_only=False)
+        names, codes = pieces.dictionary.to_numpy(zero_copy_only=False).tolist(), pieces.indices.to_numpy(zero_copy_only=False)
         known = self.known
         if len(known) > CACHED_CHUNKS:
             known.clear()
         self._learn([x for x in names if x not in known])
         ids = [known[x] for x in names]
-        for x in names:
-            if len(x) > CACHED_CHARS:
-                del known[x]
-        lengths = np.array([len(x) for x in ids], dtype=np.int64)
-        flat = np.concatenate(ids) if ids else np.empty(0, dtype=np.uint32)
+        for x in [x for x in names if len(x) > CACHED_CHARS]:
+            del known[x]
+        lengths = np.array(list(map(len, ids)), dtype=np.int64) // 4
+        flat = np.frombuffer(b"".join(ids), dtype=np.uint32)
         # each place's id is that of its chunk's name, so many places on
         n = lengths[codes] if len(codes) else np.empty(0, dtype=np.int64)
         ends = np.cumsum(n)
@@ -112,7 +111,7 @@ class Encoder:
         if whole:
             parts = np.split(out, bounds[1:-1])
             for i in whole:
-                parts[i] = self._ids([array[i].as_py()])[0]
+                parts[i] = np.frombuffer(self._ids([array[i].as_py()])[0], dtype=np.uint32)
             out, bounds = np.concatenate(parts), np.concatenate([[0], np.cumsum([len(x) for x in parts])])
         return out, bounds
 
