@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Iterator
 from pathlib import Path
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from . import checks
@@ -61,20 +63,37 @@ def _file_reasons(largest: int) -> Column:
     return F.array_compact(F.concat(F.array(secret, data, large, other, broken), F.when(small_text & valid, content_reasons(F.col("content").cast("string"))).otherwise(F.array())))
 
 
+def _read(top: str, largest: int):
+    """Contents of listed files; of those beyond the limit the length alone."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            files = [Path(top, x) for x in batch["path"]]
+            sizes = [f.stat().st_size for f in files]
+            yield pd.DataFrame({"path": batch["path"], "length": sizes, "content": [f.read_bytes() if n <= largest else b"" for f, n in zip(files, sizes, strict=True)]})
+
+    return run
+
+
 def audit_tree(spark: SparkSession, root: str, largest: int = LARGEST) -> DataFrame:
     """path (relative), reason for every violation below root."""
     top = Path(root).resolve()
     if not top.is_dir():
         raise checks.InputError(f"not a directory: {root}")
     skipped = "(^|/)(" + "|".join(d.replace(".", r"\.") for d in SKIPPED_DIRECTORIES) + ")/"
-    links = []  # the file reader would follow them
+    links, hidden = [], []  # the file reader would follow the ones and leave out the others
     for folder, directories, files in os.walk(top):
         directories[:] = [d for d in directories if d not in SKIPPED_DIRECTORIES]
         links += [str((Path(folder) / x).relative_to(top)) for x in directories + files if (Path(folder) / x).is_symlink()]
+        here = Path(folder).relative_to(top)
+        hidden += [str(here / x) for x in files if any(p.startswith((".", "_")) for p in (here / x).parts) and not (Path(folder) / x).is_symlink()]
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(top.as_uri())
     prefix = top.as_uri().replace("file:///", "file:/")
     relative = F.url_decode(F.regexp_replace(F.substring(F.regexp_replace("path", "^file:/+", "file:/"), len(prefix) + 2, 1 << 20), r"\+", "%2B"))
-    named = files.withColumn("path", relative).filter(~F.col("path").rlike(skipped))
+    named = files.select(relative.alias("path"), "length", "content").filter(~F.col("path").rlike(skipped))
+    if hidden:
+        listed = spark.createDataFrame([(x,) for x in hidden], "path string").repartition(min(len(hidden), 64))
+        named = named.union(listed.mapInPandas(_read(str(top), largest), "path string, length long, content binary"))
     found = named.select("path", F.explode(_file_reasons(largest)).alias("reason"))
     linked = spark.createDataFrame([(x,) for x in links], "path string")
     under = linked.select(F.col("path").alias("link"))
