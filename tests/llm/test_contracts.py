@@ -358,3 +358,16 @@ def test_words_split_like_the_pattern():
         for d in range(part.documents):
             got.append([part.word(i).decode() for i in range(part.first_word[d], part.first_word[d + 1])])
     assert got == [WORD.findall(t or "") for t in texts]
+
+
+@pytest.mark.parametrize("name", ["op1_secret_scans", "op6_substring_dedup", "op7_near_dedup"])
+def test_queries_against_sql(spark, small, name):
+    import duckdb
+
+    from seqcal.llm import queries
+
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{small}/documents.parquet')")
+    found = [con.execute(queries.ORACLE_SQL[name]).df(), queries.QUERIES[name](spark, small).toPandas()]
+    a, b = (sorted(x[sorted(x.columns)].astype(object).itertuples(index=False, name=None)) for x in found)
+    assert a == b and set(found[0].columns) == set(found[1].columns)
