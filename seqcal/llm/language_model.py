@@ -208,9 +208,12 @@ def perplexities(docs: DataFrame, model: DataFrame) -> DataFrame:
 
 
 def trusted_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of docs that a label calls good and none calls bad or toxic."""
+    """The rows of docs that a label calls good and none calls bad or toxic.
+
+    Labels grow with the documents, so this is one shuffle of the texts at every size and never a broadcast.
+    """
     good = labels.filter("doc_id is not null").groupBy("doc_id").agg(F.min(F.expr("quality = 1 and coalesce(toxic, 0) = 0")).alias("good")).filter("good").select("doc_id")
-    return docs.join(good, "doc_id", "left_semi")
+    return docs.join(good.hint("merge"), "doc_id", "left_semi")
 
 
 def quality_by_perplexity(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, slack: float = SLACK) -> DataFrame:
