@@ -42,11 +42,11 @@ def confusion_at_thresholds(scores: DataFrame, thresholds: DataFrame) -> DataFra
     """
     steps = thresholds.select("family", "threshold").distinct().groupBy("family").agg(F.array_sort(F.collect_set("threshold")).alias("steps"))
     at = F.size(F.filter("steps", lambda t: F.col("score") >= t))
-    counted = scores.join(F.broadcast(steps) if _small(steps) else steps, "family").groupBy("family", at.alias("passed")).agg(F.sum(F.col("is_positive").cast("long")).alias("p"), F.sum((~F.col("is_positive")).cast("long")).alias("n"))
-    ranked = thresholds.withColumn("rank", F.dense_rank().over(Window.partitionBy("family").orderBy("threshold")))
-    found = ranked.join(counted, (ranked.family == counted.family) & (counted.passed >= ranked["rank"]), "left").drop(counted.family)
+    counted = scores.join(F.broadcast(steps) if _small(steps) else steps, "family").groupBy(F.col("family").alias("_family"), at.alias("_passed")).agg(F.sum(F.col("is_positive").cast("long")).alias("p"), F.sum((~F.col("is_positive")).cast("long")).alias("n"))
+    ranked = thresholds.withColumn("_rank", F.dense_rank().over(Window.partitionBy("family").orderBy("threshold")))
+    found = ranked.join(counted, F.expr("family = _family and _passed >= _rank"), "left")
     found = found.groupBy(*thresholds.columns).agg(F.coalesce(F.sum("p"), F.lit(0)).alias("tp"), F.coalesce(F.sum("n"), F.lit(0)).alias("fp"))
-    rated = _with_rates(found.join(class_sizes(scores), "family").withColumn("threshold", F.col("threshold")))
+    rated = _with_rates(found.join(class_sizes(scores), "family"))
     extra = [c for c in thresholds.columns if c not in ("family", "threshold")]
     if not extra:
         return rated

@@ -44,8 +44,13 @@ def test_cutoff_and_area(spark):
 
 
 def test_cutoff_above_every_score_if_the_best_is_negative(spark):
-    curve = C.roc_curve(scores(spark, [1, 5], [5]))
-    assert C.zero_false_positive_cutoff(curve).first().threshold == math.nextafter(5.0, math.inf)
+    both = scores(spark, [1, 5], [5])
+    curve = C.roc_curve(both)
+    cut = C.zero_false_positive_cutoff(curve)
+    assert cut.first().threshold == math.nextafter(5.0, math.inf)
+    # the thresholds come from the same frame as the scores, and no score reaches them
+    (row,) = C.summarise_thresholds(both, cut).collect()
+    assert counts(row) == (0, 2, 0, 1)
 
 
 def brute_curve(pos, neg):
