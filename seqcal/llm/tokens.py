@@ -12,6 +12,8 @@ metadata alone.
 from __future__ import annotations
 
 import re
+import sys
+import types
 import zlib
 from collections.abc import Iterator
 
@@ -27,7 +29,7 @@ OTHER_SPACE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2
 DOUBTFUL, BLANK = np.zeros(256, dtype=bool), np.zeros(256, dtype=bool)  # bytes that may belong to other white space
 DOUBTFUL[[0x0B, 0x0C, *range(0x1C, 0x20), 0xC2, 0xE1, 0xE2, 0xE3, 0xEF]] = True
 BLANK[list(b" \n\r\t")] = True
-CACHED_CHUNKS, CACHED_CHARS, JOINED = 1_000_000, 200, 16384
+CACHED_CHUNKS, CACHED_CHARS, JOINED = 700_000, 200, 16384
 OPTIONS = {
     "compression": "zstd", "parquet.writer.version": "v2", "parquet.block.size": str(16 << 20), "parquet.page.size": str(256 << 10), "parquet.page.row.count.limit": "1000",
     "parquet.enable.dictionary": "true", "parquet.enable.dictionary#doc_id": "false", "parquet.enable.dictionary#n_tokens": "false",
@@ -43,8 +45,6 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
 class Encoder:
     """Ids of whole texts; strings of special tokens are ordinary text."""
 
-    loaded: dict[str, Encoder] = {}
-
     def __init__(self, path: str):
         import os
 
@@ -60,9 +60,12 @@ class Encoder:
 
     @classmethod
     def of(cls, path: str) -> Encoder:
-        if path not in cls.loaded:
-            cls.loaded[path] = cls(path)
-        return cls.loaded[path]
+        """The encoder of this Python process. Classes travel by value and would bring an empty cache with each task, so
+        it stands in a module of its own, and a reused worker keeps the tokenizer and the chunks that it knows."""
+        kept = vars(sys.modules.setdefault("_seqcal_encoders", types.ModuleType("_seqcal_encoders")))
+        if path not in kept:
+            kept[path] = cls(path)
+        return kept[path]
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         return [np.array(x.ids, dtype=np.uint32).tobytes() for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
