@@ -11,6 +11,9 @@ from . import checks
 from .running import running_totals
 
 Z_95 = 1.959963984540054  # fixed value: the two-sided 95 % point of the normal distribution
+# What a report says of itself.
+SELECTION_RULE = "lowest evaluated bit-score threshold with zero observed false positives in the calibration negatives"
+SCOPE = "internal calibration; not independent external validation"
 COUNTS = ["correctly_detected_positives", "missed_positives", "incorrectly_accepted_negatives", "correctly_rejected_negatives"]
 RATES = ["sensitivity", "specificity", "false_positive_rate", "false_negative_rate"]
 CURVE = ["family", "bit_score_threshold_bits", *COUNTS, *RATES]
@@ -184,8 +187,8 @@ def calibration_report(scores: DataFrame, family: str, comparison: float | None
     steps = sorted((r.asDict() for r in robustness(own, cutoff, delta).collect()), key=lambda r: r["step"])
     spread = {r["is_positive"]: {k: v for k, v in r.asDict().items() if k != "is_positive"} for r in score_distribution(own, ["is_positive"]).collect()}
     report = {
-        "selection_rule": "lowest evaluated bit-score threshold with zero observed false positives in the calibration negatives",
-        "scope": "internal calibration; not independent external validation",
+        "selection_rule": SELECTION_RULE,
+        "scope": SCOPE,
         "receiver_operating_characteristic_auc": roc_auc(curve).first()["roc_auc"],
         "positive_score_distribution": spread[True],
         "negative_score_distribution": spread[False],
