@@ -158,6 +158,6 @@ def pack(docs: DataFrame, size: int = SIZE, end_id: int = END_ID, tokenizer: str
     A null text is empty and packs as its end id alone; rows without doc_id and repeated rows are packed like others.
     A sequence holds size ids at most; its pieces leave no gap. An empty table has no pieces.
     """
-    arrow_batch_rows(docs.sparkSession)
+    arrow_batch_rows(docs.sparkSession, 512)
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     return docs.mapInArrow(_pack(tokenizer or tokenizer_path(), end_id, size), PIECES)

@@ -34,7 +34,7 @@ def written(df: DataFrame, name: str, **options: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def arrow_batch_rows(spark: SparkSession, rows: int = 512) -> None:
+def arrow_batch_rows(spark: SparkSession, rows: int = 256) -> None:
     """Keeps Arrow batches of whole texts small: at most this many documents in one."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))

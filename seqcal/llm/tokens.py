@@ -29,7 +29,7 @@ OTHER_SPACE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2
 DOUBTFUL, BLANK = np.zeros(256, dtype=bool), np.zeros(256, dtype=bool)  # bytes that may belong to other white space
 DOUBTFUL[[0x0B, 0x0C, *range(0x1C, 0x20), 0xC2, 0xE1, 0xE2, 0xE3, 0xEF]] = True
 BLANK[list(b" \n\r\t")] = True
-CACHED_CHUNKS, CACHED_CHARS, JOINED = 700_000, 200, 16384
+CACHED_CHUNKS, CACHED_CHARS, JOINED = 300_000, 200, 8192
 OPTIONS = {
     "compression": "zstd", "parquet.writer.version": "v2", "parquet.block.size": str(16 << 20), "parquet.page.size": str(256 << 10), "parquet.page.row.count.limit": "1000",
     "parquet.enable.dictionary": "true", "parquet.enable.dictionary#doc_id": "false", "parquet.enable.dictionary#n_tokens": "false",
@@ -159,7 +159,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, end_i
     repeated rows stay, next to each other. Columns besides doc_id and text are not read.
     """
     spark = docs.sparkSession
-    arrow_batch_rows(spark)
+    arrow_batch_rows(spark, 512)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("tie", F.xxhash64("text"))
     dealt = docs.repartitionByRange(parts, "doc_id", "tie").sortWithinPartitions("doc_id", "tie")

@@ -23,7 +23,7 @@ NORMAL[[b for b in range(0x21, 0x7F) if not chr(b).isalnum()]] = 0x20
 BYTE_VALUES = np.random.Generator(np.random.PCG64(20240229)).integers(1, 2**63, 256, dtype=np.uint64) * U64(2) + U64(1)
 BYTE_BASE, BYTE_INVERSE = U64(0x9E3779B97F4A7C15), U64(pow(0x9E3779B97F4A7C15, -1, 2**64))
 WORD_BASE, WORD_INVERSE = U64(0xD1342543DE82EF95), U64(pow(0xD1342543DE82EF95, -1, 2**64))
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 
 
 def mix(x: np.ndarray) -> np.ndarray:
