@@ -70,6 +70,21 @@ def test_candidate_recall_against_brute_force(spark, leaked):
     assert len(expected & got) >= 0.9 * len(expected) and got <= expected
 
 
+def test_partial_copies_and_short_items_are_found(spark, leaked):
+    """Copies without the last sentence or with another one, a run below MIN_COMMON, and items of under five words."""
+    items, docs = leaked
+    clean = [d for d in docs if d[0] >= 60]
+    cut = [(1000 + i, f"{clean[i][1]} {text.split('.')[0]} {clean[i][1]}") for i, text in items[:20]]
+    edited = [(2000 + i, f"{clean[i][1]} {text.split('.')[0]} {' '.join(f'other{k}' for k in range(12))}") for i, text in items[:20]]
+    run = [(3000 + i, f"{clean[i][1]} {' '.join(text.split()[3:18])} {clean[i][1]}") for i, text in items[:20]]
+    short = [(4000, f"{clean[0][1]} Zyx, wvu tsr! {clean[1][1]}"), (4001, f"{clean[0][1]} zyx wvu")]
+    bench = spark.createDataFrame([*items, (97, "zyx wvu tsr")], "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in D.contaminated(frame(spark, clean + cut + edited + run + short), bench).collect()}
+    assert got == {(k + i, i) for k in (1000, 2000, 3000) for i in range(20)} | {(4000, 97)}
+    only = spark.createDataFrame([(97, "zyx wvu tsr")], "item_id long, text string")
+    assert [(r.doc_id, r.item_id, r.common) for r in D.contaminated(frame(spark, clean + short), only).collect()] == [(4000, 97, 1.0)]
+
+
 def test_longest_common_subsequence():
     rng = np.random.default_rng(2)
     for _ in range(30):
