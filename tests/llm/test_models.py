@@ -85,6 +85,14 @@ def test_partial_copies_and_short_items_are_found(spark, leaked):
     assert [(r.doc_id, r.item_id, r.common) for r in D.contaminated(frame(spark, clean + short), only).collect()] == [(4000, 97, 1.0)]
 
 
+def test_paraphrases_are_found_with_a_sample_far_smaller_than_the_corpus(spark, leaked, monkeypatch):
+    assert D.FIT_PASSAGES >= 100_000
+    monkeypatch.setattr(D, "FIT_PASSAGES", 50)  # of about 1,300
+    items, docs = leaked
+    got = {(r.doc_id, r.item_id) for r in D.contaminated(frame(spark, docs), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert len(got & {(i, i) for i in range(40, 60)}) >= 18 and got <= {(i, i) for i in range(60)}
+
+
 def test_longest_common_subsequence():
     rng = np.random.default_rng(2)
     for _ in range(30):
