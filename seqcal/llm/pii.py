@@ -1,10 +1,13 @@
 """PII: patterns find protected entities; corpus co-occurrence finds the terms that give them away.
 
-(1) One pass over the texts finds entities and the terms within CONTEXT words of each. (2) For pairs of a term and an
-entity that meet MIN_SUPPORT times or more, a second pass counts every occurrence of the term in the corpus; a bit
-array of fixed size lets it skip other words, an exact join follows. (3) A term discloses an entity if it seldom stands
-elsewhere, p(entity | term) >= GENERALISE, and says much about it, log2(p(entity | term) / p(entity)) >= MIN_BITS. Such
-terms near the entity are generalised, or removed from REMOVE on. No text is shuffled to find spans.
+A term is a word without ASCII punctuation at its ends. (1) One pass over the texts finds entities, the terms within
+CONTEXT words of each and the distinct terms of every document that has an entity. (2) Pairs of a term and an entity are
+counted by mentions and, for entities of MIN_SUPPORT documents or more, by documents. For pairs that meet MIN_SUPPORT
+times or more a second pass counts every occurrence of the term in the corpus and its documents; a bit array of fixed
+size lets it skip other words, an exact join follows. (3) A term discloses an entity if it seldom stands elsewhere,
+p(entity | term) >= GENERALISE, and says much about it, log2(p(entity | term) / p(entity)) >= MIN_BITS, by mentions or
+by documents. (4) A third pass, by bit array and exact join again, finds every occurrence of such terms in the corpus;
+they are generalised, or removed from REMOVE on. No text is shuffled to find spans.
 """
 
 from __future__ import annotations
@@ -17,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from .storage import arrow_batch_rows, written
-from .words import U64, mix, slices
+from .words import BYTE_BASE, BYTE_INVERSE, BYTE_VALUES, U64, Slice, mix, range_hashes, slices
 
 KINDS = ("email", "ip", "card", "phone", "term")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -26,13 +29,15 @@ CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 DIGIT, WORD = re.compile("[0-9]"), re.compile(r"[^\x20\x09-\x0D]+")
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
+MARGIN = "".join(chr(b) for b in range(0x21, 0x7F) if not chr(b).isalnum())
+PUNCTUATION = np.isin(np.arange(256), [ord(c) for c in MARGIN])
 LOWER = {ord(c): c.lower() for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"}
 
 CONTEXT, MIN_SUPPORT, GENERALISE, REMOVE, MIN_BITS = 5, 3, 0.5, 0.8, 6.0
-BITS, BIT_GROUP = 1 << 23, 1 << 12
+BITS, BIT_GROUP, PAIRS_HELD = 1 << 23, 1 << 12, 500_000
 MARKS = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]", "term": "[TERM]"}
 
-FOUND = "doc_id long, key long, entities array<struct<rank: int, start: int, stop: int>>, near array<struct<term: long, entity: long, start: int, stop: int>>, n_words long"
+FOUND = "doc_id long, key long, entities array<struct<rank: int, start: int, stop: int>>, near array<struct<term: long, entity: long>>, own array<long>, terms array<long>, n_words long"
 
 
 def luhn(digits: str) -> bool:
@@ -75,10 +80,23 @@ def _hashes(values: list[str]) -> list[int]:
     return out
 
 
-def _nearby(text: str, found: list[tuple[int, int, int]]) -> list[dict]:
+def _terms(part: Slice) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, document, first byte, end) of every term of a slice; words of punctuation alone are none."""
+    n = len(part.data)
+    inner = ~PUNCTUATION[part.data]
+    after = np.minimum.accumulate(np.where(inner, np.arange(n), n)[::-1])[::-1]
+    before = np.maximum.accumulate(np.where(inner, np.arange(n), -1))
+    starts, ends = after[part.starts], before[part.ends - 1] + 1
+    some = starts < ends
+    document = np.repeat(np.arange(part.documents), part.counts())[some]
+    starts, ends = starts[some], ends[some]
+    return range_hashes(BYTE_VALUES[part.data], starts, ends, BYTE_BASE, BYTE_INVERSE), document, starts, ends
+
+
+def _nearby(text: str, found: list[tuple[int, int, int]], values: list[int]) -> list[dict]:
     """Terms within CONTEXT words of an entity, none that overlaps one."""
     reach = 64 * CONTEXT
-    pairs: list[tuple[str, int, int, int]] = []
+    pairs: list[tuple[str, int]] = []
     for i, (_, start, stop) in enumerate(found):
         low = max(0, start - reach)
         before = [m.span() for m in WORD.finditer(text, low, start) if m.start() > low or low == 0 or text[low - 1] in " \t\n\x0b\x0c\r"]
@@ -88,29 +106,42 @@ def _nearby(text: str, found: list[tuple[int, int, int]]) -> list[dict]:
         before = [x for x in before if x[1] < start][-CONTEXT:]
         after = [x for x in after if x[0] > stop][:CONTEXT]
         for a, b in before + after:
-            if all(b <= s or e <= a for _, s, e in found):
-                pairs.append((text[a:b], i, a, b))
-    if not pairs:
-        return []
-    terms = _hashes([p[0] for p in pairs])
-    values = _hashes([f"{KINDS[k]}:{text[a:b]}" for k, a, b in found])
-    return [{"term": t, "entity": values[i], "start": a, "stop": b} for t, (_, i, a, b) in zip(terms, pairs, strict=True)]
+            term = text[a:b].strip(MARGIN)
+            if term and all(b <= s or e <= a for _, s, e in found):
+                pairs.append((term, i))
+    return [{"term": t, "entity": values[i]} for t, (_, i) in zip(_hashes([p[0] for p in pairs]), pairs, strict=True)]
+
+
+def _masked(text: str, found: list[tuple[int, int, int]]) -> str:
+    """The text with entities as punctuation, so that none of their parts is a term."""
+    out = list(text)
+    for _, a, b in found:
+        out[a:b] = "@" * (b - a)
+    return "".join(out)
 
 
 def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = batch["text"].to_pylist()
         found = [entities(x) for x in texts]
-        near = [_nearby(x, f) if f else [] for x, f in zip(texts, found, strict=True)]
+        values = [_hashes([f"{KINDS[k]}:{x[a:b]}" for k, a, b in f]) if f else [] for x, f in zip(texts, found, strict=True)]
+        near = [_nearby(x, f, v) if f else [] for x, f, v in zip(texts, found, values, strict=True)]
+        terms: list = [None] * len(texts)
+        for part in slices(pa.array([_masked(x, f) if f else "" for x, f in zip(texts, found, strict=True)], pa.string()), lower=True):
+            hashes, document, _, _ = _terms(part)
+            heads = np.searchsorted(document, np.arange(part.documents + 1))
+            for d in np.flatnonzero(np.diff(heads)):
+                terms[part.first_row + d] = np.unique(hashes[heads[d] : heads[d + 1]]).view(np.int64)
         words = np.concatenate([part.counts() for part in slices(batch["text"])]) if texts else np.zeros(0, np.int64)
         spans = [[{"rank": r, "start": a, "stop": b} for r, a, b in f] for f in found]
         i32, i64 = pa.int32(), pa.int64()
         yield pa.RecordBatch.from_arrays(
             [
                 batch["doc_id"], batch["key"], pa.array(spans, pa.list_(pa.struct([("rank", i32), ("start", i32), ("stop", i32)]))),
-                pa.array(near, pa.list_(pa.struct([("term", i64), ("entity", i64), ("start", i32), ("stop", i32)]))), pa.array(words.astype(np.int64)),
+                pa.array(near, pa.list_(pa.struct([("term", i64), ("entity", i64)]))), pa.array([sorted(set(v)) for v in values], pa.list_(i64)),
+                pa.array(terms, pa.list_(i64)), pa.array(words.astype(np.int64)),
             ],
-            names=["doc_id", "key", "entities", "near", "n_words"],
+            names=["doc_id", "key", "entities", "near", "own", "terms", "n_words"],
         )
 
 
@@ -124,13 +155,98 @@ def _bits_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(at // BIT_GROUP), pa.array((at % BIT_GROUP).astype(np.int32))], names=["part", "at"])
 
 
+def _bits(values: DataFrame) -> bytes:
+    """A bit for each of values(term): of fixed size, however many there are."""
+    parts = values.distinct().mapInArrow(_bits_of, "part long, at int").groupBy("part").agg(F.collect_set("at").alias("at"))
+    bits = np.zeros(BITS, dtype=bool)
+    for row in parts.toLocalIterator():
+        bits[row.part * BIT_GROUP + np.array(row.at)] = True
+    return np.packbits(bits).tobytes()
+
+
+def _table(bits) -> np.ndarray:
+    return np.unpackbits(np.frombuffer(bits.value, np.uint8)).astype(bool)
+
+
 def _count(bits):
+    """term, n, docs: occurrences and rows of each batch."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = _table(bits)
+        for batch in batches:
+            every, once = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)]
+            for part in slices(batch["text"], lower=True):
+                hashes, document, _, _ = _terms(part)
+                some = table[_bit(hashes)]
+                hashes, document = hashes[some], document[some]
+                order = np.lexsort((hashes, document))
+                hashes, document = hashes[order], document[order]
+                fresh = np.ones(len(hashes), dtype=bool)
+                fresh[1:] = (hashes[1:] != hashes[:-1]) | (document[1:] != document[:-1])
+                every.append(hashes)
+                once.append(hashes[fresh])
+            terms, n = np.unique(np.concatenate(every), return_counts=True)
+            docs = np.unique(np.concatenate(once), return_counts=True)[1]
+            yield pa.RecordBatch.from_arrays([pa.array(terms.view(np.int64)), pa.array(n.astype(np.int64)), pa.array(docs.astype(np.int64))], names=["term", "n", "docs"])
+
+    return run
+
+
+def _document_pairs(bits):
+    """term, entity, docs of the documents' terms and those of their entities that have a bit, summed in the task."""
+
+    def sums(terms: list[np.ndarray], own: list[np.ndarray]) -> pa.RecordBatch:
+        both = np.stack([np.concatenate(terms), np.concatenate(own)], axis=1) if terms else np.zeros((0, 2), np.int64)
+        order = np.lexsort((both[:, 0], both[:, 1]))
+        both = both[order]
+        heads = np.flatnonzero(np.concatenate([[True], (both[1:] != both[:-1]).any(axis=1)])) if len(both) else np.zeros(0, np.int64)
+        n = np.diff(np.append(heads, len(both))).astype(np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(both[heads, 0]), pa.array(both[heads, 1]), pa.array(n)], names=["term", "entity", "docs"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.unpackbits(np.frombuffer(bits.value, np.uint8)).astype(bool)
+        table = _table(bits)
+        terms, own, held = [], [], 0
         for batch in batches:
-            kept = [h[table[_bit(h)]] for h in (part.word_hashes() for part in slices(batch["text"], lower=True))]
-            terms, n = np.unique(np.concatenate(kept) if kept else np.zeros(0, np.uint64), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(terms.view(np.int64)), pa.array(n.astype(np.int64))], names=["term", "n"])
+            for t, e in zip(batch["terms"], batch["own"], strict=True):
+                t, e = np.array(t.as_py() or [], np.int64), np.array(e.as_py() or [], np.int64)
+                for value in e[table[_bit(e)]] if len(t) else ():
+                    terms.append(t)
+                    own.append(np.full(len(t), value))
+                    held += len(t)
+                    if held > PAIRS_HELD:
+                        yield sums(terms, own)
+                        terms, own, held = [], [], 0
+        yield sums(terms, own)
+
+    return run
+
+
+def _occurrences(bits):
+    """key, term, start, stop of the terms that have a bit, none that overlaps an entity."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = _table(bits)
+        for batch in batches:
+            keys = batch["key"].to_pylist()
+            rows: list[tuple] = []
+            for part in slices(batch["text"], lower=True):
+                hashes, document, starts, ends = _terms(part)
+                some = np.flatnonzero(table[_bit(hashes)])
+                if not len(some):
+                    continue
+                points = np.concatenate([[0], np.cumsum((part.data & 0xC0) != 0x80)])  # code points before each byte
+                held: dict[int, list] = {}
+                for i in some:
+                    d = int(document[i])
+                    if d not in held:
+                        held[d] = entities(batch["text"][part.first_row + d].as_py())
+                    base = points[part.bounds[d]]
+                    a, b = int(points[starts[i]] - base), int(points[ends[i]] - base)
+                    if all(b <= s or e <= a for _, s, e in held[d]):
+                        rows.append((keys[part.first_row + d], int(hashes[i].view(np.int64)), a, b))
+            columns = list(zip(*rows, strict=True)) if rows else [[]] * 4
+            types = [pa.int64(), pa.int64(), pa.int32(), pa.int32()]
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, types, strict=True)], names=["key", "term", "start", "stop"])
 
     return run
 
@@ -141,29 +257,33 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 
 def disclosing(found: DataFrame, texts: DataFrame) -> DataFrame:
-    """term, entity, share: the pairs of which the term discloses the entity."""
-    spark = found.sparkSession
-    near = found.select(F.explode("near").alias("x")).select("x.term", "x.entity")
-    pairs = written(near.groupBy("term", "entity").agg(F.count("*").alias("together")).filter(f"together >= {MIN_SUPPORT}"), "pairs")
-    parts = pairs.select("term").distinct().mapInArrow(_bits_of, "part long, at int").groupBy("part").agg(F.collect_set("at").alias("at"))
-    bits = np.zeros(BITS, dtype=bool)  # of fixed size, however many terms there are
-    for row in parts.toLocalIterator():
-        bits[row.part * BIT_GROUP + np.array(row.at)] = True
-    shared = spark.sparkContext.broadcast(np.packbits(bits).tobytes())
-    totals = texts.select("text").mapInArrow(_count(shared), "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
-    entity = found.select(F.explode(F.array_distinct("near.entity")).alias("entity")).groupBy("entity").agg(F.count("*").alias("seen"))
-    words = found.agg(F.coalesce(F.sum("n_words"), F.lit(0))).first()[0]
+    """term, share: the terms that disclose an entity, with the greatest share of one."""
+    context = found.sparkSession.sparkContext
+    entity = written(found.select(F.explode("own").alias("entity")).groupBy("entity").agg(F.count("*").alias("seen")), "seen")
+    often = context.broadcast(_bits(entity.filter(f"seen >= {MIN_SUPPORT}").select(F.col("entity").alias("term"))))
+    near = found.select(F.explode("near").alias("x")).groupBy("x.term", "x.entity").agg(F.count("*").alias("together"), F.lit(0).cast("long").alias("both"))
+    by_document = found.filter("size(own) > 0").select("terms", "own").mapInArrow(_document_pairs(often), "term long, entity long, docs long")
+    pairs = near.union(by_document.select("term", "entity", F.lit(0).cast("long"), "docs")).groupBy("term", "entity").agg(F.sum("together").alias("together"), F.sum("both").alias("both"))
+    pairs = written(pairs.filter(f"together >= {MIN_SUPPORT} or both >= {MIN_SUPPORT}"), "pairs")
+    shared = context.broadcast(_bits(pairs.select("term")))
+    totals = texts.select("text").mapInArrow(_count(shared), "term long, n long, docs long").groupBy("term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    rows, words = found.agg(F.count("*"), F.coalesce(F.sum("n_words"), F.lit(0))).first()
+    joined = pairs.join(totals, "term").join(entity, "entity")
     # one occurrence may stand near two mentions of an entity, so a share is 1 at most
-    share = F.least(F.lit(1.0), F.col("together") / F.col("n"))
-    joined = pairs.join(totals, "term").join(entity, "entity").withColumn("share", share)
-    prior = F.col("seen") * float(2 * CONTEXT) / float(max(words, 1))
-    return joined.filter((F.col("share") >= GENERALISE) & (F.log2(F.col("share") / prior) >= MIN_BITS)).select("term", "entity", "share")
-
-
-def _term_spans(found: DataFrame, pairs: DataFrame) -> DataFrame:
-    """key and its term spans; rows that repeat have one key and the same spans."""
-    near = found.select("key", F.explode("near").alias("x")).select("key", "x.*").join(written(pairs, "disclosing"), ["term", "entity"])
-    best = near.groupBy("key", "start", "stop").agg(F.max("share").alias("share"))
+    shares = [("together", "n", F.col("seen") * float(2 * CONTEXT) / float(max(words, 1))), ("both", "docs", F.col("seen") / float(max(rows, 1)))]
+    found_by = []
+    for together, n, prior in shares:
+        share = F.least(F.lit(1.0), F.col(together) / F.col(n))
+        found_by.append(F.when((F.col(together) >= MIN_SUPPORT) & (share >= GENERALISE) & (F.log2(share / prior) >= MIN_BITS), share))
+    return joined.select("term", F.greatest(*found_by).alias("share")).filter("share is not null").groupBy("term").agg(F.max("share").alias("share"))
+
+
+def _term_spans(found: DataFrame, texts: DataFrame) -> DataFrame:
+    """key and its term spans, of every occurrence in the corpus; rows that repeat have one key and the same spans."""
+    terms = written(disclosing(found, texts), "disclosing")
+    shared = texts.sparkSession.sparkContext.broadcast(_bits(terms.select("term")))
+    places = texts.select("key", "text").mapInArrow(_occurrences(shared), "key long, term long, start int, stop int")
+    best = places.join(terms, "term").groupBy("key", "start", "stop").agg(F.max("share").alias("share"))
     return best.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("start", "stop", F.expr(f"share >= {REMOVE}D").alias("remove")))).alias("terms"))
 
 
@@ -174,7 +294,7 @@ def pii_spans(docs: DataFrame) -> DataFrame:
     """
     texts = _keyed(docs)
     found = written(texts.mapInArrow(_find, FOUND), "entities")
-    terms = _term_spans(found, disclosing(found, texts))
+    terms = _term_spans(found, texts)
     extra = F.expr("transform(coalesce(terms, array()), x -> named_struct('rank', 4, 'start', x.start, 'stop', x.stop))")
     joined = found.select("doc_id", "key", "entities").join(terms, "key", "left")
     return joined.select("doc_id", F.col("entities").alias("base"), F.array_sort(F.concat("entities", extra)).alias("spans"))
@@ -214,7 +334,7 @@ def sanitise(docs: DataFrame) -> DataFrame:
     """
     texts = _keyed(docs)
     found = written(texts.mapInArrow(_find, FOUND), "entities")
-    terms = _term_spans(found, disclosing(found, texts))
+    terms = _term_spans(found, texts)
     own = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
     keyed = docs.select(own, F.xxhash64("doc_id", F.coalesce("text", F.lit(""))).alias("key"))
     clean = keyed.join(terms, "key", "left").withColumn("clean", _sanitise("row.text", "terms"))

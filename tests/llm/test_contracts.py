@@ -342,6 +342,18 @@ def test_disclosing_terms(spark):
     assert clean[10].text == texts[10][1] and clean[0].key == "k"
 
 
+def test_disclosing_terms_are_sanitised_wherever_they_stand(spark):
+    """Far from the entity, in documents without it, with punctuation; and terms that only meet it by document."""
+    fill = "the end of number one about alpha and beta from item to the director of things " * 3
+    texts = [(i, f"Oberlinski. {fill} Quentessa Zorblatt{',;.!'[i]} wrote from qz@firm.example.com about it. {fill} é Zorblatt!") for i in range(4)]
+    texts += [(4, f"{fill} (Zorblatt) {fill}"), *((i, fill + f"wrote about it {i}") for i in range(5, 400))]
+    clean = {r.doc_id: r.text for r in pii.sanitise(frame(spark, texts)).collect()}
+    assert not [i for i, t in clean.items() if re.search("Zorblatt|Quentessa|Oberlinski|qz@", t)]
+    assert all(clean[i] == t for i, t in texts if i > 4)
+    spans = {r.doc_id: r.spans for r in pii.pii_digest(frame(spark, texts)).collect()}
+    assert {texts[4][1][int(a) : int(b)] for _, a, b in (x.split(":") for x in spans[4].split(","))} == {"Zorblatt"}
+
+
 def test_sanitise_keeps_rows_and_columns(spark):
     for texts in (TEXTS, PERSONAL, []):
         got = pii.sanitise(frame(spark, texts))
