@@ -1,14 +1,16 @@
 """License scans: a trained paragraph classifier, sparse word n-gram logistic regression, with templates to confirm.
 
-A paragraph is a line with words. Its features are hashed words and word pairs (lower case, punctuation as space). The
+A paragraph is a line with words, and the lines up to a blank one joined, as notices are wrapped: all of them, and those
+side by side whose words mostly stand in templates. Its features are hashed words and word pairs (lower case, punctuation as space). The
 classifier is fitted on the driver from variants of the templates below and a bounded sample of paragraphs of the corpus
-(FIT_PARAGRAPHS, picked by hash) as the class of unknown texts; a temperature fitted on held-out rows calibrates it.
-Every paragraph of every document is scored where it lies, by sums of weights; a family is confirmed if a template of it
-shares enough words with the paragraph. Nothing is shuffled but the sample.
+(FIT_PARAGRAPHS, picked by hash, none that names a licence) as the class of unknown texts; a temperature fitted on held-out rows calibrates it.
+Every paragraph of every document is scored where it lies, by sums of weights; a family is confirmed if the
+paragraph has enough of a template's words, or a template enough of the paragraph's. Nothing is shuffled but the sample.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,6 +27,8 @@ TEMPLATES = {
         "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License.",
         "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
         "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an AS IS BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.",
+        "Licensed under Apache 2.0.",
+        "Released under the Apache License.",
         "SPDX-License-Identifier: Apache-2.0",
     ],
     "bsd": [
@@ -32,6 +36,8 @@ TEMPLATES = {
         "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
         "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
         "Released under the BSD 3-Clause License.",
+        "Licensed under the BSD 2-Clause License.",
+        "Licensed under the BSD License.",
         "SPDX-License-Identifier: BSD-3-Clause",
     ],
     "cc": [
@@ -39,11 +45,18 @@ TEMPLATES = {
         "This work is licensed under the Creative Commons Attribution-ShareAlike License.",
         "To view a copy of this license, visit http://creativecommons.org/licenses/by/4.0/",
         "Content is available under CC BY-SA 4.0 unless otherwise noted.",
+        *(f"Licensed under CC {x} 4.0." for x in ("BY", "BY-SA", "BY-NC", "BY-ND", "BY-NC-SA", "BY-NC-ND")),
+        *(f"This work is licensed under a Creative Commons Attribution-{x} 4.0 International License." for x in ("ShareAlike", "NonCommercial", "NoDerivatives", "NonCommercial-ShareAlike", "NonCommercial-NoDerivatives")),
+        "Released under CC0 1.0 Universal.",
     ],
     "gpl": [
         "This work is licensed under the GNU General Public License, version 3.",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
         "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details.",
+        "Licensed under the GPL v3.",
+        "Licensed under the GNU GPL, version 2 or later.",
+        "Released under the GNU Lesser General Public License (LGPL), version 3.",
+        "Released under the GNU Affero General Public License (AGPL), version 3.",
         "SPDX-License-Identifier: GPL-3.0-or-later",
     ],
     "mit": [
@@ -51,11 +64,14 @@ TEMPLATES = {
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the Software), to deal in the Software without restriction.",
         "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
         "Licensed under the MIT License. See LICENSE in the project root for license information.",
+        "Licensed under MIT.",
         "SPDX-License-Identifier: MIT",
     ],
     "mpl": [
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
         "If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.",
+        "Licensed under the Mozilla Public License 2.0.",
+        "Released under the MPL 2.0.",
         "SPDX-License-Identifier: MPL-2.0",
     ],
     "reserved": ["All rights reserved.", "Copyright (c) The Authors. All rights reserved.", "No part of this publication may be reproduced without the prior written permission of the publisher."],
@@ -63,7 +79,8 @@ TEMPLATES = {
 FAMILIES = [*TEMPLATES, "unknown"]
 UNKNOWN = len(TEMPLATES)
 BUCKETS, FIT_PARAGRAPHS, FIT_DOCUMENTS, VARIANTS, ROUNDS = 1 << 16, 8_000, 2_000, 30, 150
-MIN_PROBABILITY, MIN_SHARE = 0.5, 0.6
+MIN_PROBABILITY, MIN_SHARE, MIN_SHARED = 0.5, 0.6, 6
+NAMES = re.compile(r"licen[cs]|copyright|all rights reserved|redistribut|creative commons|spdx|\bcc[ -](by|0)|\b(l|a)?gpl|\b(mit|bsd|mpl)\b", re.I)
 FOUND = "doc_id long, n_paragraphs long, n_license long, families string, best_family string, best_probability double, best_share double"
 
 
@@ -159,14 +176,36 @@ class Classifier:
 
 
 def share_of_template(own: np.ndarray, templates: list[np.ndarray]) -> float:
-    """The greatest share of a template's distinct words that the paragraph has."""
+    """The greatest share of a template's words that the paragraph has, or, from MIN_SHARED distinct words on, of the
+    paragraph's distinct words that a template has."""
     have = np.unique(own)
-    return max(float(np.isin(t, have).mean()) for t in templates)
+    shares = [float(np.isin(t, have).mean()) for t in templates]
+    for t in templates:
+        held = np.isin(have, t)
+        if held.sum() >= MIN_SHARED:
+            shares.append(float(held.mean()))
+    return max(shares)
+
+
+def joined_lines(hashes: np.ndarray, lines: np.ndarray, line: np.ndarray, owner: np.ndarray, known: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(words, number of the paragraph) of lines joined, two at least: all up to a blank line or the document's end, then
+    those side by side of which MIN_SHARE of the words are known. lines has the lines' numbers in the slice, line the
+    place in it of every word, owner the documents."""
+    n = len(lines)
+    fresh = np.ones(n, dtype=bool)
+    fresh[1:] = (np.diff(lines) > 1) | (owner[1:] != owner[:-1])
+    seeds = np.bincount(line, weights=np.isin(hashes, known), minlength=n) >= MIN_SHARE * np.bincount(line, minlength=n)
+    parted = fresh.copy()
+    parted[1:] |= ~(seeds[1:] & seeds[:-1])
+    for first in (fresh, parted):
+        number = np.cumsum(first) - 1
+        some = (np.bincount(number) > 1)[number[line]]
+        yield np.flatnonzero(some), np.unique(number[line][some], return_inverse=True)[1]
 
 
 def training_rows(paragraphs: list[str], seed: int = 3) -> tuple[list[np.ndarray], np.ndarray]:
     rng = np.random.default_rng(seed)
-    others = [h for h in hashed(paragraphs) if len(h)]
+    others = [h for h in hashed([x for x in paragraphs if not NAMES.search(x)]) if len(h)]
     templates = template_words()
     # paragraphs that are a template nearly whole are no examples of unknown texts
     known = [t for own in templates for t in own]
@@ -200,10 +239,26 @@ def train(docs: DataFrame, paragraphs: int = FIT_PARAGRAPHS) -> Classifier:
     return Classifier(len(FAMILIES)).fit(samples, labels)
 
 
+def _notices(model: Classifier, templates: list[list[np.ndarray]], hashes: np.ndarray, row: np.ndarray) -> Iterator[tuple[int, int, tuple]]:
+    """(first word, last word, (probability, share, family)) of the paragraphs, numbered by row, that are notices."""
+    if not len(row):
+        return
+    rows = int(row[-1]) + 1
+    heads = np.searchsorted(row, np.arange(rows + 1))
+    bucket, at = features(hashes, row)
+    p = model.probabilities(bucket.astype(np.int64), at, rows)
+    best = p.argmax(axis=1)
+    for i in np.flatnonzero((best != UNKNOWN) & (p.max(axis=1) >= MIN_PROBABILITY)):
+        share = share_of_template(hashes[heads[i] : heads[i + 1]], templates[best[i]])
+        if share >= MIN_SHARE:
+            yield int(heads[i]), int(heads[i + 1]) - 1, (float(p[i, best[i]]), share, FAMILIES[best[i]])
+
+
 def _scan(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model: Classifier = shared.value
         templates = template_words()
+        known = np.unique(np.concatenate([t for own in templates for t in own]))
         names = [x.split()[0] for x in FOUND.split(", ")]
         types = [pa.int64()] * 3 + [pa.string()] * 2 + [pa.float64()] * 2
         for batch in batches:
@@ -216,13 +271,18 @@ def _scan(shared):
                 owner = part.documents_of(heads[:-1]) if len(distinct) else np.empty(0, np.int64)
                 hits: dict[int, list[tuple]] = {}
                 if len(distinct):
-                    bucket, at = features(hashes, row)
-                    p = model.probabilities(bucket.astype(np.int64), at, len(distinct))
-                    best = p.argmax(axis=1)
-                    for i in np.flatnonzero((best != UNKNOWN) & (p.max(axis=1) >= MIN_PROBABILITY)):
-                        share = share_of_template(hashes[heads[i] : heads[i + 1]], templates[best[i]])
-                        if share >= MIN_SHARE:
-                            hits.setdefault(int(owner[i]), []).append((float(p[i, best[i]]), share, FAMILIES[best[i]]))
+                    alone = [(first, found) for first, _, found in _notices(model, templates, hashes, row)]
+                    places = np.array([first for first, _ in alone], dtype=np.int64)
+                    taken = [found[2] for _, found in alone]
+                    for words, number in joined_lines(hashes, distinct, row, owner, known):
+                        for first, last, found in _notices(model, templates, hashes[words], number):
+                            first, last = words[first], words[last]
+                            # a notice that a line or a longer paragraph in its place has shown counts once
+                            if found[2] not in [taken[i] for i in np.flatnonzero((places >= first) & (places <= last))]:
+                                alone.append((first, found))
+                                places, taken = np.append(places, first), [*taken, found[2]]
+                    for first, found in alone:
+                        hits.setdefault(int(owner[row[first]]), []).append(found)
                 n = np.bincount(owner, minlength=part.documents)
                 for d in range(part.documents):
                     own = hits.get(d, [])
@@ -236,7 +296,8 @@ def _scan(shared):
 
 def license_families(docs: DataFrame, paragraphs: int = FIT_PARAGRAPHS) -> DataFrame:
     """doc_id, n_paragraphs, n_license, families, best_family, best_probability, best_share for every row of
-    docs(doc_id, text): how many paragraphs are licence notices, of which families (sorted, comma-joined; empty if none)
+    docs(doc_id, text): how many lines and
+    joined lines (counted once) are licence notices, of which families (sorted, comma-joined; empty if none)
     and the surest of them. Null and empty texts have no paragraphs; rows without doc_id and repeated rows are scanned
     like others. Other columns are not read.
     """

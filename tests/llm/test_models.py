@@ -189,6 +189,33 @@ def test_licence_classifier_on_held_out_notices(spark, small):
     assert got[20_002].n_paragraphs == 0 and licenses.license_families(frame(spark, [])).count() == 0
 
 
+LICENCE_LINES = {
+    "This work is licensed under the GNU General Public License, version 3.": "gpl",
+    "All rights reserved.": "reserved",
+    "Licensed under CC BY-NC 4.0.": "cc",
+    "Released under the MIT License.": "mit",
+    "Licensed under the Apache License, Version 2.0.": "apache",
+}
+GPL = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version."""
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights"""
+
+
+def test_every_licence_line_and_wrapped_notice_is_found(spark, small):
+    sf = small.replace("0.001", "0.01")
+    docs = [(r.doc_id, r.text or "") for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
+    expected = {i: {f for line, f in LICENCE_LINES.items() if line in t.split("\n")} for i, t in docs}
+    body = [t for i, t in docs if not expected[i]]
+    wrapped = {90_000: ("gpl", f"{body[0]}\n\n{GPL}\n\n{body[1]}"), 90_001: ("mit", f"{body[2]}\n\n{MIT}\n\n{body[3]}"), 90_002: ("gpl", f"{body[4]}\n{GPL}\n{body[5]}")}
+    expected |= {i: {f} for i, (f, _) in wrapped.items()}
+    got = {r.doc_id: r for r in licenses.license_families(frame(spark, docs + [(i, t) for i, (_, t) in wrapped.items()])).collect()}
+    assert {i: set(filter(None, r.families.split(","))) for i, r in got.items()} == expected
+
+
 def test_one_representative_of_each_group_stays(spark):
     base = [f"w{i}" for i in range(100)]
     texts = [(i, " ".join(base[: 100 - i])) for i in range(4)] + [(50, " ".join(f"x{i}" for i in range(30)))] * 2 + [(60, ""), (61, None), (None, " ".join(base))]
