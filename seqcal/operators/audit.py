@@ -9,6 +9,7 @@ from pathlib import Path
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ..shipping import ship
 from . import checks
 
 # Limits, names, suffixes and patterns of the audit.
@@ -87,6 +88,7 @@ def audit_tree(spark: SparkSession, root: str, largest: int = LARGEST) -> DataFr
         links += [str((Path(folder) / x).relative_to(top)) for x in directories + files if (Path(folder) / x).is_symlink()]
         here = Path(folder).relative_to(top)
         hidden += [str(here / x) for x in files if any(p.startswith((".", "_")) for p in (here / x).parts) and not (Path(folder) / x).is_symlink()]
+    ship(spark)
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(top.as_uri())
     prefix = top.as_uri().replace("file:///", "file:/")
     relative = F.url_decode(F.regexp_replace(F.substring(F.regexp_replace("path", "^file:/+", "file:/"), len(prefix) + 2, 1 << 20), r"\+", "%2B"))

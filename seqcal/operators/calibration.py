@@ -7,8 +7,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from . import checks
-from .running import running_totals
+from ..shared import written
+from . import checks, sampling
+from .running import range_cuts, range_of, running_totals
 
 Z_95 = 1.959963984540054  # fixed value: the two-sided 95 % point of the normal distribution
 # What a report says of itself.
@@ -16,6 +17,7 @@ SELECTION_RULE = "lowest evaluated bit-score threshold with zero observed false
 SCOPE = "internal calibration; not independent external validation"
 COUNTS = ["correctly_detected_positives", "missed_positives", "incorrectly_accepted_negatives", "correctly_rejected_negatives"]
 RATES = ["sensitivity", "specificity", "false_positive_rate", "false_negative_rate"]
+STEPS = ["step_positives", "step_negatives"]
 CURVE = ["family", "bit_score_threshold_bits", *COUNTS, *RATES]
 
 
@@ -29,6 +31,7 @@ def _with_rates(df: DataFrame) -> DataFrame:
     return df.select(
         "family", F.col("threshold").alias("bit_score_threshold_bits"), tp.alias(COUNTS[0]), (p - tp).alias(COUNTS[1]), fp.alias(COUNTS[2]), (n - fp).alias(COUNTS[3]),
         (tp / p).alias(RATES[0]), ((n - fp) / n).alias(RATES[1]), (fp / n).alias(RATES[2]), ((p - tp) / p).alias(RATES[3]), "positives", "negatives",
+        *(c for c in STEPS if c in df.columns),
     )
 
 
@@ -43,12 +46,17 @@ def confusion_at_thresholds(scores: DataFrame, thresholds: DataFrame) -> DataFra
 
     Scores are counted between neighbouring thresholds, so each is read once however many thresholds there are.
     """
-    steps = thresholds.select("family", "threshold").distinct().groupBy("family").agg(F.array_sort(F.collect_set("threshold")).alias("steps"))
+    steps = thresholds.select("family", "threshold").distinct()
+    small = _small(steps)
+    arrays = steps.groupBy("family").agg(F.array_sort(F.collect_set("threshold")).alias("steps"))
     at = F.size(F.filter("steps", lambda t: F.col("score") >= t))
-    counted = scores.join(F.broadcast(steps) if _small(steps) else steps, "family").groupBy(F.col("family").alias("_family"), at.alias("_passed")).agg(F.sum(F.col("is_positive").cast("long")).alias("p"), F.sum((~F.col("is_positive")).cast("long")).alias("n"))
-    ranked = thresholds.withColumn("_rank", F.dense_rank().over(Window.partitionBy("family").orderBy("threshold")))
-    found = ranked.join(counted, F.expr("family = _family and _passed >= _rank"), "left")
-    found = found.groupBy(*thresholds.columns).agg(F.coalesce(F.sum("p"), F.lit(0)).alias("tp"), F.coalesce(F.sum("n"), F.lit(0)).alias("fp"))
+    counted = scores.join(F.broadcast(arrays) if small else arrays, "family").groupBy(F.col("family").alias("_family"), at.alias("_passed")).agg(F.sum(F.col("is_positive").cast("long")).alias("p"), F.sum((~F.col("is_positive")).cast("long")).alias("n"))
+    # a row for each threshold; a score that passes k of them passes the lowest k
+    ranked = steps.withColumn("_rank", F.row_number().over(Window.partitionBy("family").orderBy("threshold")))
+    above = Window.partitionBy("family").orderBy(F.desc("_rank")).rowsBetween(Window.unboundedPreceding, 0)
+    passed = ranked.join(counted, F.expr("family = _family and _passed = _rank"), "left")
+    passed = passed.select("family", "threshold", *(F.coalesce(F.sum(x).over(above), F.lit(0)).alias(y) for x, y in (("p", "tp"), ("n", "fp"))))
+    found = thresholds.join(passed, ["family", "threshold"])
     rated = _with_rates(found.join(class_sizes(scores), "family"))
     extra = [c for c in thresholds.columns if c not in ("family", "threshold")]
     if not extra:
@@ -57,36 +65,40 @@ def confusion_at_thresholds(scores: DataFrame, thresholds: DataFrame) -> DataFra
 
 
 def _small(df: DataFrame, rows: int = 10_000) -> bool:
-    """Whether df has so few rows that a copy may go to every executor."""
+    """Whether df, of a number a row, has so few rows that a copy may go to every executor."""
     return df.limit(rows + 1).count() <= rows
 
 
 def roc_curve(scores: DataFrame) -> DataFrame:
     """Counts and rates at every observed score and at sentinels just below the least and above the greatest.
 
-    Equal scores are counted first; running totals over ranges of the score follow, so one family isn't one task.
+    Equal scores are counted first and written; what follows reads that table. Running totals go over ranges of the
+    score, so one family isn't one task. step_positives and step_negatives count the scores at a threshold itself.
     """
-    both = scores.join(class_sizes(scores).select("family", "positives", "negatives"), "family")
     # adding zero turns -0.0 into 0.0, its equal
-    grouped = both.groupBy("family", (F.col("score") + 0.0).alias("threshold"), "positives", "negatives").agg(F.sum(F.col("is_positive").cast("long")).alias("p"), F.sum((~F.col("is_positive")).cast("long")).alias("n"))
-    observed = running_totals(grouped, "family", "threshold", ["p", "n"]).select("family", "threshold", F.col("running_p").alias("tp"), F.col("running_n").alias("fp"), "positives", "negatives")
-    ends = grouped.groupBy("family", "positives", "negatives").agg(F.min("threshold").alias("low"), F.max("threshold").alias("high"))
-    below = ends.select("family", _next(F.col("low"), "nextDown").alias("threshold"), F.col("positives").alias("tp"), F.col("negatives").alias("fp"), "positives", "negatives")
-    above = ends.select("family", _next(F.col("high"), "nextUp").alias("threshold"), F.lit(0).cast("long").alias("tp"), F.lit(0).cast("long").alias("fp"), "positives", "negatives")
+    grouped = scores.groupBy("family", (F.col("score") + 0.0).alias("threshold")).agg(F.sum(F.col("is_positive").cast("long")).alias("step_positives"), F.sum((~F.col("is_positive")).cast("long")).alias("step_negatives"))
+    grouped = written(grouped, "scores")
+    about = grouped.groupBy("family").agg(
+        F.sum("step_positives").alias("positives"), F.sum("step_negatives").alias("negatives"), F.min("threshold").alias("low"), F.max("threshold").alias("high"),
+        range_cuts(F.col("threshold"), grouped.count()).alias("_cuts"),
+    )
+    about = written(about.filter("positives > 0 and negatives > 0"), "families")
+    dealt = grouped.join(about, "family").select(*grouped.columns, "positives", "negatives", range_of("_cuts", F.col("threshold")).alias("_range"))
+    observed = running_totals(dealt, "family", "threshold", STEPS).withColumnsRenamed({"running_step_positives": "tp", "running_step_negatives": "fp"})
+    none = {c: F.lit(0).cast("long") for c in STEPS}
+    below = about.select("family", _next(F.col("low"), "nextDown").alias("threshold"), F.col("positives").alias("tp"), F.col("negatives").alias("fp"), "positives", "negatives").withColumns(none)
+    above = about.select("family", _next(F.col("high"), "nextUp").alias("threshold"), F.lit(0).cast("long").alias("tp"), F.lit(0).cast("long").alias("fp"), "positives", "negatives").withColumns(none)
     return _with_rates(observed.unionByName(below).unionByName(above))
 
 
 def roc_auc(curve: DataFrame) -> DataFrame:
-    """Trapezoid area under the distinct (false positive rate, sensitivity) points of each family.
+    """Trapezoid area under the (false positive rate, sensitivity) points of each family.
 
-    Points are counts over fixed class sizes, so twice the area is a whole number of cells; sums are exact in any order.
+    A threshold's trapezoid follows from its own row, the point before it being without the scores at the threshold.
+    Twice the area is a whole number of cells, so sums are exact in any order.
     """
-    tp, fp = F.col(COUNTS[0]), F.col(COUNTS[2])
-    # between two neighbouring values of fp the curve rises from the greatest tp of one to the least tp of the other
-    steps = curve.groupBy("family", "positives", "negatives", fp.alias("fp")).agg(F.min(tp).alias("low"), F.max(tp).alias("high"))
-    before = Window.partitionBy("family").orderBy("fp")
-    cells = steps.select("family", "positives", "negatives", ((F.col("fp") - F.lag("fp").over(before)) * (F.col("low") + F.lag("high").over(before))).cast("decimal(38,0)").alias("cells"))
-    area = cells.groupBy("family", "positives", "negatives").agg(F.coalesce(F.sum("cells"), F.lit(0)).cast("double").alias("cells"))
+    tp, n, p = (F.col(c).cast("decimal(18,0)") for c in (COUNTS[0], "step_negatives", "step_positives"))
+    area = curve.groupBy("family", "positives", "negatives").agg(F.sum((n * (tp + tp - p)).cast("decimal(38,0)")).cast("double").alias("cells"))
     return area.select("family", (F.col("cells") / 2.0 / F.col("positives") / F.col("negatives")).alias("roc_auc"))
 
 
@@ -98,11 +110,17 @@ def zero_false_positive_cutoff(curve: DataFrame) -> DataFrame:
 
 def confusion_from_curve(curve: DataFrame, wanted: DataFrame) -> DataFrame:
     """For wanted(family, wanted_threshold) the row of the smallest stored threshold at or above it, else the last."""
-    row = F.struct(*curve.columns)
-    near = curve.join(wanted, "family")
-    at = F.when(F.col("bit_score_threshold_bits") >= F.col("wanted_threshold"), F.col("bit_score_threshold_bits"))
-    found = near.groupBy("family", "wanted_threshold").agg(F.min_by(row, at).alias("up"), F.max_by(row, "bit_score_threshold_bits").alias("last"))
-    return found.select("wanted_threshold", F.coalesce("up", "last").alias("r")).select("wanted_threshold", "r.*")
+    # the lowest threshold between each two neighbouring wanted ones, then the lowest from each wanted one upwards
+    steps = wanted.select("family", "wanted_threshold").distinct()
+    arrays = steps.groupBy("family").agg(F.array_sort(F.collect_set("wanted_threshold")).alias("_steps"))
+    near = curve.select("family", F.col("bit_score_threshold_bits").alias("_t")).join(F.broadcast(arrays) if _small(steps) else arrays, "family")
+    near = near.groupBy("family", F.size(F.filter("_steps", lambda t: F.col("_t") >= t)).alias("_passed")).agg(F.min("_t").alias("_low"), F.max("_t").alias("_high"))
+    ranked = steps.withColumn("_passed", F.row_number().over(Window.partitionBy("family").orderBy("wanted_threshold")))
+    both = ranked.join(near, ["family", "_passed"], "full")
+    upwards = Window.partitionBy("family").orderBy(F.desc("_passed")).rowsBetween(Window.unboundedPreceding, 0)
+    at = both.select("family", "wanted_threshold", F.coalesce(F.min("_low").over(upwards), F.max("_high").over(Window.partitionBy("family"))).alias("bit_score_threshold_bits"))
+    at = at.filter("wanted_threshold is not null and bit_score_threshold_bits is not null")
+    return curve.join(at, ["family", "bit_score_threshold_bits"]).select("wanted_threshold", *curve.columns)
 
 
 def wilson(successes: Column, trials: Column, z: float = Z_95) -> tuple[Column, Column]:
@@ -133,11 +151,13 @@ def robustness(scores: DataFrame, cutoffs: DataFrame, delta: float = 5.0) -> Dat
 
 
 def score_distribution(scores: DataFrame, keys: list[str]) -> DataFrame:
-    """Number, least, exact median, mean and greatest score of each group."""
-    return scores.groupBy(*keys).agg(
-        F.count("*").alias("number_of_scores"), F.min("score").alias("minimum_bit_score_bits"), F.median("score").alias("median_bit_score_bits"),
-        F.avg("score").alias("mean_bit_score_bits"), F.max("score").alias("maximum_bit_score_bits"),
-    )
+    """Number, least, exact median, mean and greatest score of each group; ranks by ranges, so a group isn't one task."""
+    named = scores.select(F.struct(*keys).alias("group"), F.col("score").cast("double").alias("score"))
+    about = named.groupBy("group").agg(F.count("*").alias("number_of_scores"), F.min("score").alias("minimum_bit_score_bits"), F.avg("score").alias("mean_bit_score_bits"), F.max("score").alias("maximum_bit_score_bits"))
+    ranked = sampling.ranked(named, "group", ["score"]).join(about.select("group", "number_of_scores"), "group")
+    middle = ranked.filter("rank = (number_of_scores - 1) div 2 or rank = number_of_scores div 2").groupBy("group").agg(F.avg("score").alias("median_bit_score_bits"))
+    order = ["number_of_scores", "minimum_bit_score_bits", "median_bit_score_bits", "mean_bit_score_bits", "maximum_bit_score_bits"]
+    return about.join(middle, "group").select("group.*", *order)
 
 
 def class_counts(scores: DataFrame, labels: tuple[str, ...] = ("positive", "hard_negative", "easy_negative", "negative")) -> DataFrame:

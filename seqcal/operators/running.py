@@ -1,20 +1,29 @@
-"""Running totals that don't gather a group in one task."""
+"""Running totals and ranks that don't gather a group in one task."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-RANGES = 64
+RANGE_ROWS, MOST_RANGES = 50_000, 1024
 
 
-def running_totals(df: DataFrame, key: str, order: str, values: list[str], ranges: int = RANGES) -> DataFrame:
-    """df with running_<value> columns: sums over the rows of the same key with an order of at least the row's own.
+def range_cuts(order: Column, rows: int) -> Column:
+    """An aggregate: cuts of order in ranges of about RANGE_ROWS rows, for a table of so many rows; none if one range does."""
+    ranges = min(MOST_RANGES, rows // RANGE_ROWS + 1)
+    if ranges == 1:
+        return F.array().cast("array<double>")
+    return F.percentile_approx(order, F.array(*(F.lit(i / ranges) for i in range(1, ranges))), F.lit(20 * ranges))
 
-    (key, order) must be unique. Each key's rows are dealt to ranges of the order with about equal numbers; a window
-    runs within a range and the totals of the ranges above, ranges rows a key, are added.
+
+def range_of(cuts: str, order: Column) -> Column:
+    return F.size(F.filter(cuts, lambda c: c <= order))
+
+
+def running_totals(dealt: DataFrame, key: str, order: str, values: list[str]) -> DataFrame:
+    """dealt, with a _range of the order in each row, and running_<value> columns: sums over the rows of the same key with
+    an order of at least the row's own. (key, order) must be unique. A window runs within a range; the totals of the
+    ranges above, a row for each range, are added.
     """
-    cuts = df.groupBy(key).agg(F.percentile_approx(order, F.array(*(F.lit(i / ranges) for i in range(1, ranges))), F.lit(1000)).alias("_cuts"))
-    dealt = df.join(cuts, key).withColumn("_range", F.size(F.filter("_cuts", lambda c: c <= F.col(order)))).drop("_cuts")
     totals = dealt.groupBy(key, "_range").agg(*(F.sum(v).alias(f"_sum_{v}") for v in values))
     above = Window.partitionBy(key).orderBy(F.desc("_range")).rowsBetween(Window.unboundedPreceding, -1)
     totals = totals.select(key, "_range", *(F.coalesce(F.sum(f"_sum_{v}").over(above), F.lit(0)).alias(f"_above_{v}") for v in values))
@@ -23,4 +32,4 @@ def running_totals(df: DataFrame, key: str, order: str, values: list[str], range
     def total(v: str) -> Column:
         return (F.sum(v).over(own) + F.col(f"_above_{v}")).alias(f"running_{v}")
 
-    return dealt.join(totals, [key, "_range"]).select(*df.columns, *(total(v) for v in values))
+    return dealt.join(totals, [key, "_range"]).select(*(c for c in dealt.columns if c != "_range"), *(total(v) for v in values))

@@ -1,5 +1,8 @@
-"""Reproducible samples: random draws depend on seed, size and number of items only, so they are made on the driver as
-a table (slot, rank) of at most the sample's size, and a join picks the rows.
+"""Reproducible samples.
+
+sample() picks rows by a keyed hash and is for tables of any size. reservoir() and shuffled() give the very rows that a
+sequential program with the same seed draws: the draws depend on seed, size and number of items only and are made on the
+driver, for at most EXACT_ROWS items, as a table (slot, rank) of the sample's size; a join picks the rows.
 """
 
 from __future__ import annotations
@@ -8,12 +11,22 @@ import random
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from .checks import InputError
+from .running import range_cuts, range_of
+
+EXACT_ROWS = 5_000_000
 SLOTS = "group string, slot long, rank long"
 
 
+def _drawn(n: int) -> int:
+    if n > EXACT_ROWS:
+        raise InputError(f"exact draws are for at most {EXACT_ROWS} rows, not {n}; sample() takes any number")
+    return n
+
+
 def reservoir_ranks(seed: str, size: int, seen: int) -> list[int]:
     """Which of 0..seen-1 stands in each slot of a reservoir after all have passed it (Algorithm R)."""
-    draw, slots = random.Random(seed), list(range(min(size, seen)))
+    draw, slots = random.Random(seed), list(range(min(size, _drawn(seen))))
     for n in range(size, seen):
         at = draw.randrange(n + 1)
         if at < size:
@@ -23,20 +36,29 @@ def reservoir_ranks(seed: str, size: int, seen: int) -> list[int]:
 
 def shuffled_ranks(seed: str, size: int, n: int) -> list[int]:
     """The first size places of a shuffled 0..n-1."""
-    ranks = list(range(n))
+    ranks = list(range(_drawn(n)))
     random.Random(seed).shuffle(ranks)
     return ranks[:size]
 
 
-def ranked(df: DataFrame, group: str, order: list[str], buckets: int = 256) -> DataFrame:
+def sample(df: DataFrame, group: str, keys: list[str], sizes: dict[str, int], seed: str) -> DataFrame:
+    """The rows of least hash of keys and seed in each group of sizes, as many as it names, with their slot. Every task
+    sends no more than that of a group."""
+    wanted = F.create_map(*(F.lit(x) for g, n in sizes.items() for x in (g, n)))[F.col(group)]
+    place = F.row_number().over(Window.partitionBy(group).orderBy(F.xxhash64(F.lit(seed), *keys), *keys))
+    most = max(sizes.values(), default=0)
+    found = df.filter(wanted.isNotNull()).withColumn("slot", place).filter(F.col("slot") <= most)
+    return found.filter(F.col("slot") <= wanted).withColumn("slot", (F.col("slot") - 1).cast("long"))
+
+
+def ranked(df: DataFrame, group: str, order: list[str]) -> DataFrame:
     """Adds rank: the place, from 0, of each row in its group by order. order[0] also splits a group in ranges, so that
     no group is sorted in one task."""
-    points = F.array(*(F.lit(i / buckets) for i in range(1, buckets)))
     first = F.col(order[0])
     numeric = dict(df.dtypes)[order[0]] in ("bigint", "int", "double")
     position = first.cast("double") if numeric else F.conv(F.substring(first, 1, 12), 16, 10).cast("double")
-    cuts = df.groupBy(group).agg(F.percentile_approx(position, points, F.lit(2000)).alias("_cuts"))
-    dealt = df.join(cuts, group).withColumn("_range", F.size(F.filter("_cuts", lambda c: c <= position))).drop("_cuts")
+    cuts = df.groupBy(group).agg(range_cuts(position, df.count()).alias("_cuts"))
+    dealt = df.join(cuts, group).withColumn("_range", range_of("_cuts", position)).drop("_cuts")
     sizes = dealt.groupBy(group, "_range").agg(F.count("*").alias("_n"))
     below = Window.partitionBy(group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     sizes = sizes.select(group, "_range", F.coalesce(F.sum("_n").over(below), F.lit(0)).alias("_below"))

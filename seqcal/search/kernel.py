@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions import text as T
 from ..operators import checks, hits
+from ..shipping import ship
 from .model import DD, DM, II, IM, MD, MI, MM, Profile
 
 BACKEND = "numpy-viterbi-v1"
@@ -180,6 +181,7 @@ RAW_COLUMNS = [x.split()[0] for x in hits.RAW_DOMAIN.split(",")]
 def search_frame(records: DataFrame, profiles: list[Profile], options: dict[str, float]) -> DataFrame:
     """Raw domain rows of records(target_id, sequence). Both limits are pushed into the kernel; profiles travel once to
     each executor, a library of models being a stated parameter of the search."""
+    ship(records.sparkSession)
     shared = records.sparkSession.sparkContext.broadcast(profiles)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -210,7 +212,7 @@ class PrecomputedDomains:
         self.raw = raw
 
     def search(self, records: DataFrame, options: dict[str, float]) -> DataFrame:
-        return self.raw.join(records.select("target_id"), "target_id", "left_semi").filter(F.col("i_evalue") <= options["iE"])
+        return self.raw.join(records.select("target_id"), "target_id", "left_semi")
 
 
 def scan_records(records: DataFrame, backend: SearchBackend, **parameters: float) -> DataFrame:

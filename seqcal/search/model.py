@@ -69,6 +69,15 @@ def _probability(field: str) -> float:
     return 0.0 if field == "*" else math.exp(-float(field))
 
 
+def load_hmms(path: str, selected: Iterable[str] | None = None) -> list[Profile]:
+    """parse_profiles of a file."""
+    try:
+        with open(path, encoding="utf-8") as text:
+            return parse_profiles(text.read(), selected)
+    except IsADirectoryError as error:
+        raise InputError(f"profile file is a folder: {path}") from error
+
+
 def parse_profiles(text: str, selected: Iterable[str] | None = None) -> list[Profile]:
     """The profiles of an ASCII model file in file order; selected names pick some of them."""
     wanted = None

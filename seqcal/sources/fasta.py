@@ -1,80 +1,61 @@
-"""FASTA files as a Spark data source: one partition for each file, strict UTF-8, errors as in a sequential reader."""
+"""FASTA files through Spark's text reader: a file of any store, split by blocks; problems are rows, not crashed tasks."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from pathlib import Path
-
-from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from ..functions import text as T
+from ..operators import checks
 from ..operators.checks import InputError
 
-SCHEMA = "file string, position long, header string, sequence string"
-
-
-def records_of(lines: Iterator[str]) -> Iterator[tuple[str, str]]:
-    """(header with its >, sequence) of stripped lines; blank lines are skipped."""
-    header, parts = None, []
-    for line in lines:
-        text = line.strip()
-        if not text:
-            continue
-        if text.startswith(">"):
-            if header is not None:
-                yield header, "".join(parts)
-            header, parts = text, []
-        elif header is None:
-            raise ValueError("sequence text precedes the first header")
-        else:
-            parts.append(text)
-    if header is not None:
-        yield header, "".join(parts)
-
-
-class FastaReader(DataSourceReader):
-    def __init__(self, options: dict):
-        self.path = options["path"]
+HEADS = 1 << 16  # headers of one chunk that ordinals tell apart
 
-    def partitions(self) -> list[InputPartition]:
-        top = Path(self.path)
-        files = sorted(x for x in top.rglob("*") if x.is_file()) if top.is_dir() else [top]
-        return [InputPartition(str(f)) for f in files]
 
-    def read(self, partition: InputPartition) -> Iterator[tuple]:
-        with open(partition.value, encoding="utf-8") as lines:
-            for position, (header, sequence) in enumerate(records_of(lines)):
-                yield partition.value, position, header, sequence
-
-
-class FastaSource(DataSource):
-    @classmethod
-    def name(cls) -> str:
-        return "fasta"
-
-    def schema(self) -> str:
-        return SCHEMA
-
-    def reader(self, schema) -> FastaReader:
-        return FastaReader(self.options)
+def _chunks(spark: SparkSession, path: str) -> DataFrame:
+    """file, place (from 0), text: what stands from one > at a line's start to the next."""
+    try:
+        rows = spark.read.option("lineSep", "\n>").option("recursiveFileLookup", "true").text(path)
+        rows = rows.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"), "value")
+    except AnalysisException as error:
+        raise InputError(f"FASTA file does not exist: {path}") from error
+    # a row for each block of a file
+    blocks = rows.groupBy("file", "block").agg(F.min("row").alias("first"), F.count("*").alias("n"))
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.select("file", "block", "first", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
+    place = F.col("base") + F.col("row") - F.col("first")
+    return rows.join(blocks, ["file", "block"]).select("file", place.alias("place"), F.when(place == 0, F.col("value")).otherwise(F.concat(F.lit(">"), "value")).alias("text"))
 
 
 def read_headers(spark: SparkSession, path: str) -> DataFrame:
-    """ordinal, header, sequence in file order; ordinals of several files follow their names."""
-    if not Path(path).exists():
-        raise InputError(f"FASTA file does not exist: {path}")
-    spark.dataSource.register(FastaSource)
-    rows = spark.read.format("fasta").load(path)
-    files = sorted(str(x) for x in Path(path).rglob("*") if x.is_file()) if Path(path).is_dir() else [path]
-    number = F.array_position(F.array(*map(F.lit, files)), F.col("file")) - 1
-    return rows.select((number * (1 << 40) + F.col("position")).cast("long").alias("ordinal"), "header", "sequence")
+    """ordinal, header (with its >), sequence; ordinals rise in file order, those of several files follow their names.
+
+    Lines are stripped, blank ones skipped. Text before the first header, bytes that are no UTF-8 and a file set without
+    records are errors. A line that has white space before its > is a header, too; a byte order mark is left out.
+    """
+    chunks = _chunks(spark, path)
+    lines = F.filter(F.transform(F.split("text", r"\r\n|\r|\n"), T.trim_space), lambda x: x != "")
+    split = chunks.select("file", "place", F.is_valid_utf8("text").alias("valid"), lines.alias("lines"))
+    heads = F.filter(F.transform("lines", lambda x, i: F.when(x.startswith(">"), i)), lambda i: i.isNotNull())
+    found = split.withColumn("heads", heads)
+    late = (F.size("lines") > 0) & (F.coalesce(F.try_element_at("heads", F.lit(1)), F.lit(-1)) != 0)
+    problem = F.when(~F.col("valid"), F.concat(F.lit("text does not decode as UTF-8: "), "file")).when(late, F.concat(F.lit("sequence text precedes the first header: "), "file"))
+    problem = problem.when(F.size("heads") > HEADS, F.concat(F.lit("too many headers behind white space: "), "file"))
+    row = found.agg(F.min_by(problem, F.when(problem.isNotNull(), F.struct("file", "place"))), F.sum(F.size("heads")), F.collect_set("file")).first()
+    if row[0] is not None:
+        raise InputError(row[0])
+    if not row[1]:
+        raise InputError(f"no FASTA records: {path}")
+    number = F.array_position(F.array(*map(F.lit, sorted(row[2]))), F.col("file")) - 1
+    several = found.select("file", "place", "lines", F.posexplode("heads").alias("turn", "at"), F.concat(F.slice("heads", 2, F.size("heads")), F.array(F.size("lines"))).alias("ends"))
+    stop = F.element_at("ends", F.col("turn") + 1)
+    ordinal = (number * (1 << 50) + F.col("place") * HEADS + F.col("turn")).cast("long")
+    return several.select(ordinal.alias("ordinal"), F.element_at("lines", F.col("at") + 1).alias("header"), F.array_join(F.slice("lines", F.col("at") + 2, stop - F.col("at") - 1), "").alias("sequence"))
 
 
 def read_proteins(spark: SparkSession, path: str) -> DataFrame:
     """ordinal, target_id (the header's first word), sequence."""
-    from ..operators import checks
-
     rows = read_headers(spark, path)
-    name = F.regexp_extract("header", r"^>\s*(\S*)", 1)
+    name = F.regexp_extract("header", f"^>[{T.WHITE_SPACE}]*([^{T.WHITE_SPACE}]*)", 1)
     checks.require(rows, F.when(name == "", F.lit("a header is empty")))
     return rows.select("ordinal", name.alias("target_id"), "sequence")

@@ -64,3 +64,30 @@ def test_scan(spark, tmp_path):
     fasta.write_text(">a\nMK*\n")
     with pytest.raises(SystemExit):
         main(arguments, spark)
+
+
+def test_bad_fasta_ends_with_status_2(spark, tmp_path):
+    (tmp_path / "p.fasta").write_text("MK\n>a\nM\n")
+    (tmp_path / "m.hmm").write_text(model.write_profiles([planted()[0]]) if hasattr(model, "write_profiles") else "HMMER3/f\n")
+    with pytest.raises(SystemExit) as stop:
+        main(["scan", "--proteins", str(tmp_path / "p.fasta"), "--hmms", str(tmp_path / "m.hmm"), "--output", str(tmp_path / "o.tsv"), "--evalue-search-space", "1"], spark)
+    assert stop.value.code == 2 and not (tmp_path / "o.tsv").exists()
+
+
+def test_audit_command(spark, tmp_path, capsys):
+    (tmp_path / "fine.py").write_text("x = 1\n")
+    assert main(["audit-tree", str(tmp_path)], spark) == 0
+    (tmp_path / "data.fasta").write_text(">a\nM\n")
+    assert main(["audit-tree", str(tmp_path)], spark) == 1
+    assert "data.fasta: " in capsys.readouterr().err
+
+
+def test_package_exports(spark):
+    import seqcal
+
+    scores = spark.createDataFrame([("a", float(s), p) for s, p in ((9, True), (7, True), (5, True), (8, False), (6, False), (2, False))], "family string, score double, is_positive boolean")
+    row = seqcal.confusion_at_threshold(scores, 6).first()
+    assert (row.correctly_detected_positives, row.missed_positives, row.incorrectly_accepted_negatives, row.correctly_rejected_negatives) == (2, 1, 2, 1)
+    assert seqcal.select_zero_observed_false_positive_cutoff(seqcal.roc_curve(scores)).first().threshold == 9.0
+    assert seqcal.DomainHit(*range(12)).profile_name == 0
+    assert all(callable(getattr(seqcal, x)) for x in seqcal.__all__)

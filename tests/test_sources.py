@@ -11,7 +11,8 @@ from seqcal.sources import fasta, remote, tables
 def test_fasta(spark, tmp_path):
     path = tmp_path / "x.fasta"
     path.write_text("\n>a one|x\nMK\n LV \n\n  >b\nMM*\n>c\n", encoding="utf-8")
-    assert [tuple(r) for r in fasta.read_headers(spark, str(path)).orderBy("ordinal").collect()] == [(0, ">a one|x", "MKLV"), (1, ">b", "MM*"), (2, ">c", "")]
+    rows = fasta.read_headers(spark, str(path)).orderBy("ordinal").collect()
+    assert [tuple(r)[1:] for r in rows] == [(">a one|x", "MKLV"), (">b", "MM*"), (">c", "")] and len({r.ordinal for r in rows}) == 3
     assert [r.target_id for r in fasta.read_proteins(spark, str(path)).orderBy("ordinal").collect()] == ["a", "b", "c"]
     (tmp_path / "many").mkdir()
     for name in ("2.fa", "1.fa"):
@@ -19,16 +20,33 @@ def test_fasta(spark, tmp_path):
     assert [r.header for r in fasta.read_headers(spark, str(tmp_path / "many")).orderBy("ordinal").collect()] == [">1.fa", ">1.fax", ">2.fa", ">2.fax"]
 
 
-@pytest.mark.parametrize("data", [b"MK\n>a\nM\n", b"\xef\xbb\xbf>a\nM\n", b">a\n\xff\n"])
+@pytest.mark.parametrize("data", [b"MK\n>a\nM\n", b">a\n\xff\n", b"", b"\n \n"])
 def test_broken_fasta(spark, tmp_path, data):
     path = tmp_path / "x.fasta"
     path.write_bytes(data)
-    with pytest.raises(Exception, match="precedes|decode"):
-        fasta.read_headers(spark, str(path)).collect()
+    with pytest.raises(InputError, match="precedes|decode|no FASTA"):
+        fasta.read_headers(spark, str(path))
     with pytest.raises(InputError):
         fasta.read_headers(spark, str(tmp_path / "none"))
 
 
+def test_fasta_in_blocks(spark, tmp_path):
+    """A file that many tasks read has its records whole and in order; a mark at its start and odd spaces don't count."""
+    path = tmp_path / "x.fasta"
+    records = [(f">id{i}", "MKLV" * (i % 17)) for i in range(300)]
+    path.write_bytes(b"\xef\xbb\xbf" + "".join(f"{h}\r\n{s[:20]}\n{s[20:]}\n" for h, s in records).encode())
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "500")
+    try:
+        rows = fasta.read_headers(spark, str(path))
+        assert rows.rdd.getNumPartitions() > 4
+        assert [(r.header, r.sequence) for r in rows.orderBy("ordinal").collect()] == records
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    path.write_text(">\xa0id1\xa0desc\nM\n", encoding="utf-8")
+    assert fasta.read_proteins(spark, str(path)).first().target_id == "id1"
+
+
 def test_empty_header(spark, tmp_path):
     (tmp_path / "x").write_text(">\nM\n")
     with pytest.raises(InputError):
@@ -76,7 +94,9 @@ def test_cutoffs(spark, tmp_path):
     with pytest.raises(InputError):
         tables.read_cutoffs(spark, [str(tmp_path / "none")])
     with pytest.raises(InputError):
-        tables.require_separate(one, [str(tmp_path / "x" / ".." / "1")], "output")
+        tables.require_separate({"output": one}, [str(tmp_path / "x" / ".." / "1")])
+    with pytest.raises(InputError):
+        tables.require_separate({"output": one + ".new", "manifest": one + ".new"}, [one])
 
 
 def test_remote_page(spark):
@@ -95,7 +115,7 @@ def test_checksums_and_manifest(spark, tmp_path):
     data = tmp_path / "data.bin"
     data.write_bytes(b"twenty-two bytes here!")
     assert provenance.file_record(str(data)) == {"file_name": "data.bin", "size_bytes": 22, "sha256": hashlib.sha256(data.read_bytes()).hexdigest()}
-    assert provenance.file_digests(spark, str(tmp_path)).first().sha256 == provenance.sha256_file(str(data), 3)
+    assert provenance.file_digests(spark, str(tmp_path)).first().sha256 == provenance.sha256_file(str(data))
     parameters = dict.fromkeys(provenance.REQUIRED, 1.0)
     manifest = provenance.scan_manifest(str(data), str(data), ["a"], parameters, str(tmp_path / "out.tsv"), "b")
     assert str(tmp_path) not in json.dumps(manifest) and manifest["output"] == {"file_name": "out.tsv"}
@@ -105,6 +125,8 @@ def test_checksums_and_manifest(spark, tmp_path):
     for names in ([], ["a", "a"], [" "]):
         with pytest.raises(InputError):
             provenance.scan_manifest(str(data), str(data), names, parameters, "o", "b")
+    assert manifest["profiles"] == {"number_searched": 1, "names": ["a"]} and "one-based" in manifest["coordinate_convention"]
+    assert provenance.scan_manifest(str(data), str(data), ["a"], parameters, str(data), "b")["output"]["size_bytes"] == 22
     with pytest.raises(FileNotFoundError):
         provenance.sha256_file(str(tmp_path / "none"))
 
