@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .storage import arrow_batch_rows
+from .storage import prepare
 from .words import NORMAL, U64, Slice, mix, slices
 
 # Notices by which the families are known, and parts of their texts.
@@ -301,7 +301,7 @@ def license_families(docs: DataFrame, paragraphs: int = FIT_PARAGRAPHS) -> DataF
     and the surest of them. Null and empty texts have no paragraphs; rows without doc_id and repeated rows are scanned
     like others. Other columns are not read.
     """
-    arrow_batch_rows(docs.sparkSession, 1024)
+    prepare(docs.sparkSession)
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     shared = docs.sparkSession.sparkContext.broadcast(train(docs, paragraphs))
     return docs.mapInArrow(_scan(shared), FOUND)

@@ -6,7 +6,9 @@ bucket of a band each class is a candidate with the bucket's smallest class only
 has m - 1 pairs. Candidates are confirmed on full shingle sets; confirmed links give components. A star alone could
 miss a link between two classes that are both unlike the smallest, so buckets whose classes are still in different
 components have a second turn: each class outside the bucket's first component is compared there with the classes of
-other components, in blocks of bounded size that give links, not pairs. With 48 bands of 6 bins a pair at a similarity of 0.8 shares no bucket with a probability of 5e-7.
+other components, in blocks of bounded size that give links, not pairs. With 48 bands of 6 bins a pair at a similarity
+of 0.8 shares no bucket with a probability of 5e-7. A shingle is a 64-bit hash in its set; sets are named by 128-bit
+digests, rows by 128-bit digests of their content, classes by numbers.
 """
 
 from __future__ import annotations
@@ -19,17 +21,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .graph import connected_components
-from .storage import arrow_batch_rows, written
-from .words import U64, Slice, mix, slices
+from .storage import prepare, row_key, written
+from .words import U64, Slice, mix, run_hashes, slices
 
 BANDS, BAND_BINS = 48, 6
 PERCENT = 80
 HUB_MEMBERS = 64  # members of one hub that one group confirms
-BUCKET_CLASSES = 256  # classes of a mixed bucket in one side of a block
-BIT_TABLE = 1 << 28  # bits in a block's table of shared shingles
+BUCKET_CLASSES, BUCKET_SHINGLES = 256, 1 << 18  # of a mixed bucket in one side of a block; a larger set stands alone or nearly so
+BIT_TABLE = 1 << 26  # bits in a block's table of shared shingles
 PROBES = 64
 
-SIGNATURE = "doc_id long, key long, n_shingles long, set_hash long, bands array<long>"
+SIGNATURE = "doc_id long, key binary, n_shingles long, set_hash binary, bands array<long>"
 
 
 def shingle_sets(part: Slice, size: int) -> list[np.ndarray]:
@@ -42,8 +44,7 @@ def shingle_sets(part: Slice, size: int) -> list[np.ndarray]:
         if n >= size:
             out.append(np.unique(found[bounds[d] : bounds[d + 1]]))
         elif n:
-            whole = hashes[part.first_word[d] : part.first_word[d + 1]]
-            out.append(mix((whole * U64(0x9E3779B97F4A7C15) + np.arange(n, dtype=np.uint64)).cumsum()[-1:] + U64(n)))
+            out.append(run_hashes(hashes[part.first_word[d] : part.first_word[d + 1]], n))
         else:
             out.append(np.empty(0, dtype=np.uint64))
     return out
@@ -95,14 +96,14 @@ def _signatures(size: int, bands: int, band_bins: int):
             for part in slices(batch["text"], lower=True):
                 sets = shingle_sets(part, size)
                 n += [len(s) for s in sets]
-                digests += [int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=8).digest(), "little", signed=True) for s in sets]
+                digests += [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
                 if some := [s for s in sets if len(s)]:
                     rows = densified(some, bins, probes).reshape(len(some), bands, band_bins)
                     keys.append(mix((rows * weights).sum(axis=2, dtype=np.uint64) + salts).view(np.int64))
             full = np.array(n, dtype=np.int64) > 0
             offsets = np.concatenate([[0], np.cumsum(full * bands)]).astype(np.int32)
             flat = np.concatenate(keys).ravel() if keys else np.empty(0, dtype=np.int64)
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["key"], pa.array(n, pa.int64()), pa.array(digests, pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], names=["doc_id", "key", "n_shingles", "set_hash", "bands"])
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["key"], pa.array(n, pa.int64()), pa.array(digests, pa.binary()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], names=["doc_id", "key", "n_shingles", "set_hash", "bands"])
 
     return run
 
@@ -129,14 +130,13 @@ def _confirm(size: int, percent: int):
     return run
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
+def _confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose full shingle sets are similar; each a's members are dealt out in groups of bounded size."""
     load = pairs.groupBy("a").agg(F.count("*").alias("members"))
     dealt = pairs.join(load, "a").select("a", "b", F.expr(f"pmod(xxhash64(b), cast((members + {HUB_MEMBERS - 1}) / {HUB_MEMBERS} as int))").alias("part"))
     dealt = written(dealt, "candidates")
     asked = dealt.select("a", "part", F.col("b").alias("node")).union(dealt.select("a", "part", "a").distinct())
-    texts = docs.groupBy("key").agg(F.first("text").alias("text"))
-    rows = asked.join(texts, asked.node == texts.key).select("a", "part", "node", "text").repartition("a", "part")
+    rows = asked.join(texts, "node").select("a", "part", "node", "text").repartition("a", "part")
     return rows.sortWithinPartitions("a", "part", F.col("node") != F.col("a")).mapInArrow(_confirm(size, percent), "a long, b long")
 
 
@@ -219,22 +219,21 @@ def _blocks(size: int, percent: int):
     return run
 
 
-def _across(rest: DataFrame, classes: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
+def _across(rest: DataFrame, classes: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
     """Links between classes of different components that share a bucket.
 
     The classes of a bucket are dealt to parts of bounded size, those outside its first component to parts of their own,
     and each part of the ones meets each part of the others in a block, where full sets are compared.
     """
-    parts = lambda n: f"cast(({n} + {BUCKET_CLASSES - 1}) / {BUCKET_CLASSES} as int)"
+    parts = lambda n, shingles: f"cast(greatest(({n} + {BUCKET_CLASSES - 1}) / {BUCKET_CLASSES}, {shingles} / {BUCKET_SHINGLES} + 1) as int)"
     odd = rest.withColumn("odd", F.expr("component <> first"))
-    counts = odd.groupBy("bucket").agg(F.count_if("odd").alias("odds"))
-    odd = odd.join(counts, "bucket").withColumn("rows", F.expr(parts("size"))).withColumn("columns", F.expr(parts("odds")))
+    counts = odd.groupBy("bucket").agg(F.count_if("odd").alias("odds"), F.sum("n").alias("all_n"), F.sum(F.when(F.col("odd"), F.col("n"))).alias("odd_n"))
+    odd = odd.join(counts, "bucket").withColumn("rows", F.expr(parts("size", "all_n"))).withColumn("columns", F.expr(parts("odds", "odd_n")))
     own = odd.select("bucket", "band", "a", "node", "component", "odd", F.lit(True).alias("own"), F.expr("cast(pmod(xxhash64(node), rows) as int)").alias("i"), F.explode(F.expr("sequence(0, columns - 1)")).alias("j"))
     other = odd.filter("odd").select("bucket", "band", "a", "node", "component", "odd", F.lit(False).alias("own"), F.explode(F.expr("sequence(0, rows - 1)")).alias("i"), F.expr("cast(pmod(xxhash64(node), columns) as int)").alias("j"))
     placed = written(own.union(other), "blocks")
     needed = placed.select("node").distinct().join(classes.select("node", "bands"), "node")
-    texts = docs.groupBy("key").agg(F.first("text").alias("text"))
-    needed = written(needed.join(texts, needed.node == texts.key).select("node", "bands", "text"), "needed")
+    needed = written(needed.join(texts, "node").select("node", "bands", "text"), "needed")
     rows = placed.join(needed, "node").select("bucket", "i", "j", "band", "a", "node", "component", "odd", "own", "bands", "text")
     return rows.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j").mapInArrow(_blocks(size, percent), "a long, b long").distinct()
 
@@ -249,26 +248,29 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = PERCENT, band
     and it is kept. Rows that repeat a doc_id are documents of their own with the same name.
     """
     spark = docs.sparkSession
-    arrow_batch_rows(spark)
-    docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("key", F.xxhash64("doc_id", "text"))
+    prepare(spark)
+    docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("key", row_key("doc_id", "text"))
     signed = written(docs.mapInArrow(_signatures(size, bands, band_bins), SIGNATURE), "signatures")
     real = signed.filter("n_shingles > 0 and doc_id is not null")
-    classes = written(real.groupBy("set_hash").agg(F.min(F.struct("doc_id", "key")).alias("first"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")).select("set_hash", F.col("first.doc_id").alias("doc_id"), F.col("first.key").alias("node"), "n", "bands"), "classes")
+    classes = real.groupBy("set_hash").agg(F.min(F.struct("doc_id", "key")).alias("first"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"))
+    classes = written(classes.select(F.monotonically_increasing_id().alias("node"), "set_hash", F.col("first.doc_id").alias("doc_id"), F.col("first.key").alias("key"), "n", "bands"), "classes")
     buckets = classes.select("node", "n", F.posexplode("bands").alias("band", "bucket"))
     hubs = buckets.groupBy("bucket").agg(F.min(F.struct("node", "n")).alias("hub"), F.count("*").alias("size")).filter("size > 1")
     hubs = written(hubs.select("bucket", "size", F.col("hub.node").alias("a"), F.col("hub.n").alias("hub_n")), "hubs")
     full = written(buckets.join(hubs, "bucket"), "buckets")
+    # the texts that the two turns compare, one for each class that shares a bucket
+    shared = full.select("node").distinct().join(classes.select("node", "key"), "node")
+    texts = written(docs.join(shared.hint("merge"), "key").select("node", "text").dropDuplicates(["node"]), "texts")
     stars = full.filter(f"node <> a and 100 * least(n, hub_n) >= {percent} * greatest(n, hub_n)").select("a", F.col("node").alias("b")).distinct()
     stars = written(stars, "stars")
-    sources = docs.filter("doc_id is not null").select("key", "text")
-    links = written(_confirmed(stars, sources, size, percent), "links")
+    links = written(_confirmed(stars, texts, size, percent), "links")
     found = written(connected_components(links, "a", "b"), "components")
 
     member = full.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    member = written(member.select("bucket", "band", "size", "a", "node", "component"), "members")
+    member = written(member.select("bucket", "band", "size", "a", "node", "n", "component"), "members")
     mixed = member.groupBy("bucket").agg(F.min("component").alias("first"), F.max("component").alias("last")).filter("first < last").select("bucket", "first")
     mixed = written(mixed, "mixed")
-    more = written(_across(member.join(mixed, "bucket"), classes, sources, size, percent), "links")
+    more = written(_across(member.join(mixed, "bucket"), classes, texts, size, percent), "links")
     if not more.isEmpty():
         found = written(connected_components(links.union(more), "a", "b"), "components")
 
@@ -293,7 +295,7 @@ def representatives(docs: DataFrame, size: int = 5, percent: int = PERCENT) -> D
     twins = found.filter("kept and n_shingles > 0 and doc_id is not null").groupBy("component_id").agg(F.count("*").alias("n"), F.min("key").alias("key")).filter("n > 1").select("component_id", "key")
     twins = written(twins, "twins")
     own = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
-    keyed = docs.select(own, F.xxhash64("doc_id", F.coalesce("text", F.lit(""))).alias("key"))
+    keyed = docs.select(own, "doc_id", F.coalesce("text", F.lit("")).alias("text")).select("row", row_key("doc_id", "text").alias("key"))
     left = keyed.join(gone, "key", "left_anti")
     if twins.isEmpty():
         return left.select("row.*")

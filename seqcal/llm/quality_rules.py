@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from .storage import arrow_batch_rows, written
+from .storage import prepare, written
 from .words import Slice, covered, mix, repeated, slices
 
 FIT_ROWS = 20_000
@@ -86,7 +86,7 @@ def text_statistics(texts: pa.Array) -> pa.Array:
 
 def with_statistics(docs: DataFrame, name: str = "statistics") -> DataFrame:
     """docs with a struct of COUNTS of its text; null counts as the empty text."""
-    arrow_batch_rows(docs.sparkSession)
+    prepare(docs.sparkSession)
     return docs.withColumn(name, text_statistics(F.coalesce("text", F.lit(""))))
 
 

@@ -1,40 +1,23 @@
-"""Intermediate tables in the folder that all executors share."""
+"""What all operators do first, and names of rows; tables between steps go to the shared folder."""
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
-import uuid
+from pyspark.sql import Column, SparkSession, functions as F
 
-from pyspark.sql import DataFrame, SparkSession
+from ..shared import table_path, written
+from ..shipping import ship
 
-_local: dict[str, str] = {}
+__all__ = ["prepare", "row_key", "table_path", "written"]
+ARROW_BYTES = 4 << 20
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The cluster's spark.checkpoint.dir; a temporary folder only where the cluster names none."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if found:
-        return found.rstrip("/")
-    if "dir" not in _local:
-        _local["dir"] = tempfile.mkdtemp(prefix="spark-")
-        atexit.register(shutil.rmtree, _local["dir"], True)
-    return "file://" + _local["dir"]
+def prepare(spark: SparkSession) -> None:
+    """The package on all executors, and one bound for the Arrow batches of whole texts, the same for every operator."""
+    ship(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
 
 
-def table_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-
-
-def written(df: DataFrame, name: str, **options: str) -> DataFrame:
-    """df as a Parquet table in the shared folder: cuts the lineage, survives the loss of executors."""
-    path = table_path(df.sparkSession, name)
-    df.write.options(**options).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def arrow_batch_rows(spark: SparkSession, rows: int = 256) -> None:
-    """Keeps Arrow batches of whole texts small: at most this many documents in one."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
+def row_key(*names: str) -> Column:
+    """16 bytes that name a row by the content of its columns (null differs from empty); rows that repeat share them."""
+    texts = [F.col(x).cast("string") for x in names]
+    return F.unhex(F.md5(F.concat(*(F.coalesce(F.concat(F.length(x).cast("string"), F.lit(":"), x), F.lit("-")) for x in texts))))

@@ -6,6 +6,10 @@ one batch standing there once; (2) one shuffle brings equal hashes together, whe
 occur more than once; (3) the marks, one bit a window, go back to their documents. Hash values travel packed, eight
 bytes a window, so the shuffle moves little more than the texts themselves. A batch sends each distinct window once,
 so a passage that a third of all documents share doesn't swell one task.
+
+Two hashes to independent bases name a window: one picks the range, the other is the value sent. With R ranges and N
+windows about N * N / (R * 2**62) windows are taken for repeated by chance: 1e-4 of one at 1e8 windows and 50 ranges.
+Documents are named by 128-bit digests of their rows.
 """
 
 from __future__ import annotations
@@ -18,15 +22,16 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .storage import arrow_batch_rows
-from .words import U64, covered, slices
+from .storage import prepare, row_key
+from .words import SECOND_BASE, U64, Slice, covered, slices
 
 WINDOW = 35
 CHARS_PER_RANGE = 24_000_000
 
-PACKED = "range int, batch long, keys binary, counts binary, sent binary, twice binary, hashes binary"
-MARKS = "batch long, range int, keys binary, counts binary, marks binary"
-FOUND = "key long, found array<struct<range: int, marks: binary>>"
+PACKED = "range int, batch binary, keys binary, places binary, counts binary, sent binary, twice binary, hashes binary"
+MARKS = "batch binary, range int, keys binary, places binary, counts binary, marks binary"
+FOUND = "key binary, found array<struct<range: int, marks: binary>>"
+KEY_BYTES = 16
 
 
 def _width(ranges: int) -> np.uint64:
@@ -37,8 +42,16 @@ def _unpack(bits: bytes, n: int) -> np.ndarray:
     return np.unpackbits(np.frombuffer(bits, np.uint8), count=n).astype(bool)
 
 
+def _windows(part: Slice, size: int, ranges: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first word, range, hash) of every window of a slice."""
+    words = part.word_hashes()
+    first, hashes = part.window_hashes(words, size)
+    return first, (part.window_hashes(words, size, SECOND_BASE)[1] // _width(ranges)).astype(np.int64), hashes
+
+
 def _pack(size: int, ranges: int):
-    """For each batch and hash range one row: the windows of each document there, and their hashes.
+    """For each batch and hash range one row: the windows of each document there, and their hashes; one more row, in any
+    range and without hashes, has the keys of the batch's documents.
 
     Of the equal windows in a batch only the first is sent, with a mark if there are more; the others are known to
     be repeated.
@@ -46,37 +59,49 @@ def _pack(size: int, ranges: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = batch["key"].to_numpy(zero_copy_only=False)
-            owner, hashes = [], []
+            keys = b"".join(batch["key"].to_pylist())
+            owner, at, hashes = [], [], []
             for part in slices(batch["text"]):
-                first, found = part.window_hashes(part.word_hashes(), size)
+                first, own, found = _windows(part, size, ranges)
                 owner.append(part.documents_of(first) + part.first_row)
+                at.append(own)
                 hashes.append(found)
             if not sum(map(len, hashes)):
                 continue
-            owner, hashes = np.concatenate(owner), np.concatenate(hashes)
-            order = np.argsort(hashes, kind="stable")
-            ordered = hashes[order]
-            head = np.concatenate([[True], ordered[1:] != ordered[:-1]])
+            owner, at, hashes = np.concatenate(owner), np.concatenate(at), np.concatenate(hashes)
+            index = np.lexsort((hashes, at))
+            head = np.ones(len(index), dtype=bool)
+            head[1:] = (hashes[index][1:] != hashes[index][:-1]) | (at[index][1:] != at[index][:-1])
             sent, twice = np.zeros(len(hashes), dtype=bool), np.zeros(len(hashes), dtype=bool)
-            sent[order[head]] = True
-            twice[order[head & np.concatenate([~head[1:], [False]])]] = True
-            at = (hashes // _width(ranges)).astype(np.int64)
+            sent[index[head]] = True
+            twice[index[head & np.append(~head[1:], False)]] = True
             index = np.argsort(at, kind="stable")  # by range, then document and place
-            name = int.from_bytes(hashlib.blake2b(keys.tobytes(), digest_size=8).digest(), "little", signed=True)
-            rows: list[tuple] = []
+            name = hashlib.blake2b(keys, digest_size=16).digest()
+            rows: list[tuple] = [(name[0] % ranges, name, keys, None, None, None, None, None)]
             for group in np.split(index, np.flatnonzero(np.diff(at[index])) + 1):
                 documents, counts = np.unique(owner[group], return_counts=True)
                 bits = sent[group]
-                rows.append((int(at[group[0]]), name, keys[documents].tobytes(), counts.astype(np.uint32).tobytes(), np.packbits(bits).tobytes(), np.packbits(twice[group]).tobytes(), hashes[group[bits]].tobytes()))
+                rows.append((int(at[group[0]]), name, None, documents.astype(np.uint32).tobytes(), counts.astype(np.uint32).tobytes(), np.packbits(bits).tobytes(), np.packbits(twice[group]).tobytes(), hashes[group[bits]].tobytes()))
             columns = list(zip(*rows, strict=True))
-            yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), pa.array(columns[1], pa.int64()), *(pa.array(x, pa.binary()) for x in columns[2:])], names=["range", "batch", "keys", "counts", "sent", "twice", "hashes"])
+            yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), *(pa.array(x, pa.binary()) for x in columns[1:])], names=["range", "batch", "keys", "places", "counts", "sent", "twice", "hashes"])
 
     return run
 
 
 def _mark(rows: pd.DataFrame) -> pd.DataFrame:
     """One hash range: which of its windows occur twice or more, as bits for each document."""
+    out: dict[str, list] = {k.split()[0]: [] for k in MARKS.split(", ")}
+
+    def put(*values) -> None:
+        for k, v in zip(out, values, strict=True):
+            out[k].append(v)
+
+    named = rows["keys"].notna()
+    for batch, keys in zip(rows["batch"][named], rows["keys"][named], strict=True):
+        put(batch, -1, keys, None, None, None)
+    rows = rows[~named]
+    if not len(rows):
+        return pd.DataFrame(out, dtype=object)
     hashes = np.concatenate([np.frombuffer(x, np.uint64) for x in rows["hashes"]])
     counts = [np.frombuffer(x, np.uint32) for x in rows["counts"]]
     sent = np.concatenate([_unpack(x, int(c.sum())) for x, c in zip(rows["sent"], counts, strict=True)])
@@ -90,28 +115,28 @@ def _mark(rows: pd.DataFrame) -> pd.DataFrame:
     several[order] = often[run]
     marked = ~sent
     marked[sent] = several
-    out: dict[str, list] = {"batch": [], "range": [], "keys": [], "counts": [], "marks": []}
     place = 0
-    for batch, keys, n in zip(rows["batch"], rows["keys"], counts, strict=True):
+    for batch, places, n in zip(rows["batch"], rows["places"], counts, strict=True):
         bits, place = marked[place : place + int(n.sum())], place + int(n.sum())
         owner = np.repeat(np.arange(len(n)), n)
         some = np.bincount(owner, weights=bits, minlength=len(n)) > 0
         if some.any():
-            for k, v in zip(out, (batch, int(rows["range"].iloc[0]), np.frombuffer(keys, np.int64)[some].tobytes(), n[some].tobytes(), np.packbits(bits[some[owner]]).tobytes()), strict=True):
-                out[k].append(v)
-    return pd.DataFrame(out)
+            put(batch, int(rows["range"].iloc[0]), None, np.frombuffer(places, np.uint32)[some].tobytes(), n[some].tobytes(), np.packbits(bits[some[owner]]).tobytes())
+    return pd.DataFrame(out, dtype=object)
 
 
 def _by_document(rows: pd.DataFrame) -> pd.DataFrame:
     """The marks of one batch, dealt out to its documents. Rows that repeat have one key and equal marks."""
-    found: dict[int, dict[int, bytes]] = {}
-    for at, keys, counts, marks in zip(rows["range"].tolist(), rows["keys"], rows["counts"], rows["marks"], strict=True):
+    names = rows["keys"][rows["keys"].notna()].iloc[0]
+    found: dict[bytes, dict[int, bytes]] = {}
+    rows = rows[rows["keys"].isna()]
+    for at, places, counts, marks in zip(rows["range"].tolist(), rows["places"], rows["counts"], rows["marks"], strict=True):
         counts = np.frombuffer(counts, np.uint32)
         bits = _unpack(marks, int(counts.sum()))
         ends = np.cumsum(counts.astype(np.int64))
-        for key, n, end in zip(np.frombuffer(keys, np.int64).tolist(), counts.tolist(), ends.tolist(), strict=True):
-            found.setdefault(key, {})[at] = np.packbits(bits[end - n : end]).tobytes()
-    return pd.DataFrame({"key": list(found), "found": [[{"range": a, "marks": m} for a, m in x.items()] for x in found.values()]})
+        for d, n, end in zip(np.frombuffer(places, np.uint32).tolist(), counts.tolist(), ends.tolist(), strict=True):
+            found.setdefault(names[KEY_BYTES * d : KEY_BYTES * (d + 1)], {})[at] = np.packbits(bits[end - n : end]).tobytes()
+    return pd.DataFrame({"key": list(found), "found": [[{"range": a, "marks": m} for a, m in x.items()] for x in found.values()]}, dtype=object)
 
 
 def _remove(size: int, ranges: int, with_text: bool):
@@ -126,8 +151,7 @@ def _remove(size: int, ranges: int, with_text: bool):
                     words = part.text(d).split()
                     if marks:
                         one = next(slices(pa.array([part.text(d)], pa.binary()).cast(pa.string())))
-                        first, hashes = one.window_hashes(one.word_hashes(), size)
-                        at = (hashes // _width(ranges)).astype(np.int64)
+                        first, at, _ = _windows(one, size, ranges)
                         hit = np.zeros(len(first), dtype=bool)
                         for mark in marks:
                             where = np.flatnonzero(at == mark["range"])
@@ -155,8 +179,8 @@ def remove_repeated_windows(docs: DataFrame, size: int = WINDOW, with_text: bool
     both lose their windows. A null doc_id is kept as such. Columns besides doc_id and text are not read.
     """
     spark = docs.sparkSession
-    arrow_batch_rows(spark, 2048)
-    docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("key", F.xxhash64("doc_id", "text"))
+    prepare(spark)
+    docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("key", row_key("doc_id", "text"))
     chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
     ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), chars // CHARS_PER_RANGE + 1)
     packed = docs.select("key", "text").mapInArrow(_pack(size, ranges), PACKED)

@@ -1,12 +1,14 @@
 """Words of whole texts and their hashes, computed on Arrow buffers a slice of documents at a time.
 
-A word is a run of bytes outside [\\x20\\x09-\\x0D]. Its hash is a polynomial over a table of random values, taken
-modulo 2**64 from prefix sums (Rabin-Karp), so every word and every window of words costs a constant number of
-vector operations. All functions are pure: the same text has the same hashes on every executor and in every run.
+A word is a run of bytes outside [\\x20\\x09-\\x0D]. Its hash chains mixed blocks of eight bytes, from LONG bytes on it
+is a BLAKE2b digest. The hash of a window of words is a polynomial over the prime field of 2**61 - 1 (Rabin-Karp), for
+all windows of a size at once by doubling. All functions are pure: the same text has the same hashes on every executor
+and in every run.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -20,9 +22,10 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A") : ord("Z") + 1] += 32
 NORMAL = LOWER.copy()  # lower case, ASCII punctuation as white space
 NORMAL[[b for b in range(0x21, 0x7F) if not chr(b).isalnum()]] = 0x20
-BYTE_VALUES = np.random.Generator(np.random.PCG64(20240229)).integers(1, 2**63, 256, dtype=np.uint64) * U64(2) + U64(1)
-BYTE_BASE, BYTE_INVERSE = U64(0x9E3779B97F4A7C15), U64(pow(0x9E3779B97F4A7C15, -1, 2**64))
-WORD_BASE, WORD_INVERSE = U64(0xD1342543DE82EF95), U64(pow(0xD1342543DE82EF95, -1, 2**64))
+PRIME = U64(2**61 - 1)
+BASE, SECOND_BASE = 0x11B7A6C94D2E5F03, 0x0E5C1D8A37F96B21  # of two independent window hashes
+LONG = 64
+BLOCK_MASKS = np.array([(1 << 8 * n) - 1 for n in range(9)], dtype=np.uint64)
 SLICE_BYTES = 1 << 19
 
 
@@ -35,22 +38,50 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U64(31))
 
 
-def powers(base: np.uint64, n: int, kept: dict = {}) -> np.ndarray:  # noqa: B006
-    """base**0 ... base**(n-1) modulo 2**64; the longest table so far is kept."""
-    key = int(base)
-    if key not in kept or len(kept[key]) < n:
-        table = np.full(max(n, SLICE_BYTES), base, dtype=np.uint64)
-        table[0] = 1
-        kept[key] = np.cumprod(table)
-    return kept[key][:n]
+def byte_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of data[start:end] for all pairs at once."""
+    n = ends - starts
+    out = mix(n.astype(np.uint64) + U64(0x9E3779B97F4A7C15))
+    blocks = np.lib.stride_tricks.sliding_window_view(np.concatenate([data, np.zeros(8, dtype=np.uint8)]), 8)
+    some = np.flatnonzero((n > 0) & (n < LONG))
+    for done in range(0, LONG, 8):
+        some = some[n[some] > done]
+        if not len(some):
+            break
+        block = blocks[starts[some] + done].view("<u8").ravel() & BLOCK_MASKS[np.minimum(n[some] - done, 8)]
+        out[some] = mix(out[some] + block * U64(0xD1342543DE82EF95))
+    for i in np.flatnonzero(n >= LONG):
+        out[i] = int.from_bytes(hashlib.blake2b(data[starts[i] : ends[i]].tobytes(), digest_size=8).digest(), "little")
+    return out
+
+
+def _times(a: np.ndarray, b: int) -> np.ndarray:
+    """a * b modulo PRIME, but for a few multiples of it; a and b are below it."""
+    low, high = a & U64(2**32 - 1), a >> U64(32)
+    b_low, b_high = U64(b & 2**32 - 1), U64(b >> 32)
+    middle = high * b_low + low * b_high
+    low *= b_low
+    return ((high * b_high) << U64(3)) + (middle >> U64(29)) + ((middle & U64(2**29 - 1)) << U64(32)) + (low & PRIME) + (low >> U64(61))
+
+
+def _reduced(a: np.ndarray) -> np.ndarray:
+    a = (a & PRIME) + (a >> U64(61))
+    return np.minimum(a, a - PRIME)  # the difference wraps around where a is smaller
 
 
-def range_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: np.uint64, inverse: np.uint64) -> np.ndarray:
-    """Mixed polynomial hashes of values[start:end] for all pairs at once."""
-    prefix = np.zeros(len(values) + 1, dtype=np.uint64)
-    np.cumsum(values * powers(base, len(values)), out=prefix[1:])
-    sums = (prefix[ends] - prefix[starts]) * powers(inverse, len(values) + 1)[starts]
-    return mix(sums + (ends - starts).astype(np.uint64))
+def run_hashes(hashes: np.ndarray, size: int, base: int = BASE) -> np.ndarray:
+    """Of every run of size hashes: the sum of hash * base**(places behind it) modulo PRIME, mixed."""
+    if len(hashes) < size:
+        return np.empty(0, dtype=np.uint64)
+    values = _reduced(hashes)
+    runs, n = values, 1
+    for bit in bin(size)[3:]:
+        runs = _reduced(_times(runs[: len(values) - 2 * n + 1], pow(base, n, int(PRIME))) + runs[n:])
+        n *= 2
+        if bit == "1":
+            runs = _reduced(_times(runs[: len(values) - n], base) + values[n:])
+            n += 1
+    return mix(runs + U64(size << 3))
 
 
 @dataclass
@@ -78,16 +109,16 @@ class Slice:
         return self.data[self.starts[i] : self.ends[i]].tobytes()
 
     def word_hashes(self) -> np.ndarray:
-        return range_hashes(BYTE_VALUES[self.data], self.starts, self.ends, BYTE_BASE, BYTE_INVERSE)
+        return byte_hashes(self.data, self.starts, self.ends)
 
-    def window_hashes(self, hashes: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    def window_hashes(self, hashes: np.ndarray, size: int, base: int = BASE) -> tuple[np.ndarray, np.ndarray]:
         """(index of the first word, hash) of every run of size words within one document, in order."""
         n = len(hashes)
         if n < size:
             return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.uint64)
         document = np.repeat(np.arange(self.documents), self.counts())
         first = np.flatnonzero(document[: n - size + 1] == document[size - 1 :])
-        return first, range_hashes(hashes, first, first + size, WORD_BASE, WORD_INVERSE)
+        return first, run_hashes(hashes, size, base)[first]
 
     def documents_of(self, word_indexes: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.first_word, word_indexes, side="right") - 1

@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
+from tokenizers import Tokenizer
 
 from seqcal.llm import near_dedup, packing, pii, quality_rules, secrets, substring_dedup, tokens, words
 
@@ -43,11 +44,21 @@ def order(rows):
     return sorted(rows, key=repr)
 
 
+def thue_morse(n):
+    """Two words that sums of powers modulo 2**64 can't tell apart."""
+    bits = [bin(i).count("1") % 2 for i in range(n)]
+    return ["".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)]
+
+
 @pytest.mark.parametrize("size", [3, 35])
 def test_repeated_windows(spark, small, size):
     for texts in rows_of(spark, small):
         got = substring_dedup.remove_repeated_windows(frame(spark, texts), size, with_text=False).collect()
         assert order(tuple(r) for r in got) == order(removed(texts, size))
+    twins = [(i, " ".join(["same"] * (size - 1) + [w])) for i, w in enumerate(thue_morse(1024) + thue_morse(64))]
+    twins += [(10 + i, " ".join({"a": "left", "b": "right"}[c] for c in w)) for i, w in enumerate(thue_morse(4096))]
+    got = substring_dedup.remove_repeated_windows(frame(spark, twins), size, with_text=False).collect()
+    assert order(tuple(r) for r in got) == order(removed(twins, size))
     assert substring_dedup.remove_repeated_windows(frame(spark, [])).count() == 0
 
 
@@ -83,14 +94,40 @@ def components(texts, size):
 
 @pytest.mark.parametrize("size", [2, 5])
 def test_near_duplicates(spark, small, size):
+    twins = [(i, w) for i, w in enumerate(thue_morse(1024) + thue_morse(32))]
     near = [(100 + k, " ".join(f"v{i if i % 23 != k or k > 6 else -k}" for i in range(200))) for k in range(10)]
-    for texts in [*rows_of(spark, small), near]:
+    for texts in [*rows_of(spark, small), near, twins]:
         got = near_dedup.near_duplicates(frame(spark, texts), size).collect()
         assert order(tuple(r)[:3] for r in got) == order(components(texts, size))
         assert all(r.kept == (r.doc_id is None or r.doc_id == r.component_id) for r in got)
     assert near_dedup.near_duplicates(frame(spark, []), size).count() == 0
 
 
+def test_window_hashes_are_polynomials():
+    values = np.random.default_rng(1).integers(0, 2**64, 60, dtype=np.uint64)
+    prime = int(words.PRIME)
+    for size in (1, 2, 5, 8, 13, 35, 60, 61):
+        plain = []
+        for i in range(len(values) - size + 1):
+            h = 0
+            for x in values[i : i + size].tolist():
+                h = (h * words.BASE + x) % prime
+            plain.append(h)
+        assert (words.run_hashes(values, size) == words.mix(np.array(plain, dtype=np.uint64) + np.uint64(size << 3))).all()
+
+
+def test_word_hashes_depend_on_every_byte():
+    rng = np.random.default_rng(2)
+    for n in (1, 7, 8, 9, 16, 17, 63, 64, 65, 200):
+        one = rng.integers(65, 91, n, dtype=np.uint8)
+        rows = np.tile(one, (n + 1, 1))
+        rows[np.arange(n), np.arange(n)] ^= 1
+        data = rows.ravel()
+        starts = np.arange(n + 1) * n
+        assert len(np.unique(words.byte_hashes(data, starts, starts + n))) == n + 1
+        assert (words.byte_hashes(np.concatenate([one, one]), np.array([0, n]), np.array([n, 2 * n])) == words.byte_hashes(one, np.array([0]), np.array([n]))).all()
+
+
 def test_signatures_do_not_depend_on_their_batch():
     probes = near_dedup.probe_table(48)
     sets = [np.unique(np.random.default_rng(n).integers(0, 2**63, n).astype(np.uint64)) for n in (1, 2, 5, 40, 900)]
@@ -100,7 +137,7 @@ def test_signatures_do_not_depend_on_their_batch():
 
 
 def plain_ids(texts):
-    tokenizer = tokens.Encoder(tokens.tokenizer_path()).tokenizer
+    tokenizer = Tokenizer.from_file(tokens.tokenizer_path())
     return [tokenizer.encode(t or "", add_special_tokens=False).ids for _, t in texts]
 
 
@@ -132,14 +169,37 @@ def test_token_files_have_dictionaries_deltas_and_page_indexes(spark, small, tmp
             assert doc.has_offset_index and ids.has_offset_index
 
 
-@settings(max_examples=60, deadline=None)
-@given(st.text(alphabet="ab1'.,-é漢 \n\t\r\x0b\x1c  ", max_size=60))
-def test_chunked_encoding_is_the_tokenizers_own(text):
-    encoder = tokens.Encoder.of(tokens.tokenizer_path())
-    texts = [text, None, text + " x", ""]
-    ids, bounds = encoder.encode(pa.array(texts, pa.string()))
-    for t, a, b in zip(texts, bounds, bounds[1:]):
-        assert ids[a:b].tolist() == encoder.tokenizer.encode(t or "", add_special_tokens=False).ids
+FRESH = Tokenizer.from_file(tokens.tokenizer_path())
+PIECES = ["a", "b", "the", "don", "1", "42", "'", "'s", "'th", ".", ",", "-", "***", "é", "à", "Ã", "×", "ñ", "漢", "“", "”", "…", *[" "] * 6]
+PIECES += ["\n", "\t", "\r", "\x0b", "\x1c", "\xa0", "\u200b", "<|endoftext|>", "<|", "|>", "a" * 20]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(PIECES), max_size=40))
+def test_chunked_encoding_is_the_tokenizers_own(parts):
+    text = "".join(parts)
+    texts = [text, None, text + " x", "", " ".join(parts)]
+    for _ in range(2):  # again with what is known by then
+        ids, bounds = tokens.encoder(tokens.tokenizer_path()).encode(pa.array(texts, pa.string()))
+        for t, a, b in zip(texts, bounds, bounds[1:]):
+            assert ids[a:b].tolist() == FRESH.encode(t or "", add_special_tokens=False).ids
+
+
+def test_known_chunks_are_bounded(monkeypatch):
+    monkeypatch.setattr(tokens, "CACHED_CHUNKS", 50)
+    own = tokens.Encoder(tokens.tokenizer_path())
+    rng = np.random.default_rng(1)
+    for k in range(40):
+        text = " ".join(f"w{i}" if i % 3 else f"word{i}" * 5 for i in rng.integers(0, 30 * (k + 1), 60))
+        ids, _ = own.encode(pa.array([text]))
+        assert ids.tolist() == FRESH.encode(text, add_special_tokens=False).ids
+    assert len(own.known.chunks) < 200 and len(own.known.ids) < 2000
+
+
+def test_other_tokenizers_get_texts_whole():
+    own = tokens.Encoder(tokens.tokenizer_path("word_bpe_49k.json"))
+    text = "The Quick <|endoftext|> brown  fox"
+    assert not own.chunked and own.encode(pa.array([text, None]))[0].tolist() == own.tokenizer.encode(text, add_special_tokens=False).ids
 
 
 def test_packing(spark, small):

@@ -65,7 +65,7 @@ def test_candidate_recall_against_brute_force(spark, leaked):
         for k, own in enumerate(block.words):
             for at in range(0, max(1, len(hashes) - 1), 32):
                 region = hashes[max(0, at - len(own)) : at + 64 + len(own)]
-                if D.common_words(own, region) >= D.MIN_COMMON * len(own) and D.common_words(block.answers[k], region) >= D.MIN_ANSWER * len(block.answers[k]):
+                if D.common_words(block.masks[k], region) >= D.MIN_COMMON * len(own) and D.common_words(block.answer_masks[k], region) >= D.MIN_ANSWER * len(block.answers[k]):
                     expected.add((i, block.ids[k]))
     assert len(expected & got) >= 0.9 * len(expected) and got <= expected
 
@@ -101,7 +101,7 @@ def test_longest_common_subsequence():
         for i in range(9):
             for j in range(14):
                 table[i + 1, j + 1] = table[i, j] + 1 if a[i] == b[j] else max(table[i, j + 1], table[i + 1, j])
-        assert D.common_words(a, b) == table[-1, -1]
+        assert D.common_words(D.word_masks(a), b) == table[-1, -1]
 
 
 def brute_model(texts):
