@@ -19,25 +19,24 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from .storage import arrow_batch_rows, written
-from .words import BYTE_BASE, BYTE_INVERSE, BYTE_VALUES, U64, Slice, mix, range_hashes, slices
+from .storage import prepare, row_key, written
+from .words import U64, Slice, byte_hashes, mix, slices
 
 KINDS = ("email", "ip", "card", "phone", "term")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+DOTTED = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3,}")
 CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-DIGIT, WORD = re.compile("[0-9]"), re.compile(r"[^\x20\x09-\x0D]+")
+DIGIT = re.compile("[0-9]")
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 MARGIN = "".join(chr(b) for b in range(0x21, 0x7F) if not chr(b).isalnum())
 PUNCTUATION = np.isin(np.arange(256), [ord(c) for c in MARGIN])
-LOWER = {ord(c): c.lower() for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"}
 
 CONTEXT, MIN_SUPPORT, GENERALISE, REMOVE, MIN_BITS = 5, 3, 0.5, 0.8, 6.0
-BITS, BIT_GROUP, PAIRS_HELD = 1 << 23, 1 << 12, 500_000
+LEAST_BITS, MOST_BITS, BITS_EACH, BIT_GROUP, SUMS_HELD = 1 << 20, 1 << 29, 16, 1 << 12, 500_000
 MARKS = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]", "term": "[TERM]"}
 
-FOUND = "doc_id long, key long, entities array<struct<rank: int, start: int, stop: int>>, near array<struct<term: long, entity: long>>, own array<long>, terms array<long>, n_words long"
+FOUND = "doc_id long, key binary, entities array<struct<rank: int, start: int, stop: int>>, near array<struct<term: long, entity: long>>, own array<long>, terms array<long>, n_words long"
 
 
 def luhn(digits: str) -> bool:
@@ -59,201 +58,251 @@ def emails(text: str) -> Iterator[tuple[int, int]]:
         at = text.find("@", at + 1)
 
 
+def addresses(text: str) -> Iterator[tuple[int, int]]:
+    """Four numbers each of every run of numbers with a dot between; no start inside a run can match if the run does not."""
+    for m in DOTTED.finditer(text):
+        parts, at = m[0].split("."), m.start()
+        for k in range(0, len(parts) - 3, 4):
+            own = parts[k : k + 4]
+            stop = at + sum(map(len, own)) + 3
+            if all(len(x) <= 3 and int(x) <= 255 or not x.lstrip("0") or len(x.lstrip("0")) <= 3 and int(x.lstrip("0")) <= 255 for x in own):
+                yield at, stop
+            at = stop + 1
+
+
 def entities(text: str) -> list[tuple[int, int, int]]:
     """(rank in KINDS, start, stop) of every protected entity, by rank and start."""
     out = [(0, a, b) for a, b in emails(text)] if "@" in text else []
     if DIGIT.search(text):
-        out += [(1, *m.span()) for m in IP.finditer(text) if all(len(p.lstrip("0")) < 4 and int(p[-3:] if len(p) > 3 else p) <= 255 for p in m[0].split("."))]
+        out += [(1, a, b) for a, b in addresses(text)]
         for m in CARD.finditer(text):
-            digits = m[0].replace(" ", "").replace("-", "")
+            digits = m[0].replace(" ", "").replace("-", "") if m.end() - m.start() < 40 else ""
             if 16 <= len(digits) <= 19 and luhn(digits):
                 out.append((2, *m.span()))
         out += [(3, *m.span()) for m in PHONE.finditer(text) if 8 <= sum(c in "0123456789" for c in m[0]) <= 15] if "+" in text else []
     return out
 
 
-def _hashes(values: list[str]) -> list[int]:
+def _hashes(values: list[str]) -> np.ndarray:
     """Of strings in which white space is taken out, as each is one word to the kernel."""
-    out: list[int] = []
+    out = [np.empty(0, dtype=np.uint64)]
     for part in slices(pa.array([re.sub(r"[\x20\x09-\x0D]", "", v) for v in values], pa.string()), lower=True):
-        out += part.word_hashes().view(np.int64).tolist()
-    return out
+        out.append(part.word_hashes())
+    return np.concatenate(out).view(np.int64)
 
 
 def _terms(part: Slice) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, document, first byte, end) of every term of a slice; words of punctuation alone are none."""
+    """(hash, whether it is a term, first byte, end) of every word of a slice; words of punctuation alone are no terms."""
     n = len(part.data)
     inner = ~PUNCTUATION[part.data]
     after = np.minimum.accumulate(np.where(inner, np.arange(n), n)[::-1])[::-1]
     before = np.maximum.accumulate(np.where(inner, np.arange(n), -1))
     starts, ends = after[part.starts], before[part.ends - 1] + 1
     some = starts < ends
-    document = np.repeat(np.arange(part.documents), part.counts())[some]
-    starts, ends = starts[some], ends[some]
-    return range_hashes(BYTE_VALUES[part.data], starts, ends, BYTE_BASE, BYTE_INVERSE), document, starts, ends
-
-
-def _nearby(text: str, found: list[tuple[int, int, int]], values: list[int]) -> list[dict]:
-    """Terms within CONTEXT words of an entity, none that overlaps one."""
-    reach = 64 * CONTEXT
-    pairs: list[tuple[str, int]] = []
-    for i, (_, start, stop) in enumerate(found):
-        low = max(0, start - reach)
-        before = [m.span() for m in WORD.finditer(text, low, start) if m.start() > low or low == 0 or text[low - 1] in " \t\n\x0b\x0c\r"]
-        high = min(len(text), stop + reach)
-        after = [m.span() for m in WORD.finditer(text, stop, high) if m.end() < high or high == len(text)]
-        # a word that touches the entity is part of it
-        before = [x for x in before if x[1] < start][-CONTEXT:]
-        after = [x for x in after if x[0] > stop][:CONTEXT]
-        for a, b in before + after:
-            term = text[a:b].strip(MARGIN)
-            if term and all(b <= s or e <= a for _, s, e in found):
-                pairs.append((term, i))
-    return [{"term": t, "entity": values[i]} for t, (_, i) in zip(_hashes([p[0] for p in pairs]), pairs, strict=True)]
-
-
-def _masked(text: str, found: list[tuple[int, int, int]]) -> str:
-    """The text with entities as punctuation, so that none of their parts is a term."""
-    out = list(text)
-    for _, a, b in found:
-        out[a:b] = "@" * (b - a)
-    return "".join(out)
+    return byte_hashes(part.data, starts, np.maximum(starts, ends)), some, starts, ends
+
+
+def _places(part: Slice, d: int, found: list[tuple[int, int, int]]) -> tuple[np.ndarray, np.ndarray]:
+    """First bytes and ends in the slice of the entities of its document d."""
+    low, high = part.bounds[d], part.bounds[d + 1]
+    points = np.append(np.flatnonzero((part.data[low:high] & 0xC0) != 0x80), high - low) + low
+    return points[[x[1] for x in found]], points[[x[2] for x in found]]
+
+
+def _met(part: Slice, d: int, places: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """Which words of document d overlap one of its entities."""
+    starts, ends = (x[part.first_word[d] : part.first_word[d + 1]] for x in (part.starts, part.ends))
+    change = np.zeros(len(starts) + 1, dtype=np.int64)
+    np.add.at(change, np.searchsorted(ends, places[0], side="right"), 1)
+    np.add.at(change, np.searchsorted(starts, places[1]), -1)
+    return np.cumsum(change[:-1]) > 0
+
+
+def _nearby(part: Slice, d: int, places: tuple[np.ndarray, np.ndarray], free: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(word of the document, entity) for the words within CONTEXT words of an entity that are free, by entity. A word
+    that touches an entity is part of it."""
+    starts, ends = (x[part.first_word[d] : part.first_word[d + 1]] for x in (part.starts, part.ends))
+    before, after = np.searchsorted(ends, places[0]), np.searchsorted(starts, places[1], side="right")
+    word = np.concatenate([before[:, None] - 1 - np.arange(CONTEXT), after[:, None] + np.arange(CONTEXT)], axis=1).ravel()
+    entity = np.repeat(np.arange(len(before)), 2 * CONTEXT)
+    some = (word >= 0) & (word < len(starts))
+    some[some] = free[word[some]]
+    return word[some], entity[some]
+
+
+def _lists(values: list[np.ndarray]) -> pa.ListArray:
+    bounds = np.cumsum([0, *map(len, values)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(bounds), pa.array(np.concatenate([np.empty(0, np.int64), *values])))
 
 
 def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    none = np.empty(0, dtype=np.int64)
     for batch in batches:
         texts = batch["text"].to_pylist()
         found = [entities(x) for x in texts]
-        values = [_hashes([f"{KINDS[k]}:{x[a:b]}" for k, a, b in f]) if f else [] for x, f in zip(texts, found, strict=True)]
-        near = [_nearby(x, f, v) if f else [] for x, f, v in zip(texts, found, values, strict=True)]
-        terms: list = [None] * len(texts)
-        for part in slices(pa.array([_masked(x, f) if f else "" for x, f in zip(texts, found, strict=True)], pa.string()), lower=True):
-            hashes, document, _, _ = _terms(part)
-            heads = np.searchsorted(document, np.arange(part.documents + 1))
-            for d in np.flatnonzero(np.diff(heads)):
-                terms[part.first_row + d] = np.unique(hashes[heads[d] : heads[d + 1]]).view(np.int64)
-        words = np.concatenate([part.counts() for part in slices(batch["text"])]) if texts else np.zeros(0, np.int64)
-        spans = [[{"rank": r, "start": a, "stop": b} for r, a, b in f] for f in found]
-        i32, i64 = pa.int32(), pa.int64()
-        yield pa.RecordBatch.from_arrays(
-            [
-                batch["doc_id"], batch["key"], pa.array(spans, pa.list_(pa.struct([("rank", i32), ("start", i32), ("stop", i32)]))),
-                pa.array(near, pa.list_(pa.struct([("term", i64), ("entity", i64)]))), pa.array([sorted(set(v)) for v in values], pa.list_(i64)),
-                pa.array(terms, pa.list_(i64)), pa.array(words.astype(np.int64)),
-            ],
-            names=["doc_id", "key", "entities", "near", "own", "terms", "n_words"],
-        )
-
-
-def _bit(terms: np.ndarray) -> np.ndarray:
-    return (mix(terms.view(np.uint64)) % U64(BITS)).astype(np.int64)
-
-
-def _bits_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        at = _bit(batch["term"].to_numpy(zero_copy_only=False).copy())
-        yield pa.RecordBatch.from_arrays([pa.array(at // BIT_GROUP), pa.array((at % BIT_GROUP).astype(np.int32))], names=["part", "at"])
+        bounds = np.cumsum([0, *map(len, found)])
+        values = _hashes([f"{KINDS[k]}:{x[a:b]}" for x, f in zip(texts, found, strict=True) for k, a, b in f])
+        near_term, near_entity, terms, words = [none] * len(texts), [none] * len(texts), [none] * len(texts), []
+        for part in slices(batch["text"], lower=True):
+            words.append(part.counts())
+            mine = [d for d in range(part.documents) if found[part.first_row + d]]
+            if not mine:
+                continue
+            hashes, some, _, _ = _terms(part)
+            for d in mine:
+                row, own = part.first_row + d, slice(part.first_word[d], part.first_word[d + 1])
+                places = _places(part, d, found[row])
+                free = some[own] & ~_met(part, d, places)
+                word, entity = _nearby(part, d, places, free)
+                near_term[row], near_entity[row] = hashes[own][word].view(np.int64), values[bounds[row] + entity]
+                terms[row] = np.unique(hashes[own][free]).view(np.int64)
+        flat = [np.array([x[i] for f in found for x in f], dtype=np.int32) for i in range(3)]
+        spans = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.StructArray.from_arrays([pa.array(x) for x in flat], names=["rank", "start", "stop"]))
+        near, entity = _lists(near_term), _lists(near_entity)
+        near = pa.ListArray.from_arrays(near.offsets, pa.StructArray.from_arrays([near.values, entity.values], names=["term", "entity"]))
+        own = _lists([np.unique(values[a:b]) for a, b in zip(bounds, bounds[1:])])
+        n_words = pa.array(np.concatenate([none, *words]).astype(np.int64))
+        yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["key"], spans, near, own, _lists(terms), n_words], names=["doc_id", "key", "entities", "near", "own", "terms", "n_words"])
+
+
+class Bits:
+    """A bit array that tells most values that were not put in from those that were."""
+
+    def __init__(self, size: int):
+        self.size, self.table = size, np.zeros(size // 8, dtype=np.uint8)
+
+    def places(self, values: np.ndarray) -> np.ndarray:
+        return (mix(values.view(np.uint64)) % U64(self.size)).astype(np.int64)
+
+    def has(self, values: np.ndarray) -> np.ndarray:
+        at = self.places(values)
+        return (self.table[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
+
+
+def _bits_of(size: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = Bits(size)
+        for batch in batches:
+            at = bits.places(batch["term"].to_numpy(zero_copy_only=False).copy())
+            yield pa.RecordBatch.from_arrays([pa.array(at // BIT_GROUP), pa.array((at % BIT_GROUP).astype(np.int32))], names=["part", "at"])
+
+    return run
 
 
-def _bits(values: DataFrame) -> bytes:
-    """A bit for each of values(term): of fixed size, however many there are."""
-    parts = values.distinct().mapInArrow(_bits_of, "part long, at int").groupBy("part").agg(F.collect_set("at").alias("at"))
-    bits = np.zeros(BITS, dtype=bool)
-    for row in parts.toLocalIterator():
-        bits[row.part * BIT_GROUP + np.array(row.at)] = True
-    return np.packbits(bits).tobytes()
+def _bits(values: DataFrame) -> Bits:
+    """Bits of all values(term), BITS_EACH for each up to MOST_BITS; beyond that more values pass, and joins stay exact."""
+    size = min(MOST_BITS, max(LEAST_BITS, 1 << int(values.count() * BITS_EACH).bit_length()))
+    parts = values.distinct().mapInArrow(_bits_of(size), "part long, at int").groupBy("part").agg(F.collect_set("at").alias("at"))
+    bits = Bits(size)
+    for row in parts.toLocalIterator():  # of BIT_GROUP bits each
+        at = row.part * BIT_GROUP + np.array(row.at)
+        np.bitwise_or.at(bits.table, at >> 3, (1 << (at & 7)).astype(np.uint8))
+    return bits
 
 
-def _table(bits) -> np.ndarray:
-    return np.unpackbits(np.frombuffer(bits.value, np.uint8)).astype(bool)
+class Sums:
+    """Sums of numbers by key, of a bounded number of keys at a time."""
 
+    def __init__(self, keys: list[str], values: list[str]):
+        self.names, self.n_keys, self.parts, self.held, self.summed = keys + values, len(keys), [], 0, 0
 
-def _count(bits):
-    """term, n, docs: occurrences and rows of each batch."""
+    def add(self, *columns: np.ndarray) -> Iterator[pa.RecordBatch]:
+        self.parts.append(np.stack([x.view(np.int64) for x in columns]))
+        self.held += len(columns[0])
+        if self.held > self.summed + SUMS_HELD:
+            self._sum()
+            if self.held > SUMS_HELD:
+                yield from self.rest()
+
+    def _sum(self) -> None:
+        rows = np.concatenate(self.parts, axis=1) if self.parts else np.empty((len(self.names), 0), dtype=np.int64)
+        keys = rows[: self.n_keys]
+        order = np.lexsort(keys)
+        rows, keys = rows[:, order], keys[:, order]
+        heads = np.flatnonzero(np.append(np.ones(min(1, keys.shape[1]), dtype=bool), (keys[:, 1:] != keys[:, :-1]).any(axis=0)))
+        sums = [np.add.reduceat(x, heads) if len(heads) else x for x in rows[self.n_keys :]]
+        self.parts, self.held = [np.concatenate([keys[:, heads], np.stack(sums)])], len(heads)
+        self.summed = self.held
+
+    def rest(self) -> Iterator[pa.RecordBatch]:
+        self._sum()
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in self.parts[0]], names=self.names)
+        self.parts, self.held, self.summed = [], 0, 0
+
+
+def _count(shared):
+    """term, n, docs: occurrences and rows of each task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = _table(bits)
+        bits: Bits = shared.value
+        sums = Sums(["term"], ["n", "docs"])
         for batch in batches:
-            every, once = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)]
             for part in slices(batch["text"], lower=True):
-                hashes, document, _, _ = _terms(part)
-                some = table[_bit(hashes)]
-                hashes, document = hashes[some], document[some]
+                hashes, some, _, _ = _terms(part)
+                some = np.flatnonzero(some)
+                some = some[bits.has(hashes[some])]
+                hashes, document = hashes[some], part.documents_of(some)
                 order = np.lexsort((hashes, document))
                 hashes, document = hashes[order], document[order]
-                fresh = np.ones(len(hashes), dtype=bool)
+                fresh = np.ones(len(hashes), dtype=np.int64)
                 fresh[1:] = (hashes[1:] != hashes[:-1]) | (document[1:] != document[:-1])
-                every.append(hashes)
-                once.append(hashes[fresh])
-            terms, n = np.unique(np.concatenate(every), return_counts=True)
-            docs = np.unique(np.concatenate(once), return_counts=True)[1]
-            yield pa.RecordBatch.from_arrays([pa.array(terms.view(np.int64)), pa.array(n.astype(np.int64)), pa.array(docs.astype(np.int64))], names=["term", "n", "docs"])
+                yield from sums.add(hashes, np.ones(len(hashes), dtype=np.int64), fresh)
+        yield from sums.rest()
 
     return run
 
 
-def _document_pairs(bits):
+def _document_pairs(shared):
     """term, entity, docs of the documents' terms and those of their entities that have a bit, summed in the task."""
 
-    def sums(terms: list[np.ndarray], own: list[np.ndarray]) -> pa.RecordBatch:
-        both = np.stack([np.concatenate(terms), np.concatenate(own)], axis=1) if terms else np.zeros((0, 2), np.int64)
-        order = np.lexsort((both[:, 0], both[:, 1]))
-        both = both[order]
-        heads = np.flatnonzero(np.concatenate([[True], (both[1:] != both[:-1]).any(axis=1)])) if len(both) else np.zeros(0, np.int64)
-        n = np.diff(np.append(heads, len(both))).astype(np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(both[heads, 0]), pa.array(both[heads, 1]), pa.array(n)], names=["term", "entity", "docs"])
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = _table(bits)
-        terms, own, held = [], [], 0
+        bits: Bits = shared.value
+        sums = Sums(["term", "entity"], ["docs"])
         for batch in batches:
             for t, e in zip(batch["terms"], batch["own"], strict=True):
                 t, e = np.array(t.as_py() or [], np.int64), np.array(e.as_py() or [], np.int64)
-                for value in e[table[_bit(e)]] if len(t) else ():
-                    terms.append(t)
-                    own.append(np.full(len(t), value))
-                    held += len(t)
-                    if held > PAIRS_HELD:
-                        yield sums(terms, own)
-                        terms, own, held = [], [], 0
-        yield sums(terms, own)
+                for value in e[bits.has(e)] if len(t) else ():
+                    yield from sums.add(t, np.full(len(t), value), np.ones(len(t), dtype=np.int64))
+        yield from sums.rest()
 
     return run
 
 
-def _occurrences(bits):
+def _occurrences(shared):
     """key, term, start, stop of the terms that have a bit, none that overlaps an entity."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = _table(bits)
+        bits: Bits = shared.value
         for batch in batches:
-            keys = batch["key"].to_pylist()
-            rows: list[tuple] = []
+            row, term, start, stop = ([np.empty(0, dtype=np.int64)] for _ in range(4))
             for part in slices(batch["text"], lower=True):
-                hashes, document, starts, ends = _terms(part)
-                some = np.flatnonzero(table[_bit(hashes)])
-                if not len(some):
+                hashes, some, starts, ends = _terms(part)
+                some &= bits.has(hashes)
+                document = part.documents_of(np.flatnonzero(some))
+                for d in np.unique(document).tolist():
+                    own = slice(part.first_word[d], part.first_word[d + 1])
+                    found = entities(batch["text"][part.first_row + d].as_py())
+                    if found:
+                        some[own] &= ~_met(part, d, _places(part, d, found))
+                at = np.flatnonzero(some)
+                if not len(at):
                     continue
+                document = part.documents_of(at)
                 points = np.concatenate([[0], np.cumsum((part.data & 0xC0) != 0x80)])  # code points before each byte
-                held: dict[int, list] = {}
-                for i in some:
-                    d = int(document[i])
-                    if d not in held:
-                        held[d] = entities(batch["text"][part.first_row + d].as_py())
-                    base = points[part.bounds[d]]
-                    a, b = int(points[starts[i]] - base), int(points[ends[i]] - base)
-                    if all(b <= s or e <= a for _, s, e in held[d]):
-                        rows.append((keys[part.first_row + d], int(hashes[i].view(np.int64)), a, b))
-            columns = list(zip(*rows, strict=True)) if rows else [[]] * 4
-            types = [pa.int64(), pa.int64(), pa.int32(), pa.int32()]
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, types, strict=True)], names=["key", "term", "start", "stop"])
+                base = points[part.bounds[document]]
+                row.append(document + part.first_row)
+                term.append(hashes[at].view(np.int64))
+                start.append(points[starts[at]] - base)
+                stop.append(points[ends[at]] - base)
+            keys = batch["key"].take(pa.array(np.concatenate(row)))
+            yield pa.RecordBatch.from_arrays([keys, pa.array(np.concatenate(term)), *(pa.array(np.concatenate(x).astype(np.int32)) for x in (start, stop))], names=["key", "term", "start", "stop"])
 
     return run
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    arrow_batch_rows(docs.sparkSession)
-    return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("key", F.xxhash64("doc_id", "text"))
+    prepare(docs.sparkSession)
+    return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("key", row_key("doc_id", "text"))
 
 
 def disclosing(found: DataFrame, texts: DataFrame) -> DataFrame:
@@ -282,7 +331,7 @@ def _term_spans(found: DataFrame, texts: DataFrame) -> DataFrame:
     """key and its term spans, of every occurrence in the corpus; rows that repeat have one key and the same spans."""
     terms = written(disclosing(found, texts), "disclosing")
     shared = texts.sparkSession.sparkContext.broadcast(_bits(terms.select("term")))
-    places = texts.select("key", "text").mapInArrow(_occurrences(shared), "key long, term long, start int, stop int")
+    places = texts.select("key", "text").mapInArrow(_occurrences(shared), "key binary, term long, start int, stop int")
     best = places.join(terms, "term").groupBy("key", "start", "stop").agg(F.max("share").alias("share"))
     return best.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("start", "stop", F.expr(f"share >= {REMOVE}D").alias("remove")))).alias("terms"))
 
@@ -336,7 +385,7 @@ def sanitise(docs: DataFrame) -> DataFrame:
     found = written(texts.mapInArrow(_find, FOUND), "entities")
     terms = _term_spans(found, texts)
     own = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
-    keyed = docs.select(own, F.xxhash64("doc_id", F.coalesce("text", F.lit(""))).alias("key"))
+    keyed = docs.select(own, "doc_id", F.coalesce("text", F.lit("")).alias("text")).select("row", row_key("doc_id", "text").alias("key"))
     clean = keyed.join(terms, "key", "left").withColumn("clean", _sanitise("row.text", "terms"))
     new = {"text": F.col("clean")} | ({"n_chars": F.length("clean").cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {})
     return clean.select(*(new.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns))
