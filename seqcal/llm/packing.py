@@ -21,8 +21,8 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from .storage import arrow_batch_rows
-from .tokens import Encoder, tokenizer_path
+from .storage import prepare
+from .tokens import Encoder, encoder, tokenizer_path
 
 SIZE = 1024
 END_ID = 0
@@ -33,9 +33,9 @@ BLOCK = 1 << 18
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
-def sentence_ends(encoder: Encoder) -> np.ndarray:
+def sentence_ends(own: Encoder) -> np.ndarray:
     """For each id whether a sentence may end after it: . ! ? or a line end (byte-level form) closes its string."""
-    vocabulary = encoder.tokenizer.get_vocab()
+    vocabulary = own.tokenizer.get_vocab()
     table = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
     table[[i for x, i in vocabulary.items() if x.endswith((".", "!", "?", "Ċ"))]] = True
     return table
@@ -137,10 +137,10 @@ def _pack(path: str, end_id: int, size: int):
         return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), types, strict=True)], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder.of(path)
-        packer = Packer(sentence_ends(encoder), TaskContext.get().partitionId() << 36, size)
+        own = encoder(path)
+        packer = Packer(sentence_ends(own), TaskContext.get().partitionId() << 36, size)
         for batch in batches:
-            ids, bounds = encoder.encode_with_end(batch["text"], end_id)
+            ids, bounds = own.encode_with_end(batch["text"], end_id)
             for doc_id, a, b in zip(batch["doc_id"].to_pylist(), bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
                 packer.add(doc_id, ids[a:b])
                 if packer.held >= BLOCK and (rows := packer.packed(False)):
@@ -158,6 +158,6 @@ def pack(docs: DataFrame, size: int = SIZE, end_id: int = END_ID, tokenizer: str
     A null text is empty and packs as its end id alone; rows without doc_id and repeated rows are packed like others.
     A sequence holds size ids at most; its pieces leave no gap. An empty table has no pieces.
     """
-    arrow_batch_rows(docs.sparkSession, 512)
+    prepare(docs.sparkSession)
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     return docs.mapInArrow(_pack(tokenizer or tokenizer_path(), end_id, size), PIECES)
