@@ -1,13 +1,13 @@
-"""Quality classifier: interpolated modified Kneser-Ney model of words' bytes, trained on trusted text of each language.
+"""Quality classifier: interpolated modified Kneser-Ney model of bytes, trained on trusted text of each language.
 
-The symbols of a word are its bytes in lower case, a start and an end; a word's probability is that of its symbols,
-each after the ORDER - 1 before it, so a document's perplexity needs only its distinct words. Plan: (1) one pass counts
-the n-grams of all trusted documents, each task's sums meeting in one shuffle; (2) continuation counts, discounts
+A document is one stream of bytes in lower case with one space for every run of white space and at its end; a symbol's
+probability follows from the ORDER - 1 before it, over the ends of words. Plan: (1) one pass counts the n-grams of the
+trusted documents, but for a held-out fifth, each task's sums meeting in one shuffle; (2) continuation counts, discounts
 (Chen and Goodman, 1999), back-off weights and probabilities are group-bys and joins on the n-gram tables; (3) the
-model is dealt to shards by the last symbol of the context, SHARD_ROWS rows at most in a shard, and every shard is
-joined with the documents' words where these lie: a pass adds up a document's log-probabilities for one shard, and a sum
-over shards gives its perplexity. Up to SHARD_ROWS the model is one shard. (4) A language's threshold is a quantile of
-its trusted documents' perplexities, with some slack.
+model is dealt to shards by the last two symbols of the context, about SHARD_ROWS rows in each, and the shards are
+joined one after another with the documents' n-grams where these lie: a pass adds up the log-probabilities of one shard,
+and a sum over the shards gives each document's perplexity. (4) Quantiles of a language's held-out documents bound the
+perplexity by symbol from above, where scrambled text is, and that by word on both sides, as repetition is below.
 """
 
 from __future__ import annotations
@@ -16,73 +16,64 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from .storage import arrow_batch_rows, written
-from .words import LOWER, Slice, slices
+from .storage import prepare, row_key, written
+from .words import LOWER, SPACE, U64, Slice, mix, slices
 
-ORDER, SYMBOL_BITS, START, END, SYMBOLS = 4, 9, 0, 1, 258
-QUANTILE, SLACK, SHARD_ROWS, LANGUAGES = 0.99, 1.25, 2_000_000, 4096
+ORDER, SYMBOL_BITS, START, BLANK, SYMBOLS = 6, 8, 0x09, 0x20, 256
+MOST, WORD_LEAST, WORD_MOST = 0.99, 0.005, 0.995  # quantiles
+HELD_OUT, SHARD_ROWS, COUNT_SLICE = 5, 2_000_000, 1 << 20
 
 GRAMS = "lang string, gram long, n long"
-SCORED = "doc_id long, key long, lang string, n_symbols long, log_probability double"
-
-
-def word_symbols(part: Slice, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(packed n-grams of ORDER symbols, index into words) of every symbol of the words, ends included."""
-    starts, n = part.starts[words], part.ends[words] - part.starts[words] + 1
-    owner = np.repeat(np.arange(len(words)), n)
-    place = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-    at = starts[owner] + place
-    last = place == n[owner] - 1
-    data = part.data.astype(np.int64) + 2
-    symbol = np.where(last, END, data[np.minimum(at, len(data) - 1)]) if len(data) else np.empty(0, dtype=np.int64)
-    gram = symbol.copy()
+
+
+def stream_grams(part: Slice) -> tuple[np.ndarray, np.ndarray]:
+    """(packed n-grams of ORDER symbols, document) of every symbol of a slice; a document without words has none."""
+    inside = ~SPACE[part.data]
+    inside[part.ends[part.ends < len(part.data)]] = True  # the space behind a word
+    document = np.repeat(np.arange(part.documents), np.diff(part.bounds))
+    last = part.ends[part.first_word[1:][part.counts() > 0] - 1]
+    symbol, owner = np.where(SPACE[part.data], BLANK, part.data)[inside], document[inside]
+    # a text that ends with a word gets its last space, and no other text's first byte is one
+    place = np.cumsum(np.concatenate([[0], inside]))
+    at = place[last]
+    bare = np.ones(len(last), dtype=bool)
+    within = last < part.bounds[1:][part.counts() > 0]
+    bare[within] = False
+    symbol = np.insert(symbol, at[bare], BLANK)
+    owner = np.insert(owner, at[bare], np.flatnonzero(part.counts() > 0)[bare])
+    gram = symbol.astype(np.int64)
     for back in range(1, ORDER):
-        before = np.where(place >= back, data[np.maximum(at - back, 0)] if len(data) else 0, START)
+        before = np.full(len(symbol), START, dtype=np.int64)
+        same = owner[back:] == owner[:-back]
+        before[back:][same] = symbol[:-back][same]
         gram |= before << (SYMBOL_BITS * back)
     return gram, owner
 
 
-def _distinct_words(part: Slice, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(first place, inverse) of the distinct pairs of a group number and a word."""
-    hashes = part.word_hashes() + group.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    _, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
-    return first, inverse
-
-
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         langs = batch["lang"].dictionary_encode()
-        codes, names = langs.indices.to_numpy(zero_copy_only=False), langs.dictionary.to_pylist()
-        grams: list[np.ndarray] = []
-        counts: list[np.ndarray] = []
-        for part in slices(batch["text"], table=LOWER):
-            lang = np.repeat(codes[part.first_row : part.first_row + part.documents], part.counts())
-            first, inverse = _distinct_words(part, lang)
-            gram, owner = word_symbols(part, first)
-            often = np.bincount(inverse, minlength=len(first))
-            grams.append(gram | lang[first][owner].astype(np.int64) << (SYMBOL_BITS * ORDER))
-            counts.append(often[owner])
-        both, inverse = np.unique(np.concatenate(grams) if grams else np.empty(0, np.int64), return_inverse=True)
-        n = np.bincount(inverse, weights=np.concatenate(counts) if counts else None, minlength=len(both)).astype(np.int64)
-        lang = both >> (SYMBOL_BITS * ORDER)
-        yield pa.RecordBatch.from_arrays([pa.array([names[i] for i in lang.tolist()], pa.string()), pa.array(both & ((1 << (SYMBOL_BITS * ORDER)) - 1)), pa.array(n)], names=["lang", "gram", "n"])
+        codes, names = langs.indices.to_numpy(zero_copy_only=False), pa.array(langs.dictionary, pa.string())
+        for part in slices(batch["text"], table=LOWER, limit=COUNT_SLICE):
+            gram, owner = stream_grams(part)
+            both, n = np.unique(gram | codes[part.first_row + owner].astype(np.int64) << (SYMBOL_BITS * ORDER), return_counts=True)
+            yield pa.RecordBatch.from_arrays([names.take(pa.array(both >> (SYMBOL_BITS * ORDER))), pa.array(both & ((1 << (SYMBOL_BITS * ORDER)) - 1)), pa.array(n)], names=["lang", "gram", "n"])
 
 
 def gram_counts(trusted: DataFrame) -> DataFrame:
     """lang, gram, n of the ORDER-grams of trusted(lang, text)."""
+    prepare(trusted.sparkSession)
     texts = trusted.select("lang", F.coalesce("text", F.lit("")).alias("text")).filter("lang is not null")
     return texts.mapInArrow(_count, GRAMS).groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
 def lower_counts(grams: DataFrame, order: int) -> DataFrame:
-    """Continuation counts of order - 1: in how many contexts a gram stands; grams at a word's start keep their counts."""
+    """Continuation counts of order - 1: in how many contexts a gram stands; grams at a text's start keep their counts."""
     keep = (1 << (SYMBOL_BITS * (order - 1))) - 1
     shorter = F.col("gram").bitwiseAND(F.lit(keep))
-    start = F.shiftright(shorter, SYMBOL_BITS * (order - 2)) == START
-    if order == 2:
-        start = F.lit(False)
+    start = (F.shiftright(shorter, SYMBOL_BITS * (order - 2)) == START) if order > 2 else F.lit(False)
     return grams.groupBy("lang", shorter.alias("gram")).agg(F.sum(F.when(start, F.col("n")).otherwise(1)).alias("n"))
 
 
@@ -125,36 +116,47 @@ def model_table(trusted: DataFrame) -> DataFrame:
     return out
 
 
-class Shard:
-    """Sorted keys of (language, kind, gram) with their values; owns the contexts whose last symbol it is dealt."""
+def _pair_shard(pair: np.ndarray, shards: int) -> np.ndarray:
+    return (mix(pair.astype(np.uint64)) % U64(shards)).astype(np.int64)
+
 
-    def __init__(self, languages: list[str], keys: np.ndarray, values: np.ndarray, number: int, shards: int):
-        order = np.argsort(keys)
-        self.languages = {x: i for i, x in enumerate(languages)}
-        self.keys, self.values, self.number, self.shards = keys[order], values[order], number, shards
+class Shard:
+    """Sorted (language, gram) keys with their values, by kind; owns the contexts whose last two symbols it is dealt."""
+
+    def __init__(self, rows, number: int, shards: int):
+        self.languages = {x: i for i, x in enumerate(sorted(set(rows["lang"])))}
+        self.number, self.shards = number, shards
+        lang, kind, gram, value = rows["lang"].map(self.languages).to_numpy(np.int64), rows["kind"].to_numpy(), rows["gram"].to_numpy(np.int64), rows["value"].to_numpy(float)
+        self.tables = {}
+        for k in np.unique(kind).tolist():
+            own = kind == k
+            keys = self.pack(lang[own], gram[own])
+            order = np.argsort(keys)
+            self.tables[k] = keys[order], value[own][order].astype(np.float32)
 
     @staticmethod
-    def pack(language: np.ndarray, kind: int, gram: np.ndarray) -> np.ndarray:
-        return (language * 16 + kind + 8) << (SYMBOL_BITS * ORDER) | gram
+    def pack(language: np.ndarray, gram: np.ndarray) -> np.ndarray:
+        return language << (SYMBOL_BITS * ORDER) | gram
 
-    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        if not len(self.keys):
+    def find(self, kind: int, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        known, values = self.tables.get(kind, (np.empty(0, np.int64), np.empty(0)))
+        if not len(known):
             return np.zeros(len(keys), dtype=bool), np.zeros(len(keys))
-        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        return self.keys[at] == keys, self.values[at]
+        at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+        return known[at] == keys, values[at].astype(float)
 
     def log_probability(self, language: np.ndarray, gram: np.ndarray) -> np.ndarray:
         """Of each gram's last symbol after the others, with back-off; 0 for contexts of other shards."""
         out = np.zeros(len(gram))
-        open_ = np.flatnonzero((gram >> SYMBOL_BITS & (1 << SYMBOL_BITS) - 1) % self.shards == self.number)
+        open_ = np.flatnonzero(_pair_shard(gram >> SYMBOL_BITS & (1 << 2 * SYMBOL_BITS) - 1, self.shards) == self.number)
         for order in range(ORDER, 0, -1):
             g, lang = gram[open_] & (1 << SYMBOL_BITS * order) - 1, language[open_]
-            seen, value = self.find(self.pack(lang, order, g))
+            seen, value = self.find(order, self.pack(lang, g))
             out[open_[seen]] += value[seen]
             open_, g, lang = open_[~seen], g[~seen], lang[~seen]
-            known, weight = self.find(self.pack(lang, -order, g >> SYMBOL_BITS))
+            known, weight = self.find(-order, self.pack(lang, g >> SYMBOL_BITS))
             out[open_[known]] += weight[known]
-        out[open_] -= np.log(SYMBOLS)  # a symbol that no trusted word has
+        out[open_] -= np.log(SYMBOLS)  # a symbol that no trusted text has
         return out
 
 
@@ -163,70 +165,81 @@ def _score(shared):
         shard: Shard = shared.value
         for batch in batches:
             codes = np.array([shard.languages.get(x, -1) for x in batch["lang"].to_pylist()], dtype=np.int64)
-            totals, symbols = np.zeros(len(codes)), np.zeros(len(codes), dtype=np.int64)
-            for part in slices(batch["text"], table=LOWER):
-                if not len(part.starts):
-                    continue
-                document = np.repeat(np.arange(part.documents), part.counts()) + part.first_row
-                first, inverse = _distinct_words(part, codes[document])
-                gram, owner = word_symbols(part, first)
-                score = np.bincount(owner, weights=shard.log_probability(codes[document[first]][owner], gram), minlength=len(first))
-                totals += np.bincount(document, weights=score[inverse], minlength=len(codes))
-                symbols += np.bincount(document, weights=(part.ends - part.starts + 1), minlength=len(codes)).astype(np.int64)
-            known = codes >= 0
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["key"], batch["lang"], pa.array(symbols), pa.array(totals, mask=~known)], names=["doc_id", "key", "lang", "n_symbols", "log_probability"])
+            totals, symbols, words = np.zeros(len(codes)), np.zeros(len(codes), dtype=np.int64), []
+            for part in slices(batch["text"], table=LOWER, limit=COUNT_SLICE):
+                gram, owner = stream_grams(part)
+                owner = owner + part.first_row
+                symbols += np.bincount(owner, minlength=len(codes))
+                words.append(part.counts())
+                some = codes[owner] >= 0
+                both, inverse = np.unique(Shard.pack(codes[owner[some]], gram[some]), return_inverse=True)
+                score = shard.log_probability(both >> (SYMBOL_BITS * ORDER), both & ((1 << SYMBOL_BITS * ORDER) - 1))
+                totals += np.bincount(owner[some], weights=score[inverse], minlength=len(codes))
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["key"], batch["lang"], pa.array(np.concatenate([np.empty(0, np.int64), *words])), pa.array(symbols), pa.array(totals, mask=codes < 0)], names=["doc_id", "key", "lang", "n_words", "n_symbols", "log_probability"])
 
     return run
 
 
-def _shards(model: DataFrame) -> Iterator[Shard]:
-    """The model in shards of about SHARD_ROWS rows; order 1 stands in each."""
-    rows = model.count()
-    shards = max(1, -(-rows // SHARD_ROWS))
-    languages = [r.lang for r in model.filter("kind = 1").select("lang").distinct().orderBy("lang").limit(LANGUAGES + 1).collect()]
-    if len(languages) > LANGUAGES:
-        raise ValueError(f"more than {LANGUAGES} languages")
-    last = F.when(F.col("kind") < 0, F.col("gram")).otherwise(F.shiftright("gram", SYMBOL_BITS)).bitwiseAND(F.lit((1 << SYMBOL_BITS) - 1))
-    code = F.array_position(F.array(*map(F.lit, languages)), F.col("lang")) - 1 if languages else F.lit(0)
-    for number in range(shards):
-        own = model.filter((F.abs("kind") == 1) | (last % shards == number)).select(code.alias("lang"), "kind", "gram", "value").toPandas()
-        yield Shard(languages, Shard.pack(own["lang"].to_numpy(np.int64), own["kind"].to_numpy(np.int64), own["gram"].to_numpy(np.int64)), own["value"].to_numpy(float), number, shards)
-
-
 def perplexities(docs: DataFrame, model: DataFrame) -> DataFrame:
-    """doc_id, key, lang, n_symbols, perplexity for every row of docs(doc_id, text, lang); null without words or model."""
-    arrow_batch_rows(docs.sparkSession, 1024)
-    texts = docs.select("doc_id", "lang", F.coalesce("text", F.lit("")).alias("text")).withColumn("key", F.xxhash64("doc_id", "text", "lang"))
-    context, out, n = docs.sparkSession.sparkContext, None, 0
-    for shard in _shards(model):
-        part = texts.mapInArrow(_score(context.broadcast(shard)), SCORED)
-        out, n = part if out is None else out.union(part), n + 1
-    if n > 1:  # repeated rows have equal sums in each shard
-        out = out.groupBy("doc_id", "key", "lang", "n_symbols").agg((F.sum("log_probability")).alias("log_probability"), F.count("*").alias("parts"))
-        out = out.withColumn("log_probability", F.col("log_probability") * n / F.col("parts")).withColumn("copies", F.explode(F.sequence(F.lit(1), (F.col("parts") / n).cast("int")))).drop("copies", "parts")
-    return out.select("doc_id", "key", "lang", "n_symbols", F.when(F.col("n_symbols") > 0, F.exp(-F.col("log_probability") / F.col("n_symbols"))).alias("perplexity"))
+    """doc_id, lang, n_words, n_symbols and the perplexity by symbol and by word for every row of docs(doc_id, text, lang);
+    null without words or model."""
+    spark = docs.sparkSession
+    prepare(spark)
+    texts = docs.select("doc_id", "lang", F.coalesce("text", F.lit("")).alias("text")).withColumn("key", row_key("doc_id", "text", "lang"))
+    shards = max(1, -(-model.count() // SHARD_ROWS))
+    pair = F.when(F.col("kind") < 0, F.col("gram")).otherwise(F.shiftright("gram", SYMBOL_BITS)).bitwiseAND(F.lit((1 << 2 * SYMBOL_BITS) - 1))
+    numbered = spark.createDataFrame([(i, int(n)) for i, n in enumerate(_pair_shard(np.arange(1 << 2 * SYMBOL_BITS), shards))], "pair long, shard long")  # a row for each pair of symbols
+    dealt = written(model.withColumn("pair", pair).join(F.broadcast(numbered), "pair").drop("pair"), "shards")
+    parts = []
+    for number in range(shards):  # one shard at a time on the driver and the executors; orders 1 and 2 are in each
+        rows = dealt.filter((F.abs("kind") <= 2) | (F.col("shard") == number)).select("lang", "kind", "gram", "value").toPandas()
+        shard = spark.sparkContext.broadcast(Shard(rows, number, shards))
+        parts.append(written(texts.mapInArrow(_score(shard), "doc_id long, key binary, lang string, n_words long, n_symbols long, log_probability double"), "scores").withColumn("number", F.lit(number)))
+        shard.unpersist()
+    out = parts[0].select("doc_id", "key", "lang", "n_words", "n_symbols")
+    for part in parts[1:]:
+        parts[0] = parts[0].union(part)
+    total = parts[0].groupBy("key", "number").agg(F.max("log_probability").alias("l")).groupBy("key").agg(F.sum("l").alias("l"))  # repeated rows have one key
+    by = lambda n: F.when(F.col(n) > 0, F.exp(-F.col("l") / F.col(n)))
+    return out.join(total, "key").select("doc_id", "lang", "n_words", "n_symbols", by("n_symbols").alias("perplexity"), by("n_words").alias("word_perplexity"))
+
+
+def good_labels(labels: DataFrame) -> DataFrame:
+    """doc_id of the documents that a label calls good and none calls bad or toxic."""
+    return labels.filter("doc_id is not null").groupBy("doc_id").agg(F.min(F.expr("quality = 1 and coalesce(toxic, 0) = 0")).alias("good")).filter("good").select("doc_id")
 
 
 def trusted_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of docs that a label calls good and none calls bad or toxic.
+    """The rows of docs with a good label.
 
     Labels grow with the documents, so this is one shuffle of the texts at every size and never a broadcast.
     """
-    good = labels.filter("doc_id is not null").groupBy("doc_id").agg(F.min(F.expr("quality = 1 and coalesce(toxic, 0) = 0")).alias("good")).filter("good").select("doc_id")
-    return docs.join(good.hint("merge"), "doc_id", "left_semi")
+    return docs.join(good_labels(labels).hint("merge"), "doc_id", "left_semi")
+
 
+def held_out() -> Column:
+    """Whether a document is one of the fifth that the model isn't trained on."""
+    return F.pmod(F.xxhash64("doc_id"), F.lit(HELD_OUT)) == 0
 
-def quality_by_perplexity(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, slack: float = SLACK) -> DataFrame:
-    """doc_id, lang, n_symbols, perplexity, threshold, kept for every row of docs(doc_id, text, lang).
 
-    A document is kept if its perplexity is at most slack times the quantile of its language's trusted documents
-    (labels: quality 1, not toxic). Null and empty texts have no perplexity and aren't kept; a language without trusted
-    documents, also a null one, has no threshold and its documents are kept. Repeated rows are scored alike.
+def quality_by_perplexity(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """doc_id, lang, n_words, n_symbols, perplexity, word_perplexity, most, word_least, word_most, kept for every row of
+    docs(doc_id, text, lang).
+
+    A document is kept if its perplexities are within the quantiles MOST, WORD_LEAST and WORD_MOST of its language's
+    trusted documents (labels: quality 1, not toxic), of the held-out ones where there are any. Null and empty texts
+    have no perplexity and aren't kept; a language without trusted documents, also a null one, has no quantiles and its
+    documents are kept. Repeated rows are scored alike.
     """
     docs = docs.select("doc_id", "text", "lang")
-    model = written(model_table(trusted_documents(docs, labels)), "model")
+    model = written(model_table(trusted_documents(docs, labels).filter(~held_out())), "model")
     scored = written(perplexities(docs, model), "perplexities")
-    levels = trusted_documents(scored, labels).filter("perplexity is not null").groupBy("lang").agg((F.percentile_approx("perplexity", quantile, 10_000) * slack).alias("threshold"))
-    out = scored.join(F.broadcast(levels), "lang", "left")  # a row for each language
-    kept = (F.col("n_symbols") > 0) & F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(True))
-    return out.select("doc_id", "lang", "n_symbols", "perplexity", "threshold", kept.alias("kept"))
+    known = trusted_documents(scored, labels).filter("perplexity is not null")
+
+    def level(column: str, q: float) -> Column:
+        return F.coalesce(F.percentile_approx(F.when(held_out(), F.col(column)), q, 10_000), F.percentile_approx(column, q, 10_000))
+
+    levels = known.groupBy("lang").agg(level("perplexity", MOST).alias("most"), level("word_perplexity", WORD_LEAST).alias("word_least"), level("word_perplexity", WORD_MOST).alias("word_most"))
+    within = F.expr("perplexity <= most and word_perplexity between word_least and word_most")
+    kept = (F.col("n_symbols") > 0) & F.coalesce(within, F.lit(True))
+    return scored.join(levels, "lang", "left").select(*scored.columns, "most", "word_least", "word_most", kept.alias("kept"))
