@@ -227,7 +227,7 @@ def quality_by_perplexity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     docs(doc_id, text, lang).
 
     A document is kept if its perplexities are within the quantiles MOST, WORD_LEAST and WORD_MOST of its language's
-    trusted documents (labels: quality 1, not toxic), of the held-out ones where there are any. Null and empty texts
+    trusted documents (labels: quality 1, not toxic); for the upper bounds of the held-out ones where there are any. Null and empty texts
     have no perplexity and aren't kept; a language without trusted documents, also a null one, has no quantiles and its
     documents are kept. Repeated rows are scored alike.
     """
@@ -239,7 +239,9 @@ def quality_by_perplexity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     def level(column: str, q: float) -> Column:
         return F.coalesce(F.percentile_approx(F.when(held_out(), F.col(column)), q, 10_000), F.percentile_approx(column, q, 10_000))
 
-    levels = known.groupBy("lang").agg(level("perplexity", MOST).alias("most"), level("word_perplexity", WORD_LEAST).alias("word_least"), level("word_perplexity", WORD_MOST).alias("word_most"))
+    # documents that the model was trained on are below held-out ones, so the lower bound is that of all
+    least = F.percentile_approx("word_perplexity", WORD_LEAST, 10_000)
+    levels = known.groupBy("lang").agg(level("perplexity", MOST).alias("most"), least.alias("word_least"), level("word_perplexity", WORD_MOST).alias("word_most"))
     within = F.expr("perplexity <= most and word_perplexity between word_least and word_most")
     kept = (F.col("n_symbols") > 0) & F.coalesce(within, F.lit(True))
     return scored.join(levels, "lang", "left").select(*scored.columns, "most", "word_least", "word_most", kept.alias("kept"))

@@ -144,27 +144,33 @@ class Classifier:
         return z / z.sum(axis=1, keepdims=True)
 
     def fit(self, samples: list[np.ndarray], labels: np.ndarray) -> Classifier:
+        """AdaGrad on the whole sample; each round is two sums over its sorted features."""
         row = np.repeat(np.arange(len(samples)), [len(s) for s in samples])
         bucket, row = features(np.concatenate(samples), row)
-        bucket = bucket.astype(np.int64)
+        both, n = np.unique(row * BUCKETS + bucket.astype(np.int64), return_counts=True)
+        distinct, place = np.unique(both % BUCKETS, return_inverse=True)
+        row, n = both // BUCKETS, n.astype(np.float32)[:, None]
+        heads, order = np.searchsorted(row, np.arange(len(samples))), np.argsort(place, kind="stable")
+        bucket_heads, row_of, n_of = np.searchsorted(place[order], np.arange(len(distinct))), row[order], n[order]
         held = np.arange(len(samples)) % 5 == 4
         classes = self.weights.shape[1]
-        target = np.eye(classes)[labels]
-        scale = 1 / np.sqrt(np.maximum(np.bincount(row, minlength=len(samples)), 1))
+        target = np.eye(classes, dtype=np.float32)[labels]
+        scale = (1 / np.sqrt(np.maximum(np.add.reduceat(n[:, 0], heads), 1))).astype(np.float32)[:, None]
         weight = 1 / np.maximum(target[~held].sum(axis=0), 1)[labels]  # classes count alike
-        weight = np.where(held, 0, weight / weight[~held].sum())
-        # AdaGrad on the whole sample: each round is a few sums
-        seen, seen_bias = np.full((BUCKETS, classes), 1e-8), np.full(classes, 1e-8)
+        weight = np.where(held, 0, weight / weight[~held].sum()).astype(np.float32)[:, None]
+        w, seen, seen_bias = np.zeros((len(distinct), classes), dtype=np.float32), np.full((len(distinct), classes), 1e-8, dtype=np.float32), np.full(classes, 1e-8)
         for _ in range(ROUNDS):
-            slope = (self.probabilities(bucket, row, len(samples)) - target) * weight[:, None]
-            push = slope * scale[:, None]
-            for c in range(classes):
-                g = np.bincount(bucket, weights=push[row, c], minlength=BUCKETS) + 1e-6 * self.weights[:, c]
-                seen[:, c] += g * g
-                self.weights[:, c] -= (0.3 * g / np.sqrt(seen[:, c])).astype(np.float32)
-            g = slope.sum(axis=0)
+            z = np.add.reduceat(w[place] * n, heads, axis=0) * scale + self.bias.astype(np.float32)
+            z = np.exp(z - z.max(axis=1, keepdims=True))
+            slope = (z / z.sum(axis=1, keepdims=True) - target) * weight
+            g = np.add.reduceat((slope * scale)[row_of] * n_of, bucket_heads, axis=0) + 1e-6 * w
+            seen += g * g
+            w -= 0.3 * g / np.sqrt(seen)
+            g = slope.sum(axis=0, dtype=float)
             seen_bias += g * g
             self.bias -= 0.3 * g / np.sqrt(seen_bias)
+        self.weights[distinct] = w
+        bucket, row = np.repeat(both % BUCKETS, n[:, 0].astype(int)), np.repeat(row, n[:, 0].astype(int))
         z = self.logits(bucket, row, len(samples))[held]
         if len(z):
             losses = {}
