@@ -30,8 +30,11 @@ def table_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str, **options: str) -> DataFrame:
-    """df as a Parquet table in the shared folder: cuts the lineage, survives the loss of executors."""
-    path = table_path(df.sparkSession, name)
+def written(df: DataFrame, name: str, merge: bool = True, **options: str) -> DataFrame:
+    """df as a Parquet table in the shared folder: cuts the lineage, survives the loss of executors. With merge, small
+    partitions of a shuffle go to the same file: four files for each core, or one for eight partitions if that is more."""
+    spark, path = df.sparkSession, table_path(df.sparkSession, name)
+    if merge:
+        df = df.coalesce(max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")) // 8))
     df.write.options(**{"parquet.block.size": str(16 << 20)} | options).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
