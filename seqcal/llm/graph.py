@@ -1,4 +1,4 @@
-"""Connected components by alternating large and small stars (Kiveris et al., 2014), as joins on checkpointed edges."""
+"""Connected components by the least label of the neighbours and of the label itself, as joins on written tables."""
 
 from __future__ import annotations
 
@@ -7,27 +7,22 @@ from pyspark.sql import DataFrame, functions as F
 from .storage import written
 
 
-def _star(edges: DataFrame, large: bool) -> DataFrame:
-    if large:
-        both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).union(edges.select("b", "a"))
-    else:
-        both = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-    # written, so that both sides of the join are plain exchanges and Spark can split a hub's rows
-    least = written(both.groupBy("u").agg(F.min(F.least("u", "v")).alias("m")), "least")
-    joined = both.join(least, "u")
-    if large:
-        return joined.filter("v > u").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct()
-    return joined.select(F.col("v").alias("a"), F.col("m").alias("b")).union(least.select("u", "m")).filter("a <> b").distinct()
-
-
 def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
-    """node, component (the smallest node that it reaches) for every node with an edge; self-loops and repeats are fine."""
-    edges = written(edges.select(F.col(a).alias("a"), F.col(b).alias("b")).filter("a <> b").distinct(), "edges")
-    state = None
+    """node, component (the smallest node that it reaches) for every node with an edge; self-loops and repeats are fine.
+
+    A round takes each node's label to the least of its neighbours' labels, and then to the label that this node had, so
+    chains shorten by half. Least labels are summed before they are shuffled, and the joins' sides are plain exchanges,
+    so Spark can split a hub's rows.
+    """
+    ends = edges.select(F.col(a).alias("a"), F.col(b).alias("b")).filter("a <> b")
+    edges = written(ends.union(ends.select("b", "a")).distinct(), "edges")
+    labels = written(edges.groupBy(F.col("a").alias("node")).agg(F.min(F.least("a", "b")).alias("component")), "labels")
     while True:
-        edges = written(_star(written(_star(edges, True), "large"), False), "small")
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if now == state:
-            break
-        state = now
-    return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).union(edges.select("b", "b").distinct())
+        heard = edges.join(labels, edges.a == labels.node).groupBy(F.col("b").alias("node")).agg(F.min("component").alias("heard"))
+        nearer = labels.join(heard, "node").select("node", "component", F.least("component", "heard").alias("next"))
+        known = labels.select(F.col("node").alias("next"), F.col("component").alias("onward"))
+        rows = nearer.join(known, "next").select("node", F.least("next", "onward").alias("component"), (F.least("next", "onward") < F.col("component")).alias("changed"))
+        rows = written(rows, "labels")
+        labels = rows.select("node", "component")
+        if rows.filter("changed").isEmpty():
+            return labels

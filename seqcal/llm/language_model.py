@@ -194,7 +194,7 @@ def perplexities(docs: DataFrame, model: DataFrame) -> DataFrame:
     for number in range(shards):  # one shard at a time on the driver and the executors; orders 1 and 2 are in each
         rows = dealt.filter((F.abs("kind") <= 2) | (F.col("shard") == number)).select("lang", "kind", "gram", "value").toPandas()
         shard = spark.sparkContext.broadcast(Shard(rows, number, shards))
-        parts.append(written(texts.mapInArrow(_score(shard), "doc_id long, key binary, lang string, n_words long, n_symbols long, log_probability double"), "scores").withColumn("number", F.lit(number)))
+        parts.append(written(texts.mapInArrow(_score(shard), "doc_id long, key binary, lang string, n_words long, n_symbols long, log_probability double"), "scores", merge=False).withColumn("number", F.lit(number)))
         shard.unpersist()
     out = parts[0].select("doc_id", "key", "lang", "n_words", "n_symbols")
     for part in parts[1:]:

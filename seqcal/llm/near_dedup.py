@@ -134,8 +134,7 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> D
     """The pairs (a, b) whose full shingle sets are similar; each a's members are dealt out in groups of bounded size."""
     load = pairs.groupBy("a").agg(F.count("*").alias("members"))
     dealt = pairs.join(load, "a").select("a", "b", F.expr(f"pmod(xxhash64(b), cast((members + {HUB_MEMBERS - 1}) / {HUB_MEMBERS} as int))").alias("part"))
-    dealt = written(dealt, "candidates")
-    asked = dealt.select("a", "part", F.col("b").alias("node")).union(dealt.select("a", "part", "a").distinct())
+    asked = dealt.select("a", "part", F.explode(F.array("b", "a")).alias("node")).distinct()
     rows = asked.join(texts, "node").select("a", "part", "node", "text").repartition("a", "part")
     return rows.sortWithinPartitions("a", "part", F.col("node") != F.col("a")).mapInArrow(_confirm(size, percent), "a long, b long")
 
@@ -233,7 +232,7 @@ def _across(rest: DataFrame, classes: DataFrame, texts: DataFrame, size: int, pe
     other = odd.filter("odd").select("bucket", "band", "a", "node", "component", "odd", F.lit(False).alias("own"), F.explode(F.expr("sequence(0, rows - 1)")).alias("i"), F.expr("cast(pmod(xxhash64(node), columns) as int)").alias("j"))
     placed = written(own.union(other), "blocks")
     needed = placed.select("node").distinct().join(classes.select("node", "bands"), "node")
-    needed = written(needed.join(texts, "node").select("node", "bands", "text"), "needed")
+    needed = needed.join(texts, "node").select("node", "bands", "text")
     rows = placed.join(needed, "node").select("bucket", "i", "j", "band", "a", "node", "component", "odd", "own", "bands", "text")
     return rows.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j").mapInArrow(_blocks(size, percent), "a long, b long").distinct()
 
@@ -250,13 +249,13 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = PERCENT, band
     spark = docs.sparkSession
     prepare(spark)
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("key", row_key("doc_id", "text"))
-    signed = written(docs.mapInArrow(_signatures(size, bands, band_bins), SIGNATURE), "signatures")
+    signed = written(docs.mapInArrow(_signatures(size, bands, band_bins), SIGNATURE), "signatures", merge=False)
     real = signed.filter("n_shingles > 0 and doc_id is not null")
     classes = real.groupBy("set_hash").agg(F.min(F.struct("doc_id", "key")).alias("first"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"))
     classes = written(classes.select(F.monotonically_increasing_id().alias("node"), "set_hash", F.col("first.doc_id").alias("doc_id"), F.col("first.key").alias("key"), "n", "bands"), "classes")
     buckets = classes.select("node", "n", F.posexplode("bands").alias("band", "bucket"))
     hubs = buckets.groupBy("bucket").agg(F.min(F.struct("node", "n")).alias("hub"), F.count("*").alias("size")).filter("size > 1")
-    hubs = written(hubs.select("bucket", "size", F.col("hub.node").alias("a"), F.col("hub.n").alias("hub_n")), "hubs")
+    hubs = hubs.select("bucket", "size", F.col("hub.node").alias("a"), F.col("hub.n").alias("hub_n"))
     full = written(buckets.join(hubs, "bucket"), "buckets")
     # the texts that the two turns compare, one for each class that shares a bucket
     shared = full.select("node").distinct().join(classes.select("node", "key"), "node")
@@ -264,19 +263,18 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = PERCENT, band
     stars = full.filter(f"node <> a and 100 * least(n, hub_n) >= {percent} * greatest(n, hub_n)").select("a", F.col("node").alias("b")).distinct()
     stars = written(stars, "stars")
     links = written(_confirmed(stars, texts, size, percent), "links")
-    found = written(connected_components(links, "a", "b"), "components")
+    found = connected_components(links, "a", "b")
 
     member = full.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     member = written(member.select("bucket", "band", "size", "a", "node", "n", "component"), "members")
     mixed = member.groupBy("bucket").agg(F.min("component").alias("first"), F.max("component").alias("last")).filter("first < last").select("bucket", "first")
-    mixed = written(mixed, "mixed")
     more = written(_across(member.join(mixed, "bucket"), classes, texts, size, percent), "links")
     if not more.isEmpty():
-        found = written(connected_components(links.union(more), "a", "b"), "components")
+        found = connected_components(links.union(more), "a", "b")
 
     named = classes.select("set_hash", "node", "doc_id").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     first = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    named = written(named.join(first, "component").select("set_hash", "component_id"), "named")
+    named = named.join(first, "component").select("set_hash", "component_id")
     alone = F.col("n_shingles") == 0
     key = ["key"] if with_key else []
     out = signed.select("doc_id", *key, "n_shingles", F.when(~alone & F.col("doc_id").isNotNull(), F.col("set_hash")).alias("set_hash")).join(named, "set_hash", "left")

@@ -342,7 +342,7 @@ def pii_spans(docs: DataFrame) -> DataFrame:
     null text is empty and has no spans; rows without doc_id and repeated rows are treated like others.
     """
     texts = _keyed(docs)
-    found = written(texts.mapInArrow(_find, FOUND), "entities")
+    found = written(texts.mapInArrow(_find, FOUND), "entities", merge=False)
     terms = _term_spans(found, texts)
     extra = F.expr("transform(coalesce(terms, array()), x -> named_struct('rank', 4, 'start', x.start, 'stop', x.stop))")
     joined = found.select("doc_id", "key", "entities").join(terms, "key", "left")
@@ -382,7 +382,7 @@ def sanitise(docs: DataFrame) -> DataFrame:
     A null text stays null. Other columns, rows without doc_id and repeated rows are kept as they are.
     """
     texts = _keyed(docs)
-    found = written(texts.mapInArrow(_find, FOUND), "entities")
+    found = written(texts.mapInArrow(_find, FOUND), "entities", merge=False)
     terms = _term_spans(found, texts)
     own = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
     keyed = docs.select(own, "doc_id", F.coalesce("text", F.lit("")).alias("text")).select("row", row_key("doc_id", "text").alias("key"))

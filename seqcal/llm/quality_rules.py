@@ -195,7 +195,7 @@ def quality_verdicts(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROW
     A null or empty text has no words and fails the base rules. Rows without doc_id and repeated rows get their verdict
     like others; labels without doc_id or quality are left out, of several the highest counts.
     """
-    counted = written(with_statistics(docs.select("doc_id", "text")).select("doc_id", "statistics.*"), "statistics")
+    counted = written(with_statistics(docs.select("doc_id", "text")).select("doc_id", "statistics.*"), "statistics", merge=False)
     rules = fit(counted, labels, fit_rows)
     return counted.withColumn("base_failed", base_failed()).withColumn("kept", ~F.col("base_failed") & verdict(rules))
 
