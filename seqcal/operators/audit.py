@@ -36,13 +36,20 @@ PATTERNS = [
     (r"\bsk-[A-Za-z0-9]{20,}\b", "contains an API credential-like value"),
     (r"(?i)\b(?:postgres(?:ql)?|mysql|mariadb|mongodb)://[^\s/:@]+:[^\s/@]+@", "contains a database URL with embedded credentials"),
 ]
+#: What a text must hold for a pattern to be worth a search; lower-case words are looked for in any case.
+NEEDED = {PATTERNS[i][0]: word for i, word in ((2, "Users"), (3, "consett"), (4, "PS-"), (7, "PRIVATE KEY-----"), (8, "AKIA"), (9, "gh"), (10, "sk-"), (11, "://"))}
 #: Not among the fixed patterns: home paths with single backslashes.
 WINDOWS_HOME = (r"[A-Za-z]:\\Users\\", HOME_PATH)
 
 
 def content_reasons(text: Column, patterns: list[tuple[str, str]] = PATTERNS) -> Column:
     """One entry for each pattern that text holds, null for the others."""
-    return F.array(*(F.when(text.rlike(p), F.lit(reason)) for p, reason in patterns))
+
+    def found(p: str) -> Column:
+        word = NEEDED.get(p)
+        return text.rlike(p) if word is None else (F.lower(text) if p.startswith("(?i)") else text).contains(word) & text.rlike(p)
+
+    return F.array(*(F.when(found(p), F.lit(reason)) for p, reason in patterns))
 
 
 def audit_texts(df: DataFrame, key: str, text: str = "text", patterns: list[tuple[str, str]] = PATTERNS) -> DataFrame:

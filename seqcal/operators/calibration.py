@@ -194,30 +194,42 @@ def _nested(row: dict) -> dict:
     return out
 
 
+def calibration_reports(scores: DataFrame, comparison: float | None = None, delta: float = 5.0, curve: DataFrame | None = None) -> DataFrame:
+    """One row for each family that has both classes: roc_auc, selected_cutoff, robustness (at the cutoff, delta below and
+    above), the score distributions of both classes and comparison (null without a threshold to compare with)."""
+    value = None if comparison is None else checks.finite_number(comparison, "comparison threshold")
+    curve = roc_curve(scores) if curve is None else curve
+    cutoffs = zero_false_positive_cutoff(curve)
+    steps = robustness(scores, cutoffs, delta)
+    row = F.struct("step", *(c for c in steps.columns if c not in ("family", "step")))
+    tried = steps.groupBy("family").agg(F.array_sort(F.collect_list(row)).alias("robustness"))  # of three
+    spread = score_distribution(scores, ["family", "is_positive"])
+    own = F.struct(*(c for c in spread.columns if c not in ("family", "is_positive")))
+    spread = spread.groupBy("family").agg(F.max(F.when(F.col("is_positive"), own)).alias("positive_scores"), F.max(F.when(~F.col("is_positive"), own)).alias("negative_scores"))
+    at = summarise_thresholds(scores, cutoffs.select("family", F.lit(value).cast("double").alias("threshold")).filter("threshold is not null"))
+    at = at.select("family", F.struct(*(c for c in at.columns if c != "family")).alias("comparison"))
+    out = roc_auc(curve).join(tried, "family").join(spread, "family").join(at, "family", "left")
+    return out.select("family", "roc_auc", F.element_at("robustness", 2).alias("selected_cutoff"), "robustness", "positive_scores", "negative_scores", "comparison")
+
+
 def calibration_report(scores: DataFrame, family: str, comparison: float | None = None, delta: float = 5.0) -> dict:
     """The report of one family as plain values: its rows are thresholds, not scores of targets."""
-    spark = scores.sparkSession
     own = scores.filter(F.col("family") == family)
     for positive, what in ((True, "positive"), (False, "negative")):
         if own.filter(F.col("is_positive") == positive).isEmpty():
             raise checks.InputError(f"no {what} scores for {family}")
     checks.require_scores(own)
     curve = roc_curve(own).persist()
-    cutoff = zero_false_positive_cutoff(curve)
-    steps = sorted((r.asDict() for r in robustness(own, cutoff, delta).collect()), key=lambda r: r["step"])
-    spread = {r["is_positive"]: {k: v for k, v in r.asDict().items() if k != "is_positive"} for r in score_distribution(own, ["is_positive"]).collect()}
+    found = calibration_reports(own, comparison, delta, curve).first().asDict(recursive=True)
     report = {
         "selection_rule": SELECTION_RULE,
         "scope": SCOPE,
-        "receiver_operating_characteristic_auc": roc_auc(curve).first()["roc_auc"],
-        "positive_score_distribution": spread[True],
-        "negative_score_distribution": spread[False],
-        "selected_cutoff": _nested(steps[1]),
-        "robustness": [_nested(r) for r in steps],
+        "receiver_operating_characteristic_auc": found["roc_auc"],
+        "positive_score_distribution": found["positive_scores"],
+        "negative_score_distribution": found["negative_scores"],
+        "selected_cutoff": _nested(found["selected_cutoff"]),
+        "robustness": [_nested(r) for r in found["robustness"]],
         "curve": [_nested({k: r[k] for k in CURVE}) for r in curve.orderBy("bit_score_threshold_bits").collect()],
     }
     curve.unpersist()
-    if comparison is not None:
-        at = spark.createDataFrame([(family, checks.finite_number(comparison, "comparison threshold"))], "family string, threshold double")
-        report["comparison_threshold"] = _nested(summarise_thresholds(own, at).first().asDict())
-    return report
+    return report | ({} if comparison is None else {"comparison_threshold": _nested(found["comparison"])})

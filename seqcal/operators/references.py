@@ -14,6 +14,7 @@ from . import checks, sampling
 HARD_FAMILIES = ["CBM1", "CBM2", "CBM3", "CBM4", "CBM5", "CBM6", "CBM9", "CBM13", "CBM20", "CBM32", "CBM34", "CBM37", "CBM41", "CBM48", "CBM50", "CBM69", "GH13"]
 AMBIGUOUS_TAGS = ["CBM0"]
 POSITIVES, HARD, EASY, SEED = 1500, 12000, 3000, 20260923
+LARGEST_CLASS = 1_000_000
 CLASSES = ["positive", "hard_negative", "easy_negative"]
 
 
@@ -156,8 +157,12 @@ def require_disjoint(classes: DataFrame) -> None:
 def class_manifest(classes: DataFrame) -> DataFrame:
     """class_label, number_of_unique_sequences, aggregate_sequence_sha256: the digest of the class's sorted digests.
 
-    Classes are samples of a stated size, so a class's digests fit one row. Every class has a row, also an empty one.
+    Classes are samples: a class's digests must fit one row, so there may be LARGEST_CLASS at most. Every class has a
+    row, also an empty one.
     """
+    largest = classes.groupBy("class_label").agg(F.count_distinct("sequence_sha256").alias("n")).agg(F.max("n")).first()[0] or 0
+    if largest > LARGEST_CLASS:
+        raise checks.InputError(f"a class has {largest} sequences, more than the {LARGEST_CLASS} of a sample")
     named = classes.sparkSession.createDataFrame([(c,) for c in CLASSES], "class_label string")
     found = classes.groupBy("class_label").agg(F.array_sort(F.collect_set("sequence_sha256")).alias("digests"))
     joined = named.join(found, "class_label", "left").withColumn("digests", F.coalesce("digests", F.array().cast("array<string>")))

@@ -45,7 +45,7 @@ def sample(df: DataFrame, group: str, keys: list[str], sizes: dict[str, int], se
     """The rows of least hash of keys and seed in each group of sizes, as many as it names, with their slot. Every task
     sends no more than that of a group."""
     wanted = F.create_map(*(F.lit(x) for g, n in sizes.items() for x in (g, n)))[F.col(group)]
-    place = F.row_number().over(Window.partitionBy(group).orderBy(F.xxhash64(F.lit(seed), *keys), *keys))
+    place = F.row_number().over(Window.partitionBy(group).orderBy(F.md5(F.concat_ws(":", F.lit(seed), *keys)), *keys))
     most = max(sizes.values(), default=0)
     found = df.filter(wanted.isNotNull()).withColumn("slot", place).filter(F.col("slot") <= most)
     return found.filter(F.col("slot") <= wanted).withColumn("slot", (F.col("slot") - 1).cast("long"))

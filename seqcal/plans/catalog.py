@@ -329,21 +329,36 @@ def class_overlap(spark, sf_dir):
     return R.shared_sequences(R.parsed(V.headers(spark, sf_dir)).withColumn("class_label", label))
 
 
-@query(f"""{TAGS} SELECT {CLASS_OF} AS class_label, count(*) AS number_of_unique_sequences, sha256(string_agg(digest, chr(10) ORDER BY digest) || chr(10)) AS aggregate_sequence_sha256 FROM uniques GROUP BY 1""")
+SAMPLED = f"""{TAGS}, labelled AS (SELECT {CLASS_OF} AS class_label, accession, digest FROM uniques),
+places AS (SELECT *, row_number() OVER (PARTITION BY class_label ORDER BY md5('{R.SEED}:' || digest), digest) - 1 AS slot FROM labelled), sampled AS (SELECT * FROM places WHERE slot < 100)"""
+
+
+def _sampled(spark, sf_dir):
+    return sampling.sample(V.labelled(spark, sf_dir).drop("slot"), "class_label", ["sequence_sha256"], dict.fromkeys(R.CLASSES, 100), str(R.SEED))
+
+
+@query(f"{SAMPLED} SELECT class_label, slot, accession, digest FROM sampled")
+def keyed_sample(spark, sf_dir):
+    return _sampled(spark, sf_dir).select("class_label", "slot", "accession", F.col("sequence_sha256").alias("digest"))
+
+
+@query(f"{SAMPLED} SELECT class_label, count(*) AS number_of_unique_sequences, sha256(string_agg(digest, chr(10) ORDER BY digest) || chr(10)) AS aggregate_sequence_sha256 FROM sampled GROUP BY 1")
 def class_manifest(spark, sf_dir):
-    return R.class_manifest(V.labelled(spark, sf_dir))
+    return R.class_manifest(_sampled(spark, sf_dir))
 
 
-@query(f"{TAGS} SELECT accession FROM digests GROUP BY accession HAVING min(digest) <> max(digest)")
+@query(f"{TAGS} SELECT 'd' || CAST(ordinal % 150 AS VARCHAR) AS accession FROM digests GROUP BY 1 HAVING min(digest) <> max(digest)")
 def accession_conflicts(spark, sf_dir):
-    return R.inconsistent_accessions(R.parsed(V.headers(spark, sf_dir)))
+    return R.inconsistent_accessions(R.parsed(V.shared_headers(spark, sf_dir)))
+
+
+POOL_SIZES = {"positive:CBM2": 20, "positive:GH13": 150, "hard": 100, "easy": 30}
 
 
 @query()
 def reservoir_sample(spark, sf_dir):
     pools = R.routed(_unique(spark, sf_dir), FAMILIES, POOL_HARD)
-    sizes = {"positive:CBM2": 20, "positive:GH13": 150, "hard": 100, "easy": 30}
-    return sampling.reservoir(pools, "pool", ["ordinal"], sizes, {p: f"{R.SEED}:{p}" for p in sizes}).select("pool", "slot", "ordinal")
+    return sampling.reservoir(pools, "pool", ["ordinal"], POOL_SIZES, {p: f"{R.SEED}:{p}" for p in POOL_SIZES}).select("pool", "slot", "ordinal")
 
 
 @query()
@@ -352,19 +367,40 @@ def labelled_sample(spark, sf_dir):
     return sampling.shuffled(V.labelled(spark, sf_dir).drop("slot"), "class_label", ["sequence_sha256"], sizes, {c: f"{R.SEED}:labelled:GH13:{c}" for c in sizes}).select("class_label", "slot", "accession", "sequence_sha256")
 
 
-def _audit_sql() -> str:
-    tests = [f"SELECT doc_id, '{reason}' AS reason FROM documents WHERE regexp_matches(text, '{pattern.replace(chr(39), chr(39) * 2)}')" for pattern, reason in audit.PATTERNS]
-    return " UNION ALL ".join(tests)
+def _of_sample(sample: DataFrame, group: str, key: str) -> DataFrame:
+    """How many rows, slots and keys a group's sample has, and its last slot."""
+    return sample.groupBy(group).agg(F.count("*").alias("n"), F.count_distinct("slot").alias("slots"), F.count_distinct(key).alias("keys"), F.max("slot").alias("last"))
+
+
+SIZE_CASES = " ".join(f"WHEN '{p}' THEN {n}" for p, n in POOL_SIZES.items())
+OF_SAMPLE = "SELECT {0}, n, n AS slots, n AS keys, n - 1 AS last FROM sizes"
+
+
+@query(f"{ROUTES}, sizes AS (SELECT pool, least(count(*), CASE pool {SIZE_CASES} END) AS n FROM routes GROUP BY pool) {OF_SAMPLE.format('pool')}")
+def reservoir_sizes(spark, sf_dir):
+    members = R.routed(_unique(spark, sf_dir), FAMILIES, POOL_HARD).select("pool", "ordinal")
+    return _of_sample(reservoir_sample(spark, sf_dir).join(members, ["pool", "ordinal"]), "pool", "ordinal")
+
+
+@query(f"{TAGS}, sizes AS (SELECT {CLASS_OF} AS class_label, least(count(*), 100) AS n FROM uniques GROUP BY 1) {OF_SAMPLE.format('class_label')}")
+def labelled_sizes(spark, sf_dir):
+    members = V.labelled(spark, sf_dir).select("class_label", "sequence_sha256")
+    return _of_sample(labelled_sample(spark, sf_dir).join(members, ["class_label", "sequence_sha256"]), "class_label", "sequence_sha256")
+
+
+def _audit_sql(table: str, key: str, text: str) -> str:
+    tests = [f"SELECT {key}, '{reason}' AS reason FROM t WHERE regexp_matches(text, '{pattern.replace(chr(39), chr(39) * 2)}')" for pattern, reason in audit.PATTERNS]
+    return f"WITH t AS (SELECT {key}, coalesce({text}, '') || ' ' || {V.audit_sample(key)} AS text FROM {table}) " + " UNION ALL ".join(tests)
 
 
-@query(_audit_sql())
+@query(_audit_sql("documents", "doc_id", "text"))
 def content_audit(spark, sf_dir):
-    return audit.audit_texts(V.table(spark, sf_dir, "documents"), "doc_id")
+    return audit.audit_texts(V.audited(spark, sf_dir, "documents", "doc_id", "text"), "doc_id")
 
 
-@query(_audit_sql().replace("doc_id", "page_id").replace("FROM documents", "FROM pages").replace("regexp_matches(text", "regexp_matches(html"))
+@query(_audit_sql("pages", "page_id", "html"))
 def page_audit(spark, sf_dir):
-    return audit.audit_texts(V.table(spark, sf_dir, "pages"), "page_id", "html")
+    return audit.audit_texts(V.audited(spark, sf_dir, "pages", "page_id", "html"), "page_id")
 
 
 @query()

@@ -42,7 +42,7 @@ def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     positive = F.col("quality") == 1
     label = F.when(positive, "positive").when(F.col("toxic") == 1, "hard_negative").otherwise("easy_negative")
     found = joined.select(F.col("lang").alias("family"), (F.col("n_chars").cast("double") / 10.0).alias("score"), positive.alias("is_positive"), label.alias("class_label"))
-    return found.join(F.broadcast(calibration.class_sizes(found).select("family")), "family")
+    return found.join(calibration.class_sizes(found).select("family"), "family")
 
 
 SCORES = """scores0 AS (
@@ -105,3 +105,25 @@ def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     unique = references.merged(references.parsed(headers(spark, sf_dir)))
     label = F.when(F.col("ordinal") % 3 == 0, "positive").when(F.col("ordinal") % 3 == 1, "hard_negative").otherwise("easy_negative")
     return unique.select(label.alias("class_label"), F.col("ordinal").alias("slot"), "accession", "tags", "sequence", "sequence_sha256")
+
+
+# One text for each pattern of the audit, as SQL that Spark and DuckDB read alike.
+AUDIT_SAMPLES = [
+    "'/Users/' || 'ann/x'", "'/home/' || 'ann/x'", "'C:' || chr(92) || chr(92) || 'Users' || chr(92) || chr(92) || 'ann'", "'at consett' || '.'", "'PS-' || 'ABCD1234'", "rpad('M', 70, 'K')", "rpad('N', 90, 'U')",
+    "'-----BEGIN RSA' || ' PRIVATE KEY-----'", "rpad('AKIA', 20, 'Q')", "rpad('ghp_', 40, 'a')", "rpad('sk-', 30, 'b')", "'mysql' || '://user:' || 'word@host'",
+]
+
+
+def audit_sample(key: str) -> str:
+    """SQL: the sample that a row of this key holds; one of 13 rows holds none."""
+    return f"CASE {key} % {len(AUDIT_SAMPLES) + 1} " + " ".join(f"WHEN {i} THEN {x}" for i, x in enumerate(AUDIT_SAMPLES)) + " ELSE '' END"
+
+
+def audited(spark: SparkSession, sf_dir: str, name: str, key: str, text: str) -> DataFrame:
+    """key, text: the texts of a table, each with a sample behind it."""
+    return table(spark, sf_dir, name).select(key, F.concat(F.coalesce(text, F.lit("")), F.lit(" "), F.expr(audit_sample(key))).alias("text"))
+
+
+def shared_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """headers, with names that several documents share."""
+    return headers(spark, sf_dir).withColumn("header", F.regexp_replace("header", "d[0-9]+", F.concat(F.lit("d"), F.expr("ordinal % 150").cast("string"))))
