@@ -26,16 +26,19 @@ def overlapping_pairs(hits: DataFrame, least: float = 0.0, width: int = 1024) ->
 def distinct_domains(hits: DataFrame, most: float = 0.5) -> DataFrame:
     """hits(target_id, start, end, evalue, score, coverage, ordinal) without those that overlap a better kept one.
 
-    Better is a lower E-value, then a higher score, a greater coverage, an earlier start, end and ordinal. A target
-    splits where no hit reaches across, as hits of different stretches never meet; each stretch is one fold over a
-    sorted array. A null target_id is a target of its own, null scores and coverages count as zero.
+    Better is a lower E-value, then a higher score, a greater coverage, an earlier start, end and ordinal. Of equal
+    intervals the best one is taken before anything is gathered. A target splits where no hit reaches across, as hits of
+    different stretches never meet; each stretch is one fold over a sorted array of its distinct intervals. A null
+    target_id is a target of its own, null scores and coverages count as zero.
     """
-    order = Window.partitionBy("target_id").orderBy("start", "end", "ordinal")
-    reach = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    fresh = F.when(F.col("start") <= reach, 0).otherwise(1)
-    split = hits.withColumn("target_id", F.coalesce("target_id", F.lit(""))).withColumn("_fresh", fresh).withColumn("_stretch", F.sum("_fresh").over(order))
     ranked = F.struct(F.col("evalue"), (-F.coalesce("score", F.lit(0.0))).alias("s"), (-F.coalesce("coverage", F.lit(0.0))).alias("c"), F.col("start"), F.col("end"), F.col("ordinal"))
-    groups = split.groupBy("target_id", "_stretch").agg(F.array_sort(F.collect_list(ranked)).alias("sorted"))
+    named = hits.select(F.coalesce("target_id", F.lit("")).alias("target_id"), "start", "end", ranked.alias("hit"))
+    if most < 1:  # else equal intervals may stand side by side
+        named = named.groupBy("target_id", "start", "end").agg(F.min("hit").alias("hit"))
+    order = Window.partitionBy("target_id").orderBy("start", "end", "hit.ordinal")
+    reach = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    split = named.withColumn("_fresh", F.when(F.col("start") <= reach, 0).otherwise(1)).withColumn("_stretch", F.sum("_fresh").over(order))
+    groups = split.groupBy("target_id", "_stretch").agg(F.array_sort(F.collect_list("hit")).alias("sorted"))
     kept = F.aggregate(
         "sorted",
         F.slice("sorted", 1, 0),

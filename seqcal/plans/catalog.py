@@ -215,10 +215,8 @@ def hit_rows_percent(spark, sf_dir):
 
 @query(f"""WITH {V.HITS}{DOMAINS} SELECT ordinal, row_number() OVER (PARTITION BY target_id ORDER BY "start", profile_name, evalue, "end", score DESC, ordinal) AS place FROM accepted""")
 def hit_order(spark, sf_dir):
-    from pyspark.sql import Window
-
-    order = Window.partitionBy("target_id").orderBy(*H.ORDER[1:], F.desc("domain_bit_score_bits"), "ordinal")
-    return _accepted(spark, sf_dir).select("ordinal", F.row_number().over(order).cast("long").alias("place"))
+    rows = _accepted(spark, sf_dir).withColumn("_s", -F.col("domain_bit_score_bits"))
+    return sampling.ranked(rows, "target_id", [*H.ORDER[1:], "_s", "ordinal"]).select("ordinal", (F.col("rank") + 1).alias("place"))
 
 
 @query(f"""WITH {V.HITS}, targets AS (SELECT DISTINCT 'u' || CAST(c_custkey AS VARCHAR) AS target_id FROM customer)

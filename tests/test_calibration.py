@@ -112,6 +112,30 @@ def test_report(spark):
             C.calibration_report(scores(spark, p, n), "alpha")
 
 
+def test_reports_of_several_families_in_one_job(spark):
+    both = scores(spark, [12, 10, 7], [6, 3, 1]).union(scores(spark, [5, 9, 12], [1, 4, 8], "beta")).union(scores(spark, [1], [], "gamma"))
+    got = {r.family: r for r in C.calibration_reports(both, 8, 2).collect()}
+    assert set(got) == {"alpha", "beta"}
+    for family, row in got.items():
+        one = C.calibration_report(both, family, 8, 2)
+        assert row.roc_auc == one["receiver_operating_characteristic_auc"] and row.comparison.correctly_detected_positives == one["comparison_threshold"]["correctly_detected_positives"]
+        assert [r.bit_score_threshold_bits for r in row.robustness] == [r["bit_score_threshold_bits"] for r in one["robustness"]]
+        assert row.positive_scores.asDict() == one["positive_score_distribution"]
+    assert C.calibration_reports(both).filter("comparison is not null").isEmpty()
+
+
+def test_totals_over_several_ranges(spark, monkeypatch):
+    from seqcal.operators import running
+
+    rng = random.Random(9)
+    df = scores(spark, [round(rng.gauss(3, 2), 2) for _ in range(400)], [round(rng.gauss(2, 2), 2) for _ in range(400)])
+    one = {tuple(r) for r in C.roc_curve(df).collect()}
+    median = C.score_distribution(df, ["family", "is_positive"]).collect()
+    monkeypatch.setattr(running, "RANGE_ROWS", 50)
+    assert {tuple(r) for r in C.roc_curve(df).collect()} == one
+    assert sorted(C.score_distribution(df, ["family", "is_positive"]).collect()) == sorted(median)
+
+
 def test_distribution(spark):
     row = C.score_distribution(scores(spark, [1, 4, 8, 20], []), ["family"]).first()
     assert (row.number_of_scores, row.median_bit_score_bits, row.mean_bit_score_bits) == (4, 6.0, 8.25)

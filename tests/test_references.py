@@ -137,3 +137,15 @@ def test_annotation_table(spark):
         R.parsed_annotations(df.union(df))
     with pytest.raises(InputError):
         R.parsed_annotations(df.drop("CAZy"))
+
+
+def test_samples_by_hash_and_the_limit_of_exact_draws(spark, monkeypatch):
+    df = spark.createDataFrame([("ab"[i % 2], i) for i in range(200)], "g string, x long")
+    one = sampling.sample(df, "g", ["x"], {"a": 10, "b": 500}, "s").collect()
+    assert sorted(r.slot for r in one if r.g == "a") == list(range(10)) and sorted(r.x for r in one if r.g == "b") == list(range(1, 200, 2))
+    assert {tuple(r) for r in one} == {tuple(r) for r in sampling.sample(df.repartition(7), "g", ["x"], {"a": 10, "b": 500}, "s").collect()}
+    assert {r.x for r in one if r.g == "a"} != {r.x for r in sampling.sample(df, "g", ["x"], {"a": 10}, "t").collect()}
+    monkeypatch.setattr(sampling, "EXACT_ROWS", 50)
+    for draw in (sampling.reservoir, sampling.shuffled):
+        with pytest.raises(InputError):
+            draw(df, "g", ["x"], {"a": 5}, {"a": "s"})
