@@ -16,12 +16,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .storage import prepare, row_key, written
 from .words import LOWER, SPACE, U64, Slice, mix, slices
 
-ORDER, SYMBOL_BITS, START, BLANK, SYMBOLS = 6, 8, 0x09, 0x20, 256
+ORDER, SYMBOL_BITS, START, BLANK, SYMBOLS = 5, 8, 0x09, 0x20, 256
 MOST, WORD_LEAST, WORD_MOST = 0.99, 0.005, 0.995  # quantiles
 HELD_OUT, SHARD_ROWS, COUNT_SLICE = 5, 2_000_000, 1 << 20
 
@@ -58,7 +59,8 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes, names = langs.indices.to_numpy(zero_copy_only=False), pa.array(langs.dictionary, pa.string())
         for part in slices(batch["text"], table=LOWER, limit=COUNT_SLICE):
             gram, owner = stream_grams(part)
-            both, n = np.unique(gram | codes[part.first_row + owner].astype(np.int64) << (SYMBOL_BITS * ORDER), return_counts=True)
+            counts = pc.value_counts(pa.array(gram | codes[part.first_row + owner].astype(np.int64) << (SYMBOL_BITS * ORDER)))
+            both, n = (counts.field(i).to_numpy() for i in (0, 1))
             yield pa.RecordBatch.from_arrays([names.take(pa.array(both >> (SYMBOL_BITS * ORDER))), pa.array(both & ((1 << (SYMBOL_BITS * ORDER)) - 1)), pa.array(n)], names=["lang", "gram", "n"])
 
 
@@ -172,7 +174,8 @@ def _score(shared):
                 symbols += np.bincount(owner, minlength=len(codes))
                 words.append(part.counts())
                 some = codes[owner] >= 0
-                both, inverse = np.unique(Shard.pack(codes[owner[some]], gram[some]), return_inverse=True)
+                distinct = pa.array(Shard.pack(codes[owner[some]], gram[some])).dictionary_encode()
+                both, inverse = distinct.dictionary.to_numpy(), distinct.indices.to_numpy()
                 score = shard.log_probability(both >> (SYMBOL_BITS * ORDER), both & ((1 << SYMBOL_BITS * ORDER) - 1))
                 totals += np.bincount(owner[some], weights=score[inverse], minlength=len(codes))
             yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["key"], batch["lang"], pa.array(np.concatenate([np.empty(0, np.int64), *words])), pa.array(symbols), pa.array(totals, mask=codes < 0)], names=["doc_id", "key", "lang", "n_words", "n_symbols", "log_probability"])

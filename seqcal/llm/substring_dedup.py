@@ -5,7 +5,8 @@ Plan: (1) each task hashes all windows of its documents and packs them by hash r
 one batch standing there once; (2) one shuffle brings equal hashes together, where sorted runs tell which windows
 occur more than once; (3) the marks, one bit a window, go back to their documents. Hash values travel packed, eight
 bytes a window, so the shuffle moves little more than the texts themselves. A batch sends each distinct window once,
-so a passage that a third of all documents share doesn't swell one task.
+and a task doesn't send again what it has seen twice in a batch before (up to KNOWN windows), so a passage that a third
+of all documents share comes about once from each task.
 
 Two hashes to independent bases name a window: one picks the range, the other is the value sent. With R ranges and N
 windows about N * N / (R * 2**62) windows are taken for repeated by chance: 1e-4 of one at 1e8 windows and 50 ranges.
@@ -23,9 +24,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .storage import prepare, row_key
-from .words import SECOND_BASE, U64, Slice, covered, slices
+from .words import SECOND_BASE, U64, Slice, covered, mix, slices
 
 WINDOW = 35
+KNOWN = 1 << 20
 CHARS_PER_RANGE = 24_000_000
 
 PACKED = "range int, batch binary, keys binary, places binary, counts binary, sent binary, twice binary, hashes binary"
@@ -54,10 +56,11 @@ def _pack(size: int, ranges: int):
     range and without hashes, has the keys of the batch's documents.
 
     Of the equal windows in a batch only the first is sent, with a mark if there are more; the others are known to
-    be repeated.
+    be repeated, and so are windows that an earlier batch of the task had twice.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = np.empty(0, dtype=np.uint64)  # names of windows that are repeated for sure
         for batch in batches:
             keys = b"".join(batch["key"].to_pylist())
             owner, at, hashes = [], [], []
@@ -75,6 +78,11 @@ def _pack(size: int, ranges: int):
             sent, twice = np.zeros(len(hashes), dtype=bool), np.zeros(len(hashes), dtype=bool)
             sent[index[head]] = True
             twice[index[head & np.append(~head[1:], False)]] = True
+            names = mix(hashes ^ (at.astype(np.uint64) * U64(0x9E3779B97F4A7C15)))
+            if len(known):
+                sent &= known[np.minimum(np.searchsorted(known, names), len(known) - 1)] != names
+            if len(known) < KNOWN:
+                known = np.union1d(known, names[twice])
             index = np.argsort(at, kind="stable")  # by range, then document and place
             name = hashlib.blake2b(keys, digest_size=16).digest()
             rows: list[tuple] = [(name[0] % ranges, name, keys, None, None, None, None, None)]

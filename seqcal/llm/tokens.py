@@ -274,9 +274,8 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, end_i
     """
     spark = docs.sparkSession
     prepare(spark)
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("tie", F.xxhash64("text"))
-    dealt = docs.repartitionByRange(parts, "doc_id", "tie").sortWithinPartitions("doc_id", "tie")
+    dealt = docs.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie")
     dealt.select("doc_id", "text").mapInArrow(_encoded(tokenizer or tokenizer_path(), end_id), SCHEMA).write.options(**OPTIONS).parquet(path)
 
 

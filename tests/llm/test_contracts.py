@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import re
+import time
 import zlib
 
 import numpy as np
@@ -389,6 +390,71 @@ def test_entities(spark, small):
     assert pii.pii_digest(frame(spark, [])).count() == 0
 
 
+def brute_term_spans(texts):
+    """Co-occurrence over plain dictionaries, word by word."""
+    near, both, seen, n, docs, words_ = (collections.Counter() for _ in range(6))
+    lower = {i: chr(i + 32) for i in range(65, 91)}
+    parsed = []
+    for _, text in texts:
+        text = text or ""
+        found = [(k, int(a), int(b)) for k, a, b in (x.split(":") for x in base_entities(text))]
+        spans = [m.span() for m in WORD.finditer(text)]
+        terms = []
+        for a, b in spans:
+            raw = text[a:b]
+            term = raw.strip(pii.MARGIN).translate(lower)
+            start = a + len(raw) - len(raw.lstrip(pii.MARGIN))
+            terms.append((term, start, start + len(term), all(b <= s or e <= a for _, s, e in found)))
+        own = {(k, re.sub(r"[\x20\x09-\x0D]", "", text[a:b]).translate(lower)) for k, a, b in found}
+        for k, s, e in found:
+            value = (k, re.sub(r"[\x20\x09-\x0D]", "", text[s:e]).translate(lower))
+            around = [i for i, x in enumerate(spans) if x[1] < s][-pii.CONTEXT :] + [i for i, x in enumerate(spans) if x[0] > e][: pii.CONTEXT]
+            near.update((terms[i][0], value) for i in around if terms[i][0] and terms[i][3])
+        seen.update(own)
+        both.update((t, v) for t in {t for t, _, _, free in terms if t and free} for v in own)
+        n.update(t for t, *_ in terms if t)
+        docs.update({t for t, *_ in terms if t})
+        words_["all"] += len(spans)
+        parsed.append(terms)
+    shares = collections.defaultdict(float)
+    for pair in {*near, *both}:
+        t, v = pair
+        for together, all_, prior in ((near[pair], n[t], seen[v] * 2 * pii.CONTEXT / words_["all"]), (both[pair] if seen[v] >= pii.MIN_SUPPORT else 0, docs[t], seen[v] / len(texts))):
+            share = min(1.0, together / all_)
+            if together >= pii.MIN_SUPPORT and share >= pii.GENERALISE and np.log2(share / prior) >= pii.MIN_BITS:
+                shares[t] = max(shares[t], share)
+    return [[f"term:{a}:{b}" for t, a, b, free in terms if free and t in shares] for terms in parsed]
+
+
+def test_term_spans_against_brute_force(spark):
+    rng = np.random.default_rng(7)
+    common, marks = [f"word{i}" for i in range(60)], ["", "", "", ",", ".", "(é)", "!"]
+    texts = []
+    for i in range(1200):
+        own = [f"{w}{m}" for w, m in zip(rng.choice(common, 20), rng.choice(marks, 20))]
+        if i % 40 == 0:
+            k = i // 40 % 6
+            where = rng.integers(0, 8)
+            own[where:where] = [f"Name{k}", f"(user{k}@host{k}.example.com)" if i % 3 else f"user{k}@host{k}.example.com", f"surname{k};", "+49 30 123456%d" % k]
+            own += [f"far{k}"] + [f"sometimes{k}"] * (i % 80 == 0)
+        if i % 97 == 0:
+            own += ["name1", "SURNAME2"]
+        texts.append((i, " ".join(own) if i % 7 else "\t".join(own) + "\n"))
+    texts += [(2000, None), (2001, ""), *texts[40:41]]
+    got = collections.Counter((r.doc_id, r.spans) for r in pii.pii_digest(frame(spark, texts)).collect())
+    expected = collections.Counter((i, ",".join(base_entities(t) + spans)) for (i, t), spans in zip(texts, brute_term_spans(texts)))
+    assert got == expected and sum("term" in x for _, x in expected) > 25
+
+
+def test_entities_of_long_texts_take_linear_time():
+    start = time.process_time()
+    assert pii.entities("7" * 1_000_000) == [] and len(pii.entities("1." * 300_000 + "1")) == 75_000
+    text = " ".join(f"user{i} wrote from a{i}@firm{i % 97}.example.com about item {i % 13}" for i in range(100_000))
+    found = next(pii._find(iter([pa.RecordBatch.from_pydict({"doc_id": [1], "key": [b"k"], "text": [text]})])))
+    assert len(found["entities"][0]) == 100_000
+    assert time.process_time() - start < 12
+
+
 def test_disclosing_terms(spark):
     texts = [(i, f"alpha beta number {i} the director Quentessa Zorblatt wrote from qz@firm.example.com about item {i} the end") for i in range(4)]
     texts += [(i, f"the end of number {i} about alpha and beta from item to the director of things " * 5) for i in range(4, 60)]
