@@ -294,7 +294,7 @@ def representatives(docs: DataFrame, size: int = 5, percent: int = PERCENT) -> D
     twins = written(twins, "twins")
     own = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
     keyed = docs.select(own, "doc_id", F.coalesce("text", F.lit("")).alias("text")).select("row", row_key("doc_id", "text").alias("key"))
-    left = keyed.join(gone, "key", "left_anti")
+    left = keyed.join(gone.hint("merge"), "key", "left_anti")  # what goes grows with the documents: the same plan at every size
     if twins.isEmpty():
         return left.select("row.*")
     names = twins.select("component_id", F.col("key").alias("first"))

@@ -203,7 +203,7 @@ def quality_verdicts(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROW
 def quality_filter(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> DataFrame:
     """The rows of docs that quality_verdicts keeps, with their own columns."""
     labels = labels.select("doc_id", "quality")
-    labelled = docs.select("doc_id", "text").join(labels.select("doc_id").distinct(), "doc_id", "left_semi")
+    labelled = docs.select("doc_id", "text").join(labels.select("doc_id").distinct().hint("merge"), "doc_id", "left_semi")
     rules = fit(with_statistics(labelled).select("doc_id", "statistics.*"), labels, fit_rows)
     own = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
     counted = with_statistics(docs.select("text", own)).select("row", "statistics.*")
