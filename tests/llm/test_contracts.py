@@ -266,7 +266,7 @@ def test_quality_statistics_and_rules(spark, small):
         kept = quality_rules.quality_filter(frame(spark, texts), labels)
         assert kept.columns == frame(spark, texts).columns
         assert order(r.doc_id for r in kept.collect()) == order(r.doc_id for r in got if r.kept)
-    assert quality_rules.quality_verdicts(frame(spark, []), labels).count() == 0
+    assert quality_rules.quality_verdicts(frame(spark, []), labels).count() == 0 == quality_rules.quality_filter(frame(spark, []), labels).count()
     # without labels only the base rules decide
     unlabelled = quality_rules.quality_verdicts(frame(spark, texts), labels.limit(0)).collect()
     assert all(r.kept != r.base_failed for r in unlabelled)

@@ -49,7 +49,7 @@ def test_leaks_are_found_and_clean_documents_left(spark, leaked):
     assert left.columns == frame(spark, docs).columns
     # doc_ids of TEXTS that are below 60 name other texts
     assert sorted(map(repr, (r.doc_id for r in left.collect()))) == sorted(map(repr, [*range(60, 200), *(i for i, _ in TEXTS)]))
-    assert D.contaminated(frame(spark, []), bench).count() == 0
+    assert D.contaminated(frame(spark, []), bench).count() == 0 == D.decontaminate(frame(spark, []), bench).count()
     assert D.contaminated(frame(spark, docs), bench.limit(0)).count() == 0
 
 
