@@ -20,11 +20,11 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .storage import prepare, row_key, written
-from .words import LOWER, SPACE, U64, Slice, mix, slices
+from .words import LOWER, SPACE, Slice, slices
 
 ORDER, SYMBOL_BITS, START, BLANK, SYMBOLS = 5, 8, 0x09, 0x20, 256
 MOST, WORD_LEAST, WORD_MOST = 0.99, 0.005, 0.995  # quantiles
-HELD_OUT, SHARD_ROWS, COUNT_SLICE = 5, 2_000_000, 1 << 20
+HELD_OUT, SHARD_ROWS, COUNT_SLICE = 5, 1_000_000, 1 << 20
 
 GRAMS = "lang string, gram long, n long"
 
@@ -119,22 +119,29 @@ def model_table(trusted: DataFrame) -> DataFrame:
 
 
 def _pair_shard(pair: np.ndarray, shards: int) -> np.ndarray:
-    return (mix(pair.astype(np.uint64)) % U64(shards)).astype(np.int64)
+    """The shard of two symbols; shard_of says it to Spark."""
+    return (pair * 40503 >> 4) % shards
+
+
+def shard_of(shards: int) -> Column:
+    gram = F.when(F.col("kind") < 0, F.col("gram")).otherwise(F.shiftright("gram", SYMBOL_BITS))
+    return F.shiftright(gram.bitwiseAND(F.lit((1 << 2 * SYMBOL_BITS) - 1)) * 40503, 4) % shards
 
 
 class Shard:
     """Sorted (language, gram) keys with their values, by kind; owns the contexts whose last two symbols it is dealt."""
 
-    def __init__(self, rows, number: int, shards: int):
-        self.languages = {x: i for i, x in enumerate(sorted(set(rows["lang"])))}
+    def __init__(self, rows: pa.Table, number: int, shards: int):
+        names = rows["lang"].combine_chunks().dictionary_encode()
+        self.languages = {x: i for i, x in enumerate(names.dictionary.to_pylist())}
         self.number, self.shards = number, shards
-        lang, kind, gram, value = rows["lang"].map(self.languages).to_numpy(np.int64), rows["kind"].to_numpy(), rows["gram"].to_numpy(np.int64), rows["value"].to_numpy(float)
+        lang, (kind, gram, value) = names.indices.to_numpy().astype(np.int64), (rows[c].to_numpy() for c in ("kind", "gram", "value"))
         self.tables = {}
         for k in np.unique(kind).tolist():
             own = kind == k
             keys = self.pack(lang[own], gram[own])
             order = np.argsort(keys)
-            self.tables[k] = keys[order], value[own][order].astype(np.float32)
+            self.tables[k] = keys[order], value[own][order]
 
     @staticmethod
     def pack(language: np.ndarray, gram: np.ndarray) -> np.ndarray:
@@ -190,12 +197,9 @@ def perplexities(docs: DataFrame, model: DataFrame) -> DataFrame:
     prepare(spark)
     texts = docs.select("doc_id", "lang", F.coalesce("text", F.lit("")).alias("text")).withColumn("key", row_key("doc_id", "text", "lang"))
     shards = max(1, -(-model.count() // SHARD_ROWS))
-    pair = F.when(F.col("kind") < 0, F.col("gram")).otherwise(F.shiftright("gram", SYMBOL_BITS)).bitwiseAND(F.lit((1 << 2 * SYMBOL_BITS) - 1))
-    numbered = spark.createDataFrame([(i, int(n)) for i, n in enumerate(_pair_shard(np.arange(1 << 2 * SYMBOL_BITS), shards))], "pair long, shard long")  # a row for each pair of symbols
-    dealt = written(model.withColumn("pair", pair).join(F.broadcast(numbered), "pair").drop("pair"), "shards")
     parts = []
     for number in range(shards):  # one shard at a time on the driver and the executors; orders 1 and 2 are in each
-        rows = dealt.filter((F.abs("kind") <= 2) | (F.col("shard") == number)).select("lang", "kind", "gram", "value").toPandas()
+        rows = model.filter((F.abs("kind") <= 2) | (shard_of(shards) == number)).select("lang", F.col("kind").cast("int").alias("kind"), "gram", F.col("value").cast("float").alias("value")).toArrow()
         shard = spark.sparkContext.broadcast(Shard(rows, number, shards))
         parts.append(written(texts.mapInArrow(_score(shard), "doc_id long, key binary, lang string, n_words long, n_symbols long, log_probability double"), "scores", merge=False).withColumn("number", F.lit(number)))
         shard.unpersist()
