@@ -34,6 +34,14 @@ reach AS (SELECT a AS doc_id, b AS other FROM edges UNION SELECT r.doc_id, e.b F
 smallest AS (SELECT doc_id, min(other) AS m FROM reach GROUP BY doc_id)
 SELECT w.doc_id, CAST(coalesce(z.n, 0) AS BIGINT) AS n_shingles, least(w.doc_id, coalesce(l.m, w.doc_id)) AS component_id, least(w.doc_id, coalesce(l.m, w.doc_id)) = w.doc_id AS kept FROM words w LEFT JOIN sizes z ON z.doc_id = w.doc_id LEFT JOIN smallest l ON l.doc_id = w.doc_id"""
 
+OP13 = r"""WITH d AS (SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || CAST(doc_id AS VARCHAR)) AS h FROM documents),
+units AS (SELECT *, regexp_extract_all(text, '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS u, [CAST('0x' || substr(h, 8 * i + 1, 8) AS UBIGINT) FOR i IN range(0, 4)] AS r FROM d),
+cuts AS (SELECT *, len(u) AS n, least(r[1] % (len(u) + 1), r[2] % (len(u) + 1)) AS a, greatest(r[1] % (len(u) + 1), r[2] % (len(u) + 1)) AS b,
+  CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR r[3] % 100 >= 50 THEN 'plain' WHEN r[4] % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM units),
+parts AS (SELECT *, array_to_string(u[1:a], '') AS p, array_to_string(u[a + 1:b], '') AS m, array_to_string(u[b + 1:n], '') AS s FROM cuts)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN CAST(length(p) AS BIGINT) END AS prefix_chars, CASE WHEN form <> 'plain' THEN CAST(length(m) AS BIGINT) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256, sha256(text) AS restored_sha256 FROM parts"""
+
 
 def _places(name: str, pattern: str, value: int = 0) -> str:
     """Rows (doc_id, hit, val, start) of all matches: lengths of pieces and matches before one add up to its start."""

@@ -124,10 +124,8 @@ class Slice:
         return np.searchsorted(self.first_word, word_indexes, side="right") - 1
 
 
-def slices(texts: pa.Array | pa.ChunkedArray, lower: bool = False, limit: int = SLICE_BYTES, table: np.ndarray | None = None) -> Iterator[Slice]:
-    """Whole texts (null: empty) in slices of about limit bytes, one document at least; table replaces bytes."""
-    if lower:
-        table = LOWER
+def byte_slices(texts: pa.Array | pa.ChunkedArray, limit: int = SLICE_BYTES) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(first row, bytes, bounds of the documents in them): whole texts (null: empty) in slices of about limit bytes, one document at least."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
     array = texts.cast(pa.large_string()).fill_null("")
@@ -139,11 +137,18 @@ def slices(texts: pa.Array | pa.ChunkedArray, lower: bool = False, limit: int =
     at = 0
     while at < len(array):
         to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + limit, side="right")) - 1)
-        part = data[offsets[at] : offsets[to]]
-        yield split_words(at, part if table is None else table[part], offsets[at : to + 1] - offsets[at])
+        yield at, data[offsets[at] : offsets[to]], offsets[at : to + 1] - offsets[at]
         at = to
 
 
+def slices(texts: pa.Array | pa.ChunkedArray, lower: bool = False, limit: int = SLICE_BYTES, table: np.ndarray | None = None) -> Iterator[Slice]:
+    """The byte slices, split in words; table replaces bytes."""
+    if lower:
+        table = LOWER
+    for first_row, data, bounds in byte_slices(texts, limit):
+        yield split_words(first_row, data if table is None else table[data], bounds)
+
+
 def split_words(first_row: int, data: np.ndarray, bounds: np.ndarray) -> Slice:
     inside = ~SPACE[data]
     fresh = np.zeros(len(data) + 1, dtype=bool)  # a document begins here

@@ -498,7 +498,7 @@ def test_words_split_like_the_pattern():
     assert got == [WORD.findall(t or "") for t in texts]
 
 
-@pytest.mark.parametrize("name", ["op1_secret_scans", "op6_substring_dedup", "op7_near_dedup"])
+@pytest.mark.parametrize("name", ["op1_secret_scans", "op6_substring_dedup", "op7_near_dedup", "op13_fill_in_middle"])
 def test_queries_against_sql(spark, small, name):
     import duckdb
 
