@@ -507,5 +507,5 @@ def test_queries_against_sql(spark, small, name):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{small}/documents.parquet')")
     found = [con.execute(queries.ORACLE_SQL[name]).df(), queries.QUERIES[name](spark, small).toPandas()]
-    a, b = (sorted(x[sorted(x.columns)].astype(object).itertuples(index=False, name=None)) for x in found)
+    a, b = (sorted((x[sorted(x.columns)].astype(object).where(x.notna(), None)).itertuples(index=False, name=None), key=repr) for x in found)
     assert a == b and set(found[0].columns) == set(found[1].columns)
