@@ -5,11 +5,11 @@ All families are treated in one job; every function takes and returns DataFrames
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from ..shared import written
-from . import checks, sampling
-from .running import range_cuts, range_of, running_totals
+from ..functions.exact import exact_sums, mean_of
+from . import checks
+from .running import prefix_scan
 
 Z_95 = 1.959963984540054  # fixed value: the two-sided 95 % point of the normal distribution
 # What a report says of itself.
@@ -25,13 +25,13 @@ def _next(value: Column, direction: str) -> Column:
     return F.java_method(F.lit("java.lang.Math"), F.lit(direction), value).cast("double")
 
 
-def _with_rates(df: DataFrame) -> DataFrame:
-    """Rates from tp, fp and the class sizes positives, negatives."""
+def _with_rates(df: DataFrame, extra: list[str] = ()) -> DataFrame:
+    """Rates from tp, fp and the class sizes positives, negatives; columns of extra stay."""
     tp, fp, p, n = (F.col(c) for c in ("tp", "fp", "positives", "negatives"))
     return df.select(
         "family", F.col("threshold").alias("bit_score_threshold_bits"), tp.alias(COUNTS[0]), (p - tp).alias(COUNTS[1]), fp.alias(COUNTS[2]), (n - fp).alias(COUNTS[3]),
         (tp / p).alias(RATES[0]), ((n - fp) / n).alias(RATES[1]), (fp / n).alias(RATES[2]), ((p - tp) / p).alias(RATES[3]), "positives", "negatives",
-        *(c for c in STEPS if c in df.columns),
+        *(c for c in STEPS if c in df.columns), *extra,
     )
 
 
@@ -41,54 +41,44 @@ def class_sizes(scores: DataFrame) -> DataFrame:
     return sizes.filter("positives > 0 and negatives > 0")
 
 
+def _counted(scores: DataFrame) -> DataFrame:
+    """family, threshold, step_positives, step_negatives: equal scores as one row. Adding zero turns -0.0 into 0.0, its equal."""
+    positive = F.col("is_positive")
+    return scores.groupBy("family", (F.col("score") + 0.0).alias("threshold")).agg(F.sum(positive.cast("long")).alias(STEPS[0]), F.sum((~positive).cast("long")).alias(STEPS[1]))
+
+
 def confusion_at_thresholds(scores: DataFrame, thresholds: DataFrame) -> DataFrame:
     """Counts and rates at each threshold of thresholds(family, threshold, ...), a score passing at the threshold.
 
-    Scores are counted between neighbouring thresholds, so each is read once however many thresholds there are.
+    An as-of merge: scores and thresholds in one falling order, a threshold behind the scores equal to it, and running
+    counts, so each score is read once and each threshold is one row, however many there are. Families without scores of
+    both classes have no rows; columns of thresholds beside the first two stay.
     """
-    steps = thresholds.select("family", "threshold").distinct()
-    small = _small(steps)
-    arrays = steps.groupBy("family").agg(F.array_sort(F.collect_set("threshold")).alias("steps"))
-    at = F.size(F.filter("steps", lambda t: F.col("score") >= t))
-    counted = scores.join(F.broadcast(arrays) if small else arrays, "family").groupBy(F.col("family").alias("_family"), at.alias("_passed")).agg(F.sum(F.col("is_positive").cast("long")).alias("p"), F.sum((~F.col("is_positive")).cast("long")).alias("n"))
-    # a row for each threshold; a score that passes k of them passes the lowest k
-    ranked = steps.withColumn("_rank", F.row_number().over(Window.partitionBy("family").orderBy("threshold")))
-    above = Window.partitionBy("family").orderBy(F.desc("_rank")).rowsBetween(Window.unboundedPreceding, 0)
-    passed = ranked.join(counted, F.expr("family = _family and _passed = _rank"), "left")
-    passed = passed.select("family", "threshold", *(F.coalesce(F.sum(x).over(above), F.lit(0)).alias(y) for x, y in (("p", "tp"), ("n", "fp"))))
-    found = thresholds.join(passed, ["family", "threshold"])
-    rated = _with_rates(found.join(class_sizes(scores), "family"))
-    extra = [c for c in thresholds.columns if c not in ("family", "threshold")]
-    if not extra:
-        return rated
-    return rated.join(thresholds.withColumnRenamed("threshold", "bit_score_threshold_bits").distinct(), ["family", "bit_score_threshold_bits"])
-
-
-def _small(df: DataFrame, rows: int = 10_000) -> bool:
-    """Whether df, of a number a row, has so few rows that a copy may go to every executor."""
-    return df.limit(rows + 1).count() <= rows
+    asked = thresholds.select("family", (F.col("threshold") + 0.0).alias("threshold")).distinct().withColumn("asked", F.lit(True))
+    none = {c: F.lit(0).cast("long") for c in STEPS}
+    both = _counted(scores).withColumn("asked", F.lit(False)).unionByName(asked.withColumns(none))
+    merged = prefix_scan(both, ["family"], [F.desc("threshold"), F.asc("asked")], STEPS)
+    sizes = merged.groupBy("family").agg(F.sum(STEPS[0]).alias("positives"), F.sum(STEPS[1]).alias("negatives")).filter("positives > 0 and negatives > 0")
+    passed = merged.filter("asked").select("family", "threshold", F.col(f"running_{STEPS[0]}").alias("tp"), F.col(f"running_{STEPS[1]}").alias("fp"))
+    return _with_rates(thresholds.distinct().join(passed, ["family", "threshold"]).join(sizes, "family"), [c for c in thresholds.columns if c not in ("family", "threshold")])
 
 
 def roc_curve(scores: DataFrame) -> DataFrame:
     """Counts and rates at every observed score and at sentinels just below the least and above the greatest.
 
-    Equal scores are counted first and written; what follows reads that table. Running totals go over ranges of the
-    score, so one family isn't one task. step_positives and step_negatives count the scores at a threshold itself.
+    Equal scores are counted first; running counts go over physical partitions of (family, falling score), so one family
+    isn't one task. step_positives and step_negatives count the scores at a threshold itself.
     """
-    # adding zero turns -0.0 into 0.0, its equal
-    grouped = scores.groupBy("family", (F.col("score") + 0.0).alias("threshold")).agg(F.sum(F.col("is_positive").cast("long")).alias("step_positives"), F.sum((~F.col("is_positive")).cast("long")).alias("step_negatives"))
-    grouped = written(grouped, "scores")
-    about = grouped.groupBy("family").agg(
-        F.sum("step_positives").alias("positives"), F.sum("step_negatives").alias("negatives"), F.min("threshold").alias("low"), F.max("threshold").alias("high"),
-        range_cuts(F.col("threshold"), grouped.count()).alias("_cuts"),
-    )
-    about = written(about.filter("positives > 0 and negatives > 0"), "families")
-    dealt = grouped.join(about, "family").select(*grouped.columns, "positives", "negatives", range_of("_cuts", F.col("threshold")).alias("_range"))
-    observed = running_totals(dealt, "family", "threshold", STEPS).withColumnsRenamed({"running_step_positives": "tp", "running_step_negatives": "fp"})
-    none = {c: F.lit(0).cast("long") for c in STEPS}
-    below = about.select("family", _next(F.col("low"), "nextDown").alias("threshold"), F.col("positives").alias("tp"), F.col("negatives").alias("fp"), "positives", "negatives").withColumns(none)
-    above = about.select("family", _next(F.col("high"), "nextUp").alias("threshold"), F.lit(0).cast("long").alias("tp"), F.lit(0).cast("long").alias("fp"), "positives", "negatives").withColumns(none)
-    return _with_rates(observed.unionByName(below).unionByName(above))
+    observed = prefix_scan(_counted(scores), ["family"], [F.desc("threshold")], STEPS).withColumnsRenamed({f"running_{STEPS[0]}": "tp", f"running_{STEPS[1]}": "fp"})
+    about = observed.groupBy("family").agg(F.sum(STEPS[0]).alias("positives"), F.sum(STEPS[1]).alias("negatives"), F.min("threshold").alias("low"), F.max("threshold").alias("high"))
+    about = about.filter("positives > 0 and negatives > 0")
+    zero = F.lit(0).cast("long")
+    ends = F.inline(F.array(
+        F.struct(_next(F.col("low"), "nextDown").alias("threshold"), F.col("positives").alias("tp"), F.col("negatives").alias("fp")),
+        F.struct(_next(F.col("high"), "nextUp").alias("threshold"), zero.alias("tp"), zero.alias("fp")),
+    ))
+    sentinels = about.select("family", "positives", "negatives", ends).withColumns(dict.fromkeys(STEPS, zero))
+    return _with_rates(observed.join(about.select("family", "positives", "negatives"), "family").unionByName(sentinels))
 
 
 def roc_auc(curve: DataFrame) -> DataFrame:
@@ -109,18 +99,18 @@ def zero_false_positive_cutoff(curve: DataFrame) -> DataFrame:
 
 
 def confusion_from_curve(curve: DataFrame, wanted: DataFrame) -> DataFrame:
-    """For wanted(family, wanted_threshold) the row of the smallest stored threshold at or above it, else the last."""
-    # the lowest threshold between each two neighbouring wanted ones, then the lowest from each wanted one upwards
-    steps = wanted.select("family", "wanted_threshold").distinct()
-    arrays = steps.groupBy("family").agg(F.array_sort(F.collect_set("wanted_threshold")).alias("_steps"))
-    near = curve.select("family", F.col("bit_score_threshold_bits").alias("_t")).join(F.broadcast(arrays) if _small(steps) else arrays, "family")
-    near = near.groupBy("family", F.size(F.filter("_steps", lambda t: F.col("_t") >= t)).alias("_passed")).agg(F.min("_t").alias("_low"), F.max("_t").alias("_high"))
-    ranked = steps.withColumn("_passed", F.row_number().over(Window.partitionBy("family").orderBy("wanted_threshold")))
-    both = ranked.join(near, ["family", "_passed"], "full")
-    upwards = Window.partitionBy("family").orderBy(F.desc("_passed")).rowsBetween(Window.unboundedPreceding, 0)
-    at = both.select("family", "wanted_threshold", F.coalesce(F.min("_low").over(upwards), F.max("_high").over(Window.partitionBy("family"))).alias("bit_score_threshold_bits"))
-    at = at.filter("wanted_threshold is not null and bit_score_threshold_bits is not null")
-    return curve.join(at, ["family", "bit_score_threshold_bits"]).select("wanted_threshold", *curve.columns)
+    """For wanted(family, wanted_threshold) the row of the smallest stored threshold at or above it, else the last.
+
+    An as-of merge: curve and wanted thresholds in one falling order, a wanted one behind the stored one equal to it, which
+    takes the stored row before it.
+    """
+    row = F.struct(*(F.col(c) for c in curve.columns))
+    stored = curve.select("family", (F.col("bit_score_threshold_bits") + 0.0).alias("_at"), row.alias("row"), F.lit(None).cast("double").alias("wanted_threshold"), F.lit(False).alias("asked"))
+    asked = wanted.select("family", "wanted_threshold").distinct().withColumns({"_at": F.col("wanted_threshold") + 0.0, "asked": F.lit(True)})
+    merged = prefix_scan(stored.unionByName(asked, allowMissingColumns=True), ["family"], [F.desc("_at"), F.asc("asked")], lasts=["row"]).filter("asked")
+    highest = curve.groupBy("family").agg(F.max_by(row, "bit_score_threshold_bits").alias("highest"))
+    found = merged.join(highest, "family").select("wanted_threshold", F.coalesce("last_row", "highest").alias("row"))
+    return found.select("wanted_threshold", "row.*")
 
 
 def wilson(successes: Column, trials: Column, z: float = Z_95) -> tuple[Column, Column]:
@@ -151,13 +141,22 @@ def robustness(scores: DataFrame, cutoffs: DataFrame, delta: float = 5.0) -> Dat
 
 
 def score_distribution(scores: DataFrame, keys: list[str]) -> DataFrame:
-    """Number, least, exact median, mean and greatest score of each group; ranks by ranges, so a group isn't one task."""
-    named = scores.select(F.struct(*keys).alias("group"), F.col("score").cast("double").alias("score"))
-    about = named.groupBy("group").agg(F.count("*").alias("number_of_scores"), F.min("score").alias("minimum_bit_score_bits"), F.avg("score").alias("mean_bit_score_bits"), F.max("score").alias("maximum_bit_score_bits"))
-    ranked = sampling.ranked(named, "group", ["score"]).join(about.select("group", "number_of_scores"), "group")
-    middle = ranked.filter("rank = (number_of_scores - 1) div 2 or rank = number_of_scores div 2").groupBy("group").agg(F.avg("score").alias("median_bit_score_bits"))
-    order = ["number_of_scores", "minimum_bit_score_bits", "median_bit_score_bits", "mean_bit_score_bits", "maximum_bit_score_bits"]
-    return about.join(middle, "group").select("group.*", *order)
+    """Number, least, exact median, exactly rounded mean and greatest score of each group.
+
+    Equal scores are counted first; the median is where running counts over physical partitions pass the middle, so a
+    group isn't one task. The mean is the exact sum, rounded once, over the number. Null keys are groups of their own.
+    """
+    counted = scores.groupBy(*keys, (F.col("score").cast("double") + 0.0).alias("score")).agg(F.count("*").alias("n"))
+    ranked = prefix_scan(counted, keys, [F.asc("score")], ["n"]).withColumn("group", F.struct(*keys))  # equal structs, also of nulls, join
+    about = ranked.groupBy("group").agg(F.sum("n").alias("number_of_scores"), F.min("score").alias("minimum_bit_score_bits"), F.max("score").alias("maximum_bit_score_bits"))
+    placed = ranked.join(about.select("group", "number_of_scores"), "group")
+    # the places (N - 1) div 2 and N div 2, from zero, lie in one or two neighbouring rows
+    holds = lambda place: f"(running_n - n <= {place} and {place} < running_n)"
+    middle = placed.filter(f"{holds('(number_of_scores - 1) div 2')} or {holds('number_of_scores div 2')}")
+    middle = middle.groupBy("group").agg(((F.min("score") + F.max("score")) / 2).alias("median_bit_score_bits"))
+    out = about.join(middle, "group").join(exact_sums(ranked, ["group"], "score", "_total", "n"), "group")
+    mean = mean_of(F.col("_total"), F.col("number_of_scores")).alias("mean_bit_score_bits")
+    return out.select("group.*", "number_of_scores", "minimum_bit_score_bits", "median_bit_score_bits", mean, "maximum_bit_score_bits")
 
 
 def class_counts(scores: DataFrame, labels: tuple[str, ...] = ("positive", "hard_negative", "easy_negative", "negative")) -> DataFrame:

@@ -12,7 +12,7 @@ import random
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from .checks import InputError
-from .running import range_cuts, range_of
+from .running import prefix_scan
 
 EXACT_ROWS = 5_000_000
 SLOTS = "group string, slot long, rank long"
@@ -52,18 +52,9 @@ def sample(df: DataFrame, group: str, keys: list[str], sizes: dict[str, int], se
 
 
 def ranked(df: DataFrame, group: str, order: list[str]) -> DataFrame:
-    """Adds rank: the place, from 0, of each row in its group by order. order[0] also splits a group in ranges, so that
-    no group is sorted in one task."""
-    first = F.col(order[0])
-    numeric = dict(df.dtypes)[order[0]] in ("bigint", "int", "double")
-    position = first.cast("double") if numeric else F.conv(F.substring(first, 1, 12), 16, 10).cast("double")
-    cuts = df.groupBy(group).agg(range_cuts(position, df.count()).alias("_cuts"))
-    dealt = df.join(cuts, group).withColumn("_range", range_of("_cuts", position)).drop("_cuts")
-    sizes = dealt.groupBy(group, "_range").agg(F.count("*").alias("_n"))
-    below = Window.partitionBy(group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = sizes.select(group, "_range", F.coalesce(F.sum("_n").over(below), F.lit(0)).alias("_below"))
-    own = Window.partitionBy(group, "_range").orderBy(*order)
-    return dealt.join(sizes, [group, "_range"]).select(*df.columns, (F.row_number().over(own) - 1 + F.col("_below")).cast("long").alias("rank"))
+    """Adds rank: the place, from 0, of each row in its group by order, which must tell rows apart. Null groups are one."""
+    scanned = prefix_scan(df.withColumn("_one", F.lit(1).cast("long")), [group], [F.asc(c) for c in order], ["_one"])
+    return scanned.select(*df.columns, (F.col("running__one") - 1).alias("rank"))
 
 
 def picked(df: DataFrame, slots: DataFrame, group: str, order: list[str]) -> DataFrame:

@@ -241,7 +241,7 @@ def distinct_domains(spark, sf_dir):
 @query(f"""WITH {V.HITS} SELECT a.ordinal AS first, b.ordinal AS second, round({OVERLAP.format(a='a', b='b')}, 9) AS overlap FROM hits a JOIN hits b ON a.target_id = b.target_id AND a.ordinal < b.ordinal
 WHERE {OVERLAP.format(a='a', b='b')} > 0.5""")
 def overlap_pairs(spark, sf_dir):
-    return _rounded(overlap.overlapping_pairs(V.hits(spark, sf_dir), 0.5, 128), "overlap")
+    return _rounded(overlap.overlapping_pairs(V.hits(spark, sf_dir), 0.5), "overlap")
 
 
 @query(f"WITH {V.SEQUENCES} SELECT count(*) AS number_of_records, CAST(sum(length(sequence)) AS BIGINT) AS total_residues, CAST(min(length(sequence)) AS BIGINT) AS minimum_length, CAST(max(length(sequence)) AS BIGINT) AS maximum_length FROM seqs")

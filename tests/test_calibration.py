@@ -1,7 +1,10 @@
+import bisect
 import math
 import random
+import statistics
 
 import pytest
+from pyspark.sql import functions as F
 
 from seqcal.operators import calibration as C
 from seqcal.operators.checks import InputError
@@ -86,8 +89,6 @@ def test_curves_and_areas_against_brute_force_with_ties(spark, seed):
 
 
 def test_wilson_interval(spark):
-    from pyspark.sql import functions as F
-
     low, high = C.wilson(F.lit(0), F.lit(453))
     row = spark.range(1).select(low.alias("low"), high.alias("high")).first()
     assert row.low == 0.0 and row.high == pytest.approx(0.008408, abs=1e-6)
@@ -124,16 +125,31 @@ def test_reports_of_several_families_in_one_job(spark):
     assert C.calibration_reports(both).filter("comparison is not null").isEmpty()
 
 
-def test_totals_over_several_ranges(spark, monkeypatch):
-    from seqcal.operators import running
-
+def test_counts_and_lookups_at_many_thresholds(spark):
+    rng = random.Random(3)
+    families = {f: ([round(rng.gauss(3, 2), 3) for _ in range(700)], [round(rng.gauss(2, 2), 3) for _ in range(700)]) for f in "ab"}
+    df = scores(spark, *families["a"], "a").union(scores(spark, *families["b"], "b"))
+    wanted = spark.range(100_000).selectExpr("explode(array('a', 'b', 'none')) AS family", "id / 10000.0 - 3.0 AS threshold", "id").selectExpr("family", "cast(threshold AS double) AS threshold", "id")
+    direct = C.confusion_at_thresholds(df, wanted).collect()
+    curve = C.roc_curve(df)
+    looked_up = C.confusion_from_curve(curve, wanted.select("family", F.col("threshold").alias("wanted_threshold")).union(wanted.select("family", F.lit(1e9).alias("t")))).collect()
+    assert len(direct) == 200_000 and len(looked_up) == 200_002
+    ordered = {f: (sorted(p), sorted(n)) for f, (p, n) in families.items()}
+    for r in direct:
+        p, n = (len(x) - bisect.bisect_left(x, r.bit_score_threshold_bits) for x in ordered[r.family])
+        assert counts(r) == (p, 700 - p, n, 700 - n) and r.bit_score_threshold_bits == r.id / 10000.0 - 3.0
+    stored = {f: sorted(brute_curve(*x)) for f, x in families.items()}
+    for r in looked_up:
+        at = bisect.bisect_left(stored[r.family], r.wanted_threshold)
+        assert r.bit_score_threshold_bits == stored[r.family][min(at, len(stored[r.family]) - 1)]
+
+
+def test_distributions_against_plain_statistics(spark):
     rng = random.Random(9)
-    df = scores(spark, [round(rng.gauss(3, 2), 2) for _ in range(400)], [round(rng.gauss(2, 2), 2) for _ in range(400)])
-    one = {tuple(r) for r in C.roc_curve(df).collect()}
-    median = C.score_distribution(df, ["family", "is_positive"]).collect()
-    monkeypatch.setattr(running, "RANGE_ROWS", 50)
-    assert {tuple(r) for r in C.roc_curve(df).collect()} == one
-    assert sorted(C.score_distribution(df, ["family", "is_positive"]).collect()) == sorted(median)
+    groups = {(f, y): [rng.choice([rng.gauss(0, 1), 1e16, -1e16, 0.1, -0.0, 5e-324]) for _ in range(n)] for f, y, n in (("a", 1, 300), ("a", None, 51), (None, 2, 4), ("b", 1, 1))}
+    df = spark.createDataFrame([(f, y, s) for (f, y), own in groups.items() for s in own], "family string, year int, score double")
+    got = {(r.family, r.year): tuple(r)[2:] for r in C.score_distribution(df.repartition(5), ["family", "year"]).collect()}
+    assert got == {k: (len(v), min(v), statistics.median(v), statistics.fmean(v), max(v)) for k, v in groups.items()}
 
 
 def test_distribution(spark):
