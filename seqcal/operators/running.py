@@ -100,12 +100,12 @@ def _carries(ends: list, keys: list[str], sums: list[str], lasts: list[str]) ->
     """(partition, sums, lasts) that each partition's first group brings from those before, where there are some."""
     out: list[tuple] = []
     before, brought = None, ([0] * len(sums), [None] * len(lasts))
-    for row in sorted(ends, key=lambda r: r["_part"]):
+    for row in sorted(ends, key=lambda r: r["_scan_part"]):
         first, last = [row["head"][k] for k in keys], [row["tail"][k] for k in keys]
         if before != first:
             brought = ([0] * len(sums), [None] * len(lasts))
         elif any(brought[0]) or any(x is not None for x in brought[1]):
-            out.append((row["_part"], *brought[0], *brought[1]))
+            out.append((row["_scan_part"], *brought[0], *brought[1]))
         total = [row["tail"][f"running_{v}"] for v in sums]
         known = [row["tail"][f"last_{v}"] for v in lasts]
         if first == last:  # the group goes through the whole partition
@@ -125,7 +125,7 @@ def prefix_scan(df: DataFrame, keys: list[str], order: list[Column], sums: list[
     spark, sums, lasts = df.sparkSession, list(sums), list(lasts)
     ship(spark)
     names = df.columns
-    fields = [StructField("_part", IntegerType()), StructField("_at", LongType()), StructField("_lead", BooleanType())]
+    fields = [StructField("_scan_part", IntegerType()), StructField("_scan_at", LongType()), StructField("_scan_lead", BooleanType())]
     running = [StructField(f"running_{v}", LongType()) for v in sums] + [StructField(f"last_{v}", df.schema[v].dataType) for v in lasts]
     schema = StructType([*df.schema.fields, *fields, *running])
 
@@ -136,14 +136,14 @@ def prefix_scan(df: DataFrame, keys: list[str], order: list[Column], sums: list[
                 yield pa.RecordBatch.from_arrays([*batch.columns, *scan.step(batch)], names=[f.name for f in schema])
 
     table = written(ranged(df, [*(F.col(k) for k in keys), *order]).mapInArrow(run, schema), "scan", merge=False)
-    tail = F.max_by(F.struct(*keys, *(f.name for f in running)), "_at").alias("tail")
-    ends = table.groupBy("_part").agg(F.min_by(F.struct(*keys), "_at").alias("head"), tail).collect()  # a row for each partition
+    tail = F.max_by(F.struct(*keys, *(f.name for f in running)), "_scan_at").alias("tail")
+    ends = table.groupBy("_scan_part").agg(F.min_by(F.struct(*keys), "_scan_at").alias("head"), tail).collect()  # a row for each partition
     carried = _carries(ends, keys, sums, lasts)
     if not carried:
         return table.select(*names, *(f.name for f in running))
-    carry = spark.createDataFrame(carried, StructType([StructField("_part", IntegerType()), *(StructField(f"_carry_{f.name}", f.dataType) for f in running)]))
-    joined = table.join(F.broadcast(carry), "_part", "left")
-    brought = lambda name: F.when(F.col("_lead"), F.col(f"_carry_{name}"))
+    carry = spark.createDataFrame(carried, StructType([StructField("_scan_part", IntegerType()), *(StructField(f"_carry_{f.name}", f.dataType) for f in running)]))
+    joined = table.join(F.broadcast(carry), "_scan_part", "left")
+    brought = lambda name: F.when(F.col("_scan_lead"), F.col(f"_carry_{name}"))
     total = [(F.col(f"running_{v}") + F.coalesce(brought(f"running_{v}"), F.lit(0))).alias(f"running_{v}") for v in sums]
     known = [F.coalesce(f"last_{v}", brought(f"last_{v}")).alias(f"last_{v}") for v in lasts]
     return joined.select(*names, *total, *known)

@@ -129,7 +129,7 @@ def test_counts_and_lookups_at_many_thresholds(spark):
     rng = random.Random(3)
     families = {f: ([round(rng.gauss(3, 2), 3) for _ in range(700)], [round(rng.gauss(2, 2), 3) for _ in range(700)]) for f in "ab"}
     df = scores(spark, *families["a"], "a").union(scores(spark, *families["b"], "b"))
-    wanted = spark.range(100_000).selectExpr("explode(array('a', 'b', 'none')) AS family", "id / 10000.0 - 3.0 AS threshold", "id").selectExpr("family", "cast(threshold AS double) AS threshold", "id")
+    wanted = spark.range(100_000).selectExpr("explode(array('a', 'b', 'none')) AS family", "id / 10000e0 - 3e0 AS threshold", "id").selectExpr("family", "cast(threshold AS double) AS threshold", "id")
     direct = C.confusion_at_thresholds(df, wanted).collect()
     curve = C.roc_curve(df)
     looked_up = C.confusion_from_curve(curve, wanted.select("family", F.col("threshold").alias("wanted_threshold")).union(wanted.select("family", F.lit(1e9).alias("t")))).collect()

@@ -1,5 +1,7 @@
 import hashlib
+import io
 import json
+import random
 
 import pytest
 
@@ -47,6 +49,58 @@ def test_fasta_in_blocks(spark, tmp_path):
     assert fasta.read_proteins(spark, str(path)).first().target_id == "id1"
 
 
+def plain_records(data):
+    """What a line by line reader finds."""
+    found = []
+    for line in io.TextIOWrapper(io.BytesIO(data), encoding="utf-8-sig"):
+        if line := line.strip():
+            if line.startswith(">"):
+                found.append([line, ""])
+            else:
+                found[-1][1] += line
+    return [tuple(r) for r in found]
+
+
+@pytest.mark.parametrize("end", ["\n", "\r", "\r\n"])
+@pytest.mark.parametrize("size", ["1500", "1m"])
+def test_fasta_of_any_line_ends_and_blocks(spark, tmp_path, end, size):
+    rng = random.Random(size + end)
+    (tmp_path / "many").mkdir()
+    want = []
+    for f in range(3):
+        text = rng.choice(["", end, " \t" + end])
+        for i in range(120):
+            text += rng.choice(["", "  ", "\t", "\xa0"]) + ">" + rng.choice([f"id{i}", f"id{i} a>b >c", f"> id{i}", f"x{i}|y"]) + rng.choice(["", " "]) + end
+            text += "".join(rng.choice([" ", ""]) + "MKLV"[: rng.randint(0, 4)] * rng.randint(0, 20) + rng.choice(["", ">", "a>b"]) * (rng.random() < 0.1 and i % 2) + end for _ in range(rng.randint(0, 3)))
+        data = text.encode()
+        want += plain_records(data)
+        (tmp_path / "many" / f"{f}.fa").write_bytes(data)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    try:
+        rows = fasta.read_headers(spark, str(tmp_path / "many")).orderBy("ordinal").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert [(r.header, r.sequence) for r in rows] == want and [r.ordinal for r in rows] == list(range(len(want)))
+
+
+@pytest.mark.parametrize("data", [b">a\nM\n>", b">", b">a\nMK\n >", b">a>", b"\xef\xbb\xbf>a\nM\n>", b">a", b">a\n>b"])
+def test_fasta_that_ends_with_a_mark(spark, tmp_path, data):
+    (tmp_path / "x.fa").write_bytes(data)
+    rows = fasta.read_headers(spark, str(tmp_path / "x.fa")).orderBy("ordinal").collect()
+    assert [(r.header, r.sequence) for r in rows] == plain_records(data)
+
+
+def test_many_records_with_old_line_ends(spark, tmp_path):
+    """More than any bound on one chunk: in a file of CR line ends and in one of indented headers."""
+    n = 100_000
+    for end, indent in (("\r", ""), ("\n", " ")):
+        (tmp_path / "x.fa").write_text("".join(f"{indent}>r{i}{end}MK{end}" for i in range(n)), newline="")
+        rows = fasta.read_headers(spark, str(tmp_path / "x.fa"))
+        row = rows.selectExpr("count(*) AS n", "count(distinct ordinal) AS m", "min(header = concat('>r', ordinal)) AS same", "max(sequence) AS s").first()
+        assert tuple(row) == (n, n, True, "MK")
+
+
 def test_empty_header(spark, tmp_path):
     (tmp_path / "x").write_text(">\nM\n")
     with pytest.raises(InputError):
