@@ -7,7 +7,7 @@ has m - 1 pairs. Candidates are confirmed on full shingle sets; confirmed links
 miss a link between two classes that are both unlike the smallest, so buckets whose classes are still in different
 components have a second turn: each class outside the bucket's first component is compared there with the classes of
 other components, in blocks of bounded size that give links, not pairs. With 48 bands of 6 bins a pair at a similarity
-of 0.8 shares no bucket with a probability of 5e-7. A shingle is a 64-bit hash in its set; sets are named by 128-bit
+of 0.8 shares no bucket with a probability of 5e-7. A shingle is a 64-bit hash in its set, under a key drawn for the run; sets are named by 128-bit
 digests, rows by 128-bit digests of their content, classes by numbers.
 """
 
@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from .graph import connected_components
 from .storage import prepare, row_key, written
-from .words import U64, Slice, mix, run_hashes, slices
+from .words import U64, Slice, fresh_key, mix, run_hashes, slices
 
 BANDS, BAND_BINS = 48, 6
 PERCENT = 80
@@ -34,9 +34,9 @@ PROBES = 64
 SIGNATURE = "doc_id long, key binary, n_shingles long, set_hash binary, bands array<long>"
 
 
-def shingle_sets(part: Slice, size: int) -> list[np.ndarray]:
+def shingle_sets(part: Slice, size: int, key: int) -> list[np.ndarray]:
     """Sorted distinct hashes of each document's runs of size words; of all its words if it has fewer."""
-    hashes = part.word_hashes()
+    hashes = part.word_hashes(key)
     first, found = part.window_hashes(hashes, size)
     bounds = np.searchsorted(first, part.first_word)
     out = []
@@ -84,7 +84,7 @@ def densified(sets: list[np.ndarray], bins: int, probes: np.ndarray) -> np.ndarr
     return result
 
 
-def _signatures(size: int, bands: int, band_bins: int):
+def _signatures(size: int, key: int, bands: int, band_bins: int):
     bins = bands * band_bins
     probes = probe_table(bins)
     weights = mix(np.arange(1, band_bins + 1, dtype=np.uint64)) | U64(1)
@@ -94,7 +94,7 @@ def _signatures(size: int, bands: int, band_bins: int):
         for batch in batches:
             n, digests, keys = [], [], []
             for part in slices(batch["text"], lower=True):
-                sets = shingle_sets(part, size)
+                sets = shingle_sets(part, size, key)
                 n += [len(s) for s in sets]
                 digests += [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
                 if some := [s for s in sets if len(s)]:
@@ -108,7 +108,7 @@ def _signatures(size: int, bands: int, band_bins: int):
     return run
 
 
-def _confirm(size: int, percent: int):
+def _confirm(size: int, key: int, percent: int):
     """Rows come sorted by (a, part), the hub itself first in each group, so one hub's set is held at a time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -117,7 +117,7 @@ def _confirm(size: int, percent: int):
             hubs, nodes = batch["a"].to_pylist(), batch["node"].to_pylist()
             a, b = [], []
             for part in slices(batch["text"], lower=True):
-                for row, other in enumerate(shingle_sets(part, size), part.first_row):
+                for row, other in enumerate(shingle_sets(part, size, key), part.first_row):
                     if nodes[row] == hubs[row]:
                         hub, mine = hubs[row], other
                         continue
@@ -130,13 +130,13 @@ def _confirm(size: int, percent: int):
     return run
 
 
-def _confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+def _confirmed(pairs: DataFrame, texts: DataFrame, size: int, key: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose full shingle sets are similar; each a's members are dealt out in groups of bounded size."""
     load = pairs.groupBy("a").agg(F.count("*").alias("members"))
     dealt = pairs.join(load, "a").select("a", "b", F.expr(f"pmod(xxhash64(b), cast((members + {HUB_MEMBERS - 1}) / {HUB_MEMBERS} as int))").alias("part"))
     asked = dealt.select("a", "part", F.explode(F.array("b", "a")).alias("node")).distinct()
     rows = asked.join(texts, "node").select("a", "part", "node", "text").repartition("a", "part")
-    return rows.sortWithinPartitions("a", "part", F.col("node") != F.col("a")).mapInArrow(_confirm(size, percent), "a long, b long")
+    return rows.sortWithinPartitions("a", "part", F.col("node") != F.col("a")).mapInArrow(_confirm(size, key, percent), "a long, b long")
 
 
 class Sets:
@@ -167,12 +167,12 @@ class Sets:
         return many[100 * common >= percent * (self.sizes[many] + self.sizes[one] - common)]
 
 
-def _compare(rows: pa.Table, size: int, percent: int) -> list[tuple[int, int]]:
+def _compare(rows: pa.Table, size: int, key: int, percent: int) -> list[tuple[int, int]]:
     """Links between the own classes of a block and its odd ones. Each pair is taken in the first band that it shares
     only, not with the bucket's hub, which the first turn has compared with all, and two odd classes once."""
     sets: list[np.ndarray] = []
     for part in slices(rows["text"], lower=True):
-        sets += shingle_sets(part, size)
+        sets += shingle_sets(part, size, key)
     table = Sets(sets)
     own = rows["own"].to_numpy()
     node, component, odd = (rows[c].to_numpy() for c in ("node", "component", "odd"))
@@ -191,12 +191,12 @@ def _compare(rows: pa.Table, size: int, percent: int) -> list[tuple[int, int]]:
     return out
 
 
-def _blocks(size: int, percent: int):
+def _blocks(size: int, secret: int, percent: int):
     """Rows come sorted by (bucket, i, j); one block is held at a time."""
     key = ["bucket", "i", "j"]
 
     def links(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
-        found = _compare(pa.Table.from_batches(rows), size, percent)
+        found = _compare(pa.Table.from_batches(rows), size, secret, percent)
         return pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], pa.int64()) for i in (0, 1)], names=["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -218,7 +218,7 @@ def _blocks(size: int, percent: int):
     return run
 
 
-def _across(rest: DataFrame, classes: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+def _across(rest: DataFrame, classes: DataFrame, texts: DataFrame, size: int, key: int, percent: int) -> DataFrame:
     """Links between classes of different components that share a bucket.
 
     The classes of a bucket are dealt to parts of bounded size, those outside its first component to parts of their own,
@@ -234,7 +234,7 @@ def _across(rest: DataFrame, classes: DataFrame, texts: DataFrame, size: int, pe
     needed = placed.select("node").distinct().join(classes.select("node", "bands"), "node")
     needed = needed.join(texts, "node").select("node", "bands", "text")
     rows = placed.join(needed, "node").select("bucket", "i", "j", "band", "a", "node", "component", "odd", "own", "bands", "text")
-    return rows.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j").mapInArrow(_blocks(size, percent), "a long, b long").distinct()
+    return rows.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j").mapInArrow(_blocks(size, key, percent), "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = PERCENT, bands: int = BANDS, band_bins: int = BAND_BINS, with_key: bool = False) -> DataFrame:
@@ -246,10 +246,10 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = PERCENT, band
     links reach, kept says that it is the document's own. A row without doc_id takes no part: its component_id is null
     and it is kept. Rows that repeat a doc_id are documents of their own with the same name.
     """
-    spark = docs.sparkSession
+    spark, secret = docs.sparkSession, fresh_key()
     prepare(spark)
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("key", row_key("doc_id", "text"))
-    signed = written(docs.mapInArrow(_signatures(size, bands, band_bins), SIGNATURE), "signatures", merge=False)
+    signed = written(docs.mapInArrow(_signatures(size, secret, bands, band_bins), SIGNATURE), "signatures", merge=False)
     real = signed.filter("n_shingles > 0 and doc_id is not null")
     classes = real.groupBy("set_hash").agg(F.min(F.struct("doc_id", "key")).alias("first"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"))
     classes = written(classes.select(F.monotonically_increasing_id().alias("node"), "set_hash", F.col("first.doc_id").alias("doc_id"), F.col("first.key").alias("key"), "n", "bands"), "classes")
@@ -262,13 +262,13 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = PERCENT, band
     texts = written(docs.join(shared.hint("merge"), "key").select("node", "text").dropDuplicates(["node"]), "texts")
     stars = full.filter(f"node <> a and 100 * least(n, hub_n) >= {percent} * greatest(n, hub_n)").select("a", F.col("node").alias("b")).distinct()
     stars = written(stars, "stars")
-    links = written(_confirmed(stars, texts, size, percent), "links")
+    links = written(_confirmed(stars, texts, size, secret, percent), "links")
     found = connected_components(links, "a", "b")
 
     member = full.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     member = written(member.select("bucket", "band", "size", "a", "node", "n", "component"), "members")
     mixed = member.groupBy("bucket").agg(F.min("component").alias("first"), F.max("component").alias("last")).filter("first < last").select("bucket", "first")
-    more = written(_across(member.join(mixed, "bucket"), classes, texts, size, percent), "links")
+    more = written(_across(member.join(mixed, "bucket"), classes, texts, size, secret, percent), "links")
     if not more.isEmpty():
         found = connected_components(links.union(more), "a", "b")
 

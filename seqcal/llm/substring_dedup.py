@@ -9,7 +9,8 @@ and a task doesn't send again what it has seen twice in a batch before (up to KN
 of all documents share comes about once from each task.
 
 Two hashes to independent bases name a window: one picks the range, the other is the value sent. With R ranges and N
-windows about N * N / (R * 2**62) windows are taken for repeated by chance: 1e-4 of one at 1e8 windows and 50 ranges.
+windows about N * N / (R * 2**62) windows are taken for repeated by chance: 1e-4 of one at 1e8 windows and 50 ranges. Word hashes are
+under a key drawn for the run, so no text can be made to meet another one.
 Documents are named by 128-bit digests of their rows.
 """
 
@@ -24,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .storage import prepare, row_key
-from .words import SECOND_BASE, U64, Slice, covered, mix, slices
+from .words import SECOND_BASE, U64, Slice, covered, fresh_key, mix, slices
 
 WINDOW = 35
 KNOWN = 1 << 20
@@ -44,14 +45,14 @@ def _unpack(bits: bytes, n: int) -> np.ndarray:
     return np.unpackbits(np.frombuffer(bits, np.uint8), count=n).astype(bool)
 
 
-def _windows(part: Slice, size: int, ranges: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _windows(part: Slice, size: int, ranges: int, secret: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(first word, range, hash) of every window of a slice."""
-    words = part.word_hashes()
+    words = part.word_hashes(secret)
     first, hashes = part.window_hashes(words, size)
     return first, (part.window_hashes(words, size, SECOND_BASE)[1] // _width(ranges)).astype(np.int64), hashes
 
 
-def _pack(size: int, ranges: int):
+def _pack(size: int, ranges: int, secret: int):
     """For each batch and hash range one row: the windows of each document there, and their hashes; one more row, in any
     range and without hashes, has the keys of the batch's documents.
 
@@ -65,7 +66,7 @@ def _pack(size: int, ranges: int):
             keys = b"".join(batch["key"].to_pylist())
             owner, at, hashes = [], [], []
             for part in slices(batch["text"]):
-                first, own, found = _windows(part, size, ranges)
+                first, own, found = _windows(part, size, ranges, secret)
                 owner.append(part.documents_of(first) + part.first_row)
                 at.append(own)
                 hashes.append(found)
@@ -147,7 +148,7 @@ def _by_document(rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"key": list(found), "found": [[{"range": a, "marks": m} for a, m in x.items()] for x in found.values()]}, dtype=object)
 
 
-def _remove(size: int, ranges: int, with_text: bool):
+def _remove(size: int, ranges: int, secret: int, with_text: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = batch["found"].to_pylist()
@@ -159,7 +160,7 @@ def _remove(size: int, ranges: int, with_text: bool):
                     words = part.text(d).split()
                     if marks:
                         one = next(slices(pa.array([part.text(d)], pa.binary()).cast(pa.string())))
-                        first, at, _ = _windows(one, size, ranges)
+                        first, at, _ = _windows(one, size, ranges, secret)
                         hit = np.zeros(len(first), dtype=bool)
                         for mark in marks:
                             where = np.flatnonzero(at == mark["range"])
@@ -186,13 +187,13 @@ def remove_repeated_windows(docs: DataFrame, size: int = WINDOW, with_text: bool
     keeps the empty text; texts under size words keep all. Rows that repeat another row count as another place, so
     both lose their windows. A null doc_id is kept as such. Columns besides doc_id and text are not read.
     """
-    spark = docs.sparkSession
+    spark, secret = docs.sparkSession, fresh_key()
     prepare(spark)
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("key", row_key("doc_id", "text"))
     chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
     ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), chars // CHARS_PER_RANGE + 1)
-    packed = docs.select("key", "text").mapInArrow(_pack(size, ranges), PACKED)
+    packed = docs.select("key", "text").mapInArrow(_pack(size, ranges, secret), PACKED)
     marks = packed.repartition(ranges, "range").groupBy("range").applyInPandas(_mark, MARKS)
     found = marks.groupBy("batch").applyInPandas(_by_document, FOUND).dropDuplicates(["key"])
     schema = "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", kept_text string" * with_text
-    return docs.join(found, "key", "left").select("doc_id", "text", "found").mapInArrow(_remove(size, ranges, with_text), schema)
+    return docs.join(found, "key", "left").select("doc_id", "text", "found").mapInArrow(_remove(size, ranges, secret, with_text), schema)

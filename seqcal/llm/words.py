@@ -1,14 +1,16 @@
 """Words of whole texts and their hashes, computed on Arrow buffers a slice of documents at a time.
 
-A word is a run of bytes outside [\\x20\\x09-\\x0D]. Its hash chains mixed blocks of eight bytes, from LONG bytes on it
-is a BLAKE2b digest. The hash of a window of words is a polynomial over the prime field of 2**61 - 1 (Rabin-Karp), for
-all windows of a size at once by doubling. All functions are pure: the same text has the same hashes on every executor
-and in every run.
+A word is a run of bytes outside [\\x20\\x09-\\x0D]. Its hash chains mixed blocks of eight bytes behind a state that
+depends on a key, from LONG bytes on it is a BLAKE2b digest with that key. Where unequal words must not meet, the key is
+drawn for each run (fresh_key) and travels to the tasks with their function, so nobody can prepare words that meet. The hash of a window of words is a polynomial over the prime field of 2**61 - 1 (Rabin-Karp), for
+all windows of a size at once by doubling. All functions are pure: with one key the same text has the same hashes on
+every executor and in every attempt.
 """
 
 from __future__ import annotations
 
 import hashlib
+import secrets
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -38,10 +40,14 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U64(31))
 
 
-def byte_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+def fresh_key() -> int:
+    return secrets.randbits(64)
+
+
+def byte_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, key: int = 0) -> np.ndarray:
     """Hashes of data[start:end] for all pairs at once."""
     n = ends - starts
-    out = mix(n.astype(np.uint64) + U64(0x9E3779B97F4A7C15))
+    out = mix((n.astype(np.uint64) + U64(0x9E3779B97F4A7C15)) ^ mix(np.array([key], dtype=np.uint64)))
     blocks = np.lib.stride_tricks.sliding_window_view(np.concatenate([data, np.zeros(8, dtype=np.uint8)]), 8)
     some = np.flatnonzero((n > 0) & (n < LONG))
     for done in range(0, LONG, 8):
@@ -50,8 +56,9 @@ def byte_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
             break
         block = blocks[starts[some] + done].view("<u8").ravel() & BLOCK_MASKS[np.minimum(n[some] - done, 8)]
         out[some] = mix(out[some] + block * U64(0xD1342543DE82EF95))
+    secret = key.to_bytes(8, "little")
     for i in np.flatnonzero(n >= LONG):
-        out[i] = int.from_bytes(hashlib.blake2b(data[starts[i] : ends[i]].tobytes(), digest_size=8).digest(), "little")
+        out[i] = int.from_bytes(hashlib.blake2b(data[starts[i] : ends[i]].tobytes(), digest_size=8, key=secret).digest(), "little")
     return out
 
 
@@ -108,8 +115,8 @@ class Slice:
     def word(self, i: int) -> bytes:
         return self.data[self.starts[i] : self.ends[i]].tobytes()
 
-    def word_hashes(self) -> np.ndarray:
-        return byte_hashes(self.data, self.starts, self.ends)
+    def word_hashes(self, key: int = 0) -> np.ndarray:
+        return byte_hashes(self.data, self.starts, self.ends, key)
 
     def window_hashes(self, hashes: np.ndarray, size: int, base: int = BASE) -> tuple[np.ndarray, np.ndarray]:
         """(index of the first word, hash) of every run of size words within one document, in order."""

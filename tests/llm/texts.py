@@ -14,6 +14,11 @@ TEXTS = [
     (1, "The quick brown fox. It jumps over the lazy dog!\nAgain and again it jumps over the lazy dog."),
     (None, "a row without a number but with some words in it"),
     (9, "same same same same same same same same same same same same same same same same same same same same same same same"),
+    # words whose unkeyed hashes are equal
+    (11, "abcdefghijklmnop"),
+    (12, "ivchbrsji4}i7t>{"),
+    (13, "head " * 34 + "abcdefghijklmnop"),
+    (14, "head " * 34 + "qlrgleemdu\\iA%C#"),
     (10, "tab\tseparated text  with   spaces \n\n\n and\x0bmore\x0c"),
 ]
 
