@@ -2,19 +2,23 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import groupby
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import text as T
+from ..shipping import ship
 from . import checks, sampling
 
 # Families whose members are hard negatives, and tags that are no label.
 HARD_FAMILIES = ["CBM1", "CBM2", "CBM3", "CBM4", "CBM5", "CBM6", "CBM9", "CBM13", "CBM20", "CBM32", "CBM34", "CBM37", "CBM41", "CBM48", "CBM50", "CBM69", "GH13"]
 AMBIGUOUS_TAGS = ["CBM0"]
 POSITIVES, HARD, EASY, SEED = 1500, 12000, 3000, 20260923
-LARGEST_CLASS = 1_000_000
 CLASSES = ["positive", "hard_negative", "easy_negative"]
 
 
@@ -154,19 +158,40 @@ def require_disjoint(classes: DataFrame) -> None:
         raise checks.InputError(f"classes {row.first} and {row.second} share {row.n} sequences")
 
 
+def _class_digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows come sorted by class and digest; a digest of digests is carried on from batch to batch."""
+    now, n, total = None, 0, hashlib.sha256()
+
+    def row() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([now]), pa.array([n]), pa.array([total.hexdigest()])], names=["class_label", "n", "digest"])
+
+    for batch in batches:
+        labels, digests = batch["class_label"].to_pylist(), batch["sequence_sha256"].to_pylist()
+        for label, own in groupby(zip(labels, digests, strict=True), key=lambda x: x[0]):
+            if n and label != now:
+                yield row()
+                n, total = 0, hashlib.sha256()
+            now = label
+            lines = [d + "\n" for _, d in own]
+            total.update("".join(lines).encode())
+            n += len(lines)
+    if n:
+        yield row()
+
+
 def class_manifest(classes: DataFrame) -> DataFrame:
     """class_label, number_of_unique_sequences, aggregate_sequence_sha256: the digest of the class's sorted digests.
 
-    Classes are samples: a class's digests must fit one row, so there may be LARGEST_CLASS at most. Every class has a
-    row, also an empty one.
+    A digest is sequential, so each class is one task; its digests stream through it, sorted by Spark, and none are held.
+    Every class has a row, also an empty one.
     """
-    largest = classes.groupBy("class_label").agg(F.count_distinct("sequence_sha256").alias("n")).agg(F.max("n")).first()[0] or 0
-    if largest > LARGEST_CLASS:
-        raise checks.InputError(f"a class has {largest} sequences, more than the {LARGEST_CLASS} of a sample")
+    ship(classes.sparkSession)
+    unique = classes.select("class_label", "sequence_sha256").distinct().repartition("class_label").sortWithinPartitions("class_label", "sequence_sha256")
+    found = unique.mapInArrow(_class_digests, "class_label string, n long, digest string")
     named = classes.sparkSession.createDataFrame([(c,) for c in CLASSES], "class_label string")
-    found = classes.groupBy("class_label").agg(F.array_sort(F.collect_set("sequence_sha256")).alias("digests"))
-    joined = named.join(found, "class_label", "left").withColumn("digests", F.coalesce("digests", F.array().cast("array<string>")))
-    return joined.select("class_label", F.size("digests").cast("long").alias("number_of_unique_sequences"), F.sha2(F.concat(F.array_join("digests", "\n"), F.lit("\n")), 256).alias("aggregate_sequence_sha256"))
+    empty = F.lit(hashlib.sha256(b"\n").hexdigest())
+    joined = named.join(found, "class_label", "left")
+    return joined.select("class_label", F.coalesce("n", F.lit(0)).cast("long").alias("number_of_unique_sequences"), F.coalesce("digest", empty).alias("aggregate_sequence_sha256"))
 
 
 def reference_manifest(classes: DataFrame) -> dict:

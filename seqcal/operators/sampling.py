@@ -1,44 +1,23 @@
 """Reproducible samples.
 
-sample() picks rows by a keyed hash and is for tables of any size. reservoir() and shuffled() give the very rows that a
-sequential program with the same seed draws: the draws depend on seed, size and number of items only and are made on the
-driver, for at most EXACT_ROWS items, as a table (slot, rank) of the sample's size; a join picks the rows.
+sample() picks rows by a keyed hash. reservoir() and shuffled() give the very rows that a sequential program with the same
+seed draws: the draws depend on seed, size and number of items only, so a task for each group replays them, in chunks, and
+sends which rank stands in which slot; a join picks the rows. No rows or draws pass the driver.
 """
 
 from __future__ import annotations
 
-import random
+from collections.abc import Callable, Iterator
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window, functions as F
 
-from .checks import InputError
+from ..functions.draws import reservoir_ranks, shuffled_ranks
+from ..shipping import ship
 from .running import prefix_scan
 
-EXACT_ROWS = 5_000_000
-SLOTS = "group string, slot long, rank long"
-
-
-def _drawn(n: int) -> int:
-    if n > EXACT_ROWS:
-        raise InputError(f"exact draws are for at most {EXACT_ROWS} rows, not {n}; sample() takes any number")
-    return n
-
-
-def reservoir_ranks(seed: str, size: int, seen: int) -> list[int]:
-    """Which of 0..seen-1 stands in each slot of a reservoir after all have passed it (Algorithm R)."""
-    draw, slots = random.Random(seed), list(range(min(size, _drawn(seen))))
-    for n in range(size, seen):
-        at = draw.randrange(n + 1)
-        if at < size:
-            slots[at] = n
-    return slots
-
-
-def shuffled_ranks(seed: str, size: int, n: int) -> list[int]:
-    """The first size places of a shuffled 0..n-1."""
-    ranks = list(range(_drawn(n)))
-    random.Random(seed).shuffle(ranks)
-    return ranks[:size]
+SLOT_ROWS = 1 << 16  # slots of one batch
 
 
 def sample(df: DataFrame, group: str, keys: list[str], sizes: dict[str, int], seed: str) -> DataFrame:
@@ -57,23 +36,30 @@ def ranked(df: DataFrame, group: str, order: list[str]) -> DataFrame:
     return scanned.select(*df.columns, (F.col("running__one") - 1).alias("rank"))
 
 
-def picked(df: DataFrame, slots: DataFrame, group: str, order: list[str]) -> DataFrame:
-    """The rows of df at the ranks of slots(group, slot, rank), with their slot; slots has as many rows as the sample."""
-    named = ranked(df, group, order)
-    return named.join(slots, (named[group] == slots.group) & (named["rank"] == slots["rank"])).drop("rank", slots.group)
+def _drawn(df: DataFrame, group: str, order: list[str], sizes: dict[str, int], seeds: dict[str, str], ranks: Callable[[str, int, int], np.ndarray]) -> DataFrame:
+    """df's rows at the ranks that are drawn for each group of sizes, with their slot. df is read once."""
+    ship(df.sparkSession)
+    named = ranked(df.filter(F.col(group).isin(list(sizes))), group, order)
+    seen = named.groupBy(group).agg((F.max("rank") + 1).alias("seen"))
 
+    def slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name, n in zip(batch[group].to_pylist(), batch["seen"].to_pylist(), strict=True):
+                found = ranks(seeds[name], sizes[name], n)
+                for at in range(0, len(found), SLOT_ROWS):
+                    part = found[at : at + SLOT_ROWS]
+                    yield pa.RecordBatch.from_arrays([pa.array([name] * len(part), pa.string()), pa.array(np.arange(at, at + len(part))), pa.array(part)], names=[group, "slot", "rank"])
 
-def slot_table(spark: SparkSession, ranks: dict[str, list[int]]) -> DataFrame:
-    return spark.createDataFrame([(g, i, r) for g, rs in ranks.items() for i, r in enumerate(rs)], SLOTS)
+    # a task for each group, as a group's draws follow from each other
+    table = seen.repartition(len(sizes), group).mapInArrow(slots, f"`{group}` string, slot long, rank long")
+    return named.join(table, [group, "rank"]).select(*df.columns, "slot")
 
 
 def reservoir(df: DataFrame, group: str, order: list[str], sizes: dict[str, int], seeds: dict[str, str]) -> DataFrame:
-    """A reservoir sample of each group with its slot, as if its rows had come in order."""
-    seen = {r[0]: r[1] for r in df.groupBy(group).count().collect() if r[0] in sizes}
-    return picked(df, slot_table(df.sparkSession, {g: reservoir_ranks(seeds[g], sizes[g], n) for g, n in seen.items()}), group, order)
+    """A reservoir sample of each group with its slot, as if its rows had come in order (which must tell rows apart)."""
+    return _drawn(df, group, order, sizes, seeds, reservoir_ranks)
 
 
 def shuffled(df: DataFrame, group: str, order: list[str], sizes: dict[str, int], seeds: dict[str, str]) -> DataFrame:
     """The first rows of each group's shuffled order, with their slot."""
-    seen = {r[0]: r[1] for r in df.groupBy(group).count().collect() if r[0] in sizes}
-    return picked(df, slot_table(df.sparkSession, {g: shuffled_ranks(seeds[g], sizes[g], n) for g, n in seen.items()}), group, order)
+    return _drawn(df, group, order, sizes, seeds, shuffled_ranks)

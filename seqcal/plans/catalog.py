@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import random
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import text as T
@@ -331,18 +333,15 @@ SAMPLED = f"""{TAGS}, labelled AS (SELECT {CLASS_OF} AS class_label, accession,
 places AS (SELECT *, row_number() OVER (PARTITION BY class_label ORDER BY md5('{R.SEED}:' || digest), digest) - 1 AS slot FROM labelled), sampled AS (SELECT * FROM places WHERE slot < 100)"""
 
 
-def _sampled(spark, sf_dir):
-    return sampling.sample(V.labelled(spark, sf_dir).drop("slot"), "class_label", ["sequence_sha256"], dict.fromkeys(R.CLASSES, 100), str(R.SEED))
-
-
 @query(f"{SAMPLED} SELECT class_label, slot, accession, digest FROM sampled")
 def keyed_sample(spark, sf_dir):
-    return _sampled(spark, sf_dir).select("class_label", "slot", "accession", F.col("sequence_sha256").alias("digest"))
+    found = sampling.sample(V.labelled(spark, sf_dir).drop("slot"), "class_label", ["sequence_sha256"], dict.fromkeys(R.CLASSES, 100), str(R.SEED))
+    return found.select("class_label", "slot", "accession", F.col("sequence_sha256").alias("digest"))
 
 
-@query(f"{SAMPLED} SELECT class_label, count(*) AS number_of_unique_sequences, sha256(string_agg(digest, chr(10) ORDER BY digest) || chr(10)) AS aggregate_sequence_sha256 FROM sampled GROUP BY 1")
+@query(f"{SAMPLED} SELECT class_label, count(*) AS number_of_unique_sequences, sha256(string_agg(digest, chr(10) ORDER BY digest) || chr(10)) AS aggregate_sequence_sha256 FROM labelled GROUP BY 1")
 def class_manifest(spark, sf_dir):
-    return R.class_manifest(_sampled(spark, sf_dir))
+    return R.class_manifest(V.labelled(spark, sf_dir))
 
 
 @query(f"{TAGS} SELECT 'd' || CAST(ordinal % 150 AS VARCHAR) AS accession FROM digests GROUP BY 1 HAVING min(digest) <> max(digest)")
@@ -353,7 +352,22 @@ def accession_conflicts(spark, sf_dir):
 POOL_SIZES = {"positive:CBM2": 20, "positive:GH13": 150, "hard": 100, "easy": 30}
 
 
-@query()
+DRAWN_ROWS = 20_000  # more than the test tables have
+
+
+def _takeovers(pool: str, size: int) -> list[str]:
+    """Which item takes which slot of a reservoir, drawn one after the other: the same however many items follow."""
+    draw = random.Random(f"{R.SEED}:{pool}")
+    return [f"('{pool}', {slot}, {n})" for n in range(size, DRAWN_ROWS) if (slot := draw.randrange(n + 1)) < size]
+
+
+SLOTS = ", ".join(row for p, n in POOL_SIZES.items() for row in [*(f"('{p}', {i}, {i})" for i in range(n)), *_takeovers(p, n)])
+
+
+@query(f"""{ROUTES}, takeovers(pool, slot, place) AS (VALUES {SLOTS}),
+ranked AS (SELECT r.pool, u.ordinal, row_number() OVER (PARTITION BY r.pool ORDER BY u.ordinal) - 1 AS place FROM routes r JOIN uniques u ON u.digest = r.digest),
+held AS (SELECT t.pool, t.slot, max(t.place) AS place FROM takeovers t JOIN ranked r ON r.pool = t.pool AND r.place = t.place GROUP BY t.pool, t.slot)
+SELECT h.pool, CAST(h.slot AS BIGINT) AS slot, r.ordinal FROM held h JOIN ranked r ON r.pool = h.pool AND r.place = h.place""")
 def reservoir_sample(spark, sf_dir):
     pools = R.routed(_unique(spark, sf_dir), FAMILIES, POOL_HARD)
     return sampling.reservoir(pools, "pool", ["ordinal"], POOL_SIZES, {p: f"{R.SEED}:{p}" for p in POOL_SIZES}).select("pool", "slot", "ordinal")

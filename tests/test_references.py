@@ -1,10 +1,11 @@
 import hashlib
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from seqcal.functions import text as T
+from seqcal.functions import draws, text as T
 from seqcal.operators import checks, references as R, sampling
 from seqcal.operators.checks import InputError
 
@@ -126,6 +127,41 @@ def test_samples_equal_sequential_ones(spark, size, n):
     assert [r.x for r in sampling.shuffled(df, "g", ["x"], {"g": size}, {"g": "s"}).orderBy("slot").collect()] == order[:size]
 
 
+def test_samples_of_several_groups(spark):
+    rows = [(g, i, f"{g}{i}") for g, n in (("a", 300), ("b", 2), ("c", 40), ("unasked", 9)) for i in range(n)]
+    df = spark.createDataFrame(rows, "g string, ordinal long, x string").repartition(7)
+    got = sampling.reservoir(df, "g", ["ordinal"], {"a": 4, "b": 3, "c": 5, "none": 2}, {g: g + "!" for g in ("a", "b", "c", "none")})
+    want = [(g, slot, x) for g, size in (("a", 4), ("b", 3), ("c", 5)) for slot, x in enumerate(brute_reservoir([r[2] for r in rows if r[0] == g], size, g + "!"))]
+    assert sorted((r.g, r.slot, r.x) for r in got.collect()) == sorted(want)
+
+
+@pytest.mark.parametrize("chunk", [1 << 20, 300])
+def test_draws_equal_those_of_the_standard_generator(monkeypatch, chunk):
+    monkeypatch.setattr(draws, "CHUNK", chunk)
+    for size, n in ((1, 1), (1, 2), (3, 2), (5, 6), (7, 100), (1, 5000), (4000, 5000), (30, 70_000), (1, 0)):
+        assert draws.reservoir_ranks("s", size, n).tolist() == brute_reservoir(list(range(n)), size, "s")
+        ranks = list(range(n))
+        random.Random("s").shuffle(ranks)
+        assert draws.shuffled_ranks("s", size, n).tolist() == ranks[:size]
+    for bounds in (range(2**32 - 400, 2**32 + 400), range(2**32 + 400, 2**32 - 400, -1), range(1, 3000), range(2**40, 2**40 + 9)):
+        plain = random.Random("s")
+        assert np.concatenate([v for _, v, _ in draws.below(draws.Words("s"), bounds.start, bounds.stop, bounds.step)]).tolist() == [plain.randrange(b) for b in bounds]
+
+
+def test_draws_of_many_rows():
+    """Three million draws against the standard generator; the replay holds one chunk of them."""
+    assert draws.reservoir_ranks("s", 1500, 3_000_000).tolist() == brute_reservoir(range(3_000_000), 1500, "s")
+
+
+def test_manifest_of_large_classes_streams(spark):
+    classes = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, "positive").otherwise("hard_negative").alias("class_label"), F.sha2((F.col("id") % 20_000).cast("string"), 256).alias("sequence_sha256"))
+    want = {"easy_negative": set()}
+    for i in range(30_000):
+        want.setdefault("positive" if i % 3 == 0 else "hard_negative", set()).add(hashlib.sha256(str(i % 20_000).encode()).hexdigest())
+    got = {r.class_label: (r.number_of_unique_sequences, r.aggregate_sequence_sha256) for r in R.class_manifest(classes).collect()}
+    assert got == {c: (len(x), hashlib.sha256(("\n".join(sorted(x)) + "\n").encode()).hexdigest()) for c, x in want.items()}
+
+
 def test_annotation_table(spark):
     df = spark.createDataFrame([("P1", "GH13; CBM20;", "mk")], "Entry string, CAZy string, Sequence string")
     row = R.parsed_annotations(df).first()
@@ -139,13 +175,9 @@ def test_annotation_table(spark):
         R.parsed_annotations(df.drop("CAZy"))
 
 
-def test_samples_by_hash_and_the_limit_of_exact_draws(spark, monkeypatch):
+def test_samples_by_hash(spark):
     df = spark.createDataFrame([("ab"[i % 2], i) for i in range(200)], "g string, x long")
     one = sampling.sample(df, "g", ["x"], {"a": 10, "b": 500}, "s").collect()
     assert sorted(r.slot for r in one if r.g == "a") == list(range(10)) and sorted(r.x for r in one if r.g == "b") == list(range(1, 200, 2))
     assert {tuple(r) for r in one} == {tuple(r) for r in sampling.sample(df.repartition(7), "g", ["x"], {"a": 10, "b": 500}, "s").collect()}
     assert {r.x for r in one if r.g == "a"} != {r.x for r in sampling.sample(df, "g", ["x"], {"a": 10}, "t").collect()}
-    monkeypatch.setattr(sampling, "EXACT_ROWS", 50)
-    for draw in (sampling.reservoir, sampling.shuffled):
-        with pytest.raises(InputError):
-            draw(df, "g", ["x"], {"a": 5}, {"a": "s"})
