@@ -1,3 +1,4 @@
+import csv
 import hashlib
 import io
 import json
@@ -124,6 +125,38 @@ def test_tables(spark, tmp_path):
             tables.read_tsv(spark, str(tmp_path / bad))
 
 
+@pytest.mark.parametrize("size,end", [("600", "\n"), ("600", "\r\n"), ("128m", "\n"), ("128m", "\r")])
+def test_tables_over_many_blocks_equal_the_csv_module(spark, tmp_path, size, end):
+    """Quoted tabs, quotes and line ends, quotes within fields, short, long and blank rows, over borders of blocks."""
+    rng = random.Random(size + end)
+    plain = ["x", "", "a b", '5" pipe', "ünï"] + ([] if end == "\r" else ['""', 'open"'])
+    quoted = ["t\tab", "two\nlines", "cr\r\nlf", 'say "x"', '"', "\n\n", "", '\t"\n"\t', "long " * 60, "\n" * 700]
+    (tmp_path / "t").mkdir()
+    want = []
+    for f in range(2):
+        text = "a\tb\tc" + end
+        for _ in range(250):
+            fields = [rng.choice(plain) if rng.random() < 0.7 else '"' + rng.choice(quoted).replace('"', '""') + '"' + rng.choice(["", "", "tail"]) for _ in range(rng.choice([3, 3, 3, 2, 4, 0]))]
+            text += "\t".join(fields) + end
+        text = text[: -len(end)] if f else text
+        (tmp_path / "t" / f"{f}.tsv").write_bytes(text.encode())
+        rows = list(csv.DictReader(io.StringIO(text, newline=""), delimiter="\t"))
+        want += [tuple(r[c] or "" for c in "abc") for r in rows]
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    try:
+        got = tables.read_tsv(spark, str(tmp_path / "t"), ["c"]).orderBy(tables.ROW).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert [tuple(r)[:3] for r in got] == want and len({r[tables.ROW] for r in got}) == len(got)
+
+
+def test_tables_that_are_no_text(spark, tmp_path):
+    (tmp_path / "x").write_bytes(b"a\tb\n\xff\t1\n")
+    with pytest.raises(InputError, match="decode"):
+        tables.read_tsv(spark, str(tmp_path / "x"))
+
+
 def test_json(tmp_path):
     path = str(tmp_path / "x.json")
     tables.write_json(path, {"b": 1, "a": 0.5})
