@@ -22,22 +22,23 @@ DATA_SUFFIXES = [
 SECRET_NAMES = [".env", "credentials.json", "id_dsa", "id_ed25519", "id_rsa", "secrets.json"]
 TEXT_SUFFIXES = ["", ".cfg", ".cff", ".csv", ".ini", ".json", ".lock", ".md", ".py", ".rst", ".toml", ".tsv", ".txt", ".yaml", ".yml"]
 HOME_PATH = "contains an absolute user-home path"
-PATTERNS = [
-    ("/Users/", HOME_PATH),
-    ("/home/", HOME_PATH),
-    (r"[A-Za-z]:\\\\Users\\\\", HOME_PATH),
-    (r"(?i)\bConsett\b", "contains the study-site name"),
-    (r"\bPS-[A-Z0-9]{8}\b", "contains a project-specific protein identifier"),
-    ("[ACDEFGHIKLMNPQRSTVWY]{60,}", "contains a long protein-like character string"),
-    ("[ACGTUN]{80,}", "contains a long nucleotide-like character string"),
-    ("-----BEGIN [A-Z ]*PRIVATE KEY-----", "contains private-key material"),
-    (r"\bAKIA[0-9A-Z]{16}\b", "contains an AWS access-key identifier"),
-    (r"\bgh[pousr]_[A-Za-z0-9]{30,}\b", "contains a GitHub credential-like value"),
-    (r"\bsk-[A-Za-z0-9]{20,}\b", "contains an API credential-like value"),
-    (r"(?i)\b(?:postgres(?:ql)?|mysql|mariadb|mongodb)://[^\s/:@]+:[^\s/@]+@", "contains a database URL with embedded credentials"),
+# Beside its pattern and reason, what a text must hold for the pattern to be worth a search; lower-case words count in any case.
+SEARCHED = [
+    ("/Users/", HOME_PATH, None),
+    ("/home/", HOME_PATH, None),
+    (r"[A-Za-z]:\\\\Users\\\\", HOME_PATH, "Users"),
+    (r"(?i)\bConsett\b", "contains the study-site name", "consett"),
+    (r"\bPS-[A-Z0-9]{8}\b", "contains a project-specific protein identifier", "PS-"),
+    ("[ACDEFGHIKLMNPQRSTVWY]{60,}", "contains a long protein-like character string", None),
+    ("[ACGTUN]{80,}", "contains a long nucleotide-like character string", None),
+    ("-----BEGIN [A-Z ]*PRIVATE KEY-----", "contains private-key material", "PRIVATE KEY-----"),
+    (r"\bAKIA[0-9A-Z]{16}\b", "contains an AWS access-key identifier", "AKIA"),
+    (r"\bgh[pousr]_[A-Za-z0-9]{30,}\b", "contains a GitHub credential-like value", "gh"),
+    (r"\bsk-[A-Za-z0-9]{20,}\b", "contains an API credential-like value", "sk-"),
+    (r"(?i)\b(?:postgres(?:ql)?|mysql|mariadb|mongodb)://[^\s/:@]+:[^\s/@]+@", "contains a database URL with embedded credentials", "://"),
 ]
-#: What a text must hold for a pattern to be worth a search; lower-case words are looked for in any case.
-NEEDED = {PATTERNS[i][0]: word for i, word in ((2, "Users"), (3, "consett"), (4, "PS-"), (7, "PRIVATE KEY-----"), (8, "AKIA"), (9, "gh"), (10, "sk-"), (11, "://"))}
+PATTERNS = [(pattern, reason) for pattern, reason, _ in SEARCHED]
+NEEDED = {pattern: word for pattern, _, word in SEARCHED if word}
 #: Not among the fixed patterns: home paths with single backslashes.
 WINDOWS_HOME = (r"[A-Za-z]:\\Users\\", HOME_PATH)
 
@@ -99,7 +100,10 @@ def audit_tree(spark: SparkSession, root: str, largest: int = LARGEST) -> DataFr
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(top.as_uri())
     prefix = top.as_uri().replace("file:///", "file:/")
     relative = F.url_decode(F.regexp_replace(F.substring(F.regexp_replace("path", "^file:/+", "file:/"), len(prefix) + 2, 1 << 20), r"\+", "%2B"))
-    named = files.select(relative.alias("path"), "length", "content").filter(~F.col("path").rlike(skipped))
+    # the reader looks at sizes first: it doesn't open the files that one part filters out and whose content the other leaves
+    small = files.filter(F.col("length") <= largest).select(relative.alias("path"), "length", "content")
+    large = files.filter(F.col("length") > largest).select(relative.alias("path"), "length", F.lit(b"").alias("content"))
+    named = small.unionByName(large).filter(~F.col("path").rlike(skipped))
     if hidden:
         listed = spark.createDataFrame([(x,) for x in hidden], "path string").repartition(min(len(hidden), 64))
         named = named.union(listed.mapInPandas(_read(str(top), largest), "path string, length long, content binary"))

@@ -5,9 +5,10 @@ from __future__ import annotations
 import math
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from ..functions import text as T
+from ..shared import written
 
 
 class InputError(ValueError):
@@ -21,6 +22,18 @@ def require(df: DataFrame, problem: Column, ordinal: str = "ordinal") -> None:
         raise InputError(row[0])
 
 
+def staged(df: DataFrame, problems: list[Column], ordinal: str = "ordinal") -> DataFrame:
+    """df, written once to the shared folder. The checks ride on that write: if rows have a problem, the first of problems
+    that occurs is raised, as the row of the lowest ordinal tells it, and nothing is passed on."""
+    found = Observation()
+    first = [F.min_by(p, F.when(p.isNotNull(), F.col(ordinal))).alias(f"p{i}") for i, p in enumerate(problems)]
+    table = written(df.observe(found, F.count("*").alias("rows"), *first), "staged")
+    for i in range(len(problems)):
+        if (said := found.get[f"p{i}"]) is not None:
+            raise InputError(said)
+    return table
+
+
 def duplicates(df: DataFrame, column: str) -> DataFrame:
     return df.groupBy(column).agg(F.count("*").alias("n")).filter("n > 1")
 

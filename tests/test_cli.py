@@ -3,8 +3,10 @@ import json
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from seqcal.cli import main
-from seqcal.operators import classify, hits
+from seqcal.operators import checks, classify, hits
 from seqcal.search import model
 
 from .test_search import planted
@@ -48,6 +50,22 @@ def test_apply(spark, tmp_path):
         assert stop.value.code == 2 and not (tmp_path / "no").exists()
 
 
+def test_checks_ride_on_the_staged_table(spark, tmp_path, capsys):
+    """The first bad record is named, nothing is written, and the hits are read once."""
+    (tmp_path / "c.json").write_text(json.dumps({"cutoffs": {"alpha": 10.0}}))
+    for rows_, said in (
+        ([("alpha", 10), ("alpha", "x"), ("alpha", "nan")], "record 3 has a score that is no number"), ([("alpha", "inf"), ("alpha", 1)], "record 2 has a score that is not finite"),
+        ([("alpha", "x"), (" ", 1)], "record 3 has no profile_name"), ([("alpha", 1), ("beta", 1), ("gamma", 2)], "record 3 has a profile without a supplied cutoff"),
+    ):
+        found = table(tmp_path / "h.tsv", ("profile_name", "domain_bit_score_bits"), *rows_)
+        with pytest.raises(SystemExit) as stop:
+            main(["apply-cutoff", "--hits", found, "--cutoffs", str(tmp_path / "c.json"), "--output", str(tmp_path / "no"), "--require-calibrated"], spark)
+        assert stop.value.code == 2 and not (tmp_path / "no").exists() and said in capsys.readouterr().err
+    df = spark.range(10).withColumn("n", F.col("id") * 2)
+    kept = checks.staged(df, [F.when(F.col("id") > 10, "too much")], "id")
+    assert kept.count() == 10 and "parquet" in kept._jdf.queryExecution().executedPlan().toString().lower()
+
+
 def test_scan(spark, tmp_path):
     fasta, library, out = tmp_path / "p.fasta", tmp_path / "l.hmm", tmp_path / "hits.tsv"
     fasta.write_text("".join(f">{n} text\n{s}\n" for n, s in planted(12)))

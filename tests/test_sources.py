@@ -203,6 +203,8 @@ def test_checksums_and_manifest(spark, tmp_path):
     data.write_bytes(b"twenty-two bytes here!")
     assert provenance.file_record(str(data)) == {"file_name": "data.bin", "size_bytes": 22, "sha256": hashlib.sha256(data.read_bytes()).hexdigest()}
     assert provenance.file_digests(spark, str(tmp_path)).first().sha256 == provenance.sha256_file(str(data))
+    for whole in (0, 10, 1 << 20):  # read in chunks, or whole
+        assert {(r.path.rsplit("/", 1)[1], r.size_bytes, r.sha256) for r in provenance.file_digests(spark, str(tmp_path), whole).collect()} == {("data.bin", 22, provenance.sha256_file(str(data)))}
     parameters = dict.fromkeys(provenance.REQUIRED, 1.0)
     manifest = provenance.scan_manifest(str(data), str(data), ["a"], parameters, str(tmp_path / "out.tsv"), "b")
     assert str(tmp_path) not in json.dumps(manifest) and manifest["output"] == {"file_name": "out.tsv"}
@@ -218,6 +220,16 @@ def test_checksums_and_manifest(spark, tmp_path):
         provenance.sha256_file(str(tmp_path / "none"))
 
 
+def test_files_beyond_what_a_row_holds(spark, tmp_path):
+    """3 GB: reported by the audit and hashed in chunks, where a row ends at 2 GB. The file has a hole, so it takes no room."""
+    with open(tmp_path / "large.bin", "wb") as out:
+        out.truncate(3 << 30)
+    (tmp_path / "small.py").write_text("x = 1\n")
+    assert {(r.path, r.reason) for r in audit.audit_tree(spark, str(tmp_path)).collect()} == {("large.bin", f"file exceeds {audit.LARGEST} bytes")}
+    got = {r.path.rsplit("/", 1)[1]: (r.size_bytes, r.sha256) for r in provenance.file_digests(spark, str(tmp_path)).collect()}
+    assert got["large.bin"] == (3 << 30, provenance.sha256_file(str(tmp_path / "large.bin"))) and len(got) == 2
+
+
 def test_audit(spark, tmp_path):
     (tmp_path / "ok.py").write_text("x = 1\n")
     (tmp_path / ".env.example").write_text("A=\n")
