@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import text as T
 from ..operators import audit, calibration as C, checks, classify, hits as H, overlap, references as R, sampling
+from ..shared import table_path
+from ..sources import tables
 from . import views as V
 
 QUERIES: dict = {}
@@ -86,9 +88,10 @@ def roc_curve_line_items(spark, sf_dir):
     return _rounded(C.roc_curve(V.line_scores(spark, sf_dir)).select(*C.CURVE), *RATES)
 
 
-AUC_SQL = """points AS (SELECT DISTINCT family, CAST(fp AS DOUBLE) / negatives AS x, CAST(tp AS DOUBLE) / positives AS y FROM curve),
-steps AS (SELECT family, x - lag(x) OVER (PARTITION BY family ORDER BY x, y) AS dx, y + lag(y) OVER (PARTITION BY family ORDER BY x, y) AS sy FROM points)
-SELECT family, round(sum(dx * sy / 2), 9) AS roc_auc FROM steps GROUP BY family"""
+AUC_STEPS = """points AS (SELECT DISTINCT family, CAST(fp AS DOUBLE) / negatives AS x, CAST(tp AS DOUBLE) / positives AS y FROM curve),
+steps AS (SELECT family, x - lag(x) OVER (PARTITION BY family ORDER BY x, y) AS dx, y + lag(y) OVER (PARTITION BY family ORDER BY x, y) AS sy FROM points)"""
+AUC_OF = "SELECT family, round(sum(dx * sy / 2), 9) AS roc_auc FROM steps GROUP BY family"
+AUC_SQL = f"{AUC_STEPS} {AUC_OF}"
 
 
 @query(f"{CURVE}, {AUC_SQL}")
@@ -141,6 +144,40 @@ def score_distribution(spark, sf_dir):
     return C.score_distribution(V.scores(spark, sf_dir), ["family", "class_label"]).withColumn("mean_bit_score_bits", F.round("mean_bit_score_bits", 6))
 
 
+REPORT_SQL = f"""{CURVE}, {CUT}, {AUC_STEPS}, auc AS ({AUC_OF}),
+tried AS (SELECT c.family, c.threshold AS cutoff, sum(CASE WHEN NOT s.is_positive AND s.score >= c.threshold - 5 THEN 1 ELSE 0 END) AS accepted_below, sum(CASE WHEN s.is_positive AND s.score < c.threshold THEN 1 ELSE 0 END) AS missed,
+  sum(CASE WHEN s.is_positive AND s.score < c.threshold + 5 THEN 1 ELSE 0 END) AS missed_above, sum(CASE WHEN NOT s.is_positive AND s.score >= 50 THEN 1 ELSE 0 END) AS accepted_at_50 FROM cut c JOIN scores s ON s.family = c.family GROUP BY c.family, c.threshold),
+spread AS (SELECT family, is_positive, count(*) AS n, min(score) AS low, median(score) AS mid, round(avg(score), 6) AS mean, max(score) AS high FROM scores GROUP BY family, is_positive)
+SELECT a.family, a.roc_auc, t.cutoff, CAST(t.accepted_below AS BIGINT) AS accepted_below, CAST(t.missed AS BIGINT) AS missed, CAST(t.missed_above AS BIGINT) AS missed_above, CAST(t.accepted_at_50 AS BIGINT) AS accepted_at_50,
+  p.n AS positives, p.low AS positive_low, p.mid AS positive_median, p.mean AS positive_mean, p.high AS positive_high, n.n AS negatives, n.low AS negative_low, n.mid AS negative_median, n.mean AS negative_mean, n.high AS negative_high
+FROM auc a JOIN tried t ON t.family = a.family JOIN spread p ON p.family = a.family AND p.is_positive JOIN spread n ON n.family = a.family AND NOT n.is_positive"""
+
+
+@query(REPORT_SQL)
+def calibration_report(spark, sf_dir):
+    """The whole report of each family, flattened: area, cutoff, counts around it and at a threshold of comparison, spreads."""
+    found = C.calibration_reports(V.scores(spark, sf_dir), comparison=50.0)
+    spread = [
+        (F.round(f"{kind}_scores.{column}", 6) if name == "mean" else F.col(f"{kind}_scores.{column}")).alias(f"{kind}s" if name == "n" else f"{kind}_{name}")
+        for kind in ("positive", "negative")
+        for name, column in (("n", "number_of_scores"), ("low", "minimum_bit_score_bits"), ("median", "median_bit_score_bits"), ("mean", "mean_bit_score_bits"), ("high", "maximum_bit_score_bits"))
+    ]
+    below, above = F.element_at("robustness", 1), F.element_at("robustness", 3)
+    return found.select(
+        "family", F.round("roc_auc", 9).alias("roc_auc"), F.col("selected_cutoff.bit_score_threshold_bits").alias("cutoff"), below[C.COUNTS[2]].alias("accepted_below"), F.col(f"selected_cutoff.{C.COUNTS[1]}").alias("missed"),
+        above[C.COUNTS[1]].alias("missed_above"), F.col(f"comparison.{C.COUNTS[2]}").alias("accepted_at_50"), *spread,
+    )
+
+
+@query("SELECT doc_id, lang, sha256(coalesce(text, '')) AS digest, CAST(length(coalesce(text, '')) AS BIGINT) AS length FROM documents")
+def table_round_trip(spark, sf_dir):
+    """Whole texts, with their tabs, quotes and line ends, written as tab-separated files by the executors and read again."""
+    path = table_path(spark, "tsv")
+    tables.write_tsv_files(V.table(spark, sf_dir, "documents").select("doc_id", "lang", "text"), path)
+    back = tables.read_tsv(spark, path, ["doc_id", "lang", "text"])
+    return back.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", F.sha2("text", 256).alias("digest"), F.length("text").cast("long").alias("length"))
+
+
 COUNT_CASES = ", ".join(f"CAST(sum(CASE WHEN class_label = '{x}' THEN 1 ELSE 0 END) AS BIGINT) AS {x}" for x in ("positive", "hard_negative", "easy_negative", "negative"))
 
 
