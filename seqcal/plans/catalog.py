@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions import text as T
 from ..operators import audit, calibration as C, checks, classify, hits as H, overlap, references as R, sampling
 from ..shared import table_path
-from ..sources import tables
+from ..sources import profiles, tables
 from . import views as V
 
 QUERIES: dict = {}
@@ -452,6 +452,16 @@ def page_audit(spark, sf_dir):
     return audit.audit_texts(V.audited(spark, sf_dir, "pages", "page_id", "html"), "page_id")
 
 
+@query("""SELECT 'part' || CAST(p_partkey AS VARCHAR) AS name, CAST(length(substr(regexp_replace(p_name, '[^A-Za-z]', '', 'g'), 1, 6)) AS INTEGER) AS match_states,
+CAST(20 * length(substr(regexp_replace(p_name, '[^A-Za-z]', '', 'g'), 1, 6)) AS INTEGER) AS probabilities FROM part""")
+def profile_catalogue(spark, sf_dir):
+    """A library with a model for each part, written as text and parsed again by tasks."""
+    path = table_path(spark, "library")
+    parts = V.table(spark, sf_dir, "part").select(F.concat(F.lit("part"), "p_partkey").alias("name"), F.upper(F.substring(F.regexp_replace("p_name", "[^A-Za-z]", ""), 1, 6)).alias("letters"))
+    profiles.written_models(parts).write.text(path)
+    return profiles.read_profiles(spark, path).select("name", "match_states", F.size("match").alias("probabilities"))
+
+
 @query()
 def profile_scan(spark, sf_dir):
     from ..search import kernel, model

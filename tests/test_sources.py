@@ -8,7 +8,8 @@ import pytest
 
 from seqcal.operators import audit, provenance
 from seqcal.operators.checks import InputError
-from seqcal.sources import fasta, remote, tables
+from seqcal.search import model
+from seqcal.sources import fasta, profiles, remote, tables
 
 
 def test_fasta(spark, tmp_path):
@@ -102,6 +103,31 @@ def test_many_records_with_old_line_ends(spark, tmp_path):
         assert tuple(row) == (n, n, True, "MK")
 
 
+def test_libraries_are_parsed_by_tasks(spark, tmp_path):
+    own = [model.consensus_profile(f"p{i}", "MKWCH"[: 1 + i % 5] + "AXZ") for i in range(40)]
+    path = tmp_path / "l.hmm"
+    path.write_text("".join(map(model.format_profile, own)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4000")
+    try:
+        got = profiles.collected(profiles.read_profiles(spark, str(path)))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    plain = model.load_hmms(str(path))
+    assert [p.name for p in got] == [p.name for p in plain] and all((a.match == b.match).all() and (a.moves == b.moves).all() and (a.mu, a.decay) == (b.mu, b.decay) for a, b in zip(got, plain))
+    assert [p.name for p in profiles.collected(profiles.read_profiles(spark, str(path), ["p7.hmm", " p3"]))] == ["p3", "p7"]
+    for names, said in ((["p1", "q2", "q1"], "not found: q1, q2"), ([], "present"), (["p1", "p1.hmm"], "unique")):
+        with pytest.raises(InputError, match=said):
+            profiles.read_profiles(spark, str(path), names)
+    text = path.read_text()
+    for bad, said in ((text + model.format_profile(own[3]), "not unique: p3"), ("", "no profiles"), ("x\n//\n", "no ASCII model"), (text.replace("NAME  p9", "NAME  "), "no profile name"), (text.replace("LENG  4", "LENG  5", 1), "broken profile p0")):
+        path.write_text(bad)
+        with pytest.raises(InputError, match=said):
+            profiles.read_profiles(spark, str(path))
+    with pytest.raises(InputError, match="exist"):
+        profiles.read_profiles(spark, str(tmp_path / "none"))
+
+
 def test_empty_header(spark, tmp_path):
     (tmp_path / "x").write_text(">\nM\n")
     with pytest.raises(InputError):
