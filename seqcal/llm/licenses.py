@@ -4,8 +4,11 @@ A paragraph is a line with words, and the lines up to a blank one joined, as not
 side by side whose words mostly stand in templates. Its features are hashed words and word pairs (lower case, punctuation as space). The
 classifier is fitted on the driver from variants of the templates below and a bounded sample of paragraphs of the corpus
 (FIT_PARAGRAPHS, picked by hash, none that names a licence) as the class of unknown texts; a temperature fitted on held-out rows calibrates it.
-Every paragraph of every document is scored where it lies, by sums of weights; a family is confirmed if the
-paragraph has enough of a template's words, or a template enough of the paragraph's. Nothing is shuffled but the sample.
+Every paragraph of every document is scored where it lies, by sums of weights. A family is confirmed if the paragraph
+has enough of one of its templates' words, or that template enough of the paragraph's, words weighing by how few families
+have them; if no template of another family, nor one of the notices that are no family's, has more in common with the
+paragraph; and if the paragraph has a word or pair that only this family's templates have. Nothing is shuffled but the
+sample.
 """
 
 from __future__ import annotations
@@ -22,6 +25,13 @@ from .words import NORMAL, U64, Slice, mix, slices
 
 # Notices by which the families are known, and parts of their texts.
 TEMPLATES = {
+    "agpl": [
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+        "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Affero General Public License for more details.",
+        "Released under the GNU Affero General Public License (AGPL), version 3.",
+        "Licensed under the AGPL v3.",
+        "SPDX-License-Identifier: AGPL-3.0-or-later",
+    ],
     "apache": [
         "Licensed under the Apache License, Version 2.0.",
         "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License.",
@@ -31,6 +41,12 @@ TEMPLATES = {
         "Released under the Apache License.",
         "SPDX-License-Identifier: Apache-2.0",
     ],
+    "boost": [
+        "Distributed under the Boost Software License, Version 1.0. (See accompanying file LICENSE_1_0.txt or copy at http://www.boost.org/LICENSE_1_0.txt)",
+        "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license (the Software) to use, reproduce, display, distribute, execute, and transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the Software is furnished to do so, all subject to the following:",
+        "Licensed under the Boost Software License 1.0.",
+        "SPDX-License-Identifier: BSL-1.0",
+    ],
     "bsd": [
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
         "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
@@ -49,19 +65,39 @@ TEMPLATES = {
         *(f"This work is licensed under a Creative Commons Attribution-{x} 4.0 International License." for x in ("ShareAlike", "NonCommercial", "NoDerivatives", "NonCommercial-ShareAlike", "NonCommercial-NoDerivatives")),
         "Released under CC0 1.0 Universal.",
     ],
+    "eclipse": [
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/",
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License v1.0 which accompanies this distribution, and is available at http://www.eclipse.org/legal/epl-v10.html",
+        "Licensed under the Eclipse Public License 2.0.",
+        "Licensed under the EPL 2.0.",
+        "SPDX-License-Identifier: EPL-2.0",
+    ],
     "gpl": [
         "This work is licensed under the GNU General Public License, version 3.",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
         "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details.",
         "Licensed under the GPL v3.",
         "Licensed under the GNU GPL, version 2 or later.",
-        "Released under the GNU Lesser General Public License (LGPL), version 3.",
-        "Released under the GNU Affero General Public License (AGPL), version 3.",
         "SPDX-License-Identifier: GPL-3.0-or-later",
     ],
+    "isc": [
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+        "THE SOFTWARE IS PROVIDED AS IS AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS.",
+        "Released under the ISC License.",
+        "Licensed under ISC.",
+        "SPDX-License-Identifier: ISC",
+    ],
+    "lgpl": [
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.",
+        "This library is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Lesser General Public License for more details.",
+        "Released under the GNU Lesser General Public License (LGPL), version 3.",
+        "Licensed under the LGPL v2.1.",
+        "SPDX-License-Identifier: LGPL-2.1-or-later",
+    ],
     "mit": [
         "Released under the MIT License.",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the Software), to deal in the Software without restriction.",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the Software), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:",
         "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
         "Licensed under the MIT License. See LICENSE in the project root for license information.",
         "Licensed under MIT.",
@@ -75,6 +111,31 @@ TEMPLATES = {
         "SPDX-License-Identifier: MPL-2.0",
     ],
     "reserved": ["All rights reserved.", "Copyright (c) The Authors. All rights reserved.", "No part of this publication may be reproduced without the prior written permission of the publisher."],
+    "unlicense": [
+        "This is free and unencumbered software released into the public domain.",
+        "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",
+        "In jurisdictions that recognize copyright laws, the author or authors of this software dedicate any and all copyright interest in the software to the public domain.",
+        "Released under the Unlicense.",
+        "SPDX-License-Identifier: Unlicense",
+    ],
+}
+# Notices of no family above, clauses that many licences share and texts about licences; they are unknown.
+FOREIGN = {
+    "artistic": ["Licensed under the Artistic License 2.0.", "You may use, copy, modify and distribute this package under the terms of the Artistic License."],
+    "cddl": ["The contents of this file are subject to the terms of the Common Development and Distribution License. You may not use this file except in compliance with the License.", "Licensed under the CDDL 1.0."],
+    "hpnd": ["Permission to use, copy, modify, and distribute this software and its documentation for any purpose, without fee, and without a written agreement is hereby granted, provided that the above copyright notice and this paragraph and the following two paragraphs appear in all copies."],
+    "psf": ["This license agreement is between the Python Software Foundation, and the individual or organization accessing and otherwise using this software in source or binary form and its associated documentation."],
+    "zlib": [
+        "This software is provided as-is, without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software.",
+        "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:",
+        "Licensed under the zlib License.",
+    ],
+    "contract": ["This software is licensed, not sold. You may not reverse engineer, decompile, disassemble, rent, lease or lend the software.", "Subject to the terms of this agreement, the licensor grants you a limited, non-exclusive, non-transferable, revocable license to use the software."],
+    "warranty": [
+        "The software is provided as is, without warranty of any kind, express or implied, including but not limited to the warranties of merchantability, fitness for a particular purpose and noninfringement.",
+        "In no event shall the authors or copyright holders be liable for any claim, damages or other liability, whether in an action of contract, tort or otherwise, arising from, out of or in connection with the software.",
+    ],
+    "prose": ["A driver must carry a valid licence.", "The company was sued for copyright infringement.", "The court granted permission to appeal.", "The license fee must be paid every year.", "Licensed under a custom license."],
 }
 FAMILIES = [*TEMPLATES, "unknown"]
 UNKNOWN = len(TEMPLATES)
@@ -181,16 +242,50 @@ class Classifier:
         return self
 
 
-def share_of_template(own: np.ndarray, templates: list[np.ndarray]) -> float:
-    """The greatest share of a template's words that the paragraph has, or, from MIN_SHARED distinct words on, of the
-    paragraph's distinct words that a template has."""
-    have = np.unique(own)
-    shares = [float(np.isin(t, have).mean()) for t in templates]
-    for t in templates:
-        held = np.isin(have, t)
-        if held.sum() >= MIN_SHARED:
-            shares.append(float(held.mean()))
-    return max(shares)
+class Templates:
+    """The templates of all families and the foreign ones, as sets of word hashes, and what only one family has.
+
+    A word weighs log((groups + 1) / groups that have it), a group being a family or a foreign one; other words weigh
+    as those of one group.
+    """
+
+    def __init__(self):
+        groups = [hashed(t) for t in (*TEMPLATES.values(), *FOREIGN.values())]
+        self.known = np.unique(np.concatenate([t for own in groups for t in own]))
+        self.known_families = np.unique(np.concatenate([t for own in groups[:UNKNOWN] for t in own]))
+        self.group = np.repeat(np.arange(len(groups)), [len(own) for own in groups])
+        self.has = np.array([np.isin(self.known, t) for own in groups for t in own])
+        spread = np.array([self.has[self.group == g].any(axis=0) for g in range(len(groups))]).sum(axis=0)
+        self.weight, self.other = np.log((len(groups) + 1) / spread), float(np.log(len(groups) + 1))
+        self.whole = self.has @ self.weight
+        grams = [np.unique(np.concatenate([_grams(t) for t in own])) for own in groups]
+        values, n = np.unique(np.concatenate(grams), return_counts=True)
+        alone = values[n == 1]
+        self.own = [np.intersect1d(g, alone, assume_unique=True) for g in grams[:UNKNOWN]]
+
+    def compare(self, words: np.ndarray) -> tuple[np.ndarray, float]:
+        """(groups, share) of the templates that have the greatest weight in common with the words, of equal ones those of
+        the greatest share; the share is that of the template's weight which is in common, or, from MIN_SHARED words
+        in common on, that of the words' weight, if greater. To nine digits, so that sums in another order tie too."""
+        have = np.unique(words)
+        met = np.isin(self.known, have, assume_unique=True)
+        common = self.has @ (self.weight * met)
+        whole = float(self.weight[met].sum()) + self.other * (len(have) - int(met.sum()))
+        share = common / self.whole
+        share = np.where(self.has @ met.astype(np.int64) >= MIN_SHARED, np.maximum(share, common / max(whole, 1e-9)), share)
+        common, share = np.round(common, 9), np.round(share, 9)
+        nearest = common == common.max()
+        most = share[nearest].max()
+        return self.group[nearest & (share == most)], float(most)
+
+    def confirm(self, family: int, words: np.ndarray) -> float | None:
+        """The share, if it is enough, if no other group's template is nearer and the words have the family's own."""
+        groups, share = self.compare(words)
+        return share if family in groups and share >= MIN_SHARE and np.isin(_grams(words), self.own[family]).any() else None
+
+
+def _grams(words: np.ndarray) -> np.ndarray:
+    return np.concatenate([words, mix(words[:-1] * U64(0x9E3779B97F4A7C15) + words[1:])])
 
 
 def joined_lines(hashes: np.ndarray, lines: np.ndarray, line: np.ndarray, owner: np.ndarray, known: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -212,14 +307,13 @@ def joined_lines(hashes: np.ndarray, lines: np.ndarray, line: np.ndarray, owner:
 def training_rows(paragraphs: list[str], seed: int = 3) -> tuple[list[np.ndarray], np.ndarray]:
     rng = np.random.default_rng(seed)
     others = [h for h in hashed([x for x in paragraphs if not NAMES.search(x)]) if len(h)]
-    templates = template_words()
     # paragraphs that are a template nearly whole are no examples of unknown texts
-    known = [t for own in templates for t in own]
-    others = [h for h in others if share_of_template(h, known) < 0.5]
+    templates = Templates()
+    others = [h for h in others if templates.compare(h)[1] < 0.5]
     filler = np.concatenate(others) if others else np.empty(0, dtype=np.uint64)
     samples, labels = [], []
-    for family, own in enumerate(templates):
-        for words in own:
+    for family, own in [*enumerate(TEMPLATES.values()), *((UNKNOWN, x) for x in FOREIGN.values())]:
+        for words in hashed(own):
             new = variants(words, VARIANTS, rng, filler)
             samples += new
             labels += [family] * len(new)
@@ -229,10 +323,6 @@ def training_rows(paragraphs: list[str], seed: int = 3) -> tuple[list[np.ndarray
     return [samples[i] for i in order], np.array(labels)[order]
 
 
-def template_words() -> list[list[np.ndarray]]:
-    return [hashed(t) for t in TEMPLATES.values()]
-
-
 def train(docs: DataFrame, paragraphs: int = FIT_PARAGRAPHS) -> Classifier:
     """Fits on the templates and at most paragraphs paragraphs, in the order of a hash, of about FIT_DOCUMENTS documents
     of docs(doc_id, text), picked by hash."""
@@ -245,7 +335,7 @@ def train(docs: DataFrame, paragraphs: int = FIT_PARAGRAPHS) -> Classifier:
     return Classifier(len(FAMILIES)).fit(samples, labels)
 
 
-def _notices(model: Classifier, templates: list[list[np.ndarray]], hashes: np.ndarray, row: np.ndarray) -> Iterator[tuple[int, int, tuple]]:
+def _notices(model: Classifier, templates: Templates, hashes: np.ndarray, row: np.ndarray) -> Iterator[tuple[int, int, tuple]]:
     """(first word, last word, (probability, share, family)) of the paragraphs, numbered by row, that are notices."""
     if not len(row):
         return
@@ -255,16 +345,15 @@ def _notices(model: Classifier, templates: list[list[np.ndarray]], hashes: np.nd
     p = model.probabilities(bucket.astype(np.int64), at, rows)
     best = p.argmax(axis=1)
     for i in np.flatnonzero((best != UNKNOWN) & (p.max(axis=1) >= MIN_PROBABILITY)):
-        share = share_of_template(hashes[heads[i] : heads[i + 1]], templates[best[i]])
-        if share >= MIN_SHARE:
+        share = templates.confirm(int(best[i]), hashes[heads[i] : heads[i + 1]])
+        if share is not None:
             yield int(heads[i]), int(heads[i + 1]) - 1, (float(p[i, best[i]]), share, FAMILIES[best[i]])
 
 
 def _scan(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model: Classifier = shared.value
-        templates = template_words()
-        known = np.unique(np.concatenate([t for own in templates for t in own]))
+        templates = Templates()
         names = [x.split()[0] for x in FOUND.split(", ")]
         types = [pa.int64()] * 3 + [pa.string()] * 2 + [pa.float64()] * 2
         for batch in batches:
@@ -280,7 +369,7 @@ def _scan(shared):
                     alone = [(first, found) for first, _, found in _notices(model, templates, hashes, row)]
                     places = np.array([first for first, _ in alone], dtype=np.int64)
                     taken = [found[2] for _, found in alone]
-                    for words, number in joined_lines(hashes, distinct, row, owner, known):
+                    for words, number in joined_lines(hashes, distinct, row, owner, templates.known_families):
                         for first, last, found in _notices(model, templates, hashes[words], number):
                             first, last = words[first], words[last]
                             # a notice that a line or a longer paragraph in its place has shown counts once

@@ -324,3 +324,90 @@ def test_one_representative_of_each_group_stays(spark):
     assert sorted(repr(r.doc_id) for r in kept.collect()) == sorted(map(repr, [0, 50, 60, 61, None]))
     assert kept.columns == frame(spark, texts).columns
     assert near_dedup.representatives(frame(spark, [])).count() == 0
+
+
+NAMED = [
+    ("isc", 'Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted, provided that the above\ncopyright notice and this permission notice appear in all copies.'),
+    ("eclipse", "This program and the accompanying materials\nare made available under the terms of the Eclipse Public License 2.0\nwhich accompanies this distribution, and is available at\nhttps://www.eclipse.org/legal/epl-2.0/"),
+    ("boost", "Distributed under the Boost Software License, Version 1.0.\n(See accompanying file LICENSE_1_0.txt or copy at\nhttps://www.boost.org/LICENSE_1_0.txt)"),
+    ("boost", 'Permission is hereby granted, free of charge, to any person or organization\nobtaining a copy of the software and accompanying documentation covered by\nthis license (the "Software") to use, reproduce, display, distribute,\nexecute, and transmit the Software, and to prepare derivative works of the\nSoftware'),
+    ("unlicense", "This is free and unencumbered software released into the public domain."),
+    ("unlicense", "Anyone is free to copy, modify, publish, use, compile, sell, or\ndistribute this software, either in source code form or as a compiled\nbinary, for any purpose, commercial or non-commercial, and by any\nmeans."),
+    ("lgpl", "This library is free software; you can redistribute it and/or\nmodify it under the terms of the GNU Lesser General Public\nLicense as published by the Free Software Foundation; either\nversion 2.1 of the License, or (at your option) any later version."),
+    ("agpl", "This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU Affero General Public License as\npublished by the Free Software Foundation, either version 3 of the\nLicense, or (at your option) any later version."),
+]
+# of licences that neither the templates nor the foreign notices name
+UNNAMED = [
+    "DO WHAT THE FUCK YOU WANT TO PUBLIC LICENSE\nEveryone is permitted to copy and distribute verbatim or modified copies of this license document, and changing it is allowed as long as the name is changed.",
+    "Licensed under the EUPL, Version 1.2 or - as soon they will be approved by the European Commission - subsequent versions of the EUPL (the Licence); You may not use this work except in compliance with the Licence.",
+    "This Font Software is licensed under the SIL Open Font License, Version 1.1. This license is copied below, and is also available with a FAQ at: https://scripts.sil.org/OFL",
+    "This license governs use of the accompanying software. If you use the software, you accept this license. If you do not accept the license, do not use the software.",
+    "This software is governed by the CeCILL license under French law and abiding by the rules of distribution of free software.",
+    "Licensed under the Academic Free License version 3.0.",
+    "Released under the PostgreSQL License.",
+    "This software may be modified and distributed under the terms of the Beerware license. If we meet some day, and you think this stuff is worth it, you can buy me a beer in return.",
+    "The above copyright notice, this condition and the following restriction must be kept by all customers of the publisher.",
+    "A licence to fish in the lake is free of charge to any person under sixteen.",
+]
+
+
+def test_foreign_notices_are_no_family_of_ours(spark, small):
+    docs = [r.text for r in spark.read.parquet(f"{small}/documents.parquet").select("text").collect() if r.text and not re.search("licen|copyright|rights|redistribut", r.text, re.I)]
+    named = [(i, f"{docs[i]}\n\n{t}\n\n{docs[i + 40]}") for i, (_, t) in enumerate(NAMED)]
+    unnamed = [(100 + i, f"{docs[i]}\n\n{t}\n\n{docs[i + 40]}") for i, t in enumerate(UNNAMED)]
+    got = {r.doc_id: r.families for r in licenses.license_families(frame(spark, [*named, *unnamed, *((1000 + i, t) for i, t in enumerate(docs))])).collect()}
+    assert {i: got[i] for i, _ in named} == {i: family for i, (family, _) in enumerate(NAMED)}
+    assert not {t: got[100 + i] for i, t in enumerate(UNNAMED) if got[100 + i]}
+
+
+def brute_notice(model, paragraph):
+    """(probability, share, family) or None, by dictionaries over the words themselves."""
+    split = lambda t: re.sub(r"[!-/:-@\[-`{-~]", " ", t).lower().split()
+    number = lambda w: int(licenses.hashed([w])[0][0])
+    ours = split(paragraph)
+    hashes = [number(w) for w in ours]
+    pairs = [int(words.mix(np.array([(a * 0x9E3779B97F4A7C15 + b) % 2**64], dtype=np.uint64))[0]) for a, b in zip(hashes, hashes[1:])]
+    buckets = [h % licenses.BUCKETS for h in hashes + pairs]
+    z = [(sum(float(model.weights[b, c]) for b in buckets) / math.sqrt(len(buckets)) + model.bias[c]) / model.temperature for c in range(len(licenses.FAMILIES))]
+    p = [math.exp(x - max(z)) / sum(math.exp(y - max(z)) for y in z) for x in z]
+    best = p.index(max(p))
+    if licenses.FAMILIES[best] == "unknown" or p[best] < licenses.MIN_PROBABILITY:
+        return None
+    groups = {name: [split(t) for t in own] for name, own in [*licenses.TEMPLATES.items(), *licenses.FOREIGN.items()]}
+    spread = collections.Counter(w for own in groups.values() for w in {w for t in own for w in t})
+    weight = lambda some: sum(math.log((len(groups) + 1) / spread.get(w, 1)) for w in some)
+    candidates = []
+    for name, own in groups.items():
+        for t in own:
+            common = set(t) & set(ours)
+            share = weight(common) / weight(set(t))
+            if len(common) >= licenses.MIN_SHARED:
+                share = max(share, weight(common) / weight(set(ours)))
+            candidates.append((round(weight(common), 9), round(share, 9), name))
+    nearest = max(x[:2] for x in candidates)
+    name, share = licenses.FAMILIES[best], nearest[1]
+    grams = lambda t: {*t, *zip(t, t[1:])}
+    others = set().union(*(grams(t) for n, own in groups.items() if n != name for t in own))
+    alone = set().union(*(grams(t) for t in groups[name])) - others
+    return (p[best], share, name) if (*nearest, name) in candidates and share >= licenses.MIN_SHARE and grams(ours) & alone else None
+
+
+def test_licence_scores_and_confirmation_against_brute_force(spark, small):
+    docs = [r.text for r in spark.read.parquet(f"{small}/documents.parquet").select("text").collect() if r.text]
+    lines = [x for t in docs[:120] for x in t.split("\n") if x.strip()][:300]
+    samples, labels = licenses.training_rows(lines)
+    model = licenses.Classifier(len(licenses.FAMILIES)).fit(samples, labels)
+    rng = np.random.default_rng(5)
+    notices = [t for own in [*licenses.TEMPLATES.values(), *licenses.FOREIGN.values()] for t in own] + [t.replace("\n", " ") for _, t in NAMED] + UNNAMED
+    tried = lines[:60] + notices + [" ".join(rng.permutation(t.split())[: int(rng.integers(1, 1 + len(t.split())))]) for t in notices]
+    tried = [t for t in tried if licenses.hashed([t])[0].size]
+    templates, found = licenses.Templates(), 0
+    for t in tried:
+        h = licenses.hashed([t])[0]
+        got = [x for _, _, x in licenses._notices(model, templates, h, np.zeros(len(h), dtype=np.int64))]
+        expected = brute_notice(model, t)
+        found += expected is not None
+        assert len(got) == (expected is not None)
+        if expected:
+            assert got[0] == (pytest.approx(expected[0], rel=1e-5), pytest.approx(expected[1], rel=1e-9), expected[2])
+    assert found > 60
