@@ -2,7 +2,8 @@
 
 A term is a word without ASCII punctuation at its ends. (1) One pass over the texts finds entities, the terms within
 CONTEXT words of each and the distinct terms of every document that has an entity. (2) Pairs of a term and an entity are
-counted by mentions and, for entities of MIN_SUPPORT documents or more, by documents. For pairs that meet MIN_SUPPORT
+counted by mentions and, for entities of MIN_SUPPORT documents or more, by documents, one for all terms and one for all
+entities that stand in the same documents. For pairs that meet MIN_SUPPORT
 times or more a second pass counts every occurrence of the term in the corpus and its documents; a bit array of fixed
 size lets it skip other words, an exact join follows. (3) A term discloses an entity if it seldom stands elsewhere,
 p(entity | term) >= GENERALISE, and says much about it, log2(p(entity | term) / p(entity)) >= MIN_BITS, by mentions or
@@ -20,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from .storage import prepare, row_key, written
-from .words import U64, Slice, byte_hashes, mix, slices
+from .words import U64, Slice, byte_hashes, fresh_key, mix, slices
 
 KINDS = ("email", "ip", "card", "phone", "term")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -34,6 +35,7 @@ PUNCTUATION = np.isin(np.arange(256), [ord(c) for c in MARGIN])
 
 CONTEXT, MIN_SUPPORT, GENERALISE, REMOVE, MIN_BITS = 5, 3, 0.5, 0.8, 6.0
 LEAST_BITS, MOST_BITS, BITS_EACH, BIT_GROUP, SUMS_HELD = 1 << 20, 1 << 29, 16, 1 << 12, 500_000
+MARKED = ["mark_a", "mark_b", "mark_c", "mark_d"]  # halves of two random marks of a row
 MARKS = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]", "term": "[TERM]"}
 
 FOUND = "doc_id long, key binary, entities array<struct<rank: int, start: int, stop: int>>, near array<struct<term: long, entity: long>>, own array<long>, terms array<long>, n_words long"
@@ -252,16 +254,33 @@ def _count(shared):
     return run
 
 
-def _document_pairs(shared):
-    """term, entity, docs of the documents' terms and those of their entities that have a bit, summed in the task."""
+def _postings(shared):
+    """term, docs and sums of the rows' marks, of rows with an entity that has a bit, summed in the task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits: Bits = shared.value
+        sums = Sums(["term"], ["docs", *MARKED])
+        for batch in batches:
+            marks = np.array([batch[c].to_numpy() for c in MARKED])
+            for row, (t, e) in enumerate(zip(batch["terms"], batch["own"], strict=True)):
+                t, e = t.values.to_numpy(), e.values.to_numpy()
+                if len(t) and bits.has(e).any():
+                    yield from sums.add(t, np.ones(len(t), dtype=np.int64), *(np.full(len(t), x) for x in marks[:, row]))
+        yield from sums.rest()
+
+    return run
+
+
+def _document_pairs(terms, entities):
+    """term, entity, docs of the rows' terms and entities that have bits, summed in the task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = Sums(["term", "entity"], ["docs"])
         for batch in batches:
             for t, e in zip(batch["terms"], batch["own"], strict=True):
-                t, e = np.array(t.as_py() or [], np.int64), np.array(e.as_py() or [], np.int64)
-                for value in e[bits.has(e)] if len(t) else ():
+                t, e = t.values.to_numpy(), e.values.to_numpy()
+                t, e = t[terms.value.has(t)], e[entities.value.has(e)]
+                for value in e if len(t) else ():
                     yield from sums.add(t, np.full(len(t), value), np.ones(len(t), dtype=np.int64))
         yield from sums.rest()
 
@@ -305,26 +324,49 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("key", row_key("doc_id", "text"))
 
 
+def _by_document(found: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """entity, seen of all entities; and term, both, seen: in how many rows a term stands with an entity of so many rows.
+
+    Terms that stand in the same rows have the same counts, and so have such entities. Each set of rows is named by its
+    size and sums of random marks of its rows; only the first term and the first entity of a set are counted with each
+    other, row by row, and the counts go to all terms of the set. So copies of a text, of however many terms and
+    entities, cost one pair a copy.
+    """
+    context = found.sparkSession.sparkContext
+    marks = []
+    for i in range(0, len(MARKED), 2):
+        mark = f"xxhash64({fresh_key() >> 1}L, key)"
+        marks += [F.expr(f"{mark} & 4294967295L").alias(MARKED[i]), F.expr(f"shiftrightunsigned({mark}, 32)").alias(MARKED[i + 1])]
+    rows = found.filter("size(own) > 0").select("terms", "own", *marks)
+    summed = [F.sum(c).alias(c) for c in MARKED]
+    entity = written(rows.select(F.explode("own").alias("entity"), *MARKED).groupBy("entity").agg(F.count("*").alias("seen"), *summed), "seen")
+    often = entity.filter(f"seen >= {MIN_SUPPORT}")
+    postings = rows.mapInArrow(_postings(context.broadcast(_bits(often.select(F.col("entity").alias("term"))))), "term long, docs long, " + ", ".join(f"{c} long" for c in MARKED))
+    terms = written(postings.groupBy("term").agg(F.sum("docs").alias("docs"), *summed).filter(f"docs >= {MIN_SUPPORT}"), "postings")
+    first_terms = written(terms.groupBy("docs", *MARKED).agg(F.min("term").alias("first")), "first_terms")
+    first_entities = written(often.groupBy("seen", *MARKED).agg(F.min("entity").alias("entity")).select("entity", "seen"), "first_entities")
+    bits = [context.broadcast(_bits(x)) for x in (first_terms.select(F.col("first").alias("term")), first_entities.select(F.col("entity").alias("term")))]
+    pairs = rows.select("terms", "own").mapInArrow(_document_pairs(*bits), "first long, entity long, docs long").groupBy("first", "entity").agg(F.sum("docs").alias("both")).filter(f"both >= {MIN_SUPPORT}")
+    counts = pairs.join(first_entities, "entity").select("first", "both", "seen").distinct()
+    sets = first_terms.join(counts, "first")
+    return entity.select("entity", "seen"), terms.join(sets, ["docs", *MARKED]).select("term", "both", "seen")
+
+
 def disclosing(found: DataFrame, texts: DataFrame) -> DataFrame:
     """term, share: the terms that disclose an entity, with the greatest share of one."""
-    context = found.sparkSession.sparkContext
-    entity = written(found.select(F.explode("own").alias("entity")).groupBy("entity").agg(F.count("*").alias("seen")), "seen")
-    often = context.broadcast(_bits(entity.filter(f"seen >= {MIN_SUPPORT}").select(F.col("entity").alias("term"))))
-    near = found.select(F.explode("near").alias("x")).groupBy("x.term", "x.entity").agg(F.count("*").alias("together"), F.lit(0).cast("long").alias("both"))
-    by_document = found.filter("size(own) > 0").select("terms", "own").mapInArrow(_document_pairs(often), "term long, entity long, docs long")
-    pairs = near.union(by_document.select("term", "entity", F.lit(0).cast("long"), "docs")).groupBy("term", "entity").agg(F.sum("together").alias("together"), F.sum("both").alias("both"))
-    pairs = written(pairs.filter(f"together >= {MIN_SUPPORT} or both >= {MIN_SUPPORT}"), "pairs")
-    shared = context.broadcast(_bits(pairs.select("term")))
-    totals = texts.select("text").mapInArrow(_count(shared), "term long, n long, docs long").groupBy("term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    entity, both = _by_document(found)
+    both = written(both, "both")
+    near = found.select(F.explode("near").alias("x")).groupBy("x.term", "x.entity").agg(F.count("*").alias("together"))
+    near = written(near.filter(f"together >= {MIN_SUPPORT}"), "near")
+    shared = found.sparkSession.sparkContext.broadcast(_bits(near.select("term").union(both.select("term"))))
+    totals = written(texts.select("text").mapInArrow(_count(shared), "term long, n long, docs long").groupBy("term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs")), "totals")
     rows, words = found.agg(F.count("*"), F.coalesce(F.sum("n_words"), F.lit(0))).first()
-    joined = pairs.join(totals, "term").join(entity, "entity")
     # one occurrence may stand near two mentions of an entity, so a share is 1 at most
-    shares = [("together", "n", F.col("seen") * float(2 * CONTEXT) / float(max(words, 1))), ("both", "docs", F.col("seen") / float(max(rows, 1)))]
-    found_by = []
-    for together, n, prior in shares:
-        share = F.least(F.lit(1.0), F.col(together) / F.col(n))
-        found_by.append(F.when((F.col(together) >= MIN_SUPPORT) & (share >= GENERALISE) & (F.log2(share / prior) >= MIN_BITS), share))
-    return joined.select("term", F.greatest(*found_by).alias("share")).filter("share is not null").groupBy("term").agg(F.max("share").alias("share"))
+    near = near.join(totals, "term").join(entity, "entity").withColumn("share", F.least(F.lit(1.0), F.col("together") / F.col("n")))
+    near = near.withColumn("prior", F.col("seen") * float(2 * CONTEXT) / float(max(words, 1)))
+    both = both.join(totals, "term").withColumn("share", F.least(F.lit(1.0), F.col("both") / F.col("docs"))).withColumn("prior", F.col("seen") / float(max(rows, 1)))
+    shares = near.select("term", "share", "prior").union(both.select("term", "share", "prior"))
+    return shares.filter((F.col("share") >= GENERALISE) & (F.log2(F.col("share") / F.col("prior")) >= MIN_BITS)).groupBy("term").agg(F.max("share").alias("share"))
 
 
 def _term_spans(found: DataFrame, texts: DataFrame) -> DataFrame:

@@ -455,6 +455,34 @@ def test_entities_of_long_texts_take_linear_time():
     assert time.process_time() - start < 12
 
 
+def test_copies_with_many_entities_take_no_product_of_them(spark):
+    n = 20_000
+    text = " ".join(f"name{i:x}q user{i:x}@host{i % 97}.example.com" for i in range(n))
+    rows = [(i, text) for i in range(4)] + [(10 + i, f"other words of row {i}") for i in range(2_000)]
+    begin = time.time()
+    got = {r.doc_id: (r.n_email, r.n_term) for r in pii.pii_digest(frame(spark, rows)).collect()}
+    assert time.time() - begin < 60 and all(got[i] == (n, n) for i in range(4)) and got[10] == (0, 0)
+
+
+def test_terms_and_entities_of_equal_rows_are_counted_once_for_all(spark):
+    """Sets of rows of all shapes, also repeated rows, against plain dictionaries."""
+    rng = np.random.default_rng(11)
+    rows = []
+    for i in range(400):
+        names, words_ = rng.permutation(8)[: rng.integers(0, 4)], rng.permutation(30)[: rng.integers(0, 12)]
+        rows.append((i, " ".join(rng.permutation([*(f"u{k}@h.example.org" for k in names), *(f"word{k}x" for k in words_), *(f"filler{rng.integers(900)}y" for _ in range(20))]))))
+    rows += rows[:9] * 3 + [(1000 + i, rows[5][1]) for i in range(4)]
+    planted = [[] for _ in range(60)]
+    for g in range(30):
+        places = rng.choice(60, 4, replace=False) if g % 3 == 0 else places  # three groups stand in the same rows
+        for at in places:
+            planted[at] += [f"rare{g}z", *(f"filler{rng.integers(900)}y" for _ in range(12)), f"p{g}@q.example.net", *["word1x"] * 6]
+    rows += [(2000 + i, " ".join(x)) for i, x in enumerate(planted)]
+    expected = collections.Counter((i, ",".join(base_entities(t) + spans)) for (i, t), spans in zip(rows, brute_term_spans(rows)))
+    assert collections.Counter((r.doc_id, r.spans) for r in pii.pii_digest(frame(spark, rows)).collect()) == expected
+    assert sum("term" in x for _, x in expected) >= 12
+
+
 def test_disclosing_terms(spark):
     texts = [(i, f"alpha beta number {i} the director Quentessa Zorblatt wrote from qz@firm.example.com about item {i} the end") for i in range(4)]
     texts += [(i, f"the end of number {i} about alpha and beta from item to the director of things " * 5) for i in range(4, 60)]
