@@ -62,8 +62,8 @@ def _secrets() -> str:
 base AS (SELECT doc_id, start, 0 AS rank, start + length(hit) AS stop, 'assign' AS kind FROM m0 WHERE length(val) >= {secrets.ASSIGN_CHARS}
   UNION ALL SELECT doc_id, start, 1, start + length(hit), 'access' FROM m1 UNION ALL SELECT doc_id, start, 2, start + length(hit), 'hex' FROM m2),
 candidates AS (SELECT doc_id, start, start + length(hit) AS stop, hit, replace(hit, '=', '') AS chars,
-    CASE WHEN regexp_matches(hit, '^[0-9a-fA-F]+$') THEN {limits[0]} WHEN {digit} AND {lower} AND {upper} THEN {limits[1]} WHEN {digit} AND ({lower} OR {upper}) THEN {limits[2]} ELSE -1 END AS most FROM m3),
-fit AS (SELECT c.* FROM candidates c WHERE most >= 0 AND NOT ({allowed}) AND NOT EXISTS (SELECT 1 FROM base b WHERE b.doc_id = c.doc_id AND b.start < c.stop AND c.start < b.stop)),
+    CASE WHEN {digit} AND regexp_matches(hit, '^[0-9a-fA-F]+$') THEN {limits[0]} WHEN {digit} AND {lower} AND {upper} THEN {limits[1]} WHEN {digit} AND ({lower} OR {upper}) THEN {limits[2]} WHEN regexp_matches(hit, '[A-Z][a-z][A-Z].*[A-Z][a-z][A-Z]') THEN {limits[3]} ELSE -1 END AS most FROM m3),
+fit AS (SELECT c.* FROM candidates c WHERE most >= 0 AND NOT ({allowed}) AND NOT EXISTS (SELECT 1 FROM base b WHERE b.doc_id = c.doc_id AND b.start <= c.start AND c.stop <= b.stop)),
 windows AS (SELECT doc_id, start, stop, most, chars, unnest(range(1, greatest(length(chars) - {secrets.WINDOW - 1}, 1) + 1)) AS i FROM fit),
 letters AS (SELECT doc_id, start, stop, most, i, unnest(string_split(substring(chars, i, {secrets.WINDOW}), '')) AS c FROM windows),
 counts AS (SELECT doc_id, start, stop, most, i, c, count(*) AS n FROM letters GROUP BY ALL),

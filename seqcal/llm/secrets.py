@@ -2,8 +2,8 @@
 
 Places come from the pieces between matches: the lengths of split() and of the matches add up to code-point offsets, so
 no Python runs. Only texts in which a pattern occurs pay for that. A candidate is a long run of token characters; by the
-characters that it holds it belongs to a class with its own threshold. A window of 20 characters slides over it, and
-its Shannon entropy follows from the counts of the one character that leaves and the one that enters:
+characters that it holds it belongs to a class with its own threshold. A window of 20 characters slides over it with the
+counts of all its characters, of which a step changes two, those of the character that leaves and the one that enters;
 H = log2(w) - S / w with S = sum c log2 c, kept as whole millionths, so the sums are exact in any order.
 """
 
@@ -18,15 +18,18 @@ ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']
 ASSIGN_CHARS, ACCESS, HEX = 6, "AKIA[A-Z0-9]{16,}", "[0-9a-f]{24,}"  # a failing run holds no passing one
 CANDIDATE = "[A-Za-z0-9+/_-]{20,}={0,2}"
 WINDOW = 20
-#: Classes by the characters of a candidate, in order, and the least entropy of a window; other candidates are words.
-CLASSES = (("^[0-9a-fA-F]+$", 3.0), ("(?=.*[0-9])(?=.*[a-z])(?=.*[A-Z])", 3.8), ("(?=.*[0-9])(?=.*[a-zA-Z])", 3.5))
-#: Candidates that are no secrets: placeholders, UUIDs, alphabets, plain numbers, words joined by marks.
+#: The characters of candidates but for the padding; their counts are letters of a string in this order, from A for 0.
+ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-"
+#: Classes by the characters of a candidate, in order, and the least entropy of a window: hexadecimal, mixed-case with
+#: digits, letters with digits, and letters in which two small ones stand alone between capitals, as words in camel case
+#: seldom have them; other candidates are words.
+CLASSES = (("^(?=.*[0-9])[0-9a-fA-F]+$", 3.0), ("(?=.*[0-9])(?=.*[a-z])(?=.*[A-Z])", 3.8), ("(?=.*[0-9])(?=.*[a-zA-Z])", 3.5), ("[A-Z][a-z][A-Z].*[A-Z][a-z][A-Z]", 3.85))
+#: Candidates that are no secrets: placeholders, UUIDs, alphabets, plain numbers.
 ALLOWED = (
     "(?i)example|sample|dummy|placeholder|changeme|lorem|xxxx",
     "^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$",
     "(?i)abcdefghij|0123456789",
     "^[0-9+/_=-]+$",
-    "^[A-Za-z]+([/_-][A-Za-z]+)*=*$",
 )
 
 SPANS = "array<struct<start: int, rank: int, stop: int>>"
@@ -53,31 +56,32 @@ def _terms() -> str:
     return "array(" + ", ".join(f"{round(c * math.log2(c) * 1e6) if c else 0}L" for c in range(WINDOW + 2)) + ")"
 
 
-def least_sum(chars: str, terms: str) -> str:
-    """SQL: the least S over all windows of the array chars (its entropy is the greatest)."""
-    count = lambda part, c: f"size(filter({part}, z -> z = {c}))"
-    window = f"slice({chars}, 1, {WINDOW})"
-    first = f"aggregate(array_distinct({window}), 0L, (s, y) -> s + {terms}[{count(window, 'y')}])"
-    inner, out, new = f"slice({chars}, i, {WINDOW - 1})", f"{chars}[i - 2]", f"{chars}[i + {WINDOW - 2}]"
-    a, b = count(inner, out), count(inner, new)
-    slide = f"transform(array(s.now - {terms}[{a} + 1] + {terms}[{a}] + {terms}[{b} + 1] - {terms}[{b}]), n -> named_struct('now', n, 'best', least(s.best, n)))[0]"
-    start = f"transform(array({first}), f -> named_struct('now', f, 'best', f))[0]"
-    return f"aggregate(if(size({chars}) > {WINDOW}, sequence(2, size({chars}) - {WINDOW - 1}), cast(array() as array<int>)), {start}, (s, i) -> {slide}, s -> s.best)"
+def least_sum(codes: str, terms: str) -> str:
+    """SQL: the least S over all windows of the array codes, places in ALPHABET (its entropy is the greatest)."""
+    count = lambda s, code: f"ascii(substring({s}.counts, {code}, 1)) - 65"
+    moved = lambda s, code, n: f"overlay({s}.counts placing char(65 + {n}) from {code} for 1)"
+    out, new = f"{codes}[i - {WINDOW + 1}]", f"{codes}[i - 1]"
+    leave = f"transform(array({count('s', out)}), n -> named_struct('counts', {moved('s', out, 'n - 1')}, 'now', s.now - {terms}[n] + {terms}[n - 1], 'best', s.best))[0]"
+    enter = f"transform(array({count('t', new)}), n -> named_struct('counts', {moved('t', new, 'n + 1')}, 'now', t.now - {terms}[n] + {terms}[n + 1], 'best', t.best))[0]"
+    seen = f"transform(array({enter}), u -> named_struct('counts', u.counts, 'now', u.now, 'best', if(i >= {WINDOW}, least(u.best, u.now), u.best)))[0]"
+    step = f"transform(array(if(i > {WINDOW}, {leave}, s)), t -> {seen})[0]"
+    start = f"named_struct('counts', repeat('A', {len(ALPHABET)}), 'now', 0L, 'best', {2**62}L)"
+    return f"aggregate(sequence(1, size({codes})), {start}, (s, i) -> {step}, s -> s.best)"
 
 
 def entropy_spans(text: str, base: str) -> Column:
-    """Spans of candidates with a window above its class's threshold, none that is allowed or meets a base span."""
+    """Spans of candidates with a window above its class's threshold, none that is allowed or lies in a base span."""
     most = "case " + " ".join(f"when x.hit rlike {_plain(p)} then {math.floor((math.log2(WINDOW) - h) * WINDOW * 1e6)}L" for p, h in CLASSES) + " else -1L end"
     allowed = " or ".join(f"x.hit rlike {_plain(p)}" for p in ALLOWED)
     spans = f"arrays_zip(candidates, regexp_extract_all({text}, {_plain(CANDIDATE)}, 0))"
-    open_ones = f"filter(transform({spans}, p -> named_struct('span', p.candidates, 'hit', p.`1`, 'terms', {_terms()}, 'chars', split(regexp_replace(p.`1`, '=', ''), ''))), x -> not ({allowed}) and ({most}) >= 0 and not exists({base}, b -> b.start < x.span.stop and x.span.start < b.stop))"
-    return F.expr(f"case when size(candidates) = 0 then cast(array() as {SPANS}) else transform(filter({open_ones}, x -> {least_sum('x.chars', 'x.terms')} <= {most}), x -> x.span) end")
+    open_ones = f"filter(transform({spans}, p -> named_struct('span', p.candidates, 'hit', p.`1`, 'terms', {_terms()}, 'codes', transform(split(regexp_replace(p.`1`, '=', ''), ''), c -> locate(c, '{ALPHABET}')))), x -> not ({allowed}) and ({most}) >= 0 and not exists({base}, b -> b.start <= x.span.start and x.span.stop <= b.stop))"
+    return F.expr(f"case when size(candidates) = 0 then cast(array() as {SPANS}) else transform(filter({open_ones}, x -> {least_sum('x.codes', 'x.terms')} <= {most}), x -> x.span) end")
 
 
 def with_secret_spans(docs: DataFrame) -> DataFrame:
     """docs(doc_id, text, ...) as doc_id, text, base and spans: arrays of (start, rank, stop), sorted, rank being the
     place in KINDS, offsets in code points, stop exclusive. base holds the pattern matches, spans these and the entropy
-    spans. A null text counts as empty and has none; rows without doc_id and repeated rows are scanned like others.
+    spans, which may overlap base spans that they reach beyond. A null text counts as empty and has none; rows without doc_id and repeated rows are scanned like others.
     """
     found = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     found = found.withColumn("assign", match_spans("text", ASSIGN, 0, f"length(values[i]) >= {ASSIGN_CHARS}"))

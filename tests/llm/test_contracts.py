@@ -295,6 +295,9 @@ SECRETS = [
     (5, None),
     (6, ""),
     (7, "PASSWORD:\tno passwd==abcdef token='a.b-c/d+e_f='"),
+    (8, "key QwZxRtYuPlKjMnBvHgFdSaOiUyTrEwQzXcVb and getElementsByTagNameFromDocument or McDonaldMcGregorMcIntyre"),
+    (9, "hex deadbeefdeadbeefdeadbeef99Zk3Jq8Lm2Xv7Tn5Rb end, Zk3Jq8Lm2Xv7Tn5RbdeadbeefdeadbeefdeadbeefQ9 end"),
+    (10, "abcdefabcdefabcdefab fooBarBazFooBarBazFooBar WORDS/IN-CAPITALS_JOINED " + "Zk3Jq8Lm2Xv7Tn5Rb" * 400 + "=="),
 ]
 
 
@@ -319,7 +322,7 @@ def brute_entropy(hit):
 def entropy_secrets(text, base):
     out = []
     for m in re.finditer(secrets.CANDIDATE, text or ""):
-        if any(re.search(p, m[0]) for p in secrets.ALLOWED) or any(b[0] < m.end() and m.start() < b[2] for b in base):
+        if any(re.search(p, m[0]) for p in secrets.ALLOWED) or any(b[0] <= m.start() and m.end() <= b[2] for b in base):
             continue
         least = next((h for p, h in secrets.CLASSES if re.search(p, m[0])), None)
         if least is not None and brute_entropy(m[0]) <= np.floor((np.log2(secrets.WINDOW) - least) * secrets.WINDOW * 1e6):
@@ -339,7 +342,10 @@ def test_secrets(spark, small):
         assert order((r.doc_id, r.n_assign, r.n_access, r.n_hex, r.base_sha256, r.spans) for r in got) == order(expected)
     by_id = {r.doc_id: r for r in secrets.secret_digest(frame(spark, SECRETS)).collect()}
     assert by_id[3].n_entropy == 1 and by_id[4].n_entropy == 0
-    assert "hunter22" not in {r.doc_id: r.text for r in secrets.redacted(frame(spark, SECRETS)).collect()}[1]
+    assert by_id[8].n_entropy == 1 and by_id[8].spans == "entropy:4:40" and by_id[9].n_entropy == 2 and by_id[10].n_entropy == 1
+    clean = {r.doc_id: r.text for r in secrets.redacted(frame(spark, SECRETS)).collect()}
+    assert "hunter22" not in clean[1] and clean[9] == "hex [SECRET] end, [SECRET] end"
+    assert clean[8] == "key [SECRET] and getElementsByTagNameFromDocument or McDonaldMcGregorMcIntyre"
     assert secrets.secret_digest(frame(spark, [])).count() == 0
 
 
