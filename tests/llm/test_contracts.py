@@ -272,6 +272,47 @@ def test_quality_statistics_and_rules(spark, small):
     assert all(r.kept != r.base_failed for r in unlabelled)
 
 
+def brute_features(text):
+    text = text or ""
+    n, chars, symbols, dup, repeats = base_counts(text)
+    lines = [x for x in text.split("\n") if WORD.search(x)]
+    upper, letters = len(re.findall("[A-Z]", text)), len(re.findall("[A-Za-z]", text))
+    n_or_1 = max(n, 1)
+    return {
+        "mean_word_chars": chars / n_or_1,
+        "symbols_per_word": symbols / n_or_1,
+        "marks_per_word": (text.count("!") + text.count("?")) / n_or_1,
+        "dup_line_share": dup / max(len(lines), 1),
+        "repeat_share": repeats / n_or_1,
+        "distinct_share": len(set(WORD.findall(text))) / n_or_1,
+        "upper_share": upper / max(letters, 1),
+        "words": float(n),
+    }
+
+
+def test_quality_verdicts_against_plain_python(spark, small):
+    sf = small.replace("0.001", "0.01")
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    texts = [*((r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()), *((900_000 + k, t) for k, (_, t) in enumerate(TEXTS))]
+    quality = {}
+    for r in labels.select("doc_id", "quality").dropna().collect():
+        quality[r.doc_id] = max(r.quality, quality.get(r.doc_id, r.quality))
+    table = frame(spark, texts)
+    rules = quality_rules.fit(quality_rules.with_statistics(table).select("doc_id", "statistics.*"), labels)
+    assert rules
+    met = lambda c, f: f[c.feature] >= c.cut if c.above else f[c.feature] <= c.cut
+    expected = {}
+    for i, text in texts:
+        n, _, _, _, repeats = base_counts(text)
+        f = brute_features(text)
+        expected[i] = n >= 20 and 100 * repeats <= 30 * n and not any(all(met(c, f) for c in rule) for rule in rules)
+    got = {r.doc_id: r for r in quality_rules.quality_verdicts(table, labels).collect()}
+    assert {i: r.kept for i, r in got.items()} == expected
+    # the list itself rejects documents that the base rules let pass, bad ones nearly all
+    learned = [i for i, r in got.items() if not r.kept and not r.base_failed]
+    assert learned and sum(quality.get(i) == 0 for i in learned) >= 0.9 * sum(i in quality for i in learned)
+
+
 def test_decision_list_finds_planted_rules():
     rng = np.random.default_rng(5)
     table = {f: rng.random(6000) for f in quality_rules.FEATURES}

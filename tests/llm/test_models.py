@@ -219,6 +219,36 @@ def test_perplexity_classifier_keeps_clean_documents_and_rejects_others(spark, s
     assert L.quality_by_perplexity(frame(spark, []), labels).count() == 0
 
 
+def test_quantiles_and_verdicts_of_perplexity_against_brute_force(spark, small, monkeypatch):
+    monkeypatch.setattr(L, "SHARD_ROWS", 20_000)  # several shards
+    once, labels = spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text", "lang"), spark.read.parquet(f"{small}/labels.parquet")
+    docs = once.union(once.filter("doc_id % 7 = 0"))
+    rows = L.quality_by_perplexity(docs, labels).collect()
+    assert len(rows) == docs.count()
+    copies = collections.defaultdict(set)
+    for r in rows:
+        copies[r.doc_id].add((r.perplexity, r.word_perplexity, r.kept))
+    assert all(len(x) == 1 for x in copies.values())
+    held = {r.doc_id for r in once.filter(L.held_out()).collect()}
+    trusted = {r.doc_id for r in labels.collect() if r.quality == 1 and r.toxic == 0}
+
+    def quantile(values, q):
+        return sorted(values)[max(math.ceil(q * len(values)), 1) - 1]
+
+    for lang in {r.lang for r in rows}:
+        own = [r for r in rows if r.lang == lang]
+        known = [r for r in own if r.doc_id in trusted and r.perplexity is not None]
+        if not known:
+            assert all(r.most is None and r.kept == (r.n_symbols > 0) for r in own)
+            continue
+        upper = [r for r in known if r.doc_id in held] or known
+        most, word_most = quantile([r.perplexity for r in upper], L.MOST), quantile([r.word_perplexity for r in upper], L.WORD_MOST)
+        word_least = quantile([r.word_perplexity for r in known], L.WORD_LEAST)
+        assert {(r.most, r.word_least, r.word_most) for r in own} == {(most, word_least, word_most)}
+        for r in own:
+            assert r.kept == (r.n_symbols > 0 and r.perplexity <= most and word_least <= r.word_perplexity <= word_most)
+
+
 def test_licence_classifier_on_held_out_notices(spark, small):
     notices = [
         ("mit", "This library is released under the MIT License."),

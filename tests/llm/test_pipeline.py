@@ -1,6 +1,7 @@
 """The pipeline's stages on their own inputs, against plain Python."""
 
 import collections
+import shutil
 
 import corpus_pipeline
 from seqcal.llm import pii, quality_rules
@@ -50,3 +51,16 @@ def test_stages_and_run(spark, small):
     total = lambda rows: collections.Counter((r.doc_id, r.doc_tokens) for r in rows if r.start == 0)
     assert total(full) == total(packed)
     assert pii.KINDS[0] == "email"
+
+
+def test_an_empty_table_and_rows_without_words_pass_all_stages(spark, small, tmp_path):
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    hollow = spark.createDataFrame([(1, None), (2, ""), (2, ""), (None, " \n"), (3, "one")], "doc_id long, text string")
+    for name, table in (("empty", docs.limit(0)), ("hollow", docs.select(docs.columns).limit(0).unionByName(hollow, allowMissingColumns=True))):
+        folder = tmp_path / name
+        folder.mkdir()
+        for other in ("labels", "benchmark"):
+            found = f"{small}/{other}.parquet"
+            (shutil.copytree if (tmp_path / found).is_dir() else shutil.copy)(found, folder / f"{other}.parquet")
+        table.write.parquet(str(folder / "documents.parquet"))
+        assert corpus_pipeline.run(spark, str(folder)).count() == 0
