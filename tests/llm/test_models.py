@@ -126,6 +126,35 @@ def test_recall_by_length_of_items(spark, items_of_all_lengths, how):
     assert not {x for x in got if x[0] >= 100_000}
 
 
+def test_short_items_are_found_and_clean_documents_left(spark):
+    """90 items of 6 to 11 words: each in a document with a word changed, and 300 documents that hold none."""
+    rng = np.random.default_rng(12)
+    known = vocabulary(rng, 6000)
+    p = 1 / np.arange(1, len(known) + 1)
+    text = lambda n: " ".join(rng.choice(known, n, p=p / p.sum()))
+    items = [(n * 100 + k, f"{text(n - n // 3)}. {text(n // 3)}") for n in range(6, 12) for k in range(15)]
+    docs = [(100_000 + i, text(int(rng.integers(50, 600)))) for i in range(300)]
+    for i, item in items:
+        words_ = item.split()
+        words_[2] = "changed"
+        docs.append((i, f"{text(40)} {' '.join(words_)} {text(60)}"))
+    got = {(r.doc_id, r.item_id) for r in D.contaminated(frame(spark, docs), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    wrong = {d for d, i in got if d != i}
+    assert len(got & {(i, i) for i, _ in items}) >= 0.9 * len(items)
+    assert len(wrong) <= 2 and not [d for d in wrong if d >= 100_000]
+
+
+def test_the_densest_part_of_a_region():
+    rng = np.random.default_rng(8)
+    for _ in range(200):
+        own, region = rng.integers(1, 9, int(rng.integers(5, 12))).astype(np.uint64), rng.integers(1, 14, int(rng.integers(1, 60))).astype(np.uint64)
+        item, answer = D.word_masks(own), D.word_masks(own[-3:])
+        first, end = D.densest(item, answer, region)
+        width = len(own) + len(own) // 2
+        assert 0 <= first < end <= min(first + width, len(region))
+        assert D.common_words(item, region[first:end]) == max(D.common_words(item, region[k : k + width]) for k in range(len(region)))
+
+
 def test_longest_common_subsequence():
     rng = np.random.default_rng(2)
     for _ in range(30):
