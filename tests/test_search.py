@@ -132,3 +132,49 @@ def test_profile_calibration(spark):
             calibrate.calibrate_profile(bad, p, kernel.NumpyBackend([p]), 40.0)
     with pytest.raises(InputError):
         calibrate.calibrate_profile(classes, p, kernel.NumpyBackend([p]), 40.0, family="other")
+
+
+def plain_forward(p, sequence):
+    """Forward bits of one pair in logarithms, state by state."""
+    c, (stay, leave, null) = kernel.Compiled(p), kernel.length_model(float(len(sequence)))
+    m, plus = p.match_states, np.logaddexp
+    match, insert = [kernel.LOW] * m, [kernel.LOW] * m
+    delete, flank, join, close = [kernel.LOW] * m, 0.0, kernel.LOW, kernel.LOW
+    for letter in sequence:
+        begin = plus(flank, join) + leave
+        fresh = [begin + c.enter[0]] + [plus(plus(match[k] + c.mm[k], insert[k] + c.im[k]), plus(delete[k] + c.dm[k], begin + c.enter[k + 1])) for k in range(m - 1)]
+        insert = [plus(match[k] + c.mi[k], insert[k] + c.ii[k]) for k in range(m)]
+        match = [fresh[k] + c.letters[letter, k] for k in range(m)]
+        delete = [kernel.LOW]
+        for k in range(m - 1):
+            delete.append(plus(match[k] + c.md[k], delete[k] + c.dd[k + 1] - c.dd[k]))
+        end = plus(np.logaddexp.reduce(match), np.logaddexp.reduce(delete)) + math.log(0.5)
+        flank, join, close = flank + stay, plus(join + stay, end), plus(close + stay, end)
+    return (close + leave - null) / math.log(2)
+
+
+def test_pairs_of_many_sizes_side_by_side():
+    rng = np.random.default_rng(4)
+    profiles = [small_profile(rng, m) for m in (7, 1, 3, 30, 5, 2)] + [model.consensus_profile("w", "W" * 12)]
+    coded = sorted((rng.choice([ord(x) - 65 for x in LETTERS + "BX"], n) for n in (1, 2, 9, 60, 60, 33)), key=lambda s: -len(s))
+    coded = [np.full(400, ord("W") - 65), *coded]  # far beyond what a double holds
+    stack = kernel.Stack([kernel.Compiled(p) for p in profiles])
+    bits = kernel.stack_bits(stack, coded)
+    assert bits.max() > 1100
+    for c, row in zip(stack.compiled, bits, strict=True):
+        assert row == pytest.approx([plain_forward(c.profile, s) for s in coded], abs=1e-8)
+    pairs = [(c, s) for s in coded for c in stack.compiled]
+    assert kernel.pair_domains([c for c, _ in pairs], [s for _, s in pairs]) == [kernel.viterbi_domains(c, s) for c, s in pairs]
+    some = sorted(((c, s, a, b) for c, s in pairs for a, b, _, _ in kernel.viterbi_domains(c, s)), key=lambda x: x[2] - x[3])
+    scores = kernel.segments_bits([c for c, *_ in some], [s[a : b + 1] for _, s, a, b in some], np.array([len(s) for _, s, _, _ in some]))
+    assert scores.tolist() == [kernel.segment_bits(*x) for x in some]
+
+
+def test_cost_of_a_pair_is_small():
+    rng, clock = random.Random(2), __import__("time").process_time
+    texts = ["".join(rng.choice(LETTERS) for _ in range(400)) for _ in range(250)]
+    names = ["".join(rng.choice(LETTERS) for _ in range(rng.randint(4, 13))) for _ in range(25)]
+    (stack,) = kernel.stacks([kernel.Compiled(model.consensus_profile(n, n)) for n in names])
+    start = clock()
+    assert kernel.search_batch(texts, texts, stack, {"Z": 25.0, "iE": 10.0, "coverage": 0.0})
+    assert clock() - start < 6  # a step of Python for each letter and hit took over 20 s
