@@ -4,8 +4,8 @@ A term is a word without ASCII punctuation at its ends. (1) One pass over the te
 CONTEXT words of each and the distinct terms of every document that has an entity. (2) Pairs of a term and an entity are
 counted by mentions and, for entities of MIN_SUPPORT documents or more, by documents, one for all terms and one for all
 entities that stand in the same documents. For pairs that meet MIN_SUPPORT
-times or more a second pass counts every occurrence of the term in the corpus and its documents; a bit array of fixed
-size lets it skip other words, an exact join follows. (3) A term discloses an entity if it seldom stands elsewhere,
+times or more, and that may disclose by what these documents tell, a second pass counts every occurrence of the term in
+the corpus and its documents; a bit array of fixed size lets it skip other words, an exact join follows. (3) A term discloses an entity if it seldom stands elsewhere,
 p(entity | term) >= GENERALISE, and says much about it, log2(p(entity | term) / p(entity)) >= MIN_BITS, by mentions or
 by documents. (4) A third pass, by bit array and exact join again, finds every occurrence of such terms in the corpus;
 they are generalised, or removed from REMOVE on. No text is shuffled to find spans.
@@ -18,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from .storage import prepare, row_key, written
 from .words import U64, Slice, byte_hashes, fresh_key, mix, slices
@@ -34,7 +34,7 @@ MARGIN = "".join(chr(b) for b in range(0x21, 0x7F) if not chr(b).isalnum())
 PUNCTUATION = np.isin(np.arange(256), [ord(c) for c in MARGIN])
 
 CONTEXT, MIN_SUPPORT, GENERALISE, REMOVE, MIN_BITS = 5, 3, 0.5, 0.8, 6.0
-LEAST_BITS, MOST_BITS, BITS_EACH, BIT_GROUP, SUMS_HELD = 1 << 20, 1 << 29, 16, 1 << 12, 500_000
+LEAST_BITS, MOST_BITS, BITS_EACH, BIT_GROUP, SUMS_HELD, FIRST_SLICE = 1 << 20, 1 << 29, 16, 1 << 12, 500_000, 32
 MARKED = ["mark_a", "mark_b", "mark_c", "mark_d"]  # halves of two random marks of a row
 MARKS = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]", "term": "[TERM]"}
 
@@ -324,8 +324,9 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("key", row_key("doc_id", "text"))
 
 
-def _by_document(found: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """entity, seen of all entities; and term, both, seen: in how many rows a term stands with an entity of so many rows.
+def _by_document(found: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """entity, seen of all entities; term, both, seen, held: in how many rows a term stands with an entity of so many rows;
+    and term, held: in how many rows with an entity of MIN_SUPPORT rows a term stands, where these are MIN_SUPPORT.
 
     Terms that stand in the same rows have the same counts, and so have such entities. Each set of rows is named by its
     size and sums of random marks of its rows; only the first term and the first entity of a set are counted with each
@@ -349,24 +350,53 @@ def _by_document(found: DataFrame) -> tuple[DataFrame, DataFrame]:
     pairs = rows.select("terms", "own").mapInArrow(_document_pairs(*bits), "first long, entity long, docs long").groupBy("first", "entity").agg(F.sum("docs").alias("both")).filter(f"both >= {MIN_SUPPORT}")
     counts = pairs.join(first_entities, "entity").select("first", "both", "seen").distinct()
     sets = first_terms.join(counts, "first")
-    return entity.select("entity", "seen"), terms.join(sets, ["docs", *MARKED]).select("term", "both", "seen")
+    held = terms.select("term", F.col("docs").alias("held"))
+    return entity.select("entity", "seen"), terms.join(sets, ["docs", *MARKED]).select("term", "both", "seen", F.col("docs").alias("held")), held
+
+
+def _tells(share: Column, prior: Column) -> Column:
+    return (share >= GENERALISE) & (F.log2(share / prior) >= MIN_BITS)
+
+
+def _totals(texts: DataFrame, terms: list[DataFrame], name: str) -> DataFrame:
+    """term, n, docs of the terms (and of other words with their bits) in texts."""
+    shared = texts.sparkSession.sparkContext.broadcast(_bits(terms[0].select("term").union(terms[1].select("term"))))
+    return written(texts.select("text").mapInArrow(_count(shared), "term long, n long, docs long").groupBy("term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs")), name)
+
+
+def _candidates(found: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """term, together, prior by mentions and term, both, prior by documents, of pairs whose term may disclose its entity.
+
+    The rows with entities, and then one of FIRST_SLICE rows of all, tell how often a term stands in the corpus at least,
+    so at most what share is one entity's. A pair that could not disclose even so is left out, as its term's other
+    occurrences only lower that share. So no result changes, but common words, which every task would count, are not
+    counted in all texts: of a term that is, a slice holds no more than its pairs' own occurrences by 1 / GENERALISE.
+    """
+    entity, both, held = _by_document(found)
+    rows, words = found.agg(F.count("*"), F.coalesce(F.sum("n_words"), F.lit(0))).first()
+    share = lambda own, least: F.least(F.lit(1.0), F.col(own) / F.coalesce(*least))
+    both = both.withColumn("prior", F.col("seen") / float(max(rows, 1)))
+    both = written(both.filter(_tells(share("both", [F.col("held")]), F.col("prior"))).select("term", "both", "prior"), "both")
+    near = found.select(F.explode("near").alias("x")).groupBy("x.term", "x.entity").agg(F.count("*").alias("together")).filter(f"together >= {MIN_SUPPORT}")
+    near = near.join(entity, "entity").join(held, "term", "left").withColumn("prior", F.col("seen") * float(2 * CONTEXT) / float(max(words, 1)))
+    near = written(near.filter(_tells(share("together", [F.col("held"), F.lit(1)]), F.col("prior"))).select("term", "together", "prior"), "near")
+    slice_ = texts.filter(F.pmod(F.xxhash64("doc_id"), F.lit(FIRST_SLICE)) == 0)
+    first = _totals(slice_, [near, both], "first_totals")
+    near, both = near.join(first, "term", "left"), both.join(first, "term", "left")
+    near = near.filter(_tells(share("together", [F.col("n"), F.lit(1)]), F.col("prior"))).select("term", "together", "prior")
+    both = both.filter(_tells(share("both", [F.col("docs"), F.lit(1)]), F.col("prior"))).select("term", "both", "prior")
+    return written(near, "near"), written(both, "both")
 
 
 def disclosing(found: DataFrame, texts: DataFrame) -> DataFrame:
     """term, share: the terms that disclose an entity, with the greatest share of one."""
-    entity, both = _by_document(found)
-    both = written(both, "both")
-    near = found.select(F.explode("near").alias("x")).groupBy("x.term", "x.entity").agg(F.count("*").alias("together"))
-    near = written(near.filter(f"together >= {MIN_SUPPORT}"), "near")
-    shared = found.sparkSession.sparkContext.broadcast(_bits(near.select("term").union(both.select("term"))))
-    totals = written(texts.select("text").mapInArrow(_count(shared), "term long, n long, docs long").groupBy("term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs")), "totals")
-    rows, words = found.agg(F.count("*"), F.coalesce(F.sum("n_words"), F.lit(0))).first()
+    near, both = _candidates(found, texts)
+    totals = _totals(texts, [near, both], "totals")
     # one occurrence may stand near two mentions of an entity, so a share is 1 at most
-    near = near.join(totals, "term").join(entity, "entity").withColumn("share", F.least(F.lit(1.0), F.col("together") / F.col("n")))
-    near = near.withColumn("prior", F.col("seen") * float(2 * CONTEXT) / float(max(words, 1)))
-    both = both.join(totals, "term").withColumn("share", F.least(F.lit(1.0), F.col("both") / F.col("docs"))).withColumn("prior", F.col("seen") / float(max(rows, 1)))
+    near = near.join(totals, "term").withColumn("share", F.least(F.lit(1.0), F.col("together") / F.col("n")))
+    both = both.join(totals, "term").withColumn("share", F.least(F.lit(1.0), F.col("both") / F.col("docs")))
     shares = near.select("term", "share", "prior").union(both.select("term", "share", "prior"))
-    return shares.filter((F.col("share") >= GENERALISE) & (F.log2(F.col("share") / F.col("prior")) >= MIN_BITS)).groupBy("term").agg(F.max("share").alias("share"))
+    return shares.filter(_tells(F.col("share"), F.col("prior"))).groupBy("term").agg(F.max("share").alias("share"))
 
 
 def _term_spans(found: DataFrame, texts: DataFrame) -> DataFrame:

@@ -584,3 +584,13 @@ def test_queries_against_sql(spark, small, name):
     found = [con.execute(queries.ORACLE_SQL[name]).df(), queries.QUERIES[name](spark, small).toPandas()]
     a, b = (sorted((x[sorted(x.columns)].astype(object).where(x.notna(), None)).itertuples(index=False, name=None), key=repr) for x in found)
     assert a == b and set(found[0].columns) == set(found[1].columns)
+
+
+def test_common_words_near_entities_are_no_candidates(spark):
+    texts = [f"zebra{i} common ann@example.org" for i in (1, 1, 1)] + [f"quiet row {i} holds common and others" for i in range(3000)]
+    keyed = pii._keyed(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(6))
+    found = keyed.mapInArrow(pii._find, pii.FOUND)
+    near, both = (sorted({r.term for r in x.collect()}) for x in pii._candidates(found, keyed))
+    zebra, common = pii._hashes(["zebra1", "common"]).tolist()
+    assert zebra in near and zebra in both and common not in near and common not in both  # else every task counts it
+    assert [(r.term, r.share) for r in pii.disclosing(found, keyed).collect()] == [(zebra, 1.0)]
