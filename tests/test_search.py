@@ -178,3 +178,12 @@ def test_cost_of_a_pair_is_small():
     start = clock()
     assert kernel.search_batch(texts, texts, stack, {"Z": 25.0, "iE": 10.0, "coverage": 0.0})
     assert clock() - start < 6  # a step of Python for each letter and hit took over 20 s
+
+
+def test_models_of_one_partition_are_written_by_many_tasks(spark):
+    from seqcal.sources import profiles
+
+    rows = spark.createDataFrame([(f"p{i}", "MWKC") for i in range(200)], "name string, letters string").coalesce(1)
+    texts = profiles.written_models(rows)
+    assert sum(n > 0 for n in texts.rdd.glom().map(len).collect()) >= 8  # a file of one row group went through one task
+    assert {r.value for r in texts.collect()} == {model.format_profile(model.consensus_profile(f"p{i}", "MWKC")).removesuffix("\n") for i in range(200)}
