@@ -4,15 +4,15 @@ longest common subsequences and answer checks.
 The benchmark is the stated query set: it is taken in blocks of BLOCK_WORDS words, each against all documents. Items and
 documents are cut into passages alike, of 64 words, or of 32 for items no longer than that. For a block (1) one pass counts in how many passages of the corpus each of the
 block's words stands; (2) a randomised SVD (Halko et al., 2011) of TF-IDF passages gives the latent space. Its basis is
-fitted on the block's passages and a sample of about FIT_PASSAGES passages of the corpus, picked by hash; its products
-are summed over FIT_PARTS tasks. (3) Every passage of every document is projected and compared with all passages of the
+fitted on the block's passages and all passages of the corpus, which together weigh as much as FIT_PASSAGES at most; each
+task sends its sum of their products. (3) Every passage of every document is projected and compared with all passages of the
 block; where a cosine is above MIN_COSINE, the region around is aligned word by word with the whole item, in the same
 task, as the words are there. A region that holds SURE_COMMON of the item's words in order is a match; one that holds
 MIN_COMMON is a paraphrase if it also holds the answer, the item's last sentence. Of an item of under DENSE_BELOW words
 a wide region holds many in order by chance, so DENSE_COMMON of them must stand within one and a half times its length. (4) Beside the latent search every run
 of run_words() words of an item is looked up exactly, so a verbatim copy of a part is found whatever its share of the
 item or the passage; items of under MIN_WORDS words are searched in this way alone, as a whole. Nothing is shuffled but
-the sample. The tests measure the recall of the candidate search against brute force.
+counts and sums. The tests measure the recall of the candidate search against brute force.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ from .words import NORMAL, Slice, run_hashes, slices
 
 BLOCK_ITEMS, BLOCK_WORDS = 2048, 50_000
 CELL, CELLS, MIN_WORDS = 32, (16, 32), 5  # a passage is two neighbouring cells; shorter items are found as a whole only
-RANK, OVERSAMPLE, FIT_PASSAGES, FIT_PARTS, ITEM_WEIGHT = 256, 16, 100_000, 8, 30.0
+RANK, OVERSAMPLE, FIT_PASSAGES, ITEM_WEIGHT, SHARE_WORDS = 256, 16, 100_000, 30.0, 1024
 MIN_COSINE, MIN_COMMON, SURE_COMMON, MIN_ANSWER = 0.45, 0.6, 0.8, 0.5
 MIN_RUN, LONG_RUN = 8, 13
 DENSE_BELOW, DENSE_COMMON = 12, 0.7
@@ -228,69 +228,80 @@ def _latent_cells(term: np.ndarray, cell: np.ndarray, n: int, basis: np.ndarray)
     return out
 
 
+def _lengths(term: np.ndarray, cell: np.ndarray, n: int, idf: np.ndarray, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """Squared TF-IDF lengths of passages: those of their cells and twice the products of neighbours."""
+    both, counts = np.unique(cell * len(idf) + term, return_counts=True)
+    weight = counts * idf[both % len(idf)]
+    square = np.bincount(both // len(idf), weights=weight**2, minlength=n)
+    at = np.minimum(np.searchsorted(both, both + len(idf)), max(len(both) - 1, 0))
+    same = both[at] == both + len(idf)  # the word stands in the next cell too
+    product = np.bincount(both[same] // len(idf), weights=weight[same] * weight[at[same]], minlength=n)
+    return np.where(first == second, square[first], square[first] + square[second] + 2 * product[first])
+
+
 def _gram_product(shared, matrix):
-    """Each task's share of A^T A M over its passages: a row of bytes."""
+    """Each task's share of A^T A M over its passages: rows of bytes, of SHARE_WORDS words each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items, idf = shared.value
-        m = matrix.value
+        m = matrix.value * idf[:, None].astype(np.float32)
         out = np.zeros_like(m)
         for batch in batches:
             for part in slices(batch["text"], table=NORMAL, limit=SVD_SLICE):
                 term, cell, document, _ = _cell_terms(items, part)
+                if not len(term):
+                    continue
                 first, second = passages_of(document)
-                # squared lengths of passages in the whole vocabulary
-                pairs = np.concatenate([np.stack([np.searchsorted(first, cell), term]), np.stack([np.searchsorted(second, cell), term])], axis=1)
-                known = np.concatenate([np.isin(cell, first), np.isin(cell, second) & ~np.isin(cell, first[first == second])])
-                passage, word = pairs[:, known]
-                both, n = np.unique(passage * len(idf) + word, return_counts=True)
-                passage, word = both // len(idf), both % len(idf)
-                weight = n * idf[word]
-                length = np.sqrt(np.bincount(passage, weights=weight**2, minlength=len(first)))
-                weight = (weight / np.maximum(length[passage], 1e-12)).astype(np.float32)
-                projected = np.zeros((len(first), m.shape[1]), dtype=np.float32)
-                if len(passage):
-                    heads = np.flatnonzero(np.concatenate([[True], passage[1:] != passage[:-1]]))
-                    projected[passage[heads]] = np.add.reduceat(m[word] * weight[:, None], heads, axis=0)
-                    order = np.argsort(word, kind="stable")
-                    heads = np.flatnonzero(np.concatenate([[True], word[order][1:] != word[order][:-1]]))
-                    out[word[order][heads]] += np.add.reduceat(projected[passage[order]] * weight[order, None], heads, axis=0)
-        yield pa.RecordBatch.from_arrays([pa.array([out.tobytes()], pa.binary())], names=["share"])
+                length = _lengths(term, cell, len(document), idf, first, second)
+                # a word of a cell has the same share in all passages of the cell, so cells are projected and summed up
+                latent = _latent_cells(term, cell, len(document), m)
+                two = first != second
+                projected = latent[first]
+                projected[two] += latent[second[two]]
+                projected /= np.maximum(length, 1e-12).astype(np.float32)[:, None]
+                back = np.zeros_like(latent)
+                back[first] += projected
+                back[second[two]] += projected[two]
+                order = np.argsort(term, kind="stable")
+                met, own = np.unique(term, return_inverse=True)
+                out[met] += _latent_cells(cell[order], own[order], len(met), back)
+        out *= idf[:, None].astype(np.float32)
+        for at in range(0, len(out), SHARE_WORDS):
+            yield pa.RecordBatch.from_arrays([pa.array([at], pa.int64()), pa.array([out[at : at + SHARE_WORDS].tobytes()], pa.binary())], names=["at", "share"])
 
     return run
 
 
 def _sum_of_shares(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = None
+    total: dict[int, np.ndarray] = {}
     for batch in batches:
-        for share in batch["share"]:
+        for at, share in zip(batch["at"].to_pylist(), batch["share"], strict=True):
             own = np.frombuffer(share.as_buffer(), np.float32)
-            total = own.copy() if total is None else total + own
-    if total is not None:
-        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["share"])
+            total[at] = total[at] + own if at in total else own.astype(float)
+    for at, share in total.items():
+        yield pa.RecordBatch.from_arrays([pa.array([at], pa.int64()), pa.array([share.tobytes()], pa.binary())], names=["at", "share"])
 
 
-def latent_basis(sample: DataFrame, items: Items, idf: np.ndarray, rank: int = RANK) -> np.ndarray:
-    """(words, rank) orthonormal basis: leading right singular vectors of the items' and sample's TF-IDF passages."""
-    context, shape = sample.sparkSession.sparkContext, len(items.vocabulary.hashes)
-    width = min(rank + OVERSAMPLE, shape)
-    own = items.rows(idf)
-    shared = context.broadcast((items, idf))
-
-    def product(m: np.ndarray) -> np.ndarray:
-        m = m.astype(np.float32)
-        out = ITEM_WEIGHT**2 * own.gram_times(m)  # so that the space holds every item whole
-        # FIT_PARTS shares of one block's size meet in a task, and their sum alone comes to the driver
-        sent = context.broadcast(m)
-        shares = sample.mapInArrow(_gram_product(shared, sent), "share binary")
-        for row in shares.repartition(1).mapInArrow(_sum_of_shares, "share binary").collect():
-            out += np.frombuffer(row.share, np.float32).reshape(m.shape)
-        sent.unpersist()
-        return out
+def latent_basis(docs: DataFrame, items: Items, idf: np.ndarray, rank: int = RANK, weight: float = 1.0) -> np.ndarray:
+    """(words, rank) orthonormal basis: leading right singular vectors of the TF-IDF passages of the items and of all docs.
 
-    start = np.random.Generator(np.random.PCG64(7)).standard_normal((shape, width))
-    q, _ = np.linalg.qr(product(start))
-    small = q.T @ product(q)
+    One pass over docs gives Y = A^T A M for a random M; the space of Y is the basis' space, and A^T A within it follows
+    from Y and M (Nystroem)."""
+    context, shape = docs.sparkSession.sparkContext, len(items.vocabulary.hashes)
+    width = min(rank + OVERSAMPLE, shape)
+    start = np.random.Generator(np.random.PCG64(7)).standard_normal((shape, width)).astype(np.float32)
+    shared, sent = context.broadcast((items, idf)), context.broadcast(start)
+    tasks = docs.select("text").coalesce(4 * context.defaultParallelism)
+    shares = tasks.mapInArrow(_gram_product(shared, sent), "at long, share binary")
+    found = ITEM_WEIGHT**2 * items.rows(idf).gram_times(start.astype(float))  # so that the space holds every item whole
+    # one block's size, in sums over all tasks, comes to the driver
+    for row in shares.repartition("at").mapInArrow(_sum_of_shares, "at long, share binary").toLocalIterator():
+        own = np.frombuffer(row.share, float).reshape(-1, width)
+        found[row.at : row.at + len(own)] += weight * own
+    sent.unpersist()
+    q, r = np.linalg.qr(found)
+    inner = start.T.astype(float) @ found
+    small = r @ np.linalg.pinv((inner + inner.T) / 2, rcond=1e-6, hermitian=True) @ r.T
     values, vectors = np.linalg.eigh((small + small.T) / 2)
     return q @ vectors[:, np.argsort(-values)[:rank]]
 
@@ -465,10 +476,7 @@ def _found(docs: DataFrame, items: Items) -> DataFrame:
         shared = docs.sparkSession.sparkContext.broadcast((items, None, None))
         return docs.mapInArrow(_retrieve(shared), FOUND)
     idf, total = _idf(docs, items)
-    share = min(1.0, FIT_PASSAGES / max(total, 1))
-    picked = docs.filter(F.pmod(F.xxhash64("key", F.lit(11)), F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
-    sample = written(picked.select("text").repartition(FIT_PARTS), "sample").coalesce(FIT_PARTS)
-    basis = latent_basis(sample, items, idf)
+    basis = latent_basis(docs, items, idf, weight=min(1.0, FIT_PASSAGES / max(total, 1)))
     latent = items.rows(idf).times(basis)
     latent /= np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-12)
     shared = docs.sparkSession.sparkContext.broadcast((items, (basis * idf[:, None]).astype(np.float32), latent.astype(np.float32)))

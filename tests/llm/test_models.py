@@ -2,6 +2,7 @@
 
 import collections
 import math
+import random
 import re
 
 import numpy as np
@@ -470,3 +471,40 @@ def test_licence_scores_and_confirmation_against_brute_force(spark, small):
         if expected:
             assert got[0] == (pytest.approx(expected[0], rel=1e-5), pytest.approx(expected[1], rel=1e-9), expected[2])
     assert found > 60
+
+
+def test_basis_is_fitted_on_all_passages(spark, monkeypatch):
+    rng = random.Random(5)
+    vocabulary = [f"w{i}" for i in range(60)]
+    text = lambda n: " ".join(rng.choice(vocabulary) for _ in range(n))
+    items = D.Items([(i, text(40)) for i in range(3)])
+    texts = [text(rng.choice([1, 20, 40, 64, 65, 200])) for _ in range(60)] + ["", "none of them"]
+    idf = np.linspace(0.5, 2.0, len(items.vocabulary.hashes))
+    monkeypatch.setattr(D, "SHARE_WORDS", 7)
+    context = spark.sparkContext
+    start = np.random.default_rng(1).standard_normal((len(idf), 5)).astype(np.float32)
+    docs = spark.createDataFrame([(x,) for x in texts], "text string").repartition(5)
+    shares = docs.mapInArrow(D._gram_product(context.broadcast((items, idf)), context.broadcast(start)), "at long, share binary").collect()
+    got = np.zeros_like(start)
+    for r in shares:
+        own = np.frombuffer(r.share, np.float32).reshape(-1, 5)
+        got[r.at : r.at + len(own)] += own
+    place = {h: i for i, h in enumerate(items.vocabulary.hashes.tolist())}
+    expected = np.zeros((len(idf), len(idf)))
+    for x in texts:
+        words_ = next(words.slices(pa.array([x], pa.string()), table=words.NORMAL)).word_hashes().tolist()
+        for at in range(0, max(1, len(words_) - 32), 32) if words_ else ():
+            row = np.zeros(len(idf))
+            for w in words_[at : at + 64]:
+                if w in place:
+                    row[place[w]] += idf[place[w]]
+            if row.any():
+                expected += np.outer(row, row) / (row @ row)
+    assert np.allclose(got, expected @ start, atol=1e-3)
+    basis = D.latent_basis(docs, items, idf, rank=len(idf))
+    assert np.allclose(basis.T @ basis, np.eye(basis.shape[1]), atol=1e-8)
+    seen = []
+    monkeypatch.setattr(D, "latent_basis", lambda docs, items, idf, weight: seen.append((docs.count(), weight)) or basis)
+    monkeypatch.setattr(D, "FIT_PASSAGES", 10)
+    D._found(docs.selectExpr("1L as doc_id", "text", "binary(text) as key"), items)
+    assert seen[0][0] == len(texts) and 0 < seen[0][1] < 1  # a sample of the corpus was fitted before
