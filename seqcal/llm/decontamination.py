@@ -33,7 +33,7 @@ RANK, OVERSAMPLE, FIT_PASSAGES, ITEM_WEIGHT, SHARE_WORDS = 256, 16, 100_000, 30.
 MIN_COSINE, MIN_COMMON, SURE_COMMON, MIN_ANSWER = 0.45, 0.6, 0.8, 0.5
 MIN_RUN, LONG_RUN = 8, 13
 DENSE_BELOW, DENSE_COMMON = 12, 0.7
-FILTER_BITS, SVD_SLICE, CACHED_TERMS = 20, 1 << 16, 1024
+FILTER_BITS, SVD_SLICE, CELL_BLOCK, PASSAGE_BLOCK = 20, 1 << 16, 64, 512
 FOUND = "doc_id long, key binary, item_id long, start_word long, end_word long, cosine double, common double, answer double"
 
 
@@ -205,8 +205,8 @@ def _passage_counts(shared):
                 begins[first] = np.arange(len(first))
                 ends[second] = np.arange(len(second))
                 pairs = np.concatenate([begins[cell] * len(total) + term, ends[cell] * len(total) + term])
-                pairs = np.unique(pairs[np.concatenate([begins[cell], ends[cell]]) >= 0])
-                total += np.bincount(pairs % len(total), minlength=len(total))
+                pairs = np.sort(pairs[np.concatenate([begins[cell], ends[cell]]) >= 0])
+                total += np.bincount(pairs[np.diff(pairs, prepend=-1) > 0] % len(total), minlength=len(total))
                 total[-1] += len(first)
         some = np.flatnonzero(total)
         terms = np.where(some == len(total) - 1, -1, some)
@@ -215,16 +215,28 @@ def _passage_counts(shared):
     return run
 
 
+def _counted_cells(term: np.ndarray, cell: np.ndarray, n: int, terms: int) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
+    """(cells, the terms that stand in them, how often each stands in each) of CELL_BLOCK cells at a time; cell is sorted.
+    Few of the terms stand in so few cells, so whole matrices of them multiply faster than their entries one by one."""
+    ends = np.searchsorted(cell, np.arange(0, n + CELL_BLOCK, CELL_BLOCK))
+    place = np.zeros(terms, dtype=np.int64)
+    for at, low, high in zip(range(0, n, CELL_BLOCK), ends[:-1], ends[1:], strict=True):
+        if low == high:
+            continue
+        rows, own = min(CELL_BLOCK, n - at), term[low:high]
+        seen = np.zeros(terms, dtype=bool)
+        seen[own] = True
+        met = np.flatnonzero(seen)
+        place[met] = np.arange(len(met))
+        counts = np.bincount((cell[low:high] - at) * len(met) + place[own], minlength=rows * len(met))
+        yield slice(at, at + rows), met, counts.astype(np.float32).reshape(rows, len(met))
+
+
 def _latent_cells(term: np.ndarray, cell: np.ndarray, n: int, basis: np.ndarray) -> np.ndarray:
-    """Sums of the basis rows of each cell's terms, so many terms at a time as a core's cache holds."""
+    """Sums of the basis rows of each cell's terms."""
     out = np.zeros((n, basis.shape[1]), dtype=basis.dtype)
-    heads = np.flatnonzero(np.diff(cell, prepend=-1))
-    ends, at = np.append(heads[1:], len(cell)), 0
-    while at < len(heads):
-        to = max(at + 1, int(np.searchsorted(ends, heads[at] + CACHED_TERMS, side="right")))
-        low, high = heads[at], ends[to - 1]
-        out[cell[heads[at:to]]] = np.add.reduceat(basis.take(term[low:high], axis=0), heads[at:to] - low, axis=0)
-        at = to
+    for cells, met, counts in _counted_cells(term, cell, n, len(basis)):
+        out[cells] = counts @ basis[met]
     return out
 
 
@@ -262,9 +274,8 @@ def _gram_product(shared, matrix):
                 back = np.zeros_like(latent)
                 back[first] += projected
                 back[second[two]] += projected[two]
-                order = np.argsort(term, kind="stable")
-                met, own = np.unique(term, return_inverse=True)
-                out[met] += _latent_cells(cell[order], own[order], len(met), back)
+                for cells, met, counts in _counted_cells(term, cell, len(document), len(m)):
+                    out[met] += counts.T @ back[cells]
         out *= idf[:, None].astype(np.float32)
         for at in range(0, len(out), SHARE_WORDS):
             yield pa.RecordBatch.from_arrays([pa.array([at], pa.int64()), pa.array([out[at : at + SHARE_WORDS].tobytes()], pa.binary())], names=["at", "share"])
@@ -356,21 +367,27 @@ def _copies(items: Items, part: Slice, hashes: np.ndarray, rows: dict[tuple, tup
 def _candidates(items: Items, part: Slice, size: int, own: np.ndarray, latent_items: np.ndarray, document: np.ndarray, place: np.ndarray, latent: np.ndarray, best: dict[tuple, float]) -> None:
     """Adds (document, item, first word, end of the region): cosine for the slice's passages of two cells of this size."""
     first, second = passages_of(document)
-    both = latent[first] + np.where((first != second)[:, None], latent[second], 0)
-    length = np.linalg.norm(both, axis=1)
-    some = np.flatnonzero(length > 1e-6)
-    cosine = (both[some] / length[some, None]) @ latent_items.T
-    for p, k in zip(*np.nonzero(cosine >= MIN_COSINE), strict=True):
-        i, at = int(items.item[own[k]]), int(place[first[some[p]]])
+    found = []
+    for begin in range(0, len(first), PASSAGE_BLOCK):  # so many that they stay in a core's cache
+        one, other = first[begin : begin + PASSAGE_BLOCK], second[begin : begin + PASSAGE_BLOCK]
+        both, two = latent[one], one != other
+        both[two] += latent[other[two]]
+        length = np.sqrt(np.einsum("ij,ij->i", both, both))
+        cosine = both @ latent_items.T
+        cosine /= np.where(length > 1e-6, length, np.inf)[:, None]
+        near = np.flatnonzero(cosine >= MIN_COSINE)
+        found += zip((begin + near // len(own)).tolist(), (near % len(own)).tolist(), cosine.ravel()[near].tolist(), strict=True)
+    for p, k, value in found:
+        i, at = int(items.item[own[k]]), int(place[first[p]])
         n = len(items.words[i])
         if n <= 2 * size:
-            low, high = at - n, int(place[second[some[p]]]) + size + n
+            low, high = at - n, int(place[second[p]]) + size + n
         else:  # where the item would begin, within a passage and an eighth of its length
             at -= int(items.offset[own[k]])
             low, high = (at - 2 * size - n // 8) // size * size, -(-(at + n + 2 * size + n // 8) // size) * size
-        d = int(document[first[some[p]]])
+        d = int(document[first[p]])
         name = (d, i, max(int(part.first_word[d]), low), min(int(part.first_word[d + 1]), high))
-        best[name] = max(best.get(name, 0.0), float(cosine[p, k]))
+        best[name] = max(best.get(name, 0.0), value)
 
 
 def _retrieve(shared):
@@ -396,7 +413,11 @@ def _retrieve(shared):
                         continue
                     if size > finest:  # cells of this size are runs of the finest ones
                         heads = np.flatnonzero((place - part.first_word[document]) % size == 0)
-                        at_size = (document[heads], place[heads], np.add.reduceat(latent, heads, axis=0) if len(heads) else latent)
+                        joined, ends = latent[heads], np.append(heads[1:], len(place))
+                        for k in range(1, size // finest):
+                            more = heads + k < ends
+                            joined[more] += latent[heads[more] + k]
+                        at_size = (document[heads], place[heads], joined)
                     else:
                         at_size = (document, place, latent)
                     _candidates(items, part, size, own, latent_items[own], *at_size, best)
