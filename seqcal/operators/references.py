@@ -55,10 +55,12 @@ def inconsistent_accessions(records: DataFrame) -> DataFrame:
 
 def merged(records: DataFrame) -> DataFrame:
     """One row for each sequence: the first record's accession and ordinal, all records' tags, entries and whether the
-    records' tag sets differ. Equal tag sets are merged before they meet in one row."""
-    sets = records.groupBy("sequence_sha256", "tags").agg(F.min(F.struct("ordinal", "accession", "sequence")).alias("first"), F.count("*").alias("entries"))
-    whole = sets.groupBy("sequence_sha256").agg(F.min("first").alias("first"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("tags")))).alias("tags"), F.sum("entries").alias("entries"), (F.count("*") > 1).alias("differing"))
-    return whole.select(F.col("first.ordinal").alias("ordinal"), F.col("first.accession").alias("accession"), "tags", F.col("first.sequence").alias("sequence"), "sequence_sha256", "entries", "differing")
+    records' tag sets differ. Equal tag sets are merged before they meet in one row. The sequence is a value of its own, so
+    who doesn't ask for it shuffles none."""
+    first = F.struct("ordinal", "accession")
+    sets = records.groupBy("sequence_sha256", "tags").agg(F.min(first).alias("first"), F.min_by("sequence", first).alias("sequence"), F.count("*").alias("entries"))
+    whole = sets.groupBy("sequence_sha256").agg(F.min("first").alias("first"), F.min_by("sequence", "first").alias("sequence"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("tags")))).alias("tags"), F.sum("entries").alias("entries"), (F.count("*") > 1).alias("differing"))
+    return whole.select(F.col("first.ordinal").alias("ordinal"), F.col("first.accession").alias("accession"), "tags", "sequence", "sequence_sha256", "entries", "differing")
 
 
 def positive_entries(records: DataFrame, families: list[str]) -> DataFrame:

@@ -37,9 +37,11 @@ def ranked(df: DataFrame, group: str, order: list[str]) -> DataFrame:
 
 
 def _drawn(df: DataFrame, group: str, order: list[str], sizes: dict[str, int], seeds: dict[str, str], ranks: Callable[[str, int, int], np.ndarray]) -> DataFrame:
-    """df's rows at the ranks that are drawn for each group of sizes, with their slot. df is read once."""
+    """df's rows at the ranks that are drawn for each group of sizes, with their slot. Only the group and the order are
+    ranked; the rows of the drawn ones are then looked up in df, whose other columns are neither sorted nor written."""
     ship(df.sparkSession)
-    named = ranked(df.filter(F.col(group).isin(list(sizes))), group, order)
+    df, keys = df.filter(F.col(group).isin(list(sizes))), list(dict.fromkeys([group, *order]))
+    named = ranked(df.select(*keys), group, order)
     seen = named.groupBy(group).agg((F.max("rank") + 1).alias("seen"))
 
     def slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -52,7 +54,12 @@ def _drawn(df: DataFrame, group: str, order: list[str], sizes: dict[str, int], s
 
     # a task for each group, as a group's draws follow from each other
     table = seen.repartition(len(sizes), group).mapInArrow(slots, f"`{group}` string, slot long, rank long")
-    return named.join(table, [group, "rank"]).select(*df.columns, "slot")
+    drawn = named.join(table, [group, "rank"]).drop("rank")
+    if set(df.columns) == set(keys):
+        return drawn.select(*df.columns, "slot")
+    row = F.struct(*keys).alias("_row")  # equal structs, also of nulls, join
+    found = df.select("*", row).join(drawn.select(row, "slot"), "_row")
+    return found.dropDuplicates([group, "slot"]).select(*df.columns, "slot")
 
 
 def reservoir(df: DataFrame, group: str, order: list[str], sizes: dict[str, int], seeds: dict[str, str]) -> DataFrame:

@@ -181,3 +181,27 @@ def test_samples_by_hash(spark):
     assert sorted(r.slot for r in one if r.g == "a") == list(range(10)) and sorted(r.x for r in one if r.g == "b") == list(range(1, 200, 2))
     assert {tuple(r) for r in one} == {tuple(r) for r in sampling.sample(df.repartition(7), "g", ["x"], {"a": 10, "b": 500}, "s").collect()}
     assert {r.x for r in one if r.g == "a"} != {r.x for r in sampling.sample(df, "g", ["x"], {"a": 10}, "t").collect()}
+
+
+def test_only_group_and_order_are_ranked_and_no_sequence_is_shuffled_unasked(spark, monkeypatch):
+    rows = [("g", i, None if i == 3 else i // 2, "long text" * i) for i in range(40)]
+    df = spark.createDataFrame(rows, "g string, a long, b long, text string").repartition(5)
+    seen, ranked = [], sampling.ranked
+    monkeypatch.setattr(sampling, "ranked", lambda df, group, order: seen.append(df.columns) or ranked(df, group, order))
+    got = sampling.reservoir(df, "g", ["b", "a"], {"g": 9}, {"g": "s"}).orderBy("slot").collect()
+    assert seen == [["g", "b", "a"]]  # all columns were sorted and written before
+    order = sorted(rows, key=lambda r: (r[2] is not None, r[2] or 0, r[1]))
+    assert [(r.g, r.a, r.b, r.text) for r in got] == brute_reservoir(order, 9, "s")
+    narrow = sampling.reservoir(df.select("a", "g", "b"), "g", ["b", "a"], {"g": 9}, {"g": "s"})
+    assert narrow.columns == ["a", "g", "b", "slot"] and [r.a for r in narrow.orderBy("slot").collect()] == [r.a for r in got]
+    merged = R.merged(spark.createDataFrame([(2, "b", ["GH1"], "M", "d"), (1, "a", ["GH2"], "M", "d")], "ordinal long, accession string, tags array<string>, sequence string, sequence_sha256 string"))
+    assert [tuple(r) for r in merged.collect()] == [(1, "a", ["GH1", "GH2"], "M", "d", 2, True)]
+    plan = merged.select("sequence_sha256", "ordinal", "tags")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" in plan and "sequence#" not in plan.split("LogicalRDD")[0]
+
+
+def test_sequences_are_normalised_as_before(spark):
+    texts = ["abc*", "ab**", "ABC\n", "A B\tc", "a b", "é*", "　*", "", "*", None, "AB*\n", "ab\x7f", "\x1fa", "~!x"]
+    df = spark.createDataFrame([(x,) for x in texts], "x string")
+    plain = F.regexp_replace(F.upper(F.regexp_replace("x", f"[{T.WHITE_SPACE}]+", "")), r"\*$", "")
+    assert all(a == b for a, b in df.select(T.normalised_sequence(F.col("x")), plain).collect())
